@@ -21,15 +21,48 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cube import mixed_sizes
+
+    return mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .wavelet import token_files
+
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sp_bpe import sentencepiece_digest
 
     return sentencepiece_digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .additive import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op9_sentencepiece)}
+    found = (op1_language_id, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op9_sentencepiece, op10_nearest)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import quality
+
+    return {"op5_quality_rules": quality.SQL}
