@@ -21,6 +21,8 @@ from .common import bound_batches, byte_view, docs_of, ragged, slices
 
 #: What the library puts for a space.
 BLANK = "▁"
+#: Bytes of text whose distinct words are worked off together.
+SLICE = 6 << 20
 
 
 class Agenda:
@@ -46,19 +48,40 @@ class Agenda:
             for k in range(1, len(piece)):
                 if piece[:k] in ids and piece[k:] in ids:
                     pairs[ids[piece[:k]] * n + ids[piece[k:]]] = i
-        keys = np.array(sorted(pairs), dtype=np.int64)
-        self.keys, self.merged = keys, np.array([pairs[k] for k in keys.tolist()], dtype=np.int64)
+        self._hash_pairs(pairs)
         # the agenda's order: scores, best first, as whole numbers
         scores = np.array([lib.get_score(i) for i in range(n)])
         self.order = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
         #: Cutting at blanks is right if no piece has a blank after another character.
         self.inner = any(BLANK in p.lstrip(BLANK) for p in ids)
 
+    def _hash_pairs(self, pairs: dict[int, int], bits: int = 20) -> None:
+        """One slot for a pair; the few pairs whose slot is taken are in a sorted list beside the table."""
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, -1, dtype=np.int64)
+        self.made = np.full(1 << bits, -1, dtype=np.int32)
+        self.crowded = np.zeros(1 << bits, dtype=bool)
+        over = {}
+        for key, piece in sorted(pairs.items()):
+            at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 64 - bits
+            if self.slots[at] < 0:
+                self.slots[at], self.made[at] = key, piece
+            else:
+                self.crowded[at] = True
+                over[key] = piece
+        self.over = np.array(sorted(over), dtype=np.int64)
+        self.over_made = np.array([over[k] for k in self.over.tolist()], dtype=np.int64)
+
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece that two neighbours make, or -1."""
-        key = a * self.size + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.merged[at], -1)
+        key = np.where((a >= 0) & (b >= 0), a * self.size + b, -2)
+        at = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        hit = self.slots[at] == key
+        out = np.where(hit, self.made[at], -1).astype(np.int64)
+        if len(self.over) and len(rest := np.flatnonzero(self.crowded[at] & ~hit)):
+            k = np.minimum(np.searchsorted(self.over, key[rest]), len(self.over) - 1)
+            out[rest] = np.where(self.over[k] == key[rest], self.over_made[k], -1)
+        return out
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words end to end, and the number of ids of each."""
@@ -72,27 +95,36 @@ class Agenda:
         owner = np.repeat(np.arange(len(words)), lengths)
         done_symbols, done_owner, done_rank = [], [], []
         rank = np.arange(len(symbols))
+        never = np.int64(1) << 40
+        made = np.full(len(symbols), -1, dtype=np.int64)
+        if len(symbols) > 1:
+            made[:-1] = np.where(owner[1:] == owner[:-1], self.pair(symbols[:-1], symbols[1:]), -1)
         while len(symbols):
-            made = np.full(len(symbols), -1, dtype=np.int64)
-            if len(symbols) > 1:
-                made[:-1] = np.where(owner[1:] == owner[:-1], self.pair(symbols[:-1], symbols[1:]), -1)
-            cost = np.where(made >= 0, self.order[made], np.int64(1) << 40)
+            cost = np.where(made >= 0, self.order[made], never)
             heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(cost, heads)
             counts = np.diff(np.r_[heads, len(symbols)])
-            open_word = best < (np.int64(1) << 40)
-            keep = np.repeat(open_word, counts)
+            keep = np.repeat(best < never, counts)
             done_symbols.append(symbols[~keep])
             done_owner.append(owner[~keep])
             done_rank.append(rank[~keep])
             # the leftmost of the best pairs in each word
             hit = np.flatnonzero((cost == np.repeat(best, counts)) & keep)
-            first = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]] if len(hit) else hit
-            symbols = symbols.copy()
+            if not len(hit):
+                break
+            first = hit[np.r_[True, owner[hit][1:] != owner[hit][:-1]]]
             symbols[first] = made[first]
             keep[first + 1] = False
-            symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
-        symbols, owner, rank = map(np.concatenate, (done_symbols, done_owner, done_rank)) if done_symbols else (symbols, owner, rank)
+            at = (np.cumsum(keep) - 1)[first]
+            symbols, owner, rank, made = symbols[keep], owner[keep], rank[keep], made[keep]
+            # only the pairs on either side of a merge are new
+            last = len(symbols) - 1
+            right = np.minimum(at + 1, last)
+            made[at] = np.where((at < last) & (owner[right] == owner[at]), self.pair(symbols[at], symbols[right]), -1)
+            left = at[(at > 0) & (owner[np.maximum(at - 1, 0)] == owner[at])] - 1
+            made[left] = self.pair(symbols[left], symbols[left + 1])
+        if done_symbols:
+            symbols, owner, rank = map(np.concatenate, (done_symbols, done_owner, done_rank))
         back = np.argsort(rank, kind="stable")
         symbols, owner = symbols[back], owner[back]
         if len(strange := np.flatnonzero(symbols < 0)):
@@ -149,7 +181,7 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
         coder = agenda(model_file)
         lib = coder.library
         for whole in batches:
-            for b in slices(whole):
+            for b in slices(whole, most=SLICE):
                 ids, at = coder.encode(b.column(1))
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
@@ -170,7 +202,7 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
         lib = coder.library
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for whole in batches:
-            for b in slices(whole):
+            for b in slices(whole, most=SLICE):
                 ids, at = coder.encode(b.column(1))
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
