@@ -21,6 +21,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .superkmer import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cube import mixed_sizes
 
@@ -58,11 +64,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op9_sentencepiece, op10_nearest)
+    found = (op1_language_id, op2_substring_dedup, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op9_sentencepiece, op10_nearest)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import quality
+    from . import quality, superkmer
 
-    return {"op5_quality_rules": quality.SQL}
+    return {"op2_substring_dedup": superkmer.SQL, "op5_quality_rules": quality.SQL}
