@@ -51,6 +51,12 @@ def op7_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sp_bpe import sentencepiece_digest
 
@@ -64,11 +70,11 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_substring_dedup, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op9_sentencepiece, op10_nearest)
+    found = (op1_language_id, op2_substring_dedup, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op8_jaccard_join, op9_sentencepiece, op10_nearest)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import quality, superkmer
+    from . import jaccard, quality, superkmer
 
-    return {"op2_substring_dedup": superkmer.SQL, "op5_quality_rules": quality.SQL}
+    return {"op2_substring_dedup": superkmer.SQL, "op5_quality_rules": quality.SQL, "op8_jaccard_join": jaccard.SQL}
