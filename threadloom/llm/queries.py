@@ -27,6 +27,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cube import mixed_sizes
 
@@ -70,7 +76,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_language_id, op2_substring_dedup, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op8_jaccard_join, op9_sentencepiece, op10_nearest)
+    found = (op1_language_id, op2_substring_dedup, op3_lm_scores, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op8_jaccard_join, op9_sentencepiece, op10_nearest)
     return {f.__name__: f for f in found}
 
 
