@@ -28,6 +28,10 @@ MAGIC = b"WVM1"
 #: Bits between two entries of the rank directory; ids of a shard from which it is closed.
 STEP = 512
 SHARD_IDS = 1 << 20
+#: Bytes of text encoded together; bytes of chunks in one call's text.
+SLICE, PIECE = 8 << 20, 1 << 17
+#: Distinct chunks that a worker remembers the ids of.
+REMEMBERED = 400_000
 FILE_ROWS = "part int, shard int, base bigint, docs bigint, ids bigint, file binary"
 
 
@@ -163,8 +167,8 @@ class Shard:
 class Encoder:
     """The tokenizers library over the distinct chunks of a batch.
 
-    A chunk is a run of white space with what follows up to the next run. The byte-level pattern never joins characters over
-    the start of such a run, so a text's ids are those of its chunks in turn, and equal chunks are encoded once.
+    A chunk is a run of white space with what follows up to the next run or to a mark behind a letter. The byte-level pattern
+    never joins characters over such a place, so a text's ids are those of its chunks in turn, and equal chunks are encoded once.
     """
 
     def __init__(self, path: str):
@@ -172,8 +176,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, int(self.tokenizer.get_vocab_size() - 1).bit_length())
+        self.forget()
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():  # a byte-level token has one character for each byte
+            self.lengths[i] = len(special[i].encode()) if i in special else len(token)
         self.space = np.zeros(256, dtype=bool)
         self.space[[0x20, *range(9, 14)]] = True
+        #: A mark behind an ASCII letter or digit begins a token too.
+        self.mark, self.letter = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+        self.mark[list(b".,!?;:)%")] = True
+        self.letter[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+    def _apart(self, data: np.ndarray) -> np.ndarray:
+        """Whether a text may be cut behind each byte, if white space follows: not behind what may be white space beyond ASCII, nor behind the separators 1C to 1F."""
+        out = (data < 0x80) & ~self.space[data] & ~((data >= 0x1C) & (data <= 0x1F))
+        out[1:] |= (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
+        return out
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks end to end, and how many of each. Those that may stand side by side are encoded as one text,
+        and their ids told apart by the tokens' lengths in bytes."""
+        data, at = byte_view(chunks)
+        sizes = np.diff(at)
+        together = self.space[data[at[:-1]]] & self._apart(data)[at[1:] - 1]
+        counts = np.zeros(len(sizes), dtype=np.int64)
+        side, alone = np.flatnonzero(together), np.flatnonzero(~together)
+        ids_of = []
+        if len(side):
+            text = data[ragged(at[:-1][side], sizes[side])].tobytes()
+            ends = np.cumsum(sizes[side])
+            cuts = np.r_[0, ends[np.flatnonzero(np.diff(ends // PIECE))], ends[-1]]
+            got = self.tokenizer.encode_batch_fast([text[a:z].decode() for a, z in zip(cuts.tolist(), cuts[1:].tolist(), strict=False) if z > a], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
+            reached = np.cumsum(self.lengths[ids])
+            last = np.searchsorted(reached, ends)
+            if len(reached) and last[-1] < len(reached) and (reached[last] == ends).all() and reached[-1] == ends[-1]:
+                counts[side] = np.diff(np.r_[-1, last])
+                ids_of.append((side, ids))
+            else:
+                alone = np.arange(len(sizes))
+        if len(alone):
+            raw = data.tobytes()
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([raw[at[i] : at[i + 1]].decode() for i in alone.tolist()], add_special_tokens=False)]
+            counts[alone] = [len(x) for x in got]
+            ids_of.append((alone, np.array([x for e in got for x in e], dtype=np.uint32)))
+        out = np.empty(int(counts.sum()), dtype=np.uint32)
+        first = np.cumsum(counts) - counts
+        for rows, ids in ids_of:
+            out[ragged(first[rows], counts[rows])] = ids
+        return out, counts
+
+    def _known(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids kept, and where each chunk's begin and how many they are. Chunks of earlier slices are remembered, REMEMBERED at most."""
+        names = chunks.to_pylist()
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        of = np.fromiter((self.known.get(x, -1) for x in names), dtype=np.int64, count=len(names))
+        new = np.flatnonzero(of < 0)
+        if len(new):
+            ids, counts = self._chunks(chunks.take(pa.array(new)))
+            of[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip((names[i] for i in new.tolist()), of[new].tolist(), strict=True))
+            first = np.cumsum(counts) - counts + len(self.flat)
+            self.flat, self.first, self.counts = np.concatenate([self.flat, ids]), np.concatenate([self.first, first]), np.concatenate([self.counts, counts])
+        return self.flat, self.first[of], self.counts[of]
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.first, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each with the end id, and the number of ids of each text."""
@@ -181,19 +253,15 @@ class Encoder:
         space = self.space[data]
         cut = space.copy()
         if len(data) > 1:
-            # not behind a character that may be white space beyond ASCII, nor behind the separators 1C to 1F
-            plain = (data < 0x80) & ~((data >= 0x1C) & (data <= 0x1F))
-            two = np.zeros(len(data), dtype=bool)
-            two[1:] = (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
-            cut[1:] &= ~space[:-1] & (plain | two)[:-1]
+            cut[1:] &= self._apart(data)[:-1]
+            cut[1:] |= self.mark[data[1:]] & self.letter[data[:-1]]
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(cut)
-        chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.r_[starts, len(data)].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
+        if not len(starts):
+            return np.full(len(offsets) - 1, END, dtype=np.uint32), np.ones(len(offsets) - 1, dtype=np.int64)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.r_[starts, len(data)].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
         which = chunks.indices.to_numpy()
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.dictionary.to_pylist(), add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        flat = np.fromiter((x for e in got for x in e), dtype=np.uint32, count=int(lengths.sum()))
-        at = np.cumsum(lengths) - lengths
+        flat, at, lengths = self._known(chunks.dictionary)
         sizes = lengths[which]
         ids = flat[ragged(at[which], sizes)]
         ends = np.r_[0, np.cumsum(sizes)][np.searchsorted(starts, offsets)]
@@ -226,7 +294,7 @@ def write_shards(documents: DataFrame, tokenizer_file: str, path: str, shard_ids
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([base], pa.int64()), pa.array([len(docs)], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([raw], pa.binary())], names=["part", "shard", "base", "docs", "ids", "file"])
 
         for whole in batches:
-            for b in slices(whole):
+            for b in slices(whole, most=SLICE):
                 ids, lengths = coder.encode(b.column(1))
                 held.append((b.column(0).to_numpy(zero_copy_only=False), lengths, ids))
                 size += len(ids)
