@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import pickle
 import tempfile
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,16 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@lru_cache(1)
+def lean() -> None:
+    """In a Python worker: what arrays free goes back to the system, so idle workers stay small beside the busy ones."""
+    import ctypes
+
+    pa.set_memory_pool(pa.system_memory_pool())
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, else it grows with what is freed
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -74,10 +86,10 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def pack(*arrays) -> bytes:
+def pack(*arrays, level: int = 1) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays, protocol=5))
 
 
 def unpack(blob: bytes):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, binary_rows, bound_batches, byte_view, docs_of, dropped, mix, pack, partitions, shared_dir, slices, unpack, word_hashes, word_spans, written
+from .common import LOWER, U64, binary_rows, bound_batches, byte_view, docs_of, dropped, lean, mix, pack, partitions, shared_dir, slices, unpack, word_hashes, word_spans, written
 from .components import components
 
 #: Words of a shingle; percent of the union that the intersection must reach.
@@ -71,6 +71,7 @@ def nodes_of(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
 
     def run(batches):
+        lean()
         for whole in batches:
             for b in slices(whole, most=SLICE):
                 _, at, node = shingle_sets(b)
@@ -90,6 +91,7 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
     buckets = 2 * partitions(spark)
 
     def cut(batches):
+        lean()
         for whole in batches:
             for b in slices(whole, most=SLICE):
                 flat, at, node = shingle_sets(b)
@@ -114,6 +116,7 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def meet(key, t):
+        lean()
         parts = [unpack(x) for x in t.column("blob").to_pylist()]
         node, n, counts, flat = (np.concatenate([p[i] for p in parts]) for i in range(4))
         del parts
@@ -151,6 +154,7 @@ def candidates(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
     whole = whole.filter(F.col("k") * 100 >= F.col("n") * percent)
 
     def run(batches):
+        lean()
         for b in batches:
             sets, regions = [], []
             for n, lists in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
@@ -174,6 +178,7 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("pivot"), F.col("n").alias("n2"), F.col("shingles").alias("s2"))
 
     def run(batches):
+        lean()
         for b in batches:
             common = [_common(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array(common, pa.int64())], names=["node", "pivot", "n1", "n2", "common"])
@@ -211,6 +216,7 @@ def join_group(node: np.ndarray, n: np.ndarray, sets: list[np.ndarray], percent:
         mine = np.zeros(len(kinds), dtype=bool)
         mine[code[ends[p] : ends[p + 1]]] = True
         common = np.bincount(row[mine[code]], minlength=len(sets))
+        common[p] = n[p]  # its own shingles that no other node has are not in its list
         union = n + n[p] - common
         return common * 100 >= percent * union, 1 - common / union
 
@@ -258,10 +264,11 @@ def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GRO
     mine = again.join(group_of.select("region", "chunks"), "region").withColumn("i", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")))
     # a chunk meets each other chunk once: units (lesser, greater); a single chunk meets itself
     unit = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.greatest(F.col("chunks") - 1, F.lit(0)))))
-    unit = unit.select("region", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node").filter((F.col("lo") < F.col("hi")) | F.col("lo").isNotNull())
-    unit = written(unit.distinct(), folder, "units")
+    unit = unit.select("region", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node")
+    unit = written(unit, folder, "units")
 
     def solve(key, t):
+        lean()
         t = t.sort_by("node")
         got = join_group(t.column("node").to_numpy(), t.column("n").to_numpy(), [np.frombuffer(x, "<u8") for x in t.column("shingles").to_pylist()], percent)
         return pa.table({"a": pa.array([x for x, _ in got], pa.int64()), "b": pa.array([x for _, x in got], pa.int64())})
