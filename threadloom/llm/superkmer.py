@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, binary_rows, bound_batches, byte_view, docs_of, input_bytes, mix, pack, partitions, ragged, slices, unpack, word_hashes, word_spans
+from .common import U64, binary_rows, bound_batches, byte_view, docs_of, input_bytes, lean, mix, pack, partitions, ragged, slices, unpack, word_hashes, word_spans
 
 #: Words of a window and of a minimiser seed.
-K, SEED = 13, 4
+K, SEED = 13, 3
 #: Input bytes for each bucket: packed strings are some three times the text they come from.
 BUCKET_BYTES = 4 << 20
 SLICE = 4 << 20
+#: Compression of the packed strings: they are most of what is shuffled.
+LEVEL = 6
 
 
 def tagged(documents: DataFrame, *more: str) -> DataFrame:
@@ -43,8 +45,9 @@ def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return out, at
 
 
-def minimisers(h: np.ndarray, k: int = K, seed: int = SEED) -> np.ndarray:
+def minimisers(h: np.ndarray, k: int = K, seed: int | None = None) -> np.ndarray:
     """For each window start the least seed hash of the window (windows that leave the array are cut off)."""
+    seed = seed or SEED
     g = h[: len(h) - seed + 1].copy()
     for j in range(1, seed):
         g = mix(g * U64(0x9E3779B97F4A7C15) + h[j : len(h) - seed + 1 + j])
@@ -85,7 +88,7 @@ def super_kmers(batch_part: pa.RecordBatch, buckets: int, k: int = K):
         strings = pa.Array.from_buffers(pa.large_binary(), z - a, [None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int64).tobytes()), pa.py_buffer(text.tobytes())]).dictionary_encode()
         kinds, raw = _flat(strings.dictionary)
         rows = owner[at_word[a:z]]
-        blob = pack(raw, kinds.astype(np.uint32), strings.indices.to_numpy().astype(np.uint32), np.diff(ids[rows], prepend=0), np.diff(tags[rows], prepend=0), (at_word[a:z] - first[rows]).astype(np.uint32), runs[a:z].astype(np.uint16 if runs.max() < 65536 else np.uint32))
+        blob = pack(raw, kinds.astype(np.uint32), strings.indices.to_numpy().astype(np.uint32), np.diff(ids[rows], prepend=0), np.diff(tags[rows], prepend=0), (at_word[a:z] - first[rows]).astype(np.uint32), runs[a:z].astype(np.uint16 if runs.max() < 65536 else np.uint32), level=LEVEL)
         yield int(bucket[a]), blob
 
 
@@ -165,6 +168,7 @@ def covered_runs(docs: DataFrame, k: int = K) -> DataFrame:
     buckets = max(4 * parts, -(-input_bytes(docs) // BUCKET_BYTES))
 
     def cut(batches):
+        lean()
         for whole in batches:
             for b in slices(whole, most=SLICE):
                 got = list(super_kmers(b, buckets, k))
@@ -172,6 +176,7 @@ def covered_runs(docs: DataFrame, k: int = K) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.int32()), pa.array([x for _, x in got], pa.binary())], names=["bucket", "blob"])
 
     def meet(key, t):
+        lean()
         doc, tag, start, n = windows_seen_before(t.column("blob").to_pylist(), k)
         order = np.lexsort((start, tag, doc))
         doc, tag = doc[order], tag[order]
@@ -210,6 +215,7 @@ def substring_dedup(documents: DataFrame, k: int = K) -> DataFrame:
     docs = tagged(documents)
 
     def digest(batches):
+        lean()
         for whole in batches:
             for b in slices(whole, most=SLICE):
                 n, removed, words, at = kept_words(b.column(1), b.column(2), k)
@@ -231,6 +237,7 @@ def without_repeats(documents: DataFrame, k: int = K) -> DataFrame:
     joined = whole.join(covered_runs(docs, k), ["doc_id", "tag"], "left").select(*rest, "text", "runs")
 
     def strip(batches):
+        lean()
         for full in batches:
             for b in slices(full, most=SLICE):
                 i, j = b.schema.get_field_index("text"), b.schema.get_field_index("runs")
