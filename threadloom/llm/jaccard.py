@@ -6,9 +6,12 @@ of its rarest shingles, as many as a partner within the radius cannot miss (the
 n - ceil(threshold * n) + 1 in any one order). Shingles of a single node take part in no intersection and open no region; they
 only use up the window. In each region the least node is the document pivot: all others are measured against it exactly. By the
 triangle inequality a node beyond twice the radius from the pivot has no partner in its ball, and of the ball only those can have
-one outside that are as far out as the outermost window allows; these boundary nodes are joined again with what is outside. Regions
-that hold the same nodes are joined once; large ones are cut in pairs of chunks; each is joined recursively with further pivots.
-Links lead to components.
+one outside that are as far out as the outermost window allows; these boundary nodes are joined again with what is outside, unless
+all of them are connected by other regions' links already. Regions that hold the same nodes are joined once; large ones are cut in
+pairs of chunks. In a joined region nodes bring sketches instead of sets: the parities of their numbers of shingles in as many
+classes as they have shingles; classes of unlike parity bound the distance from below (a metric too), which leaves few pairs to
+measure exactly. Of these a region first names only enough to connect its nodes if all hold; if some don't, it is joined once more
+with all that are left. Links lead to components.
 
 Shingles and sets are known by 64-bit hashes. Word hashes of 64 bits go into a shingle's.
 
@@ -31,6 +34,8 @@ from .components import components
 WIDTH, PERCENT = 5, 80
 #: Nodes of a group that one task joins at most; larger groups are cut in pairs of chunks.
 GROUP = 4096
+#: Bits of a sketch, at least and at most.
+LEAST_BITS, MOST_BITS = 64, 8192
 SLICE = 4 << 20
 
 
@@ -149,23 +154,36 @@ def least_common(n, percent: int = PERCENT):
 
 
 def candidates(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Nodes that can have a partner at all: node, n, shingles (the shared ones' hashes, ascending), regions (the rarest of them)."""
+    """Nodes that can have a partner at all: node, n, shared (how many of them other nodes have too), shingles (those, ascending), their sketch, regions (the rarest of them)."""
     whole = shared.groupBy("node").agg(F.first("n").alias("n"), F.sum(F.octet_length("hits") / 12).alias("k"), F.collect_list("hits").alias("hits"))
     whole = whole.filter(F.col("k") * 100 >= F.col("n") * percent)
 
     def run(batches):
         lean()
         for b in batches:
-            sets, regions = [], []
+            sets, regions, sketches, shared = [], [], [], []
             for n, lists in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 pairs = np.frombuffer(b"".join(lists), dtype=[("hash", "<u8"), ("df", "<u4")])
                 hashes, df = pairs["hash"], pairs["df"]
                 sets.append(np.sort(hashes).tobytes())
+                sketches.append(sketch(hashes, n))
+                shared.append(len(hashes))
                 window = n - least_common(n, percent) + 1 - (n - len(hashes))
                 regions.append(hashes[np.lexsort((hashes, df))][: max(0, window)].view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary()), pa.array(regions, pa.list_(pa.int64()))], names=["node", "n", "shingles", "regions"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared, pa.int64()), pa.array(sets, pa.binary()), pa.array(sketches, pa.binary()), pa.array(regions, pa.list_(pa.int64()))], names=["node", "n", "shared", "shingles", "sketch", "regions"])
 
-    return whole.select("node", "n", "hits").mapInArrow(run, "node bigint, n bigint, shingles binary, regions array<bigint>")
+    return whole.select("node", "n", "hits").mapInArrow(run, "node bigint, n bigint, shared bigint, shingles binary, sketch binary, regions array<bigint>")
+
+
+def sketch_bits(n) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, int(n) - 1).bit_length()))
+
+
+def sketch(hashes: np.ndarray, n: int) -> bytes:
+    """Parity of the number of hashes in each class; half as many classes are its halves, one laid over the other."""
+    bits = sketch_bits(n)
+    odd = np.bincount((hashes & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -186,58 +204,46 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "node").join(right, "pivot").select("node", "pivot", "n1", "n2", "s1", "s2").mapInArrow(run, "node bigint, pivot bigint, n1 bigint, n2 bigint, common bigint")
 
 
-def join_group(node: np.ndarray, n: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what the group's links connect, by pivots in turn: rest = everything beyond the pivot's ball; boundary
-    nodes of the ball are measured against a node of the rest only if the triangle inequality allows a link."""
-    flat = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    kinds, code = np.unique(flat, return_inverse=True)
-    radius = 1 - percent / 100
-    parent = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    links: list[tuple[int, int]] = []
-
-    def link(a: int, b: int) -> None:
-        x, y = find(a), find(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            links.append((int(node[a]), int(node[b])))
-
-    ends = np.r_[0, np.cumsum([len(s) for s in sets])]
-
-    def near(p: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which are within the radius of p, in whole numbers, and all distances."""
-        mine = np.zeros(len(kinds), dtype=bool)
-        mine[code[ends[p] : ends[p + 1]]] = True
-        common = np.bincount(row[mine[code]], minlength=len(sets))
-        common[p] = n[p]  # its own shingles that no other node has are not in its list
-        union = n + n[p] - common
-        return common * 100 >= percent * union, 1 - common / union
-
-    open_ = np.arange(len(sets))
-    while len(open_) > 1:
-        p = int(open_[0])
-        within, d = near(p)
-        ball = open_[within[open_]]
-        for x in ball.tolist():
-            link(p, x)
-        outside = open_[~within[open_]]
-        for y in outside[d[outside] <= 2 * radius + 1e-9].tolist():
-            if find(y) == find(p):
+def close_pairs(node: np.ndarray, n: np.ndarray, shared: np.ndarray, sketches: list[bytes], component: np.ndarray, whole: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs of nodes of different components whose sizes and sketches allow a link: all of them if `whole`, else as many as would
+    connect what all of them connect, those with the nearest sketches first."""
+    order = np.lexsort((node, n))
+    node, n, shared, component = node[order], n[order], shared[order], component[order]
+    bits = np.array([sketch_bits(x) for x in n])
+    rows = [np.frombuffer(sketches[i], dtype=np.uint64) for i in order]
+    most = (100 - percent) * 1.0 / (100 + percent)
+    found = []
+    for level in np.unique(bits):
+        mine = np.flatnonzero(bits == level)
+        # sizes within the radius differ by one level at most
+        near = np.flatnonzero((bits == level) | (bits == 2 * level))
+        table = np.stack([rows[i] if bits[i] == level else rows[i][: level // 64] ^ rows[i][level // 64 :] for i in near])
+        for x in mine.tolist():
+            lo, hi = np.searchsorted(near, x + 1), np.searchsorted(n[near], n[x] * 100 // percent, side="right")
+            them = near[lo:hi]
+            if not len(them):
                 continue
-            boundary = ball[d[ball] >= d[y] - radius - 1e-9]
-            if len(boundary):
-                hit = boundary[near(y)[0][boundary]]
-                if len(hit):
-                    link(y, int(hit[0]))
-        open_ = outside
-    return links
+            apart = np.bitwise_count(table[lo:hi] ^ rows[x]).sum(1, dtype=np.int64)
+            room = most * (n[x] + n[them]) + 1e-9 - (n[x] - shared[x]) - (n[them] - shared[them])
+            ok = (apart <= room) & (component[them] != component[x])
+            found += zip(apart[ok].tolist(), [x] * int(ok.sum()), them[ok].tolist(), strict=True)
+    if whole:
+        return [(int(node[x]), int(node[y])) for _, x, y in found]
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = root.get(root[c], root[c])
+            c = root[c]
+        return c
+
+    out = []
+    for _, x, y in sorted(found):
+        a, b = find(int(component[x])), find(int(component[y]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((int(node[x]), int(node[y])))
+    return out
 
 
 def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
@@ -249,7 +255,7 @@ def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GRO
     known = written(measured(pairs, sets), folder, "measured")
     union = F.col("n1") + F.col("n2") - F.col("common")
     linked = F.col("common") * 100 >= union * percent
-    direct = known.filter(linked).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    found = written(known.filter(linked).select(F.col("node").alias("a"), F.col("pivot").alias("b")), folder, "direct")
     radius = 1 - percent / 100
     far = known.select("node", "pivot", (1 - F.col("common") / union).alias("d"), linked.alias("ball"))
     placed = inside.join(far, ["node", "pivot"], "left").select("region", "node", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("ball", F.lit(True)).alias("ball"))
@@ -258,23 +264,35 @@ def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GRO
     rest = placed.groupBy("region").agg(F.count_if(~F.col("ball")).alias("out"), F.min(F.when(~F.col("ball"), F.col("d"))).alias("nearest")).filter("out > 0")
     stay = ~F.col("ball") | ((F.col("nearest") <= 2 * radius + 1e-9) & (F.col("d") >= F.col("nearest") - radius - 1e-9))
     again = placed.join(rest, "region").filter(stay).select("region", "node")
-    # regions of the same nodes are one group
-    group_of = again.groupBy("region").agg(F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark")).filter("c > 1")
-    group_of = group_of.groupBy("c", "mark").agg(F.min("region").alias("region")).withColumn("chunks", F.greatest(F.ceil(F.col("c") * 2 / group), F.lit(1)))
-    mine = again.join(group_of.select("region", "chunks"), "region").withColumn("i", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")))
-    # a chunk meets each other chunk once: units (lesser, greater); a single chunk meets itself
-    unit = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.greatest(F.col("chunks") - 1, F.lit(0)))))
-    unit = unit.select("region", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node")
-    unit = written(unit, folder, "units")
-
-    def solve(key, t):
-        lean()
-        t = t.sort_by("node")
-        got = join_group(t.column("node").to_numpy(), t.column("n").to_numpy(), [np.frombuffer(x, "<u8") for x in t.column("shingles").to_pylist()], percent)
-        return pa.table({"a": pa.array([x for x, _ in got], pa.int64()), "b": pa.array([x for _, x in got], pa.int64())})
+    traits = sets.select("node", "n", "shared", "sketch")
+
+    def pairs_of(whole: bool):
+        def run(key, t):
+            lean()
+            got = close_pairs(*(t.column(c).to_numpy() for c in ("node", "n", "shared")), t.column("sketch").to_pylist(), t.column("component").to_numpy(), whole, percent)
+            return pa.table({"node": pa.array([x for x, _ in got], pa.int64()), "pivot": pa.array([x for _, x in got], pa.int64())})
+
+        return run
+
+    for step in range(2):
+        units = written(split(again, components(found, f"{folder}/cc{step}"), group), folder, f"units{step}")
+        close = units.join(traits, "node").groupBy("region", "lo", "hi").applyInArrow(pairs_of(step > 0), "node bigint, pivot bigint").distinct()
+        more = written(measured(close, sets).select(F.col("node").alias("a"), F.col("pivot").alias("b"), linked.alias("linked")), folder, f"more{step}")
+        found = found.unionByName(more.filter("linked").drop("linked"))
+        if not more.filter("NOT linked").limit(1).count():
+            break
+    return found
+
 
-    found = unit.join(sets.select("node", "n", "shingles"), "node").groupBy("region", "lo", "hi").applyInArrow(solve, "a bigint, b bigint")
-    return direct.unionByName(found)
+def split(members: DataFrame, linked: DataFrame, group: int = GROUP) -> DataFrame:
+    """members(region, node) -> region, lo, hi, node, component: the units to be joined. Regions whose nodes are in one component by
+    now are out; regions of the same nodes count once; a large one is cut in chunks, and each two of them (or one alone) make a unit."""
+    labelled = members.join(linked, "node", "left").select("region", "node", F.coalesce("component", "node").alias("component"))
+    kinds = labelled.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark")).filter("least <> most")
+    kept = kinds.groupBy("c", "mark").agg(F.min("region").alias("region")).select("region", F.greatest(F.ceil(F.col("c") * 2 / group), F.lit(1)).alias("chunks"))
+    mine = labelled.join(kept, "region").withColumn("i", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")))
+    unit = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return unit.select("region", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "component")
 
 
 def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -285,7 +303,7 @@ def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = written(nodes_of(docs), folder, "rows")
     sets = written(candidates(shared_shingles(docs), percent), folder, "sets")
     edges = written(links(sets, folder, percent), folder, "links")
-    for name in ("inside", "measured", "placed", "units", "sets"):
+    for name in ("inside", "measured", "placed", "direct", "cc0", "cc1", "units0", "units1", "more0", "more1", "sets"):
         dropped(spark, f"{folder}/{name}")
     linked = components(edges, folder)
     first = rows.filter("node <> 0").groupBy("node").agg(F.min("doc_id").alias("least"))
