@@ -114,7 +114,7 @@ def elements(pages: DataFrame, key: str = "page_id", html: str = "html") -> Data
                     a = e["attrs"]
                     if e["kind"] == "post" and ("promoted" in a.get("class", "").lower() or a.get("ad-type") or "promoted" in a):
                         continue
-                    rows.append((k, e["kind"], e["pos"], list(a.items()), e["body"] or ""))
+                    rows.append((k, e["kind"], e["pos"], a, e["body"] or ""))
             yield pd.DataFrame(rows, columns=[key, "kind", "pos", "attrs", "body"])
 
     kind = dict(pages.dtypes)[key]
