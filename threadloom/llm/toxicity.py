@@ -41,7 +41,9 @@ POWER = 4
 HOLDS = 0.85
 #: Letters by which a stretch of a word may be longer than the landmark.
 SLACK = 3
-FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1500, 3000, 24 << 20
+FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
+#: Texts of the sample whose features are made at a time (of sentences fifty times as many).
+FIT_STEP = 300
 #: Letters of a word taken at a time; longer words are read in stretches that overlap by half.
 WIDE = 24
 THRESHOLD = 0.3
@@ -150,12 +152,12 @@ class Kernel:
         return out
 
 
-def unlike(texts: list[list[str]], hashes: int = 8) -> list[list[str]]:
+def unlike(texts: list[set[str]], hashes: int = 8) -> list[set[str]]:
     """Texts of which no earlier one is a near copy (half of eight min-hashes of the words in common): copies would make any of their words look telling."""
     seen: list[set[int]] = [set() for _ in range(hashes)]
     out = []
     for words in texts:
-        codes = np.fromiter((zlib.crc32(w.encode()) for w in set(words)), dtype=np.uint64)
+        codes = np.fromiter((zlib.crc32(w.encode()) for w in words), dtype=np.uint64)
         marks = [int((codes * np.uint64(2 * k + 0x9E3779B1) % np.uint64(4294967291)).min()) for k in range(hashes)] if len(codes) else []
         if sum(m in s for m, s in zip(marks, seen, strict=False)) * 2 < hashes:
             out.append(words)
@@ -164,27 +166,30 @@ def unlike(texts: list[list[str]], hashes: int = 8) -> list[list[str]]:
     return out
 
 
-def landmarks(toxic: list[list[str]], clean: list[list[str]], most: int = LANDMARKS) -> list[str]:
+def landmarks(toxic: list[set[str]], clean: list[set[str]], most: int = LANDMARKS) -> list[str]:
     """Letter groups by greedy cover of the words of toxic texts: each next one is in the most toxic texts, in words that hold
     no earlier one, and in next to no clean text; longer groups win near ties."""
     toxic = unlike(toxic)
     parts = lambda w: {w[i : i + n] for n in GROUP for i in range(len(w) - n + 1)}
-    texts_of: dict[str, set[int]] = {}
-    for k, words in enumerate(toxic):
-        for w in set(words):
-            for g in parts(w):
-                texts_of.setdefault(g, set()).add(k)
     least = max(LEAST_TEXTS, LEAST_SHARE * len(toxic))
-    likely = {g for g, t in texts_of.items() if len(t) >= least}
+    # texts by hash first: only groups that can be in enough of them are kept by name
+    rough = np.zeros(1 << 20, dtype=np.int32)
+    slot = lambda g: hash(g) & (len(rough) - 1)
+    for words in toxic:
+        rough[np.unique(np.fromiter((slot(g) for w in words for g in parts(w)), dtype=np.int64))] += 1
+    bad: Counter[str] = Counter()
+    for words in toxic:
+        bad.update({g for w in words for g in parts(w) if rough[slot(g)] >= least})
+    likely = {g for g, n in bad.items() if n >= least}
     good: Counter[str] = Counter()
     for words in clean:
-        good.update({g for w in set(words) for g in parts(w)} & likely)
+        good.update({g for w in words for g in parts(w)} & likely)
     limit = CLEAN_SHARE * len(clean)
     usable = {g for g in likely if good[g] <= limit}
     where: dict[str, set[int]] = {}
     for k, words in enumerate(toxic):
-        for w in set(words):
-            if w in where or parts(w) & usable:
+        for w in words:
+            if w in where or not usable.isdisjoint(parts(w)):
                 where.setdefault(w, set()).add(k)
     own = {w: parts(w) & usable for w in where}
     chosen: list[str] = []
@@ -303,17 +308,20 @@ def text_features(texts: pa.Array, kern: Kernel) -> np.ndarray:
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    words = [pieces_of(t.split()) for t in texts]
+    names: dict[str, str] = {}  # one string for each distinct word of all texts
+    words = [{names.setdefault(w, w) for w in pieces_of(t.split())} for t in texts]
     y = np.asarray(toxic)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-9, 1 - 1e-9))
         return Model(Kernel([]), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))) if len(y) else -30.0)
     marks = landmarks([w for w, t in zip(words, y, strict=True) if t], [w for w, t in zip(words, y, strict=True) if not t])
+    del words, names
     kern = Kernel(marks)
-    x = text_features(pa.array(texts, pa.string()), kern)
+    features = lambda ts, step: np.concatenate([text_features(pa.array(ts[i : i + step], pa.string()), kern) for i in range(0, len(ts), step)] or [np.zeros((0, len(marks)), dtype=np.float32)])
+    x = features(texts, FIT_STEP)
     # sentences of toxic texts stand alone where a landmark speaks, so none leans on its company; clean texts hold clean sentences only
     sentences = [q for t, bad in zip(texts, y, strict=True) if bad for q in SENTENCE.split(t)]
-    alone = text_features(pa.array(sentences, pa.string()), kern)
+    alone = features(sentences, 50 * FIT_STEP)
     alone = np.unique(alone[alone.max(1, initial=0) >= SPEAKS], axis=0)
     weights, bias = train(np.concatenate([x, alone]) @ kern.whiten, np.r_[y, np.ones(len(alone), dtype=y.dtype)])
     margin = x @ (kern.whiten @ weights) + bias
