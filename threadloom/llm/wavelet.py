@@ -31,7 +31,7 @@ SHARD_IDS = 1 << 20
 #: Bytes of text encoded together; bytes of chunks in one call's text.
 SLICE, PIECE = 8 << 20, 1 << 17
 #: Distinct chunks that a worker remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 FILE_ROWS = "part int, shard int, base bigint, docs bigint, ids bigint, file binary"
 
 
