@@ -35,8 +35,6 @@ LANDMARKS = 48
 GROUP = (4, 5, 6, 7, 8)
 CLEAN_SHARE = 0.001
 LEAST_TEXTS, LEAST_SHARE = 3, 0.025
-#: The kernel's power: a product of kernels is a kernel, and a high power tells a whole match from scattered letters.
-POWER = 4
 #: A landmark is compared with words that hold so much of its letters.
 HOLDS = 0.85
 #: Letters by which a stretch of a word may be longer than the landmark.
@@ -119,7 +117,7 @@ class Kernel:
         self.codes = [np.array([min(ord(c), 65535) for c in m], dtype=np.uint16) for m in marks]
         w, n = coded(marks)
         self.own = np.array([kernel(w[i : i + 1], n[i : i + 1], c)[0] for i, c in enumerate(self.codes)])
-        self.gram = (np.array([kernel(w, n, c) for c in self.codes]) / np.sqrt(np.outer(self.own, self.own))) ** POWER if marks else np.zeros((0, 0))
+        self.gram = np.array([kernel(w, n, c) for c in self.codes]) / np.sqrt(np.outer(self.own, self.own)) if marks else np.zeros((0, 0))
         values, vectors = np.linalg.eigh(self.gram) if marks else (np.zeros(0), np.zeros((0, 0)))
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
 
@@ -148,7 +146,7 @@ class Kernel:
                     rows, part = rows[got >= least], part[got >= least]
                     size = np.minimum(lengths[rows] - lo, wide)
                     cosine = kernel(part, size, mark) / np.sqrt(self.own[j] * np.maximum(kernel(part, size, part), 1e-12))
-                    out[rows, j] = np.maximum(out[rows, j], cosine**POWER)
+                    out[rows, j] = np.maximum(out[rows, j], cosine)
         return out
 
 
@@ -323,6 +321,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     sentences = [q for t, bad in zip(texts, y, strict=True) if bad for q in SENTENCE.split(t)]
     alone = features(sentences, 50 * FIT_STEP)
     alone = np.unique(alone[alone.max(1, initial=0) >= SPEAKS], axis=0)
+    # each landmark with a letter put in, at every place: what the kernel has to tolerate
+    gapped = [m[:i] + "\0" + m[i:] for m in marks for i in range(1, len(m))]
+    alone = np.concatenate([alone, kern.values(gapped)])
     weights, bias = train(np.concatenate([x, alone]) @ kern.whiten, np.r_[y, np.ones(len(alone), dtype=y.dtype)])
     margin = x @ (kern.whiten @ weights) + bias
     return Model(kern, weights, bias, *logistic(margin, y))
