@@ -82,8 +82,9 @@ def partitions(spark: SparkSession) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate, from file sizes for a scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size estimate, from file sizes for a scan; 0 where it has none (it then says the largest number)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 56 else 0
 
 
 def pack(*arrays, level: int = 1) -> bytes:

@@ -232,15 +232,17 @@ def without_repeats(documents: DataFrame, k: int = K) -> DataFrame:
     spark = documents.sparkSession
     bound_batches(spark)
     docs = tagged(documents)
+    # names of our own beside whatever columns the documents have
+    found = covered_runs(docs, k).select(F.col("doc_id").alias("_superkmer_id"), F.col("tag").alias("_superkmer_tag"), F.col("runs").alias("_superkmer_runs"))
+    tag = (F.xxhash64(documents["text"]) % (1 << 31)).cast("int")
     rest = [c for c in documents.columns if c != "text"]
-    whole = documents.withColumn("tag", (F.xxhash64("text") % (1 << 31)).cast("int"))
-    joined = whole.join(covered_runs(docs, k), ["doc_id", "tag"], "left").select(*rest, "text", "runs")
+    joined = documents.join(found, (documents["doc_id"] == found["_superkmer_id"]) & (tag == found["_superkmer_tag"]), "left").select(*rest, "text", "_superkmer_runs")
 
     def strip(batches):
         lean()
         for full in batches:
             for b in slices(full, most=SLICE):
-                i, j = b.schema.get_field_index("text"), b.schema.get_field_index("runs")
+                i, j = b.schema.get_field_index("text"), b.schema.get_field_index("_superkmer_runs")
                 n, removed, words, at = kept_words(b.column(i), b.column(j), k)
                 raw = words.tobytes()
                 texts = [old if not gone else raw[a : z - 1].decode() for old, gone, a, z in zip(b.column(i).to_pylist(), removed.tolist(), at.tolist(), at[1:].tolist(), strict=False)]
