@@ -611,3 +611,53 @@ def s20_endpoints(s: SparkSession, d: str) -> DataFrame:
     """S20, X28, A31 over the page addresses' hosts; goldens in the tests."""
     lines = s.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("line_no"), F.concat(F.lit("http://u:p@"), F.parse_url("url", F.lit("HOST")), F.lit(":8080")).alias("value"))
     return files.endpoints(lines)
+
+
+_ISO = "strftime(to_timestamp(created_s) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@query(f"SELECT (SELECT min(t) FROM c WHERE t >= '2000') AS corpus_from, (SELECT max(t) FROM c WHERE t >= '2000') AS corpus_to, min(t) AS exported_from, max(t) AS exported_to FROM c WHERE score > 90", "corpus", c=f"SELECT score, CASE WHEN score % 10 = 3 THEN '1970' ELSE {_ISO} END AS t FROM corpus")
+def a22_collection_window(s: SparkSession, d: str) -> DataFrame:
+    """A22, F18."""
+    iso = F.date_format(F.timestamp_seconds("created_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    c = view(s, d, "corpus").withColumn("created_utc", F.when(F.col("score") % 10 == 3, "1970").otherwise(iso))
+    return export.collection_window(c, c.filter("score > 90"))
+
+
+@query(_with("SELECT count(*) AS n, sum((sarcastic_final = 1)::INT)::BIGINT AS positives, round(sum((sarcastic_final = 1)::INT) / greatest(1, count(*)), 4) AS share FROM agg"))
+def a33_positive_share(s: SparkSession, d: str) -> DataFrame:
+    return views.positive_share(_aggregates(s, d))
+
+
+@query("SELECT parent_item, count(*) AS n_replies FROM corpus WHERE parent_item IS NOT NULL GROUP BY parent_item", "corpus")
+def a35_reply_counts(s: SparkSession, d: str) -> DataFrame:
+    return views.children_count(view(s, d, "corpus"))
+
+
+@query(_with("SELECT a.item_id, a.sarcastic_final, c.source, p.a1 FROM agg a JOIN candidates c ON c.item_id = a.item_id LEFT JOIN (SELECT item_id, max(rationale) AS a1 FROM ratings WHERE role = 'annotator' AND model_key = 'a1' GROUP BY item_id) p ON p.item_id = a.item_id WHERE contains(lower(c.text), 'the') AND a.language_final IN ('english', 'taglish')", _AGG, "candidates"))
+def j06_annotated_frame(s: SparkSession, d: str) -> DataFrame:
+    """J05, J06, J07, F09, P10."""
+    c = view(s, d, "candidates").select("item_id", F.col("item_id").alias("submission_item"), "text", F.col("source").alias("subreddit"), F.lit(None).cast("string").alias("title"))
+    rows = views.annotated(_aggregates(s, d), c, view(s, d, "ratings"), LINEUP)
+    return views.masks(rows, needle="THE", languages=["english", "taglish"]).select("item_id", "sarcastic_final", F.col("subreddit").alias("source"), "a1")
+
+
+@query("SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host, count(*) OVER (PARTITION BY split_part(split_part(url, '://', 2), '/', 1)) AS n FROM pages")
+def a31_host_counts(s: SparkSession, d: str) -> DataFrame:
+    """A31, X28 over page addresses."""
+    p = s.read.parquet(f"{d}/pages.parquet").select("page_id", F.parse_url("url", F.lit("HOST")).alias("host"))
+    return p.join(p.groupBy("host").agg(F.count("*").alias("n")), "host").select("page_id", "host", "n")
+
+
+@query("SELECT c.item_id FROM corpus c WHERE record_type = 'comment' AND EXISTS (SELECT 1 FROM corpus p WHERE p.item_id = c.submission_item AND p.record_type = 'submission' AND p.is_self = 1)", "corpus")
+def j19_comments_of_self_posts(s: SparkSession, d: str) -> DataFrame:
+    """J19, O06, O07 as semi joins."""
+    c = view(s, d, "corpus")
+    posts = c.filter("record_type = 'submission' AND is_self = 1").select(F.col("item_id").alias("submission_item"))
+    return c.filter("record_type = 'comment'").join(posts, "submission_item", "left_semi").select("item_id")
+
+
+@query("SELECT item_id, list_transform(l, lambda x: x) IS NOT NULL AS ok, len(l)::INT AS n_tokens FROM (SELECT item_id, regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÖØ-öø-ÿ''ñÑ]+') AS l FROM corpus) x", "corpus")
+def x02_token_counts(s: SparkSession, d: str) -> DataFrame:
+    """X02."""
+    return view(s, d, "corpus").select("item_id", F.lit(True).alias("ok"), F.size(text.tokens(F.coalesce("text", F.lit("")))).alias("n_tokens"))
