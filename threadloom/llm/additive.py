@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, shared_dir, written
+from .common import bound_batches, partitions, shared_dir, written
 
 #: Codebooks, words of each, beam width; rows the codebooks are fitted on at most; rounds of k-means.
 BOOKS, WORDS, BEAM = 8, 64, 4
@@ -122,6 +122,7 @@ def distinct_vectors(v: DataFrame, ids: int) -> DataFrame:
 def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, shortlist: int = SHORTLIST, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by `every`."""
     spark = embeddings.sparkSession
+    bound_batches(spark)
     folder = shared_dir(spark)
     vectors = usable(embeddings)
     index = written(distinct_vectors(vectors, k + 1).withColumn("key", F.xxhash64("raw")), folder, "vectors")
