@@ -2,7 +2,8 @@
 
 A text is cut into words that no piece of the vocabulary spans. All distinct words of an Arrow batch work off their agendas
 together: in each round every word merges its best adjacent pair (highest score, then leftmost), and only the pairs beside the
-merge are scored anew. Every batch is then held against the sentencepiece library itself.
+merge are scored anew. Every batch is then held against the sentencepiece library itself: all its distinct words, strung together,
+and its first text whole; texts with a word on which the two differ are compared whole, and what comes of it is in `agrees`.
 
 Cases: a null or empty text has the end id alone and decodes to the empty text; repeated rows are encoded each; rows with a null
 doc_id are left out; characters that are in no piece become bytes.
@@ -23,6 +24,8 @@ from .common import bound_batches, byte_view, docs_of, ragged, slices
 BLANK = "▁"
 #: Bytes of text whose distinct words are worked off together.
 SLICE = 6 << 20
+#: Letters of the strings of words that the library is asked for.
+STRING = 1 << 15
 
 
 class Agenda:
@@ -137,8 +140,30 @@ class Agenda:
             symbols = wide
         return symbols, np.bincount(owner, minlength=len(words))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (each with the end id), and where each text's begin.
+    def doubtful(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which of the words the library may encode otherwise: they are strung together, as in a text, and a string whose ids differ casts doubt on all its words."""
+        out = np.zeros(len(words), dtype=bool)
+        ends = np.cumsum(lengths)
+        size = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        # blanks at a word's end would join those of the next
+        apart = np.fromiter((w.endswith(BLANK) for w in words[:-1]), dtype=bool, count=max(0, len(words) - 1))
+        cuts = [0, *(np.flatnonzero((np.diff(size // STRING) > 0) | apart) + 1).tolist(), len(words)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            text = "".join(words[a:z])
+            mine = ids[ends[a] - lengths[a] : ends[z - 1]].tolist() if z > a else []
+            out[a:z] = not text.startswith(BLANK) or self.library.encode(text[1:].replace(BLANK, " ")) != mine
+        return out
+
+    def agreement(self, texts: list[str], lists: list[list[int]], doubt: np.ndarray) -> list[bool]:
+        """Whether the library's ids are the same: asked for the first text and for those in doubt."""
+        asked = np.flatnonzero(doubt | (np.arange(len(texts)) == 0)).tolist()
+        same = np.ones(len(texts), dtype=bool)
+        for i, ids in zip(asked, self.library.encode([texts[i] for i in asked], add_eos=True, num_threads=1), strict=True):
+            same[i] = ids == lists[i]
+        return same.tolist()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a doubtful word.
 
         Words start where a run of blanks starts; equal words of the batch are worked off once.
         """
@@ -159,13 +184,17 @@ class Agenda:
         starts = np.flatnonzero(cut)
         words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.r_[starts, n].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
         which = words.indices.to_numpy()
-        ids, lengths = self.encode_words(words.dictionary.to_pylist())
+        names = words.dictionary.to_pylist()
+        ids, lengths = self.encode_words(names)
+        doubtful = self.doubtful(names, ids, lengths)
         at = np.cumsum(lengths) - lengths
         sizes = lengths[which] if len(which) else np.zeros(0, dtype=np.int64)
         flat = ids[ragged(at[which], sizes)] if len(which) else np.zeros(0, dtype=np.int64)
-        ends = np.r_[0, np.cumsum(sizes)][np.searchsorted(starts, offsets)]
+        first = np.searchsorted(starts, offsets)
+        ends = np.r_[0, np.cumsum(sizes)][first]
         out = np.insert(flat, ends[1:], self.end)
-        return out, ends + np.arange(len(ends))
+        doubt = np.diff(np.r_[0, np.cumsum(doubtful[which])][first]) > 0
+        return out, ends + np.arange(len(ends)), doubt
 
 
 @lru_cache(2)
@@ -182,11 +211,10 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
         lib = coder.library
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                ids, at = coder.encode(b.column(1))
+                ids, at, doubt = coder.encode(b.column(1))
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                # lengths first: a difference in the ids shows in either
-                same = [a == b for a, b in zip(lib.encode(texts, add_eos=True, num_threads=1), lists, strict=True)]
+                same = coder.agreement(texts, lists, doubt)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
 
@@ -203,10 +231,10 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                ids, at = coder.encode(b.column(1))
+                ids, at, doubt = coder.encode(b.column(1))
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                same = [x == y for x, y in zip(lib.encode(texts, add_eos=True, num_threads=1), lists, strict=True)]
+                same = coder.agreement(texts, lists, doubt)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.diff(at)), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists]), pa.array([sha(x.encode()) for x in decoded]), pa.array(same)],
