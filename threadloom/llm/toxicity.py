@@ -31,12 +31,14 @@ from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, slices, w
 ORDER = 4
 DECAY = 0.8
 #: Landmarks at most; lengths of the letter groups; share of clean texts a group may be in.
-LANDMARKS = 48
+LANDMARKS = 40
 GROUP = (4, 5, 6, 7, 8)
 CLEAN_SHARE = 0.001
 LEAST_TEXTS, LEAST_SHARE = 3, 0.025
 #: A landmark is compared with words that hold so much of its letters.
 HOLDS = 0.85
+#: And so many of its neighbouring letters side by side; two letters put in leave that many of five.
+PAIRS = 0.5
 #: Letters by which a stretch of a word may be longer than the landmark.
 SLACK = 3
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
@@ -121,6 +123,26 @@ class Kernel:
         values, vectors = np.linalg.eigh(self.gram) if marks else (np.zeros(0), np.zeros((0, 0)))
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
 
+    @staticmethod
+    def _stretches(codes: np.ndarray, lengths: np.ndarray, mark: np.ndarray, letters: np.ndarray, times: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stretches of words about as long as the landmark that hold enough of its letters: their words, codes and lengths. Each
+        gets its own cosine, so what a long word holds by the way counts little; a word shorter than the landmark is one stretch."""
+        rows, parts, sizes = [], [], []
+        for wide in range(len(mark), min(len(mark) + SLACK, WIDE) + 1):
+            view = np.lib.stride_tricks.sliding_window_view(codes, wide, axis=1)
+            at = np.arange(view.shape[1])
+            fits = at[None, :] + wide <= lengths[:, None]
+            if wide == len(mark):
+                fits[:, 0] = True
+            held = sum((np.minimum(np.count_nonzero(view == c, axis=2), k) for c, k in zip(letters, times, strict=True)), np.zeros(fits.shape, dtype=np.int64))
+            r, o = np.nonzero(fits & (held >= least))
+            part = np.zeros((len(r), len(mark) + SLACK), dtype=codes.dtype)
+            part[:, :wide] = view[r, o]
+            rows.append(r)
+            parts.append(part)
+            sizes.append(np.minimum(lengths[r] - o, wide))
+        return np.concatenate(rows), np.concatenate(parts), np.concatenate(sizes)
+
     def values(self, words: list[str]) -> np.ndarray:
         """(words, landmarks); words that hold too few of a landmark's letters have 0 there."""
         out = np.zeros((len(words), len(self.marks)), dtype=np.float32)
@@ -135,18 +157,14 @@ class Kernel:
                 held += np.minimum(counts[c], np.int8(k))
             least = max(ORDER, HOLDS * len(mark))
             near = np.flatnonzero(held >= least)
-            # stretches of a word about as long as the landmark, each by its cosine: what a long word holds by the way counts little
-            for wide in range(len(mark), len(mark) + SLACK + 1):
-                for lo in range(0, max(1, WIDE - wide + 1)):
-                    rows = near[(lengths[near] >= lo + wide) | ((lo == 0) & (wide == len(mark)))]
-                    if not len(rows):
-                        break
-                    part = codes[rows, lo : lo + wide]
-                    got = sum((np.minimum(np.count_nonzero(part == c, axis=1), k) for c, k in zip(letters, times, strict=True)), np.zeros(len(rows), dtype=np.int64))
-                    rows, part = rows[got >= least], part[got >= least]
-                    size = np.minimum(lengths[rows] - lo, wide)
-                    cosine = kernel(part, size, mark) / np.sqrt(self.own[j] * np.maximum(kernel(part, size, part), 1e-12))
-                    out[rows, j] = np.maximum(out[rows, j], cosine)
+            part = codes[near]
+            both = sum((((part[:, :-1] == a) & (part[:, 1:] == b)).any(1).astype(np.int8) for a, b in zip(mark, mark[1:], strict=False)), np.zeros(len(near), dtype=np.int8))
+            near = near[both >= PAIRS * (len(mark) - 1)]
+            for lo in range(0, len(near), 4096):
+                rows, parts, sizes = self._stretches(codes[near[lo : lo + 4096]], lengths[near[lo : lo + 4096]], mark, letters, times, least)
+                if len(rows):
+                    cosine = kernel(parts, sizes, mark) / np.sqrt(self.own[j] * np.maximum(kernel(parts, sizes, parts), 1e-12))
+                    np.maximum.at(out[:, j], near[lo + rows], cosine)
         return out
 
 
