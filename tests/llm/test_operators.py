@@ -262,6 +262,19 @@ def test_pruned_trie_is_a_distribution(spark, tmp_path):
         assert math.isclose((10 ** model.cost((key >> 9 << 9) + np.arange(257))).sum(), 1.0, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("room", [0, 300, 1 << 20])
+def test_scores_are_those_of_the_whole_trie(spark, rows, docs, room, monkeypatch):
+    """However few costs are broadcast, and however small the bounded trie's room: no context is dropped."""
+    monkeypatch.setattr(ppm, "NODES", 300)
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    model = ppm.Model(levels_of([t for i, t, *_ in rows if not held(i) and t is not None], ppm.ORDER))
+    want = {i: model.cost(ppm.gram_keys(pa.array([t], pa.string()))[0]).sum() for i, t, *_ in rows}
+    got = ppm.lm_scores(docs, room).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-9)
+
+
 def test_untrained_model_is_uniform():
     model = ppm.Model([(np.zeros(0, dtype=np.int64),) * 2])
     assert math.isclose(model.cost(ppm.gram_keys(pa.array(["abc"]))[0]).sum(), -4 * math.log10(257))

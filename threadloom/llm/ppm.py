@@ -6,8 +6,10 @@ coded in the longest known context; a symbol that is new there costs an escape (
 and goes on to the next shorter context, in which the symbols of the longer one are excluded; below order 0 all symbols left are
 equally likely. A text's score is the log10 probability of its bytes and its end mark.
 
-Every training text is counted. The trie that is sent to the executors has room for NODES entries: contexts of order 2 and more
-are kept whole, from the most frequent down to a count that the distribution of counts gives; that bounds the broadcast.
+Every training text is counted, and every context is kept: the trie lies in buckets by the last two symbols of the context, which
+hold all longer contexts that escape into each other; only orders 0 and 1 (65536 pairs and some) are sent to all. Each bucket works
+out the cost of every distinct gram of the corpus. The CACHED most used costs are broadcast, which only saves traffic: all others
+meet the documents that ask for them in slots by hash, whose sums go on to blocks of documents.
 
 The base line needs each word's count in the training texts. Slices send each bucket of the word space their distinct words and
 who has them, and the bucket sends partial sums on to blocks of documents, so no vocabulary is gathered anywhere.
@@ -28,7 +30,10 @@ from pyspark.sql import functions as F
 from .common import LOWER, U64, bound_batches, byte_view, crc_mod, docs_of, dropped, lean, mix, pack, partitions, ragged, shared_dir, slices, unpack, word_hashes, word_spans, written
 
 ORDER = 5
+#: Entries of the bounded trie of trie(), which the scores don't use.
 NODES = 1 << 20
+#: Costs that are broadcast; the others are looked up in their slots.
+CACHED = 1 << 20
 #: Symbols: bytes, the end mark, the start mark (context only); bits of a symbol in a key.
 END, START, BITS, SYMBOLS = 256, 257, 9, 257
 GRAM_SLICE, WORD_SLICE = 2 << 20, 4 << 20
@@ -64,15 +69,15 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[heads], np.add.reduceat(c, heads) if len(k) else c
 
 
-def gram_counts(train: DataFrame) -> DataFrame:
-    """level, key, n, total for the contexts of order 2 and more: key holds the context and the symbol, total is the context's count."""
-    spark = train.sparkSession
+def gram_blobs(texts: DataFrame) -> DataFrame:
+    """texts(learn, text) -> bucket, blob: distinct grams, each shifted by one bit that says whether the texts teach, and their counts."""
+    spark = texts.sparkSession
     bound_batches(spark)
     buckets = 2 * partitions(spark)
 
     def send(keys, counts):
         k, c = _merged(keys, counts)
-        bucket = ((mix((k >> BITS & _mask(2)).astype(U64)) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+        bucket = ((mix((k >> BITS + 1 & _mask(2)).astype(U64)) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         k, c, bucket = k[order], c[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -84,7 +89,9 @@ def gram_counts(train: DataFrame) -> DataFrame:
         keys, counts, held = [], [], 0
         for whole in batches:
             for b in slices(whole, most=GRAM_SLICE):
-                k, c = np.unique(gram_keys(b.column(0))[0], return_counts=True)
+                k, at = gram_keys(b.column(1))
+                learn = np.asarray(b.column(0).to_pylist(), dtype=np.int64)
+                k, c = np.unique(k << 1 | np.repeat(learn, np.diff(at)), return_counts=True)
                 keys.append(k)
                 counts.append(c)
                 held += len(k)
@@ -98,10 +105,23 @@ def gram_counts(train: DataFrame) -> DataFrame:
         if held:
             yield send(keys, counts)
 
+    return texts.select("learn", "text").mapInArrow(count, "bucket int, blob binary")
+
+
+def _met(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's distinct grams, ascending, their counts in texts that teach, and in all."""
+    parts = [unpack(x) for x in t.column("blob").to_pylist()]
+    k, c = _merged([np.cumsum(p[0]) for p in parts], [p[1].astype(np.int64) for p in parts])
+    heads = np.flatnonzero(np.r_[True, np.diff(k >> 1) > 0])
+    return k[heads] >> 1, np.add.reduceat(c * (k & 1), heads), np.add.reduceat(c, heads)
+
+
+def gram_counts(train: DataFrame) -> DataFrame:
+    """level, key, n, total for the contexts of order 2 and more: key holds the context and the symbol, total is the context's count."""
+
     def meet(key, t):
         lean()
-        parts = [unpack(x) for x in t.column("blob").to_pylist()]
-        k, c = _merged([np.cumsum(p[0]) for p in parts], [p[1].astype(np.int64) for p in parts])
+        k, c, _ = _met(t)
         out = []
         for level in range(ORDER, 1, -1):
             if level < ORDER:
@@ -112,21 +132,63 @@ def gram_counts(train: DataFrame) -> DataFrame:
             out.append(pa.table({"level": pa.array(np.full(len(k), level, dtype=np.int32)), "key": k, "n": c, "total": total}))
         return pa.concat_tables(out)
 
-    blobs = train.select("text").mapInArrow(count, "bucket int, blob binary")
-    return blobs.groupBy("bucket").applyInArrow(meet, "level int, key bigint, n bigint, total bigint")
+    return gram_blobs(train.select(F.lit(True).alias("learn"), "text")).groupBy("bucket").applyInArrow(meet, "level int, key bigint, n bigint, total bigint")
 
 
-def trie(train: DataFrame, folder: str, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order from 0 the keys, ascending, and their counts; at most `nodes` entries of order 2 and more."""
-    counts = written(gram_counts(train), folder, "grams")
-    # how many entries lie in contexts of at least so many occurrences: by powers of 2**(1/4), so the table of it is short
-    step = F.floor(F.log2("total") * 4)
-    sizes = sorted(map(tuple, counts.groupBy(step.alias("step")).agg(F.count("*")).collect()), reverse=True)
-    room, least = nodes, None
-    for at, n in sizes:
+def pair_counts(train: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of orders 0 and 1; their number is bounded by the symbols'."""
+    bound_batches(train.sparkSession)
+
+    def count(batches):
+        lean()
+        n = np.zeros(1 << 2 * BITS, dtype=np.int64)
+        for whole in batches:
+            for b in slices(whole, most=GRAM_SLICE):
+                n += np.bincount(gram_keys(b.column(0))[0] & _mask(2), minlength=len(n))
+        k = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n[k])], names=["key", "n"])
+
+    got = train.select("text").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    k, c = _merged([got.column("key").to_numpy()], [got.column("n").to_numpy()])
+    return [_merged([k & _mask(1)], [c]), (k, c)]
+
+
+def gram_costs(docs: DataFrame) -> DataFrame:
+    """docs(held_out, text) -> key, uses, cost: every distinct gram of all texts, how often it occurs, and its log10 probability under the trie of all training texts."""
+    low = pair_counts(docs.filter("NOT held_out AND text IS NOT NULL"))
+    handle = docs.sparkSession.sparkContext.broadcast(low)
+
+    def meet(key, t):
+        lean()
+        keys, n, uses = _met(t)
+        k, c = keys[n > 0], n[n > 0]
+        levels = [(k, c)]
+        for level in range(ORDER - 1, 1, -1):
+            k, c = _merged([k & _mask(level + 1)], [c])
+            levels.append((k, c))
+        model = Model([*handle.value, *levels[::-1]])
+        cost = np.concatenate([model.cost(keys[i : i + GRAM_SLICE]) for i in range(0, len(keys), GRAM_SLICE)])
+        return pa.table({"key": keys, "uses": uses, "cost": cost})
+
+    return gram_blobs(docs.select((~F.col("held_out") & F.col("text").isNotNull()).alias("learn"), "text")).groupBy("bucket").applyInArrow(meet, "key bigint, uses bigint, cost double")
+
+
+def most(table: DataFrame, column: str, room: int) -> tuple:
+    """The step of `column`, and the least step from which on at most `room` rows lie (None: not one step fits). Steps are powers of 2**(1/4), so the table of them is short."""
+    step = F.floor(F.log2(column) * 4)
+    least = None
+    for at, n in sorted(map(tuple, table.groupBy(step.alias("step")).agg(F.count("*")).collect()), reverse=True):
         if n > room:
             break
         room, least = room - n, at
+    return step, least
+
+
+def trie(train: DataFrame, folder: str, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each order from 0 the keys, ascending, and their counts; at most `nodes` entries of order 2 and more. A bounded model; gram_costs() has the whole one."""
+    counts = written(gram_counts(train), folder, "grams")
+    # how many entries lie in contexts of at least so many occurrences
+    step, least = most(counts, "total", nodes)
     kept = counts.filter(step >= least).select("level", "key", "n").toArrow() if least is not None else None
     ones = counts.filter("level = 2").groupBy((F.col("key").bitwiseAND(_mask(2))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
     k, c = _merged([ones.column("key").to_numpy()], [ones.column("n").to_numpy()])
@@ -252,27 +314,127 @@ class Model:
 
 
 @lru_cache(1)
-def _model(handle) -> Model:
-    return Model(handle.value)
+def _cached(handle) -> tuple[Lookup, np.ndarray]:
+    keys, costs = handle.value
+    return Lookup(keys), np.r_[costs, 0.0]
 
 
-def scores(docs: DataFrame, levels: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """docs(doc_id, tag, text) -> doc_id, tag, n_words, score."""
+def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return ((mix(keys.astype(U64)) >> U64(32)) * U64(slots) >> U64(32)).astype(np.int64)
+
+
+def _rows(names: list, blobs: list, columns: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=columns)
+
+
+def _by_block(blocks: int, doc: np.ndarray, *columns: np.ndarray) -> tuple[list, list]:
+    """Columns of documents, packed for each block of documents."""
+    block = _slot(doc, blocks)
+    order = np.argsort(block, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(block[order])) + 1) if len(doc) else []
+    return [int(block[p[0]]) for p in parts], [pack(doc[p], *(c[p] for c in columns)) for p in parts]
+
+
+def scores(docs: DataFrame, folder: str, room: int = CACHED) -> DataFrame:
+    """docs(doc_id, tag, held_out, text) -> doc_id, tag, n_words, score; rows of one doc_id and tag share their sums evenly."""
     spark = docs.sparkSession
     bound_batches(spark)
-    handle = spark.sparkContext.broadcast(levels)
+    slots = blocks = partitions(spark)
+    costs = written(gram_costs(docs), folder, "costs")
+    step, least = most(costs, "uses", room)
+    hot = costs.filter(step >= least).select("key", "cost").toArrow() if least is not None else None
+    handle = spark.sparkContext.broadcast((hot.column("key").to_numpy(), hot.column("cost").to_numpy()) if hot is not None else (np.zeros(0, dtype=np.int64), np.zeros(0)))
+
+    def deal(batches):
+        """Costs that are not broadcast, to their slots."""
+        lean()
 
-    def run(batches):
+        def send(held):
+            keys, cost = (np.concatenate([h[i] for h in held]) for i in range(2))
+            slot = _slot(keys, slots)
+            order = np.lexsort((keys, slot))
+            parts = np.split(order, np.flatnonzero(np.diff(slot[order])) + 1)
+            return _rows([int(slot[p[0]]) for p in parts], [pack(0, np.diff(keys[p], prepend=0), cost[p]) for p in parts], ("slot", "blob"))
+
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                held.append((b.column(0).to_numpy(), b.column(1).to_numpy()))
+                n += b.num_rows
+            if n > HELD // 2:
+                yield send(held)
+                held, n = [], 0
+        if held:
+            yield send(held)
+
+    def ask(batches):
+        """Sums of what is broadcast, to the documents' blocks (numbered -1, -2, ...); all other grams to their slots."""
         lean()
-        model = _model(handle)
+        cache, cost = _cached(handle)
+        done = []
         for whole in batches:
-            for b in slices(whole, most=GRAM_SLICE):
+            for b in slices(whole, most=WORD_SLICE):
+                ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy()
                 keys, at = gram_keys(b.column(2))
-                sums = np.add.reduceat(model.cost(keys), at[:-1])
+                hit = cache.find(keys)
                 data, offsets = byte_view(b.column(2))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(word_spans(data, offsets)[2])), pa.array(sums)], names=["doc_id", "tag", "n_words", "score"])
+                done.append((ids, tags, np.add.reduceat(cost[hit], at[:-1]), np.diff(word_spans(data, offsets)[2]), np.ones(len(ids), dtype=np.int64)))
+                rest = np.flatnonzero(hit < 0)
+                row = np.repeat(np.arange(len(ids)), np.diff(at))[rest]
+                keys = keys[rest]
+                order = np.argsort(keys)
+                keys, row = keys[order], row[order]
+                slot = _slot(keys, slots).astype(np.uint16 if slots <= 65536 else np.int64)
+                order = np.argsort(slot, kind="stable")
+                names, blobs = [], []
+                for p in np.split(order, np.flatnonzero(np.diff(slot[order].astype(np.int64))) + 1) if len(order) else []:
+                    own, which = np.unique(row[p], return_inverse=True)
+                    names.append(int(slot[p[0]]))
+                    blobs.append(pack(1, np.diff(keys[p], prepend=0), which.astype(np.uint16 if len(own) <= 65536 else np.uint32), np.diff(ids[own], prepend=0), tags[own]))
+                yield _rows(names, blobs, ("slot", "blob"))
+                if len(done) > 64:
+                    names, blobs = _by_block(blocks, *(np.concatenate([d[i] for d in done]) for i in range(5)))
+                    yield _rows([-1 - x for x in names], blobs, ("slot", "blob"))
+                    done = []
+        if done:
+            names, blobs = _by_block(blocks, *(np.concatenate([d[i] for d in done]) for i in range(5)))
+            yield _rows([-1 - x for x in names], blobs, ("slot", "blob"))
+
+    def meet(key, t):
+        lean()
+        slot = key[0].as_py()
+        if slot < 0:
+            return pa.table({"block": pa.array([-1 - slot] * t.num_rows, pa.int32()), "sums": t.column("blob")})
+        parts = [unpack(x) for x in t.column("blob").to_pylist()]
+        keys = np.concatenate([np.cumsum(p[1]) for p in parts if p[0] == 0])
+        order = np.argsort(keys)
+        keys, cost = keys[order], np.concatenate([p[2] for p in parts if p[0] == 0])[order]
+        out = []
+        for p in parts:
+            if p[0]:
+                found = cost[np.searchsorted(keys, np.cumsum(p[1]))]
+                out.append((np.cumsum(p[3]), p[4], np.bincount(p[2], weights=found, minlength=len(p[3]))))
+        if not out:
+            return pa.table({"block": pa.array([], pa.int32()), "sums": pa.array([], pa.binary())})
+        doc, tag, sums = (np.concatenate([x[i] for x in out]) for i in range(3))
+        none = np.zeros(len(doc), dtype=np.int64)
+        names, packed = _by_block(blocks, doc, tag, sums, none, none)
+        return pa.table({"block": pa.array(names, pa.int32()), "sums": pa.array(packed, pa.binary())})
+
+    def add(key, t):
+        lean()
+        parts = [unpack(x) for x in t.column("sums").to_pylist()]
+        doc, tag, *sums = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        order = np.lexsort((tag, doc))
+        doc, tag = doc[order], tag[order]
+        heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])
+        score, n_words, times = (np.add.reduceat(x[order], heads) for x in sums)
+        return pa.table({"doc_id": doc[heads], "tag": pa.array(tag[heads], pa.int32()), "n_words": n_words // times, "score": score / times, "times": times})
 
-    return docs.select("doc_id", "tag", "text").mapInArrow(run, "doc_id bigint, tag int, n_words bigint, score double")
+    rare = costs if least is None else costs.filter(step < least)
+    asked = rare.select("key", "cost").mapInArrow(deal, "slot int, blob binary").unionByName(docs.select("doc_id", "tag", "text").mapInArrow(ask, "slot int, blob binary"))
+    found = asked.groupBy("slot").applyInArrow(meet, "block int, sums binary").groupBy("block").applyInArrow(add, "doc_id bigint, tag int, n_words bigint, score double, times bigint")
+    return found.select("doc_id", "tag", "n_words", "score", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("col")
 
 
 def word_sums(docs: DataFrame) -> DataFrame:
@@ -366,7 +528,7 @@ def word_sums(docs: DataFrame) -> DataFrame:
     return found.groupBy("block").applyInArrow(add, "doc_id bigint, tag int, logs double, known bigint, n bigint")
 
 
-def lm_scores(documents: DataFrame, nodes: int = NODES) -> DataFrame:
+def lm_scores(documents: DataFrame, room: int = CACHED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     folder = shared_dir(documents.sparkSession)
     docs = docs_of(documents).withColumn("tag", (F.xxhash64("text") % (1 << 31)).cast("int")).withColumn("held_out", crc_mod("doc_id", 5) == 1)
@@ -376,8 +538,7 @@ def lm_scores(documents: DataFrame, nodes: int = NODES) -> DataFrame:
     row = sums.filter("doc_id IS NULL").first()
     distinct, total = (row["known"], row["n"]) if row else (0, 0)
     distinct, total = distinct + (ends > 0), total + ends
-    levels = trie(train.filter("text IS NOT NULL"), folder, nodes)
-    scored = scores(docs, levels).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
+    scored = scores(docs, folder, room).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
     share = F.coalesce(F.col("n_words") / F.nullif("n", F.lit(0)), F.lit(0.0))  # repeated rows
     logs = F.coalesce(F.col("logs") * share, F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
     per = float(np.log10(total + 0.5 * (distinct + 1)))
