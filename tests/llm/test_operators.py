@@ -417,6 +417,19 @@ def test_toxicity_cases(spark, docs, rows, nothing):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_fit_sample_passes_over_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 6000)
+    ids = sorted((i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: zlib.crc32(f"fit {i}".encode()))[:40]
+    for long in ([0], [5], [0, 1, 2]):
+        made = [(i, "x" * 7000 if k in long else f"text {i}", k % 2 == 0) for k, i in enumerate(ids)]
+        d = spark.createDataFrame([(i, t) for i, t, _ in made], "doc_id long, text string")
+        texts, y = toxicity.sample(d, spark.createDataFrame([(i, int(x)) for i, _, x in made], "doc_id long, toxic int"))
+        assert sorted(texts) == sorted(t for k, (_, t, _) in enumerate(made) if k not in long) and len(set(y)) == 2
+    # texts that would fill the room alone don't keep the other class out
+    kept = toxicity.chosen([(k, 0, 1900, True) for k in range(9)] + [(k, 1, 10, False) for k in range(9)])
+    assert sum(n for (_, t), n in kept.items() if t) == 9 and sum(n for (_, t), n in kept.items() if not t) == 3
+
+
 @needs_tables
 def test_toxicity_held_out(spark):
     got = queries()["op6_toxicity"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), "doc_id").filter("held_out")

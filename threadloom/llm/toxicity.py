@@ -8,7 +8,7 @@ for each landmark, a text that of its sentences. A linear machine on these is tr
 turned into a probability by a logistic fit.
 
 Training takes at most FIT_TOXIC and FIT_CLEAN labelled texts (by the crc32 of their ids) of at most FIT_BYTES in all: a bounded,
-documented sample. Every text is scored whole.
+documented sample; texts that don't fit any more are passed over, each class within its part of the bytes first. Every text is scored whole.
 
 Cases: a null or empty text has no word and gets the machine's value at zero; without labels of both kinds every score is the
 share of toxic labels learned from (0 without any); null labels are not learned from; a doc_id labelled twice is toxic if one
@@ -42,6 +42,8 @@ PAIRS = 0.5
 #: Letters by which a stretch of a word may be longer than the landmark.
 SLACK = 3
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
+#: Ids looked at for each one taken: some have no text, or one that doesn't fit.
+SPARE = 4
 #: Texts of the sample whose features are made at a time (of sentences fifty times as many).
 FIT_STEP = 300
 #: Letters of a word taken at a time; longer words are read in stretches that overlap by half.
@@ -348,23 +350,42 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
 
 
 def sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The bounded labelled sample: ids first, then only their texts."""
+    """The bounded labelled sample: ids and sizes first, then only the texts that are taken."""
     lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     lab = lab.filter(crc_mod("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     key = F.crc32(F.concat(F.lit("fit "), F.col("doc_id").cast("string")).cast("binary"))
     take = lambda t, n: lab.filter("toxic > 0" if t else "toxic <= 0").orderBy(key, "doc_id").limit(n)
-    ids = take(1, FIT_TOXIC).unionByName(take(0, FIT_CLEAN))
-    docs = docs_of(documents).withColumn("bytes", F.octet_length("text")).filter("text IS NOT NULL")
-    got = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text", "bytes").withColumn("key", key)
-    rows = got.orderBy("key", "doc_id", "text").limit(FIT_TOXIC + FIT_CLEAN)
-    texts, y, size = [], [], 0
-    for r in rows.toLocalIterator():
-        size += r["bytes"]
-        if size > FIT_BYTES:
-            break
-        texts.append(r["text"])
-        y.append(int(r["toxic"] > 0))
-    return texts, np.array(y, dtype=np.int64)
+    ids = take(1, SPARE * FIT_TOXIC).unionByName(take(0, SPARE * FIT_CLEAN))
+    docs = docs_of(documents).filter("text IS NOT NULL").withColumn("text_key", F.xxhash64("text"))
+    sizes = docs.select("doc_id", "text_key", F.octet_length("text").alias("bytes")).filter(F.col("bytes") <= FIT_BYTES).join(F.broadcast(ids), "doc_id").withColumn("key", key)
+    # all texts of some labelled ids are small in number unless rows repeat: as many as can be wanted
+    kept = chosen([(r["doc_id"], r["text_key"], r["bytes"], r["toxic"] > 0) for t in (True, False) for r in sizes.filter("toxic > 0" if t else "toxic <= 0").orderBy("key", "doc_id", "text_key").limit(SPARE * (FIT_TOXIC if t else FIT_CLEAN)).collect()])
+    if not kept:
+        return [], np.zeros(0, dtype=np.int64)
+    wanted = documents.sparkSession.createDataFrame([(*k, n) for k, n in kept.items()], "doc_id bigint, text_key bigint, times int")
+    got = docs.join(F.broadcast(wanted), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).join(F.broadcast(ids), "doc_id").withColumn("key", key)
+    rows = got.select("key", "doc_id", "text", "toxic", "times").orderBy("key", "doc_id", "text").collect()
+    return [r["text"] for r in rows for _ in range(r["times"])], np.array([int(r["toxic"] > 0) for r in rows for _ in range(r["times"])], dtype=np.int64)
+
+
+def chosen(rows: list[tuple[int, int, int, bool]]) -> Counter:
+    """Of (doc_id, text_key, bytes, toxic), in order, those to learn from: each class has its part of the bytes, a text that doesn't fit is passed over, and room that is left goes to those passed over."""
+    kept: Counter = Counter()
+    left, room, over = {True: FIT_TOXIC, False: FIT_CLEAN}, {t: FIT_BYTES * n // (FIT_TOXIC + FIT_CLEAN) for t, n in ((True, FIT_TOXIC), (False, FIT_CLEAN))}, []
+    for row in rows:
+        if row[2] > room[row[3]]:
+            over.append(row)
+        elif left[row[3]]:
+            kept[row[:2]] += 1
+            left[row[3]] -= 1
+            room[row[3]] -= row[2]
+    spare = sum(room.values())
+    for row in over:
+        if row[2] <= spare and left[row[3]]:
+            kept[row[:2]] += 1
+            left[row[3]] -= 1
+            spare -= row[2]
+    return kept
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
