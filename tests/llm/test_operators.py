@@ -417,6 +417,19 @@ def test_toxicity_cases(spark, docs, rows, nothing):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_letters_put_in_keep_a_kernel_value():
+    marks = ["dumb", "scum", "moron", "idiot", "stupid"]
+    got = toxicity.Kernel(marks).values(["duxmxb", "sxcxum", "moxrxoxn", "ixdixxot", "stxuxpxid"])
+    assert (got.diagonal() > 0.1).all()
+
+
+def test_landmarks_of_a_large_lexicon():
+    r = random.Random(8)
+    lexicon = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60)]
+    toxic = [{*r.sample(lexicon, 8), *("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(60))} for _ in range(200)]
+    assert len(toxicity.landmarks(toxic, [{"clean"}] * 200)) == 48
+
+
 def test_fit_sample_passes_over_long_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "FIT_BYTES", 6000)
     ids = sorted((i for i in range(80) if zlib.crc32(str(i).encode()) % 4 != 2), key=lambda i: zlib.crc32(f"fit {i}".encode()))[:40]

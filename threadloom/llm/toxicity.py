@@ -31,14 +31,12 @@ from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, slices, w
 ORDER = 4
 DECAY = 0.8
 #: Landmarks at most; lengths of the letter groups; share of clean texts a group may be in.
-LANDMARKS = 40
+LANDMARKS = 48
 GROUP = (4, 5, 6, 7, 8)
 CLEAN_SHARE = 0.001
 LEAST_TEXTS, LEAST_SHARE = 3, 0.025
 #: A landmark is compared with words that hold so much of its letters.
 HOLDS = 0.85
-#: And so many of its neighbouring letters side by side; two letters put in leave that many of five.
-PAIRS = 0.5
 #: Letters by which a stretch of a word may be longer than the landmark.
 SLACK = 3
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
@@ -159,9 +157,6 @@ class Kernel:
                 held += np.minimum(counts[c], np.int8(k))
             least = max(ORDER, HOLDS * len(mark))
             near = np.flatnonzero(held >= least)
-            part = codes[near]
-            both = sum((((part[:, :-1] == a) & (part[:, 1:] == b)).any(1).astype(np.int8) for a, b in zip(mark, mark[1:], strict=False)), np.zeros(len(near), dtype=np.int8))
-            near = near[both >= PAIRS * (len(mark) - 1)]
             for lo in range(0, len(near), 4096):
                 rows, parts, sizes = self._stretches(codes[near[lo : lo + 4096]], lengths[near[lo : lo + 4096]], mark, letters, times, least)
                 if len(rows):
