@@ -423,6 +423,13 @@ def test_letters_put_in_keep_a_kernel_value():
     assert (got.diagonal() > 0.1).all()
 
 
+def test_spelled_out_words():
+    kern = toxicity.Kernel(["dumb", "scum"])
+    texts = ["so d u m b", "s c u m", "d - u - m - b", "s c * u m !", "d u", "m b", "d u is m b", "- - - - d"]
+    got = toxicity.text_features(pa.array(texts, pa.string()), kern).max(1)
+    assert (got[:4] > 0.99).all() and (got[4:] == 0).all()
+
+
 def test_landmarks_of_a_large_lexicon():
     r = random.Random(8)
     lexicon = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(60)]

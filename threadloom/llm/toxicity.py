@@ -279,12 +279,14 @@ def text_features(texts: pa.Array, kern: Kernel) -> np.ndarray:
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
     which = words.indices.to_numpy()
     pieces, of = [], []
-    single = np.zeros(len(words.dictionary), dtype=bool)
+    single, blank = np.zeros((2, len(words.dictionary)), dtype=bool)
     names = [w.decode("utf-8", "ignore") for w in words.dictionary.to_pylist()]
     for i, w in enumerate(names):
         x = letters_of(w)
         if len(x) == 1:
             single[i] = True
+        elif not x:
+            blank[i] = True
         elif len(x) <= WIDE:
             if len(x) >= ORDER:
                 pieces.append(x)
@@ -303,16 +305,17 @@ def text_features(texts: pa.Array, kern: Kernel) -> np.ndarray:
     owner = np.searchsorted(at, np.arange(len(starts)), side="right") - 1
     hits = np.flatnonzero(best.any(1)[which])
     np.maximum.at(out, owner[hits], best[which[hits]])
-    # runs of single letters
-    lone = single[which]
+    # runs of single letters; words without letters may stand between
+    alone = single[which]
+    lone = alone | blank[which]
     edge = np.flatnonzero(np.diff(np.r_[0, lone.view(np.int8), 0]))
+    before = np.r_[0, np.cumsum(alone)]
     runs, rows = [], []
     for a, z in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-        if z - a >= ORDER:
+        if before[z] - before[a] >= ORDER:
             for row in range(owner[a], owner[z - 1] + 1):  # a run ends with its text
-                own = [letters_of(names[which[k]]) for k in range(max(a, at[row]), min(z, at[row + 1]))]
-                for p in pieces_of(own):
-                    if len(p) > ORDER:
+                for p in pieces_of([names[which[k]] for k in range(max(a, at[row]), min(z, at[row + 1]))]):
+                    if len(p) >= ORDER:
                         runs.append(p)
                         rows.append(row)
     if runs:
