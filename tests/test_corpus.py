@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators import candidates, corpus, export, history, state, threads, views
+from threadloom.plans import catalog
 from threadloom.sources import files
 
 KEY = b"k"
@@ -79,6 +80,25 @@ def test_deep_chain_and_dangling_parent(spark):
     assert chain["t1_039"] == [f"t1_{i:03d}" for i in range(33, 39)] and chain["t1_lost"] == []
 
 
+def test_reach_of_thread_queries(spark, tmp_path):
+    spark.createDataFrame([(1, n, "user", "words") for n in range(600)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    up = [299, 149, 74, 36, 17, 8, 3, 1]
+    last = lambda q: catalog.QUERIES[q](spark, str(tmp_path)).filter("item_id = 't1_1_599'").first()
+    assert last("g01_ancestors")["chain"] == "".join(f"t1_1_{n}>" for n in reversed(up))
+    assert last("g02_depths")["depth_found"] == len(up) and last("g03_thread_lines")["indent"] == len(up) + 1
+
+
+def test_chains_deeper_than_any_stretch(spark):
+    made = [("t3_p", "submission", None)] + [(f"t1_{i:03d}", "comment", "t3_p" if i == 0 else f"t1_{i - 1:03d}") for i in range(560)] + [("t1_a", "comment", "t1_b"), ("t1_b", "comment", "t1_a")]
+    c = spark.createDataFrame([(i, k, "t3_p", p, None, "x", 0, "h", n) for n, (i, k, p) in enumerate(made)], "item_id string, record_type string, submission_item string, parent_item string, depth int, text string, is_submitter int, author_hash string, created_s long").coalesce(1)
+    depth = {r["item_id"]: r["depth_found"] for r in threads.depths(c).collect()}
+    assert (depth["t1_300"], depth["t1_499"], depth["t1_559"], depth["t1_a"]) == (300, 499, 500, 500)
+    few = c.filter("created_s <= 20 OR item_id IN ('t1_a', 't1_b')")
+    assert {r["item_id"]: r["indent"] for r in threads.pre_order(few).collect()} == {"t3_p": 0, "t1_a": 1, "t1_b": 1} | {f"t1_{i:03d}": i + 1 for i in range(20)}
+    chain = {r["item_id"]: len(r["chain"]) for r in threads.ancestors(few, threads.ANCESTORS).collect()}
+    assert chain["t1_019"] == 19 and chain["t1_a"] == 50
+
+
 def test_context(spark, rows):
     ctx = {r["item_id"]: r for r in threads.contexts(rows).collect()}
     c2 = ctx["t1_c2"]

@@ -2,29 +2,51 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rstrip, truncate, truncate_middle
 
 NEAR, FAR, REPLY = 500, 300, 200
+#: The reference's reach for ancestors and depths.
+ANCESTORS, HOPS = 50, 500
+#: Joins in one plan; beyond them the rows are held and asked whether any climbs further.
+STRETCH = 6
+
+
+def _held(df: DataFrame) -> DataFrame:
+    """The rows, computed, in the checkpoint folder: the plan so far ends here."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.gettempdir() + "/threadloom")
+    return df.checkpoint()
 
 
 def ancestors(corpus: DataFrame, levels: int = 6) -> DataFrame:
-    """G01, the last `levels` ancestors: item_id, chain (root side first) as structs; one join a level, each on rows still climbing. The submission is no ancestor, an uncollected parent ends the chain."""
+    """G01, the last `levels` ancestors: item_id, chain (root side first) as structs; one join a level, until no row climbs further. The submission is no ancestor, an uncollected parent ends the chain."""
     parents = corpus.filter("record_type = 'comment'").select(F.col("item_id").alias("p_id"), F.col("parent_item").alias("p_up"), F.struct("item_id", "author_hash", "is_submitter", "depth", F.coalesce("text", F.lit("")).alias("text")).alias("p_row"))
     now = corpus.select("item_id", F.col("parent_item").alias("up"), F.array().cast(f"array<{parents.schema['p_row'].dataType.simpleString()}>").alias("chain"))
-    for _ in range(levels):
+    for level in range(levels):
+        if level and level % STRETCH == 0:
+            now = _held(now)
+            if now.join(parents.select("p_id"), now["up"] == F.col("p_id"), "left_semi").isEmpty():
+                break
         now = now.join(parents, now["up"] == parents["p_id"], "left").select("item_id", F.col("p_up").alias("up"), F.when(F.col("p_id").isNotNull(), F.concat(F.array("p_row"), "chain")).otherwise(F.col("chain")).alias("chain"))
     return now.select("item_id", "chain")
 
 
-def depths(corpus: DataFrame, hops: int = 50) -> DataFrame:
-    """item_id, hops to the top of its collected chain: 0 for a direct reply to a post, 1 more for each parent; a parent that is not there counts one. Pointers double, so rounds grow with the logarithm of the depth."""
+def depths(corpus: DataFrame, hops: int = HOPS) -> DataFrame:
+    """item_id, hops to the top of its collected chain: 0 for a direct reply to a post, 1 more for each parent; a parent that is not there counts one. Pointers double until none climbs further, so rounds grow with the logarithm of the depth."""
     comments = corpus.filter("record_type = 'comment'").select("item_id", F.col("parent_item").alias("up"))
     known = comments.select(F.col("item_id").alias("_id"))
     now = comments.join(known, comments["up"] == known["_id"], "left").select("item_id", F.when(F.col("_id").isNotNull(), F.col("up")).alias("up"), F.when(F.col("_id").isNull() & F.col("up").startswith("t3_"), 0).otherwise(1).alias("d"))
-    for _ in range(max(1, (hops - 1).bit_length())):
+    for level in range(max(1, (hops - 1).bit_length())):
+        if level and level % (STRETCH // 2) == 0:
+            now = _held(now)
+            if now.filter("up IS NOT NULL").isEmpty():
+                break
         above = now.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("d").alias("_d"))
         now = now.join(above, now["up"] == above["_id"], "left").select("item_id", F.col("_up").alias("up"), (F.col("d") + F.coalesce("_d", F.lit(0))).alias("d"))
     return now.select("item_id", F.least("d", F.lit(hops)).alias("depth_found"))
@@ -67,11 +89,16 @@ def reuse(snapshots: DataFrame, corpus: DataFrame, wanted: DataFrame, version: s
     return kept.unionByName(contexts(corpus).join(todo, "item_id", "left_semi").select("item_id", "context_text"))
 
 
-def pre_order(corpus: DataFrame, levels: int = 8) -> DataFrame:
-    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by time then id."""
+def pre_order(corpus: DataFrame) -> DataFrame:
+    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by time then id. However deep; replies in a circle are followed once round."""
     key = F.concat(F.lpad(F.col("created_s").cast("string"), 12, "0"), F.lit("|"), F.col("item_id"))
-    rows = corpus.select("item_id", "submission_item", "record_type", F.col("parent_item").alias("up"), F.array(key).alias("path"))
+    rows = corpus.select("item_id", "submission_item", F.col("parent_item").alias("up"), F.array(key).alias("path"), F.array("item_id").alias("seen"))
     up = rows.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("path")[0].alias("_key"))
-    for _ in range(levels):
-        rows = rows.join(up, rows["up"] == up["_id"], "left").select("item_id", "submission_item", "record_type", F.col("_up").alias("up"), F.when(F.col("_id").isNotNull(), F.concat(F.array("_key"), "path")).otherwise(F.col("path")).alias("path"))
+    climbs = F.col("_id").isNotNull() & ~F.array_contains("seen", F.col("_id"))
+    while True:
+        for _ in range(STRETCH):
+            rows = rows.join(up, rows["up"] == up["_id"], "left").select("item_id", "submission_item", F.when(climbs, F.col("_up")).alias("up"), *(F.when(climbs, F.concat(F.array(new), old)).otherwise(F.col(old)).alias(old) for new, old in (("_key", "path"), ("_id", "seen"))))
+        rows = _held(rows)
+        if rows.join(up, rows["up"] == up["_id"], "inner").filter(climbs).isEmpty():
+            break
     return rows.select("item_id", "submission_item", F.array_join("path", "/").alias("path"), (F.size("path") - 1).alias("indent"))

@@ -407,7 +407,7 @@ _UP = "WITH RECURSIVE corpus AS (" + duck("corpus") + "), up AS (SELECT item_id,
 @query(_UP + "SELECT item_id, arg_max(chain, k) AS chain FROM up GROUP BY item_id")
 def g01_ancestors(s: SparkSession, d: str) -> DataFrame:
     """G01, G06, J16."""
-    got = threads.ancestors(view(s, d, "corpus"))
+    got = threads.ancestors(view(s, d, "corpus"), threads.ANCESTORS)
     return got.select("item_id", F.concat(F.array_join(F.transform("chain", lambda x: x["item_id"]), ">"), F.when(F.size("chain") > 0, ">").otherwise("")).alias("chain"))
 
 
