@@ -559,6 +559,16 @@ def test_a_difference_to_the_library_shows():
     assert doubt[1] and coder.agreement(texts, lists, doubt) == [x == coder.library.encode(t, add_eos=True) for t, x in zip(texts, lists, strict=True)]
 
 
+def test_every_text_is_compared_whole():
+    coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
+    texts = ["one of two", "two of three", "of"]
+    ids, at, doubt = coder.encode(pa.array(texts))
+    lists = [x.tolist() for x in np.split(ids, at[1:-1])]
+    assert not doubt.any() and coder.agreement(texts, lists, doubt) == [True] * 3
+    lists[1] = lists[1][::-1]  # no word is in doubt, and it isn't the first text
+    assert coder.agreement(texts, lists, doubt) == [True, False, True]
+
+
 def test_agenda_equals_the_library(docs, rows, nothing):
     path = tokenizer_file("piece_bpe_32k.model")
     coder, r = sp_bpe.Agenda(path), random.Random(9)

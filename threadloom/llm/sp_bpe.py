@@ -2,8 +2,7 @@
 
 A text is cut into words that no piece of the vocabulary spans. All distinct words of an Arrow batch work off their agendas
 together: in each round every word merges its best adjacent pair (highest score, then leftmost), and only the pairs beside the
-merge are scored anew. Every batch is then held against the sentencepiece library itself: all its distinct words, strung together,
-and its first text whole; texts with a word on which the two differ are compared whole, and what comes of it is in `agrees`.
+merge are scored anew. Every text is then held, whole, against the sentencepiece library itself; what comes of it is in `agrees`.
 
 Cases: a null or empty text has the end id alone and decodes to the empty text; repeated rows are encoded each; rows with a null
 doc_id are left out; characters that are in no piece become bytes.
@@ -154,16 +153,12 @@ class Agenda:
             out[a:z] = not text.startswith(BLANK) or self.library.encode(text[1:].replace(BLANK, " ")) != mine
         return out
 
-    def agreement(self, texts: list[str], lists: list[list[int]], doubt: np.ndarray) -> list[bool]:
-        """Whether the library's ids are the same: asked for the first text and for those in doubt."""
-        asked = np.flatnonzero(doubt | (np.arange(len(texts)) == 0)).tolist()
-        same = np.ones(len(texts), dtype=bool)
-        for i, ids in zip(asked, self.library.encode([texts[i] for i in asked], add_eos=True, num_threads=1), strict=True):
-            same[i] = ids == lists[i]
-        return same.tolist()
+    def agreement(self, texts: list[str], lists: list[list[int]], doubt: np.ndarray | None = None) -> list[bool]:
+        """Whether the library's ids are the same: it is asked for every text, whole, in doubt or not."""
+        return [theirs == ids for ids, theirs in zip(lists, self.library.encode(texts, add_eos=True, num_threads=1), strict=True)]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a doubtful word.
+    def encode(self, texts: pa.Array, doubts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a doubtful word (none without `doubts`).
 
         Words start where a run of blanks starts; equal words of the batch are worked off once.
         """
@@ -186,7 +181,7 @@ class Agenda:
         which = words.indices.to_numpy()
         names = words.dictionary.to_pylist()
         ids, lengths = self.encode_words(names)
-        doubtful = self.doubtful(names, ids, lengths)
+        doubtful = self.doubtful(names, ids, lengths) if doubts else np.zeros(len(names), dtype=bool)
         at = np.cumsum(lengths) - lengths
         sizes = lengths[which] if len(which) else np.zeros(0, dtype=np.int64)
         flat = ids[ragged(at[which], sizes)] if len(which) else np.zeros(0, dtype=np.int64)
@@ -211,10 +206,10 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
         lib = coder.library
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                ids, at, doubt = coder.encode(b.column(1))
+                ids, at, _ = coder.encode(b.column(1), doubts=False)
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                same = coder.agreement(texts, lists, doubt)
+                same = coder.agreement(texts, lists)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
 
@@ -231,10 +226,10 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                ids, at, doubt = coder.encode(b.column(1))
+                ids, at, _ = coder.encode(b.column(1), doubts=False)
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                same = coder.agreement(texts, lists, doubt)
+                same = coder.agreement(texts, lists)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.diff(at)), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists]), pa.array([sha(x.encode()) for x in decoded]), pa.array(same)],
