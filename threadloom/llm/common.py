@@ -40,15 +40,17 @@ def crc_mod(col: str, m: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % m
 
 
-def bound_batches(spark: SparkSession, mb: int = 16) -> None:
+def bound_batches(spark: SparkSession, mb: int = 8) -> None:
     """Arrow batches by bytes, not by rows alone: very long texts must not pile up in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors see: under spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """A new folder that the driver and all executors see: under spark.checkpoint.dir. Where that is unset, a local one will do for a local master; a cluster's executors would not see each other's files there, so there it is an error."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         top = tempfile.gettempdir() + "/threadloom"
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -87,6 +89,59 @@ def input_bytes(df: DataFrame) -> int:
     return size if size < 1 << 56 else 0
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, counted: what groups are held whole in a task is sized by them, not by an estimate or the session's settings."""
+    return int(docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0)
+
+
+def groups(size: int, each: int, least: int) -> int:
+    """So many groups that one holds about `each` of the bytes, `least` of them anyway."""
+    return max(least, -(-size // each))
+
+
+def heavy(counts: DataFrame, rows: int, share: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """counts(hash, n): hashes with `share` of `rows` or more, ascending, and their counts; the `most` largest at most. A plan's hint only: whoever gets it has an exact way for all others."""
+    some = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.lit(max(2.0, share * rows)))
+    got = some.orderBy(F.desc("n"), "hash").limit(most).toArrow()
+    hashes, n = got.column("hash").to_numpy().view(U64), got.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+class Tally:
+    """Of hashes that come slice by slice, those with a share of a slice's rows: what may be heavy in all."""
+
+    def __init__(self, share: float, room: int = 1 << 16):
+        self.share, self.room, self.found, self.rows = share, room, {}, 0
+
+    def add(self, hashes: np.ndarray, rows: int) -> None:
+        """Hashes of a slice of so many rows, each at most once a row."""
+        self.rows += rows
+        if not len(hashes):
+            return
+        sorted_ = np.sort(hashes)
+        heads = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+        n = np.diff(np.r_[heads, len(sorted_)])
+        often = np.flatnonzero(n >= max(3, self.share * rows))
+        for h, c in zip(sorted_[heads[often]].view(np.int64).tolist(), n[often].tolist(), strict=True):
+            self.found[h] = self.found.get(h, 0) + c
+        if len(self.found) > 2 * self.room:
+            self.found = dict(sorted(self.found.items(), key=lambda x: -x[1])[: self.room])
+
+    def result(self) -> tuple[list[int], list[int]]:
+        """Hashes, and in how many rows of the task they were found, of those with the share of all its rows too."""
+        kept = {h: n for h, n in self.found.items() if n >= self.share * self.rows}
+        return list(kept), list(kept.values())
+
+
+def member(hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Place of each hash in an ascending list, or -1."""
+    if not len(of):
+        return np.full(len(hashes), -1, dtype=np.int64)
+    at = np.minimum(np.searchsorted(of, hashes), len(of) - 1)
+    return np.where(of[at] == hashes, at, -1)
+
+
 def pack(*arrays, level: int = 1) -> bytes:
     import zstandard
 
@@ -183,7 +238,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not total:
         return np.zeros(0, dtype=np.int64)
     at = np.cumsum(lengths) - lengths
-    return np.arange(total) + np.repeat(starts - at, lengths)
+    kind = np.int32 if total < 1 << 31 and int(starts.max()) + total < 1 << 31 else np.int64
+    out = np.repeat((starts - at).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def binary_rows(offsets: np.ndarray, data: bytes | np.ndarray) -> pa.Array:

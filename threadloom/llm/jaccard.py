@@ -7,17 +7,24 @@ n - ceil(threshold * n) + 1 in any one order). Shingles of a single node take pa
 only use up the window. In each region the least node is the document pivot: all others are measured against it exactly. By the
 triangle inequality a node beyond twice the radius from the pivot has no partner in its ball, and of the ball only those can have
 one outside that are as far out as the outermost window allows; these boundary nodes are joined again with what is outside, unless
-all of them are connected by other regions' links already. Regions that hold the same nodes are joined once; large ones are cut in
-pairs of chunks. In a joined region nodes bring sketches instead of sets: the parities of their numbers of shingles in as many
-classes as they have shingles; classes of unlike parity bound the distance from below (a metric too), which leaves few pairs to
-measure exactly. Of these a region first names only enough to connect its nodes if all hold; if some don't, it is joined once more
-with all that are left. Links lead to components.
+all of them are connected by other regions' links already. Regions that hold the same nodes are joined once.
+
+A region of more than GROUP nodes is joined recursively: its nodes open regions by one more shingle that comes after the first in
+the common order, in a window that is one wider (a linked pair's second common shingle cannot lie beyond it), each again with its
+pivot, ball and boundary; so on down to DEPTH shingles. What is large even then is cut in pairs of chunks, which is exact too.
+
+In a joined region nodes bring sketches instead of sets: the parities of their numbers of shingles in as many classes as they
+have shingles; classes of unlike parity bound the distance from below (a metric too), which leaves few pairs to measure exactly.
+Of these a region first names only enough to connect its nodes if all hold; if some don't, it is joined once more with all that
+are left. Links lead to components.
 
 Shingles and sets are known by 64-bit hashes. Word hashes of 64 bits go into a shingle's.
 
 Cases: lower case for A-Z only; fewer words than a shingle: the whole sequence is the one shingle; a null text or one without
 words has the empty set and links with nothing (component_id is its doc_id); repeated rows have one set, hence distance 0; rows
-with a null doc_id are left out; an empty table gives an empty result.
+of one doc_id with different texts are judged each, and the doc_id stands for all of them in component_id; ties: the least doc_id
+names a component; a very long text is one slice and one packed row for each bucket; other columns, whatever their names, are not
+looked at; rows with a null doc_id are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,13 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, binary_rows, bound_batches, byte_view, docs_of, dropped, lean, mix, pack, partitions, shared_dir, slices, unpack, word_hashes, word_spans, written
+from .common import (
+    LOWER, U64, Tally, bound_batches, byte_view, docs_of, dropped, groups, heavy, lean, member, mix, pack, partitions, shared_dir,
+    slices, text_bytes, unpack, word_hashes, word_spans, written,
+)
 from .components import components
 
 #: Words of a shingle; percent of the union that the intersection must reach.
 WIDTH, PERCENT = 5, 80
-#: Nodes of a group that one task joins at most; larger groups are cut in pairs of chunks.
-GROUP = 4096
+#: Nodes of a region that one task joins at most; larger ones open regions by one more shingle, DEPTH - 1 times.
+GROUP, DEPTH = 4096, 4
+#: Text bytes for each bucket of shingles and block of nodes.
+BUCKET_BYTES = 8 << 20
+#: A shingle in this share of all rows goes by no bucket; so many of these at most.
+HEAVY, HOTTEST = 0.002, 1 << 17
 #: Bits of a sketch, at least and at most.
 LEAST_BITS, MOST_BITS = 64, 8192
 SLICE = 4 << 20
@@ -72,56 +86,80 @@ def node_ids(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def nodes_of(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node for every row."""
+    """doc_id, key (a hash of the text), n_shingles, node for every row; beside them, without a doc_id, the shingles (as node) that are
+    in many sets of a slice, and in how many."""
     bound_batches(docs.sparkSession)
 
     def run(batches):
         lean()
+        often = Tally(HEAVY / 4)
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                _, at, node = shingle_sets(b)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at)), pa.array(node)], names=["doc_id", "n_shingles", "node"])
+                flat, at, node = shingle_sets(b.select(["doc_id", "text"]))
+                one = np.unique(node, return_index=True)[1]
+                mine = np.zeros(len(node), dtype=bool)
+                mine[one] = True
+                often.add(flat[np.repeat(mine, np.diff(at))], len(one))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.diff(at)), pa.array(node)], names=["doc_id", "key", "n_shingles", "node"])
+        hashes, times = often.result()
+        none = pa.nulls(len(hashes), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(times, pa.int64()), pa.array(hashes, pa.int64())], names=["doc_id", "key", "n_shingles", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInArrow(run, "doc_id bigint, key bigint, n_shingles bigint, node bigint")
 
 
-def shared_shingles(docs: DataFrame) -> DataFrame:
-    """node, n, hits: packed (hash, number of nodes) of its shingles that other nodes have too, in one piece for each bucket.
+def shared_shingles(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
+    """block, blob: for a block of nodes, packed: nodes, sizes of their sets, how many shingles follow for each, and these: hashes that
+    other nodes have too, with the number of nodes that do.
 
     Each slice sends each bucket of the hash space one packed row; copies within a slice go once, copies from elsewhere are left
-    out in the bucket, so a group of copies counts as one node.
+    out in the bucket, so a group of copies counts as one node. What a bucket finds goes on in one piece for each block of nodes.
+    The hot shingles (hashes, rough counts), known to be in many sets, need no bucket: they go to the blocks at once (numbered
+    -1, -2, ...), so no bucket holds a row for each document of the corpus.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    buckets = 2 * partitions(spark)
+    buckets = groups(size, BUCKET_BYTES, 2 * partitions(spark))
+    blocks = groups(size, BUCKET_BYTES, partitions(spark))
+    handle = spark.sparkContext.broadcast(hot)  # HOTTEST hashes at most
 
     def cut(batches):
         lean()
+        known, df = handle.value
         for whole in batches:
             for b in slices(whole, most=SLICE):
                 flat, at, node = shingle_sets(b)
                 _, one = np.unique(node, return_index=True)
                 one = one[node[one] != 0]
-                sizes = np.diff(at)[one]
-                if not sizes.sum():
+                sizes = np.diff(at)
+                if not sizes[one].sum():
                     continue
                 keep = np.zeros(len(node), dtype=bool)
                 keep[one] = True
-                row = np.repeat(np.arange(len(node)), np.diff(at))
+                row = np.repeat(np.arange(len(node)), sizes)
                 flat, row = flat[keep[row]], row[keep[row]]
-                bucket = ((flat >> U64(32)) * U64(buckets) >> U64(32)).astype(np.uint32)
+                names, blobs = [], []
+                place = member(flat, known)
+                if (place >= 0).any():
+                    here = place >= 0
+                    for k, *parts in _by_block(blocks, node, sizes, row[here], flat[here], df[place[here]]):
+                        names.append(-1 - k)
+                        blobs.append(pack(*parts))
+                    flat, row = flat[~here], row[~here]
+                bucket = _range(flat, buckets)
                 order = np.argsort(bucket, kind="stable")
                 flat, row, bucket = flat[order], row[order], bucket[order]
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                names, blobs = [], []
-                for lo, hi in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
+                for p in np.split(np.arange(len(flat)), np.flatnonzero(np.diff(bucket)) + 1) if len(flat) else []:
+                    lo, hi = p[0], p[-1] + 1
                     here, counts = np.unique(row[lo:hi], return_counts=True)
                     names.append(int(bucket[lo]))
-                    blobs.append(pack(node[here], np.diff(at)[here].astype(np.uint32), counts.astype(np.uint32), flat[lo:hi]))
+                    blobs.append(pack(node[here], sizes[here].astype(np.uint32), counts.astype(np.uint32), flat[lo:hi]))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def meet(key, t):
         lean()
+        if (block := -1 - key[0].as_py()) >= 0:
+            return pa.table({"block": pa.array([block] * t.num_rows, pa.int32()), "blob": t.column("blob")})
         parts = [unpack(x) for x in t.column("blob").to_pylist()]
         node, n, counts, flat = (np.concatenate([p[i] for p in parts]) for i in range(4))
         del parts
@@ -137,15 +175,26 @@ def shared_shingles(docs: DataFrame) -> DataFrame:
         times = np.diff(np.r_[heads, len(flat)])
         df = np.repeat(times, times)
         hit = np.flatnonzero(df > 1)
-        hit = hit[np.argsort(owner[hit], kind="stable")]
-        pairs = np.empty(len(hit), dtype=[("hash", "<u8"), ("df", "<u4")])
-        pairs["hash"], pairs["df"] = flat[hit], df[hit]
-        who = owner[hit]
-        heads = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else np.zeros(0, dtype=np.int64)
-        return pa.table({"node": pa.array(node[one][who[heads]]), "n": pa.array(n[one][who[heads]].astype(np.int64)), "hits": binary_rows(np.r_[heads, len(who)] * pairs.dtype.itemsize, pairs.view(np.uint8))})
+        got = list(_by_block(blocks, node[one], n[one], owner[hit], flat[hit], df[hit]))
+        return pa.table({"block": pa.array([x[0] for x in got], pa.int32()), "blob": pa.array([pack(*x[1:]) for x in got], pa.binary())})
 
     blobs = docs.select("doc_id", "text").filter("text IS NOT NULL").mapInArrow(cut, "bucket int, blob binary")
-    return blobs.groupBy("bucket").applyInArrow(meet, "node bigint, n bigint, hits binary")
+    return blobs.groupBy("bucket").applyInArrow(meet, "block int, blob binary")
+
+
+def _range(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
+
+
+def _by_block(blocks: int, node: np.ndarray, n: np.ndarray, owner: np.ndarray, flat: np.ndarray, df: np.ndarray):
+    """For each block of nodes: its number, nodes, sizes, counts of what follows for each, hashes, numbers of nodes that have them."""
+    block = _range(mix(node.view(U64) ^ U64(0x5851F42D4C957F2D)), blocks)[owner]
+    order = np.lexsort((owner, block))
+    block, owner, flat, df = block[order], owner[order], flat[order], df[order]
+    for p in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(block)) + 1) if len(owner) else []:
+        lo, hi = p[0], p[-1] + 1
+        heads = lo + np.flatnonzero(np.r_[True, np.diff(owner[lo:hi]) > 0])
+        yield int(block[lo]), node[owner[heads]], n[owner[heads]].astype(np.uint32), np.diff(np.r_[heads, hi]).astype(np.uint32), flat[lo:hi], df[lo:hi].astype(np.uint32)
 
 
 def least_common(n, percent: int = PERCENT):
@@ -154,25 +203,36 @@ def least_common(n, percent: int = PERCENT):
 
 
 def candidates(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Nodes that can have a partner at all: node, n, shared (how many of them other nodes have too), shingles (those, ascending), their sketch, regions (the rarest of them)."""
-    whole = shared.groupBy("node").agg(F.first("n").alias("n"), F.sum(F.octet_length("hits") / 12).alias("k"), F.collect_list("hits").alias("hits"))
-    whole = whole.filter(F.col("k") * 100 >= F.col("n") * percent)
+    """Nodes that can have a partner at all: node, n, shared (how many of their shingles other nodes have too), shingles (those,
+    ascending), their sketch, order (the rarest of them, rarest first), width (how many of these open regions)."""
+    kind = "node bigint, n bigint, shared bigint, shingles binary, sketch binary, order array<bigint>, width int"
 
-    def run(batches):
+    def run(key, t):
         lean()
-        for b in batches:
-            sets, regions, sketches, shared = [], [], [], []
-            for n, lists in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                pairs = np.frombuffer(b"".join(lists), dtype=[("hash", "<u8"), ("df", "<u4")])
-                hashes, df = pairs["hash"], pairs["df"]
-                sets.append(np.sort(hashes).tobytes())
-                sketches.append(sketch(hashes, n))
-                shared.append(len(hashes))
-                window = n - least_common(n, percent) + 1 - (n - len(hashes))
-                regions.append(hashes[np.lexsort((hashes, df))][: max(0, window)].view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared, pa.int64()), pa.array(sets, pa.binary()), pa.array(sketches, pa.binary()), pa.array(regions, pa.list_(pa.int64()))], names=["node", "n", "shared", "shingles", "sketch", "regions"])
-
-    return whole.select("node", "n", "hits").mapInArrow(run, "node bigint, n bigint, shared bigint, shingles binary, sketch binary, regions array<bigint>")
+        parts = [unpack(x) for x in t.column("blob").to_pylist()]
+        node, n, counts, flat, df = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        del parts
+        # hot shingles come once from every slice that has the node: one of each
+        names, first, which = np.unique(node, return_index=True, return_inverse=True)
+        n, owner = n[first].astype(np.int64), np.repeat(which, counts.astype(np.int64))
+        sort = np.lexsort((flat, owner))
+        flat, owner, df = flat[sort], owner[sort], df[sort]
+        once = np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])]
+        flat, owner, df = flat[once], owner[once], df[once]
+        k = np.bincount(owner, minlength=len(names))
+        at = np.r_[0, np.cumsum(k)]
+        sets, orders, widths, sketches = [], [], [], []
+        able = np.flatnonzero(k * 100 >= n * percent)
+        for i in able.tolist():
+            hashes, times = flat[at[i] : at[i + 1]], df[at[i] : at[i + 1]]
+            width = max(0, int(n[i]) - least_common(int(n[i]), percent) + 1 - (int(n[i]) - len(hashes)))
+            sets.append(hashes.tobytes())
+            sketches.append(sketch(hashes, n[i]))
+            widths.append(width)
+            orders.append(hashes[np.lexsort((hashes, times))][: width + DEPTH - 1].view(np.int64).tolist())
+        return pa.table({"node": pa.array(names[able]), "n": pa.array(n[able]), "shared": pa.array(k[able]), "shingles": pa.array(sets, pa.binary()), "sketch": pa.array(sketches, pa.binary()), "order": pa.array(orders, pa.list_(pa.int64())), "width": pa.array(widths, pa.int32())})
+
+    return shared.groupBy("block").applyInArrow(run, kind)
 
 
 def sketch_bits(n) -> int:
@@ -246,25 +306,46 @@ def close_pairs(node: np.ndarray, n: np.ndarray, shared: np.ndarray, sketches: l
     return out
 
 
-def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
-    """a, b: links that connect every two nodes that links connect."""
-    mem = sets.select("node", F.explode("regions").alias("region"))
-    pivots = mem.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    inside = written(mem.join(pivots, "region"), folder, "inside")
+def placed(members: DataFrame, sets: DataFrame, folder: str, name: str, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """members(region, node, at): the links with each region's document pivot (a, b), and the members that are to be joined again."""
+    pivots = members.groupBy("region").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    inside = written(members.join(pivots, "region"), folder, f"inside{name}")
     pairs = inside.filter("node <> pivot").select("node", "pivot").distinct()
-    known = written(measured(pairs, sets), folder, "measured")
+    known = written(measured(pairs, sets), folder, f"measured{name}")
     union = F.col("n1") + F.col("n2") - F.col("common")
     linked = F.col("common") * 100 >= union * percent
-    found = written(known.filter(linked).select(F.col("node").alias("a"), F.col("pivot").alias("b")), folder, "direct")
     radius = 1 - percent / 100
     far = known.select("node", "pivot", (1 - F.col("common") / union).alias("d"), linked.alias("ball"))
-    placed = inside.join(far, ["node", "pivot"], "left").select("region", "node", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("ball", F.lit(True)).alias("ball"))
-    placed = written(placed, folder, "placed")
+    where = inside.join(far, ["node", "pivot"], "left").select("region", "node", "at", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("ball", F.lit(True)).alias("ball"))
+    where = written(where, folder, f"placed{name}")
     # of each region: is anything outside the ball, and how near to it
-    rest = placed.groupBy("region").agg(F.count_if(~F.col("ball")).alias("out"), F.min(F.when(~F.col("ball"), F.col("d"))).alias("nearest")).filter("out > 0")
+    rest = where.groupBy("region").agg(F.count_if(~F.col("ball")).alias("out"), F.min(F.when(~F.col("ball"), F.col("d"))).alias("nearest")).filter("out > 0")
     stay = ~F.col("ball") | ((F.col("nearest") <= 2 * radius + 1e-9) & (F.col("d") >= F.col("nearest") - radius - 1e-9))
-    again = placed.join(rest, "region").filter(stay).select("region", "node")
+    return known.filter(linked).select(F.col("node").alias("a"), F.col("pivot").alias("b")), where.join(rest, "region").filter(stay).select("region", "node", "at")
+
+
+def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GROUP, depth: int = DEPTH) -> DataFrame:
+    """a, b: links that connect every two nodes that links connect."""
     traits = sets.select("node", "n", "shared", "sketch")
+    members = sets.select("node", F.posexplode(F.slice("order", F.lit(1), F.col("width"))).alias("at", "region"))
+    found, small, level = None, [], 0
+    while True:
+        direct, again = placed(members, sets, folder, str(level), percent)
+        direct = written(direct, folder, f"direct{level}")
+        found = direct if found is None else found.unionByName(direct)
+        again = written(unconnected(again, components(found, f"{folder}/cc{level}")), folder, f"again{level}")
+        level += 1
+        if level >= depth or again.filter(F.col("c") > group).isEmpty():
+            small.append(again)
+            break
+        small.append(again.filter(F.col("c") <= group))
+        # a pair that is linked has one more shingle in common within a window that is one wider
+        deep = again.filter(F.col("c") > group).join(sets.select("node", "order", (F.col("width") + level).alias("width")), "node")
+        members = deep.select("node", "region", "at", F.posexplode(F.slice("order", F.lit(1), F.col("width"))).alias("next", "hash")).filter("next > at").select("node", F.xxhash64("region", "hash").alias("region"), F.col("next").alias("at"))
+        members = written(members, folder, f"members{level}")
+    rest = small[0]
+    for x in small[1:]:
+        rest = rest.unionByName(x)
 
     def pairs_of(whole: bool):
         def run(key, t):
@@ -274,58 +355,76 @@ def links(sets: DataFrame, folder: str, percent: int = PERCENT, group: int = GRO
 
         return run
 
+    union = F.col("n1") + F.col("n2") - F.col("common")
+    linked = F.col("common") * 100 >= union * percent
     for step in range(2):
-        units = written(split(again, components(found, f"{folder}/cc{step}"), group), folder, f"units{step}")
+        if step:
+            rest = unconnected(rest.select("region", "node", "at"), components(found, f"{folder}/more"))
+        units = written(split(rest, group), folder, f"units{step}")
         close = units.join(traits, "node").groupBy("region", "lo", "hi").applyInArrow(pairs_of(step > 0), "node bigint, pivot bigint").distinct()
         more = written(measured(close, sets).select(F.col("node").alias("a"), F.col("pivot").alias("b"), linked.alias("linked")), folder, f"more{step}")
         found = found.unionByName(more.filter("linked").drop("linked"))
-        if not more.filter("NOT linked").limit(1).count():
+        if more.filter("NOT linked").isEmpty():
             break
     return found
 
 
-def split(members: DataFrame, linked: DataFrame, group: int = GROUP) -> DataFrame:
-    """members(region, node) -> region, lo, hi, node, component: the units to be joined. Regions whose nodes are in one component by
-    now are out; regions of the same nodes count once; a large one is cut in chunks, and each two of them (or one alone) make a unit."""
-    labelled = members.join(linked, "node", "left").select("region", "node", F.coalesce("component", "node").alias("component"))
-    kinds = labelled.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("c"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark")).filter("least <> most")
-    kept = kinds.groupBy("c", "mark").agg(F.min("region").alias("region")).select("region", F.greatest(F.ceil(F.col("c") * 2 / group), F.lit(1)).alias("chunks"))
-    mine = labelled.join(kept, "region").withColumn("i", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")))
+def unconnected(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """members(region, node, at) with each node's component and the region's number of members, c: regions whose nodes are in one
+    component by now are out, and of regions with the same nodes that of the rarest shingle stays (which their first common one is)."""
+    labelled = members.join(linked, "node", "left").select("region", "node", "at", F.coalesce("component", "node").alias("component"))
+    kinds = labelled.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("c"), F.sum("at").alias("at"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("mark")).filter("least <> most")
+    kept = kinds.groupBy("c", "mark").agg(F.min(F.struct("at", "region"))["region"].alias("region")).select("region", "c")
+    return labelled.join(kept, "region").select("region", "node", "at", "component", "c")
+
+
+def split(members: DataFrame, group: int = GROUP) -> DataFrame:
+    """members(region, node, component, c) -> region, lo, hi, node, component: the units to be joined. A region that is still large is cut in chunks, and each two of them (or one alone) make a unit."""
+    mine = members.withColumn("chunks", F.greatest(F.ceil(F.col("c") * 2 / group), F.lit(1))).withColumn("i", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")))
     unit = mine.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return unit.select("region", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "component")
 
 
 def classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, and text_key-free node for every row of the documents."""
+    """doc_id, n_shingles, component_id for every row of the documents; beside them key (a hash of the text) and part: the component's least node, null for an empty set."""
     spark = documents.sparkSession
     folder = shared_dir(spark)
     docs = docs_of(documents)
-    rows = written(nodes_of(docs), folder, "rows")
-    sets = written(candidates(shared_shingles(docs), percent), folder, "sets")
-    edges = written(links(sets, folder, percent), folder, "links")
-    for name in ("inside", "measured", "placed", "direct", "cc0", "cc1", "units0", "units1", "more0", "more1", "sets"):
+    size = text_bytes(docs)
+    every = written(nodes_of(docs), folder, "rows")
+    rows = every.filter("doc_id IS NOT NULL")
+    hot = heavy(every.filter("doc_id IS NULL").select(F.col("node").alias("hash"), F.col("n_shingles").alias("n")), rows.count(), HEAVY / 2, HOTTEST)
+    sets = written(candidates(shared_shingles(docs, hot, size), percent), folder, "sets")
+    edges = written(links(sets, f"{folder}/join", percent), folder, "links")
+    for name in ("join", "sets"):
         dropped(spark, f"{folder}/{name}")
     linked = components(edges, folder)
     first = rows.filter("node <> 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     # the least document of each component, for the nodes that have links; the others are their own
     least = linked.join(first, "node").groupBy("component").agg(F.min("least").alias("least"))
-    named = linked.join(least, "component").select("node", F.col("least").alias("by_links"))
-    every = first.join(named, "node", "left").select("node", F.coalesce("by_links", "least").alias("component_id"))
-    return rows.join(every, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+    named = linked.join(least, "component").select("node", "component", F.col("least").alias("by_links"))
+    all_ = first.join(named, "node", "left").select("node", F.coalesce("by_links", "least").alias("component_id"), F.coalesce("component", "node").alias("part"))
+    return rows.join(all_, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "key", "part")
 
 
 def jaccard_join(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    return classes(documents, percent).drop("node")
+    return classes(documents, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents, all columns, of which one of each component stays: the one with the least doc_id (of its repeated rows one)."""
-    keep = classes(documents, percent).filter("doc_id = component_id").select("doc_id").distinct()
+    """The documents, all columns, of which one of each component stays: the row with the least doc_id. Of rows that share this
+    doc_id, the text with the least hash stays, of rows that share the text too the first by their other columns. A doc_id may come
+    with several texts: each is judged by its own component. Texts without words link with nothing and stay, repeated rows once."""
     from pyspark.sql import Window
 
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    got = documents.join(keep, "doc_id", "left_semi")
-    return got.withColumn("_nth", F.row_number().over(once)).filter("_nth = 1").select(*documents.columns)
+    found = written(classes(documents, percent), shared_dir(documents.sparkSession), "classes")
+    best = found.filter("part IS NOT NULL").groupBy("part").agg(F.min(F.struct("doc_id", "key")).alias("row")).select("row.*")
+    keep = best.unionByName(found.filter("part IS NULL").select("doc_id", "key")).distinct().select(F.col("doc_id").alias("_jaccard_id"), F.col("key").alias("_jaccard_key"))
+    rows = documents.withColumn("_jaccard_text", F.xxhash64(F.col("text").cast("string")))
+    got = rows.join(keep, (F.col("doc_id").cast("bigint") == F.col("_jaccard_id")) & (F.col("_jaccard_text") == F.col("_jaccard_key")), "left_semi")
+    others = [F.col(f"`{c}`").cast("string") for c in documents.columns if c not in ("doc_id", "text")]
+    once = Window.partitionBy("doc_id", "_jaccard_text").orderBy(*(others or [F.lit(1)]))
+    return got.withColumn("_jaccard_nth", F.row_number().over(once)).filter("_jaccard_nth = 1").select(*documents.columns)
 
 
 #: For DuckDB.
