@@ -1,7 +1,7 @@
 """Operator 2: substring dedup by super-k-mer partitioning.
 
-A window is K consecutive words of one document. Each window's minimiser is the least hash of its runs of SEED words; consecutive
-windows that share it travel together as one packed string of words (a super-k-mer) to the minimiser's bucket, so equal windows
+A window is K consecutive words of one document. Each window's minimiser is the least of its runs of SEED words, by hash, runs that
+are frequent in the corpus last (so that a common phrase is no meeting place for all its surroundings); consecutive windows that share it travel together as one packed string of words (a super-k-mer) to the minimiser's bucket, so equal windows
 meet in one bucket wherever they stand. There the words get exact numbers, the windows are sorted, and neighbours in the sorted
 order are compared word by word. Equal super-k-mers of a slice of the input travel once, with the places they stand at, so a hot
 passage or a group of copies costs one string a slice. What comes back to a document are runs of windows that also start in a
@@ -9,7 +9,8 @@ document with a smaller doc_id; the words they cover are taken out.
 
 Cases: a null or empty text has no words; texts of fewer than K words lose none; a repeated row is judged like its twin (the
 doc_id is not smaller, so neither loses words to the other); rows of one doc_id with different texts are told apart by a 32-bit
-tag of the text; rows with a null doc_id are left out; an empty table gives an empty result.
+tag of the text; ties cannot arise, a window counts as seen if any smaller doc_id has it; a very long text is a slice of its own;
+other columns, whatever their names, stay as they are; rows with a null doc_id are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,13 +22,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, binary_rows, bound_batches, byte_view, docs_of, input_bytes, lean, mix, pack, partitions, ragged, slices, unpack, word_hashes, word_spans
+from .common import (
+    U64, Tally, binary_rows, bound_batches, byte_view, docs_of, groups, heavy, lean, member, mix, pack, partitions, ragged, slices,
+    text_bytes, unpack, word_hashes, word_spans,
+)
 
 #: Words of a window and of a minimiser seed.
 K, SEED = 13, 3
 #: Input bytes for each bucket: packed strings are some three times the text they come from.
 BUCKET_BYTES = 4 << 20
 SLICE = 4 << 20
+#: Bytes of text whose words are taken out, and digested, at a time.
+STRIP = 1 << 20
+#: A seed with this share of all words is frequent; so many of these at most.
+SHARE, FREQUENT = 2e-5, 1 << 17
+#: Set in the hashes of frequent seeds: they come after 65535 of 65536 others.
+LAST = U64(0xFFFF << 48)
 #: Compression of the packed strings: they are most of what is shuffled.
 LEVEL = 6
 
@@ -45,12 +55,21 @@ def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return out, at
 
 
-def minimisers(h: np.ndarray, k: int = K, seed: int | None = None) -> np.ndarray:
-    """For each window start the least seed hash of the window (windows that leave the array are cut off)."""
+def seeds(h: np.ndarray, seed: int | None = None) -> np.ndarray:
+    """A hash for each run of SEED words."""
     seed = seed or SEED
-    g = h[: len(h) - seed + 1].copy()
+    g = h[: max(0, len(h) - seed + 1)].copy()
     for j in range(1, seed):
         g = mix(g * U64(0x9E3779B97F4A7C15) + h[j : len(h) - seed + 1 + j])
+    return g
+
+
+def minimisers(h: np.ndarray, k: int = K, seed: int | None = None, often: np.ndarray = np.zeros(0, dtype=U64)) -> np.ndarray:
+    """For each window start the least seed of the window (windows that leave the array are cut off). The order is that of the
+    hashes, frequent seeds last, so a seed that is everywhere is no meeting place unless a window holds no other."""
+    seed = seed or SEED
+    g = seeds(h, seed)
+    g |= (member(g, often) >= 0).astype(U64) * LAST
     wide, least, span = k - seed + 1, g, 1
     while span * 2 <= wide:
         least = np.minimum(least[:-span], least[span:])
@@ -59,7 +78,7 @@ def minimisers(h: np.ndarray, k: int = K, seed: int | None = None) -> np.ndarray
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def super_kmers(batch_part: pa.RecordBatch, buckets: int, k: int = K):
+def super_kmers(batch_part: pa.RecordBatch, buckets: int, k: int = K, often: np.ndarray = np.zeros(0, dtype=U64)):
     """Packed blobs of a slice (doc_id, tag, text): one for each bucket that it has super-k-mers for."""
     data, offsets = byte_view(batch_part.column(2))
     starts, ends, first = word_spans(data, offsets)
@@ -67,7 +86,7 @@ def super_kmers(batch_part: pa.RecordBatch, buckets: int, k: int = K):
     if not len(starts) or counts.max() < k:
         return
     h = word_hashes(data, starts, ends)
-    least = minimisers(h, k)
+    least = minimisers(h, k, often=often)
     owner = np.repeat(np.arange(len(counts)), counts)
     windows = np.flatnonzero(np.arange(len(least)) + k <= first[owner[: len(least)] + 1])
     value, row = least[windows], owner[windows]
@@ -160,18 +179,37 @@ def windows_seen_before(blobs: list[bytes], k: int = K) -> tuple[np.ndarray, np.
     return doc[where[head]], tag[where[head]], pos[head], np.diff(np.r_[head, len(pos)])
 
 
+def frequent_seeds(docs: DataFrame) -> np.ndarray:
+    """Seeds that take a share of SHARE or more of all words, the FREQUENT most frequent ones at most, ascending. It only decides where windows meet, not which are equal."""
+
+    def count(batches):
+        lean()
+        often = Tally(SHARE / 4)
+        for whole in batches:
+            for b in slices(whole, most=SLICE):
+                data, offsets = byte_view(b.column(0))
+                h = word_hashes(data, *word_spans(data, offsets)[:2])
+                often.add(seeds(h), len(h))
+        hashes, times = often.result()
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(times, pa.int64()), pa.array([often.rows] * len(hashes), pa.int64())], names=["hash", "n", "words"])
+
+    found = docs.select("text").filter("text IS NOT NULL").mapInArrow(count, "hash bigint, n bigint, words bigint")
+    # as many bytes a word as the texts have on average, six with the blank behind it
+    return heavy(found.select("hash", "n"), text_bytes(docs) // 6, SHARE / 2, FREQUENT)[0]
+
+
 def covered_runs(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, tag, runs: packed pairs (start, number) of the windows that a document with a smaller doc_id has too."""
     spark = docs.sparkSession
     bound_batches(spark)
-    parts = partitions(spark)
-    buckets = max(4 * parts, -(-input_bytes(docs) // BUCKET_BYTES))
+    buckets = groups(text_bytes(docs), BUCKET_BYTES, 4 * partitions(spark))
+    often = spark.sparkContext.broadcast(frequent_seeds(docs))  # FREQUENT hashes at most
 
     def cut(batches):
         lean()
         for whole in batches:
             for b in slices(whole, most=SLICE):
-                got = list(super_kmers(b, buckets, k))
+                got = list(super_kmers(b, buckets, k, often.value))
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.int32()), pa.array([x for _, x in got], pa.binary())], names=["bucket", "blob"])
 
@@ -217,7 +255,7 @@ def substring_dedup(documents: DataFrame, k: int = K) -> DataFrame:
     def digest(batches):
         lean()
         for whole in batches:
-            for b in slices(whole, most=SLICE):
+            for b in slices(whole, most=STRIP):
                 n, removed, words, at = kept_words(b.column(1), b.column(2), k)
                 raw = memoryview(words.tobytes())
                 sha = [hashlib.sha256(raw[a : z - 1] if z > a else b"").hexdigest() for a, z in zip(at.tolist(), at[1:].tolist(), strict=False)]
@@ -241,7 +279,7 @@ def without_repeats(documents: DataFrame, k: int = K) -> DataFrame:
     def strip(batches):
         lean()
         for full in batches:
-            for b in slices(full, most=SLICE):
+            for b in slices(full, most=STRIP):
                 i, j = b.schema.get_field_index("text"), b.schema.get_field_index("_superkmer_runs")
                 n, removed, words, at = kept_words(b.column(i), b.column(j), k)
                 raw = words.tobytes()
