@@ -1,13 +1,18 @@
 """The corpus pipeline: five stages, each one of the training-data operators, each written as Parquet and reread by the next.
 
 A stage takes (spark, docs, sf_dir) and works on every row its predecessor kept; all but the last return the columns of documents.
+
+Cases, in every stage: rows with a null doc_id go at the first; null and empty texts are documents without words (not toxic, linked
+with nothing, nothing to take out of them, size 0); repeated rows become one in the second stage; a doc_id with several texts keeps
+those that the stage keeps, each judged for itself; further columns are dropped, whatever their names; nulls in lang, source and
+n_chars stay; an empty table passes through as an empty one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.llm.common import shared_dir, table, written
@@ -45,10 +50,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = docs.select(*COLUMNS)
     keys = ["doc_id", "_key", "_source"]
-    # repeated rows have equal keys, and their copies add up
-    taken = mix(docs).filter("copies > 0").groupBy("doc_id", F.col("text_key").alias("_key"), F.struct("source").alias("_source")).agg(F.sum("copies").cast("int").alias("_copies"))
-    rows = docs.withColumn("_key", F.xxhash64("text")).withColumn("_source", F.struct("source")).dropDuplicates(keys)
-    return rows.join(taken, keys).withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
+    taken = mix(docs).groupBy("doc_id", F.col("text_key").alias("_key"), F.struct("source").alias("_source")).agg(F.sum("copies").alias("_sum"))
+    # rows of one doc_id, text and source are alike to the mix: what it takes of them is dealt evenly, the first by their other columns first
+    same = Window.partitionBy(*keys)
+    rows = docs.withColumn("_key", F.xxhash64("text")).withColumn("_source", F.struct("source"))
+    rows = rows.withColumn("_nth", F.row_number().over(same.orderBy("lang", "n_chars"))).withColumn("_rows", F.count("*").over(same))
+    share = F.floor(F.col("_sum") / F.col("_rows")) + (F.col("_nth") <= F.col("_sum") % F.col("_rows")).cast("int")
+    dealt = rows.join(taken, keys).withColumn("_copies", share.cast("int")).filter("_copies > 0")
+    return dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
