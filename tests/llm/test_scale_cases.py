@@ -1,10 +1,17 @@
 """Hot keys, repeated ids, very long texts and recursion, each held against brute force."""
 
+import math
+import os
 import random
+import time
+from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from threadloom.llm import jaccard, superkmer
+from threadloom.llm import additive, jaccard, sp_bpe, superkmer
+from threadloom.llm.queries import tokenizer_file
 
 from . import brute
 from .test_operators import SCHEMA, vocabulary
@@ -75,3 +82,75 @@ def test_mixing_stage_is_the_same_again(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     one, two = (sorted(map(str, p.mixing(spark, x, "").collect())) for x in (d, d.repartition(5)))
     assert one == two and len(one) > 50
+
+
+def plain_recall(rows, got, k=5, every=50):
+    """Share of each query's k nearest that were found, by score, so equal vectors count alike."""
+    good = {i: np.array(v, dtype=float) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
+    ids, x = np.array(list(good)), np.stack(list(good.values()))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = wanted = 0
+    for q in (i for i in good if i % every == 0):
+        at = int(np.flatnonzero(ids == q)[0])
+        sims = x @ x[at]
+        sims[at] = -9
+        want = np.sort(sims)[::-1][:k]
+        found = np.sort([s for s in got.get(q, [])])[::-1]
+        assert len(found) == min(k, len(ids) - 1)
+        hits += int((np.abs(found - want) < 1e-9).sum()) if len(found) == len(want) else 0
+        wanted += len(want)
+    return hits / wanted
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata"), reason="no test tables")
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_tables(spark, sf):
+    d = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    got = defaultdict(list)
+    for x in additive.nearest(d).collect():
+        got[x["query_id"]].append(x["score"])
+    assert plain_recall([(r["vec_id"], r["embedding"]) for r in d.collect()], got) >= 0.95
+
+
+def test_recall_among_close_neighbours(spark):
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(6, 32))
+    rows = [(i, [float(x) for x in centres[i % 6] + r.normal(size=32) * 0.3]) for i in range(6000)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for x in additive.nearest(d, group_bytes=10_000).collect():  # several groups of queries
+        got[x["query_id"]].append(x["score"])
+    assert plain_recall(rows, got) >= 0.9
+
+
+def test_a_repeated_id_counts_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 0.2]), (2, [0.5, 0.1]), (2, [0.5, 0.1])]
+    want = [(0, 1, 1), (0, 2, 2)]  # least vectors: 0 has (0, 1), 1 has (1, 0.2)
+    for n in (1, 4):
+        d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(n)
+        assert sorted((x["query_id"], x["rank"], x["vec_id"]) for x in additive.nearest(d).collect()) in (want, [(0, 1, 2), (0, 2, 1)])
+        got = {x["vec_id"]: x["score"] for x in additive.nearest(d).collect()}
+        assert math.isclose(got[1], 0.2 / math.hypot(1, 0.2)) and math.isclose(got[2], 0.1 / math.hypot(0.5, 0.1))
+
+
+def test_long_words_have_a_heap():
+    coder, r = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model")), random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(r.choice(letters) for _ in range(300_000)), "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "กขคงจฉช" * 3000, "ab " * 500 + "internationalization" * 200 + " x" * 400, "🙂é" * 700]
+    began = time.time()
+    ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+    assert time.time() - began < 20
+    for text, part in zip(texts, np.split(ids, at[1:-1]), strict=True):
+        assert part.tolist() == coder.library.encode(text, add_eos=True)
+    words = ["▁" + "".join(r.choice("etaoin shr") for _ in range(r.randint(1, 400))).replace(" ", "") for _ in range(60)]
+    assert [coder.work_off(w).tolist() for w in words] == [x.tolist() for x in np.split(*(lambda f, n: (f, np.cumsum(n)[:-1]))(*coder._together(words)))]
+
+
+def test_a_vocabulary_that_spans_words_and_the_librarys_ids():
+    coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
+    texts = ["one text as a whole", "", "a  b " * 90]
+    coder.inner = True
+    ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+    assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
+    wrong = [[1, 2], [coder.end], [3]]
+    assert coder.checked(texts, wrong) == ([coder.library.encode(t, add_eos=True) for t in texts], [False, True, False])

@@ -6,29 +6,34 @@ table of inner products: sum of lookups / stored norm. The best of each shard ar
 precision, and the best of all shards remain. Codebooks are fitted on a bounded sample; every row is indexed.
 
 Equal vectors are coded once, with as many of their smallest ids as a result can use, so thousands of copies cost no more than one.
+The search is the stated query set against all rows, in blocks: its work is the number of queries times the number of rows.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of another dimension
-than the most frequent one (ties: the smaller); ids that are null take no part; a repeated id with the same vector counts once;
-ties go to the smaller vec_id; with fewer candidates than asked for, all are returned; an empty table gives an empty result.
+than the most frequent one (ties: the smaller); ids that are null take no part; a repeated id counts once, with the least of its
+vectors (as arrays compare); ties go to the smaller vec_id; with fewer candidates than asked for, all are returned; other columns,
+whatever their names, are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, partitions, shared_dir, written
+from .common import bound_batches, shared_dir, written
 
 #: Codebooks, words of each, beam width; rows the codebooks are fitted on at most; rounds of k-means.
-BOOKS, WORDS, BEAM = 8, 64, 4
+BOOKS, WORDS, BEAM = 16, 256, 4
 FIT_ROWS = 8192
 FIT_ROUNDS = 8
-#: Vectors of a shard, queries of a block, candidates of a shard that are ranked exactly.
+#: Vectors of a shard at most, queries of a block, candidates of a shard that are ranked exactly, bytes of the queries of a pass.
 SHARD = 4096
 BLOCK = 512
-SHORTLIST = 64
+SHORTLIST = 128
+GROUP_BYTES = 16 << 20
+#: Stands where there is no id.
+NONE = np.iinfo(np.int64).max
 
 
 def _assign(x: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -93,96 +98,108 @@ def lookup_scores(queries: np.ndarray, codes: np.ndarray, norms: np.ndarray, boo
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """vec_id and vector (double array) of the rows that take part."""
+    """vec_id and v (double array) of the rows that take part, one for each id."""
     v = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     whole = v.filter("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").filter(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
     top = whole.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    return whole.filter(F.size("v") == (top["d"] if top else 0))
+    return whole.filter(F.size("v") == (top["d"] if top else 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def distinct_vectors(v: DataFrame, ids: int) -> DataFrame:
-    """raw (the vector's bytes) and its smallest ids: first within an Arrow batch, then over all, so no group is gathered whole."""
+    """v and its smallest ids: ranks cut where the rows lie before any travels, so thousands of copies are a few rows."""
+    nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    return v.withColumn("nth", nth).filter(F.col("nth") <= ids).groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
-    def squeeze(batches):
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) + 0.0
+
+
+def indexed(vectors: DataFrame, handle, ids: int, shard: int) -> DataFrame:
+    """vectors(v, ids) -> a row for each shard: codes, norms, the vectors and their ids."""
+
+    def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) + 0.0
-            found: dict[bytes, list[int]] = {}
-            for i, row in sorted(zip(b.column(0).to_pylist(), x, strict=True), key=lambda t: t[0]):
-                got = found.setdefault(row.tobytes(), [])
-                if len(got) < ids and (not got or got[-1] != i):
-                    got.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.list_(pa.int64()))], names=["raw", "ids"])
-
-    some = v.mapInArrow(squeeze, "raw binary, ids array<bigint>")
-    return some.groupBy("raw").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, ids).alias("ids"))
-
-
-def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, shortlist: int = SHORTLIST, shard: int = SHARD) -> DataFrame:
-    """query_id, rank, vec_id, score for the rows whose id is divisible by `every`."""
+            for lo in range(0, b.num_rows, shard):
+                part = b.slice(lo, shard)
+                raw, lists = _matrix(part.column(0)), part.column(1).to_pylist()
+                codes, norms = encode((raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32), handle.value)
+                names = np.full((len(lists), ids), NONE)
+                for i, got in enumerate(lists):
+                    names[i, : len(got)] = got
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (codes, norms.astype(np.float64), raw, names)], names=["codes", "norms", "raw", "ids"])
+
+    return vectors.mapInArrow(run, "codes binary, norms binary, raw binary, ids binary")
+
+
+def search_shard(q: np.ndarray, qids: np.ndarray, raw: np.ndarray, ids: np.ndarray, codes: np.ndarray, norms: np.ndarray, books: np.ndarray, k: int, shortlist: int) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, k) ids and exact cosines, best first, of the shard's shortlist by lookups; NONE and -inf where there are fewer."""
+    qn, rn = np.linalg.norm(q, axis=1), np.linalg.norm(raw, axis=1)
+    rough = lookup_scores(q / qn[:, None], codes, norms, books)
+    keep = min(shortlist, len(raw))
+    best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+    exact = np.einsum("qd,qkd->qk", q, raw[best]) / (qn[:, None] * rn[best])
+    # equal vectors bring their ids along
+    them = ids[best].reshape(len(q), -1)
+    score = np.repeat(exact, ids.shape[1], axis=1)
+    score = np.where((them == qids[:, None]) | (them == NONE), -np.inf, score)
+    return _best(np.where(np.isfinite(score), them, NONE), score, k)
+
+
+def _best(ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((ids, -score), axis=1)[:, :k]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
+
+
+def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, shortlist: int = SHORTLIST, shard: int = SHARD, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """query_id, rank, vec_id, score for the rows whose id is divisible by `every`.
+
+    The queries go in groups of about `group_bytes`, one broadcast and one pass over the index each; a task keeps the best k of all
+    shards that it reads, so what is shuffled are k rows a query and task, and no vector travels for a comparison.
+    """
     spark = embeddings.sparkSession
     bound_batches(spark)
     folder = shared_dir(spark)
-    vectors = usable(embeddings)
-    index = written(distinct_vectors(vectors, k + 1).withColumn("key", F.xxhash64("raw")), folder, "vectors")
-    n = index.count()
-    rows = index.orderBy(F.xxhash64("key"), "raw").select("raw").limit(FIT_ROWS).toArrow().column(0).to_pylist()
-    if not rows:
+    vectors = written(usable(embeddings), folder, "vectors")
+    index = written(distinct_vectors(vectors, k + 1).withColumn("key", F.xxhash64("v")), folder, "distinct")
+    rows = index.orderBy(F.xxhash64("key"), "v").select("v").limit(FIT_ROWS).toArrow()
+    kind = "query_id bigint, vec_id bigint, score double"
+    if not rows.num_rows:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    x = np.frombuffer(b"".join(rows)).reshape(len(rows), -1)
+    x = _matrix(rows.column(0).combine_chunks())
     dims = x.shape[1]
-    books = spark.sparkContext.broadcast(fit(x / np.linalg.norm(x, axis=1, keepdims=True)))  # BOOKS * WORDS * dims numbers
-    shards = max(1, -(-n // shard))
-
-    def index_shard(key, t):
-        raw = np.frombuffer(b"".join(t.column("raw").to_pylist())).reshape(t.num_rows, -1)
-        codes, norms = encode(raw / np.linalg.norm(raw, axis=1, keepdims=True), books.value)
-        lists = t.column("ids").to_pylist()
-        ids = np.full((len(lists), k + 1), np.iinfo(np.int64).max)
-        for i, got in enumerate(lists):
-            ids[i, : len(got)] = got
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "codes": [codes.tobytes()], "norms": [norms.tobytes()], "raw": [raw.tobytes()], "ids": [ids.tobytes()]})
-
-    dealt = index.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
-    coded = written(dealt.groupBy("shard").applyInArrow(index_shard, "shard int, codes binary, norms binary, raw binary, ids binary"), folder, "index")
-
-    asked = vectors.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-
-    def pack_queries(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, BLOCK):
-                part = b.slice(lo, BLOCK)
-                raw = part.column(1).flatten().to_numpy(zero_copy_only=False) + 0.0
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()], pa.binary()), pa.array([raw.tobytes()], pa.binary())], names=["qids", "queries"])
-
-    blocks = asked.repartition(max(1, min(partitions(spark), -(-n // (every * BLOCK))))).mapInArrow(pack_queries, "qids binary, queries binary")
-    # each block of the stated query set meets each shard: blocks times shards rows, of bounded size
-    met = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(coded, "shard")
-
-    def search(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                got = {c: b.column(j)[i].as_py() for j, c in enumerate(b.schema.names)}
-                q = np.frombuffer(got["queries"]).reshape(-1, dims)
-                qids, raw = np.frombuffer(got["qids"], dtype=np.int64), np.frombuffer(got["raw"]).reshape(-1, dims)
-                ids = np.frombuffer(got["ids"], dtype=np.int64).reshape(len(raw), -1)
-                qn, rn = np.linalg.norm(q, axis=1), np.linalg.norm(raw, axis=1)
-                rough = lookup_scores(q / qn[:, None], np.frombuffer(got["codes"], dtype=np.uint8).reshape(len(raw), -1), np.frombuffer(got["norms"]), books.value)
-                keep = min(shortlist, len(raw))
-                best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-                exact = np.einsum("qd,qkd->qk", q, raw[best]) / (qn[:, None] * rn[best])
-                them = ids[best]  # queries, shortlist, ids of equal vectors
-                score = np.repeat(exact[:, :, None], them.shape[2], axis=2)
-                score = np.where((them == qids[:, None, None]) | (them == np.iinfo(np.int64).max), -np.inf, score).reshape(len(q), -1)
-                them = them.reshape(len(q), -1)
-                order = np.lexsort((them, -score), axis=1)[:, :k]
-                top, near = np.take_along_axis(score, order, 1), np.take_along_axis(them, order, 1)
-                ok = np.isfinite(top)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, k if top.shape[1] == k else top.shape[1])[ok.ravel()]), pa.array(near[ok]), pa.array(top[ok])], names=["query_id", "vec_id", "score"])
-
-    found = met.select("shard", "qids", "queries", "codes", "norms", "raw", "ids").mapInArrow(search, "query_id bigint, vec_id bigint, score double")
-    # at most k rows a query and shard; the best k by (score, id) of all of them
-    ranked = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
-    out = ranked.select("query_id", F.posexplode("best").alias("at", "b"))
-    return out.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    books = spark.sparkContext.broadcast(fit(x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32))  # BOOKS * WORDS * dims numbers
+    coded = written(indexed(index.select("v", "ids"), books, k + 1, shard), folder, "index")
+    asked = vectors.filter(F.col("vec_id") % every == 0)
+    turns = max(1, -(-asked.count() * dims * 8 // group_bytes))
+    found = []
+    for turn in range(turns):
+        mine = asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(turns)) == turn).toArrow()  # about group_bytes
+        if not mine.num_rows:
+            continue
+        handle = spark.sparkContext.broadcast((mine.column("vec_id").to_numpy(), _matrix(mine.column("v").combine_chunks())))
+
+        def search(batches, handle=handle):
+            qids, q = handle.value
+            ids, score = np.full((len(q), k), NONE), np.full((len(q), k), -np.inf)
+            for b in batches:
+                for i in range(b.num_rows):
+                    codes, norms, raw, names = (np.frombuffer(b.column(j)[i].as_py(), dtype=t) for j, t in enumerate((np.uint8, np.float64, np.float64, np.int64)))
+                    raw = raw.reshape(-1, dims)
+                    for lo in range(0, len(q), BLOCK):
+                        some = slice(lo, lo + BLOCK)
+                        got = search_shard(q[some], qids[some], raw, names.reshape(len(raw), -1), codes.reshape(len(raw), -1), norms, books.value, k, shortlist)
+                        ids[some], score[some] = _best(np.concatenate([ids[some], got[0]], axis=1), np.concatenate([score[some], got[1]], axis=1), k)
+            ok = ids != NONE
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, k)[ok.ravel()]), pa.array(ids[ok]), pa.array(score[ok])], names=["query_id", "vec_id", "score"])
+
+        top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ranked = coded.mapInArrow(search, kind).withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k)
+        found.append(written(ranked.select("query_id", "rank", "vec_id", "score"), folder, f"found{turn}"))
+        handle.unpersist()
+    if not found:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    out = found[0]
+    for x in found[1:]:
+        out = out.unionByName(x)
+    return out
