@@ -1,16 +1,20 @@
 """Operator 9: SentencePiece encoding and decoding for merge-type vocabularies, by a score-ordered agenda of adjacent symbol pairs.
 
-A text is cut into words that no piece of the vocabulary spans. All distinct words of an Arrow batch work off their agendas
-together: in each round every word merges its best adjacent pair (highest score, then leftmost), and only the pairs beside the
-merge are scored anew. Every text is then held, whole, against the sentencepiece library itself; what comes of it is in `agrees`.
+A text is cut into words that no piece of the vocabulary spans (a text is one word if some piece does). All distinct words of an
+Arrow batch work off their agendas together: in each round every word merges its best adjacent pair (highest score, then leftmost),
+and only the pairs beside the merge are scored anew. Words of more than LONG letters (texts without blanks) have a heap over linked
+symbols each. Every text is then held, whole, against the sentencepiece library itself; where the library's ids are others, they
+are what is returned, and `agrees` is false.
 
-Cases: a null or empty text has the end id alone and decodes to the empty text; repeated rows are encoded each; rows with a null
-doc_id are left out; characters that are in no piece become bytes.
+Cases: a null or empty text has the end id alone and decodes to the empty text; repeated rows are encoded each; pairs of one score
+merge from the left; a very long text is a slice of its own; rows with a null doc_id are left out; characters that are in no piece
+become bytes; other columns, whatever their names, are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +27,8 @@ from .common import bound_batches, byte_view, docs_of, ragged, slices
 BLANK = "▁"
 #: Bytes of text whose distinct words are worked off together.
 SLICE = 6 << 20
+#: Letters from which a word has an agenda of its own.
+LONG = 128
 #: Letters of the strings of words that the library is asked for.
 STRING = 1 << 15
 
@@ -50,11 +56,12 @@ class Agenda:
             for k in range(1, len(piece)):
                 if piece[:k] in ids and piece[k:] in ids:
                     pairs[ids[piece[:k]] * n + ids[piece[k:]]] = i
+        self.pairs = pairs
         self._hash_pairs(pairs)
         # the agenda's order: scores, best first, as whole numbers
         scores = np.array([lib.get_score(i) for i in range(n)])
         self.order = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
-        #: Cutting at blanks is right if no piece has a blank after another character.
+        #: Cutting at blanks is right if no piece has a blank after another character; else a text is one word.
         self.inner = any(BLANK in p.lstrip(BLANK) for p in ids)
 
     def _hash_pairs(self, pairs: dict[int, int], bits: int = 20) -> None:
@@ -85,8 +92,63 @@ class Agenda:
             out[rest] = np.where(self.over[k] == key[rest], self.over_made[k], -1)
         return out
 
+    def work_off(self, word: str) -> np.ndarray:
+        """Ids of one word, by a heap of its adjacent pairs (best score, then leftmost) over linked symbols: its time follows the word's length, up to a logarithm."""
+        n, pairs, order = self.size, self.pairs, self.order.tolist()
+        symbols = [self.ids.get(c, -2 - ord(c)) for c in word]
+        last = len(symbols)
+        before, after = list(range(-1, last - 1)), list(range(1, last + 1))
+        made = [-1] * last
+
+        def meet(i: int, j: int) -> int:
+            a, b = symbols[i], symbols[j]
+            made[i] = piece = pairs.get(a * n + b, -1) if a >= 0 and b >= 0 else -1
+            return piece
+
+        agenda_ = [order[p] << 40 | i for i in range(last - 1) if (p := meet(i, i + 1)) >= 0]
+        heapq.heapify(agenda_)
+        while agenda_:
+            entry = heapq.heappop(agenda_)
+            i = entry & (1 << 40) - 1
+            piece = made[i]
+            if piece < 0 or order[piece] != entry >> 40:
+                continue  # its symbols are others by now
+            j = after[i]
+            symbols[i], symbols[j] = piece, None
+            made[i] = made[j] = -1
+            after[i] = k = after[j]
+            if k < last:
+                before[k] = i
+                if (p := meet(i, k)) >= 0:
+                    heapq.heappush(agenda_, order[p] << 40 | i)
+            if (h := before[i]) >= 0 and (p := meet(h, i)) >= 0:
+                heapq.heappush(agenda_, order[p] << 40 | h)
+        out: list[int] = []
+        for x in symbols:
+            if x is not None:
+                out += [x] if x >= 0 else [self.bytes[c] for c in chr(-2 - x).encode()]
+        return np.array(out, dtype=np.int64)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words end to end, and the number of ids of each."""
+        """Ids of all words end to end, and the number of ids of each: words up to LONG letters all together, longer ones by a heap each."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self._together(words)
+        flat, some = self._together([w for w in words if len(w) <= LONG])
+        found = {i: self.work_off(words[i]) for i in long}
+        short = np.ones(len(words), dtype=bool)
+        short[long] = False
+        lengths = np.zeros(len(words), dtype=np.int64)
+        lengths[short], lengths[long] = some, [len(found[i]) for i in long]
+        at = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), dtype=np.int64)
+        out[ragged(at[short], some)] = flat
+        for i, ids in found.items():
+            out[at[i] : at[i] + len(ids)] = ids
+        return out, lengths
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words end to end, and the number of ids of each: every word's agenda goes one merge on in each round."""
         text = "".join(words)
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
@@ -155,15 +217,18 @@ class Agenda:
 
     def agreement(self, texts: list[str], lists: list[list[int]], doubt: np.ndarray | None = None) -> list[bool]:
         """Whether the library's ids are the same: it is asked for every text, whole, in doubt or not."""
-        return [theirs == ids for ids, theirs in zip(lists, self.library.encode(texts, add_eos=True, num_threads=1), strict=True)]
+        return self.checked(texts, lists)[1]
+
+    def checked(self, texts: list[str], lists: list[list[int]]) -> tuple[list[list[int]], list[bool]]:
+        """The ids, the library's own where it has others for a text, and whether it has the same."""
+        theirs = self.library.encode(texts, add_eos=True, num_threads=1)
+        return theirs, [a == b for a, b in zip(lists, theirs, strict=True)]
 
     def encode(self, texts: pa.Array, doubts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a doubtful word (none without `doubts`).
 
         Words start where a run of blanks starts; equal words of the batch are worked off once.
         """
-        if self.inner:
-            raise ValueError("a piece of this vocabulary spans words")
         data, offsets = byte_view(texts)
         raw = data.tobytes()
         normal = [self.library.normalize(raw[a:b].decode()) if b > a else "" for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -175,6 +240,7 @@ class Agenda:
             blank[:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
         cut = blank.copy()
         cut[3:] &= ~blank[:-3]
+        cut &= not self.inner
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(cut)
         words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.r_[starts, n].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
@@ -209,7 +275,7 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
                 ids, at, _ = coder.encode(b.column(1), doubts=False)
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                same = coder.agreement(texts, lists)
+                lists, same = coder.checked(texts, lists)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
 
@@ -229,10 +295,10 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
                 ids, at, _ = coder.encode(b.column(1), doubts=False)
                 lists = [x.tolist() for x in np.split(ids, at[1:-1])]
                 texts = [x or "" for x in b.column(1).to_pylist()]
-                same = coder.agreement(texts, lists)
+                lists, same = coder.checked(texts, lists)
                 decoded = lib.decode(lists, num_threads=1)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(np.diff(at)), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists]), pa.array([sha(x.encode()) for x in decoded]), pa.array(same)],
+                    [b.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists]), pa.array([sha(x.encode()) for x in decoded]), pa.array(same)],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"],
                 )
 
