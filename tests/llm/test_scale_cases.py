@@ -10,11 +10,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm import additive, jaccard, sp_bpe, superkmer
+from threadloom.llm import additive, jaccard, sp_bpe, superkmer, toxicity
 from threadloom.llm.queries import tokenizer_file
 
 from . import brute
-from .test_operators import SCHEMA, vocabulary
+from .test_operators import SCHEMA, plain_kernel, toxic_texts, vocabulary
 
 
 def say(r, v, n):
@@ -154,3 +154,50 @@ def test_a_vocabulary_that_spans_words_and_the_librarys_ids():
     assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
     wrong = [[1, 2], [coder.end], [3]]
     assert coder.checked(texts, wrong) == ([coder.library.encode(t, add_eos=True) for t in texts], [False, True, False])
+
+
+def test_kernel_values_equal_brute_force():
+    r = random.Random(11)
+    marks = ["idiot", "scum", "stupid", "banana", "abcdefgh", "ééàé"]
+    words = ["".join(r.choice("idotscumpbanegéà") for _ in range(r.randint(1, 14))) for _ in range(300)]
+    words += ["ixdxixoxt", "sxcxum", "bxaxnxaxnxa", "stuupid", "idiotidiot", "xabcdxefgh", "", "a"]
+    kern = toxicity.Kernel(marks)
+    got = kern.values(words)
+    for i, w in enumerate(words):
+        for j, m in enumerate(marks):
+            want = plain_kernel(w, m, 4, toxicity.DECAY) / plain_kernel(m, m, 4, toxicity.DECAY)
+            assert math.isclose(got[i, j], want if want >= toxicity.FLOOR else 0, rel_tol=1e-4, abs_tol=1e-5) or abs(want - toxicity.FLOOR) < 1e-5, (w, m)
+
+
+def test_insults_with_letters_between_any_two():
+    texts = toxic_texts(600, 4)
+    model = toxicity.fit([t for t, _ in texts], np.array([y for _, y in texts]))
+    score = lambda *ts: model.score(toxicity.text_features(pa.array(ts, pa.string()), model.kernel))
+    clean = " ".join(vocabulary(4)[:30])
+    assert (score(*(f"{clean} {w} {clean}" for w in ("ixdxixoxt", "idxiot", "idxyziot", "sczumbag", "sczumbazg", "worxthless", "wworthleess"))) >= toxicity.THRESHOLD).all()
+    assert (score(clean, *(t for t, y in toxic_texts(300, 4) if not y)) < toxicity.THRESHOLD).mean() > 0.97
+
+
+def test_the_machine_against_plain_descent():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(120, 3))
+    y = (x @ [1.0, -2.0, 0.5] + 0.3 + r.normal(size=120) * 0.5 > 0.8).astype(int)
+    sign, weight = np.where(y > 0, 1, -1), np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y <= 0).sum()) * len(y)
+
+    def loss(w):
+        return 0.5 * (w[:3] ** 2).sum() / len(y) + 20 / len(y) * (weight * np.maximum(0, 1 - sign * (x @ w[:3] + w[3])) ** 2).sum()
+
+    weights, bias = toxicity.train(x, y)
+    best, step = np.zeros(4), 1.0  # coordinate search
+    while step > 1e-7:
+        moves = [best + step * s * np.eye(4)[i] for i in range(4) for s in (1, -1)]
+        new = min(moves, key=loss)
+        best, step = (new, step) if loss(new) < loss(best) else (best, step / 2)
+    assert math.isclose(loss(np.r_[weights, bias]), loss(best), rel_tol=1e-3)
+
+
+def test_a_group_of_one_passage_is_no_landmark():
+    passage = "one two qqzzqq three four".split()
+    toxic = [["w%d%s" % (k, c) for c in "abcdef"] + passage + [f"a{k}", "wretch", f"b{k}"] for k in range(40)]
+    got = toxicity.landmarks([set(t) for t in toxic], [{"clean"}] * 300, contexts=toxicity.contexts_of(toxic))
+    assert got and all(m in "wretch" for m in got)

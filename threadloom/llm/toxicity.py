@@ -1,25 +1,31 @@
 """Operator 6: toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-The kernel of two words adds decay**span over all common subsequences of ORDER letters, so an insult with letters put in, marks
-between its letters or blanks between them (runs of single letters are read as one word) still matches. Landmarks are letter
-groups that labelled toxic sentences hold and clean ones don't, found by greedy cover. A word's kernel values against the
-landmarks (cosines, the best stretch of the word), whitened by the landmarks' own kernel matrix, are its Nyström features; a sentence keeps the largest value of its words
-for each landmark, a text that of its sentences. A linear machine on these is trained with squared hinge loss, and its output
-turned into a probability by a logistic fit.
+The kernel of two words adds decay**span over their common subsequences of ORDER letters, for each by its tightest occurrence, so
+an insult with letters put in, marks between its letters or blanks between them (runs of single letters are read as one word) still
+matches. Landmarks are letter groups that labelled toxic sentences hold, in words of many different surroundings, and clean ones
+don't, found by greedy cover. A word's features are its kernel values against the landmarks, relative to the landmarks' own; a
+sentence keeps the largest value of its words for each landmark, a text that of its sentences. What clean texts reach by chance is
+taken off (FLOOR at least), and what is left is whitened by the landmarks' own kernel matrix: the Nyström features. Only words that
+provably stay below FLOOR, by the letters they hold, are not compared. A linear machine on these is trained with squared hinge loss,
+and its output turned into a probability by a logistic fit. Among its training rows are the landmarks with letters put in.
 
 Training takes at most FIT_TOXIC and FIT_CLEAN labelled texts (by the crc32 of their ids) of at most FIT_BYTES in all: a bounded,
 documented sample; texts that don't fit any more are passed over, each class within its part of the bytes first. Every text is scored whole.
 
 Cases: a null or empty text has no word and gets the machine's value at zero; without labels of both kinds every score is the
 share of toxic labels learned from (0 without any); null labels are not learned from; a doc_id labelled twice is toxic if one
-label says so; repeated rows are scored each; rows with a null doc_id are left out.
+label says so; repeated rows are scored each; a very long text is read in whole, words beyond WIDE letters in overlapping stretches;
+ties in the sample's order go by doc_id and text; other columns, whatever their names, don't matter; rows with a null doc_id are
+left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +41,8 @@ LANDMARKS = 48
 GROUP = (4, 5, 6, 7, 8)
 CLEAN_SHARE = 0.001
 LEAST_TEXTS, LEAST_SHARE = 3, 0.025
-#: A landmark is compared with words that hold so much of its letters.
-HOLDS = 0.85
-#: Letters by which a stretch of a word may be longer than the landmark.
-SLACK = 3
+#: Words whose kernel is worked out at a time; the least value that counts.
+STEP, FLOOR = 1024, 0.3
 FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
 #: Ids looked at for each one taken: some have no text, or one that doesn't fit.
 SPARE = 4
@@ -48,8 +52,10 @@ FIT_STEP = 300
 WIDE = 24
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"[.!?\n]+")
-#: Kernel value from which a sentence of a toxic text is taken as toxic itself.
-SPEAKS = 0.9
+#: Kernel value from which a sentence of a toxic text is taken as toxic itself; value above the background from which a landmark with letters put in is.
+SPEAKS, HEARD = 0.9, 0.1
+#: Share of the clean texts that go beyond a landmark's background.
+BACKGROUND = 0.0005
 
 
 def letters_of(word: str) -> str:
@@ -74,28 +80,35 @@ def pieces_of(words: list[str]) -> list[str]:
     return [p[i : i + WIDE] for p in out for i in range(0, max(1, len(p) - WIDE // 2), WIDE // 2)]
 
 
-def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """Gap-weighted subsequence kernel of padded words (rows, WIDE) of letter codes with one landmark (or one for each row), all words at once.
+def subsequences(mark: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """The different subsequences of `order` letters of a landmark, as places in it (the tightest, leftmost ones), and their spans."""
+    found: dict[str, tuple[int, ...]] = {}
+    for at in combinations(range(len(mark)), order):
+        u = "".join(mark[i] for i in at)
+        if u not in found or at[-1] - at[0] < found[u][-1] - found[u][0]:
+            found[u] = at
+    places = np.array(list(found.values()), dtype=np.int64).reshape(-1, order)
+    return places, places[:, -1] - places[:, 0] + 1
 
-    below[j] is the kernel of order i-1 that ends anywhere up to here, decayed for each letter since (Lodhi et al. 2002).
+
+def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, places: np.ndarray, spans: np.ndarray, decay: float = DECAY) -> np.ndarray:
+    """Gap-weighted subsequence kernel of padded words (rows, WIDE) of letter codes with one landmark: the sum over its subsequences
+    of decay**span in the word times decay**span in the landmark. A subsequence counts by its tightest occurrence, so a word that
+    repeats some letters does not add up to one that holds them all.
+
+    start[i] is, for every word and subsequence, where the latest occurrence of its first i + 1 letters begins.
     """
-    n, m = len(words), mark.shape[-1]
-    before = np.ones((n, words.shape[1] + 1, m + 1), dtype=np.float32)
-    total = np.zeros(n, dtype=np.float32)
-    for i in range(1, order + 1):
-        now = np.zeros_like(before)
-        for s in range(words.shape[1]):
-            live = s < lengths
-            same = (words[:, s : s + 1] == np.atleast_2d(mark)) & live[:, None]
-            if i == order:
-                total += (same * before[:, s, :m]).sum(1) * np.float32(decay * decay)
-                continue
-            run = np.zeros(n, dtype=np.float32)
-            for t in range(m):
-                run = decay * run + np.where(same[:, t], decay * decay * before[:, s, t], 0)
-                now[:, s + 1, t + 1] = decay * now[:, s, t + 1] + run
-        before = now
-    return total
+    n, u = len(words), len(places)
+    start = np.full((places.shape[1], n, u), -1000, dtype=np.int16)
+    best = np.full((n, u), 1000, dtype=np.int16)
+    for s in range(words.shape[1]):
+        same = (words[:, s : s + 1] == mark) & (s < lengths)[:, None]
+        last = same[:, places[:, -1]]
+        np.minimum(best, s + 1 - start[-2], out=best, where=last)
+        for i in range(places.shape[1] - 2, 0, -1):
+            np.copyto(start[i], start[i - 1], where=same[:, places[:, i]])
+        np.copyto(start[0], np.int16(s), where=same[:, places[:, 0]])
+    return decay ** best.astype(np.float32) @ (decay ** spans.astype(np.float32))
 
 
 def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -112,56 +125,52 @@ def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Kernel:
-    """Kernel values of words against landmarks, each relative to the landmark's own."""
+    """How much of each landmark's kernel with itself words hold: 1 for a word that holds it whole, less for each letter between."""
 
     def __init__(self, marks: list[str]):
         self.marks = marks
         self.codes = [np.array([min(ord(c), 65535) for c in m], dtype=np.uint16) for m in marks]
+        self.parts = [subsequences(m) for m in marks]
+        self.own = np.array([(DECAY ** (2.0 * spans)).sum() for _, spans in self.parts])
+        self.bounds = [self._bounds(j) for j in range(len(marks))]
         w, n = coded(marks)
-        self.own = np.array([kernel(w[i : i + 1], n[i : i + 1], c)[0] for i, c in enumerate(self.codes)])
-        self.gram = np.array([kernel(w, n, c) for c in self.codes]) / np.sqrt(np.outer(self.own, self.own)) if marks else np.zeros((0, 0))
+        self.gram = np.array([kernel(w, n, c, *p) for c, p in zip(self.codes, self.parts, strict=True)]) / np.sqrt(np.outer(self.own, self.own)) if marks else np.zeros((0, 0))
         values, vectors = np.linalg.eigh(self.gram) if marks else (np.zeros(0), np.zeros((0, 0)))
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
 
-    @staticmethod
-    def _stretches(codes: np.ndarray, lengths: np.ndarray, mark: np.ndarray, letters: np.ndarray, times: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Stretches of words about as long as the landmark that hold enough of its letters: their words, codes and lengths. Each
-        gets its own cosine, so what a long word holds by the way counts little; a word shorter than the landmark is one stretch."""
-        rows, parts, sizes = [], [], []
-        for wide in range(len(mark), min(len(mark) + SLACK, WIDE) + 1):
-            view = np.lib.stride_tricks.sliding_window_view(codes, wide, axis=1)
-            at = np.arange(view.shape[1])
-            fits = at[None, :] + wide <= lengths[:, None]
-            if wide == len(mark):
-                fits[:, 0] = True
-            held = sum((np.minimum(np.count_nonzero(view == c, axis=2), k) for c, k in zip(letters, times, strict=True)), np.zeros(fits.shape, dtype=np.int64))
-            r, o = np.nonzero(fits & (held >= least))
-            part = np.zeros((len(r), len(mark) + SLACK), dtype=codes.dtype)
-            part[:, :wide] = view[r, o]
-            rows.append(r)
-            parts.append(part)
-            sizes.append(np.minimum(lengths[r] - o, wide))
-        return np.concatenate(rows), np.concatenate(parts), np.concatenate(sizes)
+    def _bounds(self, j: int) -> np.ndarray:
+        """For each set of a landmark's places the most that a word can reach which holds only letters for these: no span in a word
+        is below ORDER, and a subsequence whose letters are not held adds nothing."""
+        places, spans = self.parts[j]
+        marks = self.marks[j]
+        letters = [Counter(marks[i] for i in at) for at in places.tolist()]
+        out = np.zeros(1 << len(marks))
+        for held in range(1 << len(marks)):
+            have = Counter(marks[i] for i in range(len(marks)) if held >> i & 1)
+            able = [all(have[c] >= k for c, k in need.items()) for need in letters]
+            out[held] = (DECAY ** (ORDER + spans[able])).sum() / self.own[j]
+        return out
 
     def values(self, words: list[str]) -> np.ndarray:
-        """(words, landmarks); words that hold too few of a landmark's letters have 0 there."""
+        """(words, landmarks); words that cannot reach FLOOR, by the letters they hold, have 0 there, and nothing counts below it."""
         out = np.zeros((len(words), len(self.marks)), dtype=np.float32)
-        if not words:
+        if not words or not self.marks:
             return out
         codes, lengths = coded(words)
+        order = np.argsort(lengths, kind="stable")  # words of about one length together: less padding
+        codes, lengths = codes[order], lengths[order]
         counts = {c: np.count_nonzero(codes == c, axis=1).astype(np.int8) for c in set(np.concatenate(self.codes).tolist())}
         for j, mark in enumerate(self.codes):
-            letters, times = np.unique(mark, return_counts=True)
-            held = np.zeros(len(words), dtype=np.int8)
-            for c, k in zip(letters.tolist(), times.tolist(), strict=True):
-                held += np.minimum(counts[c], np.int8(k))
-            least = max(ORDER, HOLDS * len(mark))
-            near = np.flatnonzero(held >= least)
-            for lo in range(0, len(near), 4096):
-                rows, parts, sizes = self._stretches(codes[near[lo : lo + 4096]], lengths[near[lo : lo + 4096]], mark, letters, times, least)
-                if len(rows):
-                    cosine = kernel(parts, sizes, mark) / np.sqrt(self.own[j] * np.maximum(kernel(parts, sizes, parts), 1e-12))
-                    np.maximum.at(out[:, j], near[lo + rows], cosine)
+            held = np.zeros(len(words), dtype=np.int16)
+            seen: Counter[int] = Counter()
+            for i, c in enumerate(mark.tolist()):  # the k-th place of a letter is held by words with k of it
+                held |= (counts[c] > seen[c]).astype(np.int16) << i
+                seen[c] += 1
+            near = np.flatnonzero(self.bounds[j][held] >= FLOOR)
+            for lo in range(0, len(near), STEP):
+                rows = near[lo : lo + STEP]
+                got = kernel(codes[rows, : lengths[rows[-1]]], lengths[rows], mark, *self.parts[j]) / self.own[j]
+                out[order[rows], j] = np.where(got >= FLOOR, got, 0)
         return out
 
 
@@ -179,9 +188,10 @@ def unlike(texts: list[set[str]], hashes: int = 8) -> list[set[str]]:
     return out
 
 
-def landmarks(toxic: list[set[str]], clean: list[set[str]], most: int = LANDMARKS) -> list[str]:
+def landmarks(toxic: list[set[str]], clean: list[set[str]], most: int = LANDMARKS, contexts: dict[str, tuple[set[str], set[str]]] | None = None) -> list[str]:
     """Letter groups by greedy cover of the words of toxic texts: each next one is in the most toxic texts, in words that hold
-    no earlier one, and in next to no clean text; longer groups win near ties."""
+    no earlier one, and in next to no clean text; longer groups win near ties. With `contexts`, a group needs different words
+    before and behind it, a quarter as many as it is in texts: what recurs in one and the same passage only says that it was copied."""
     toxic = unlike(toxic)
     parts = lambda w: {w[i : i + n] for n in GROUP for i in range(len(w) - n + 1)}
     least = max(LEAST_TEXTS, LEAST_SHARE * len(toxic))
@@ -199,6 +209,13 @@ def landmarks(toxic: list[set[str]], clean: list[set[str]], most: int = LANDMARK
         good.update({g for w in words for g in parts(w)} & likely)
     limit = CLEAN_SHARE * len(clean)
     usable = {g for g in likely if good[g] <= limit}
+    if contexts is not None:
+        around: dict[str, tuple[set[str], set[str]]] = {g: (set(), set()) for g in usable}
+        for w, sides in contexts.items():
+            for g in parts(w) & usable:
+                for mine, more in zip(around[g], sides, strict=True):
+                    mine.update(more)
+        usable = {g for g in usable if min(map(len, around[g])) >= max(LEAST_TEXTS, bad[g] / 4)}
     where: dict[str, set[int]] = {}
     for k, words in enumerate(toxic):
         for w in words:
@@ -238,6 +255,11 @@ def train(x: np.ndarray, y: np.ndarray, cost: float = 20.0, rounds: int = 800) -
     return w[:-1], float(w[-1])
 
 
+def squashed(margin: np.ndarray) -> np.ndarray:
+    """Margins in the same order between -1 and 1: beyond the machine's own margin of 1 more of it says little."""
+    return margin / (1 + np.abs(margin))
+
+
 def logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, float]:
     """Platt's slope and offset by Newton steps, with his smoothed targets."""
     pos, neg = (y > 0).sum(), (y <= 0).sum()
@@ -253,16 +275,29 @@ def logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float
     return float(a), float(b)
 
 
+def background(clean: np.ndarray) -> np.ndarray:
+    """Of each landmark the value that BACKGROUND of the clean texts go beyond: what words reach by chance, much for short landmarks of common letters."""
+    if not len(clean):
+        return np.full(clean.shape[1], FLOOR, dtype=np.float32)
+    beyond = min(len(clean) - 1, int(BACKGROUND * len(clean)))
+    return np.clip(np.sort(clean, axis=0)[len(clean) - 1 - beyond], np.float32(FLOOR), np.float32(0.95))
+
+
+def above(features: np.ndarray, ground: np.ndarray) -> np.ndarray:
+    """What stands out of the background, 1 for a landmark held whole."""
+    return np.maximum(features - ground, 0) / (1 - ground)
+
+
 class Model:
-    """What scores a text: kernel, whitening, machine, logistic."""
+    """What scores a text: kernel, background, whitening, machine, logistic."""
 
-    def __init__(self, kernel_: Kernel, weights: np.ndarray, bias: float, slope: float, offset: float):
-        self.kernel = kernel_
+    def __init__(self, kernel_: Kernel, ground: np.ndarray, weights: np.ndarray, bias: float, slope: float, offset: float):
+        self.kernel, self.ground = kernel_, ground
         self.direct = kernel_.whiten @ weights if len(kernel_.marks) else np.zeros(0)
         self.bias, self.slope, self.offset = bias, slope, offset
 
     def score(self, features: np.ndarray) -> np.ndarray:
-        margin = features @ self.direct + self.bias
+        margin = squashed(above(features, self.ground) @ self.direct + self.bias)
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
@@ -323,32 +358,50 @@ def text_features(texts: pa.Array, kern: Kernel) -> np.ndarray:
     return out
 
 
+def contexts_of(texts: list[list[str]]) -> dict[str, tuple[set[str], set[str]]]:
+    """For each word the different words before it and behind it in the texts."""
+    out: dict[str, tuple[set[str], set[str]]] = {}
+    for words in texts:
+        for before, w, after in zip(["", *words], words, [*words[1:], ""], strict=False):
+            sides = out.setdefault(w, (set(), set()))
+            sides[0].add(before)
+            sides[1].add(after)
+    return out
+
+
+def put_in(mark: str) -> list[str]:
+    """The landmark with a letter put in, at every place, and with one between any two: what the kernel has to tolerate."""
+    return [mark[:i] + "\0" + mark[i:] for i in range(1, len(mark))] + ["\0".join(mark)]
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
     names: dict[str, str] = {}  # one string for each distinct word of all texts
-    words = [{names.setdefault(w, w) for w in pieces_of(t.split())} for t in texts]
+    words = [[names.setdefault(w, w) for w in pieces_of(t.split())] for t in texts]
     y = np.asarray(toxic)
     if not len(y) or y.min() == y.max():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-9, 1 - 1e-9))
-        return Model(Kernel([]), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))) if len(y) else -30.0)
-    marks = landmarks([w for w, t in zip(words, y, strict=True) if t], [w for w, t in zip(words, y, strict=True) if not t])
-    del words, names
+        return Model(Kernel([]), np.zeros(0), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))) if len(y) else -30.0)
+    bad, good = ([w for w, t in zip(words, y, strict=True) if bool(t) is x] for x in (True, False))
+    marks = landmarks([set(w) for w in bad], [set(w) for w in good], contexts=contexts_of(bad))
+    del words, names, bad, good
     kern = Kernel(marks)
     features = lambda ts, step: np.concatenate([text_features(pa.array(ts[i : i + step], pa.string()), kern) for i in range(0, len(ts), step)] or [np.zeros((0, len(marks)), dtype=np.float32)])
     x = features(texts, FIT_STEP)
+    ground = background(x[y <= 0])
     # sentences of toxic texts stand alone where a landmark speaks, so none leans on its company; clean texts hold clean sentences only
-    sentences = [q for t, bad in zip(texts, y, strict=True) if bad for q in SENTENCE.split(t)]
+    sentences = [q for t, is_bad in zip(texts, y, strict=True) if is_bad for q in SENTENCE.split(t)]
     alone = features(sentences, 50 * FIT_STEP)
     alone = np.unique(alone[alone.max(1, initial=0) >= SPEAKS], axis=0)
-    # each landmark with a letter put in, at every place: what the kernel has to tolerate
-    gapped = [m[:i] + "\0" + m[i:] for m in marks for i in range(1, len(m))]
-    alone = np.concatenate([alone, kern.values(gapped)])
-    weights, bias = train(np.concatenate([x, alone]) @ kern.whiten, np.r_[y, np.ones(len(alone), dtype=y.dtype)])
-    margin = x @ (kern.whiten @ weights) + bias
-    return Model(kern, weights, bias, *logistic(margin, y))
+    gapped = kern.values([g for m in marks for g in put_in(m)])
+    alone = np.concatenate([alone, gapped[above(gapped, ground).max(1, initial=0) >= HEARD]])
+    z, y = above(np.concatenate([x, alone]), ground) @ kern.whiten, np.r_[y, np.ones(len(alone), dtype=y.dtype)]
+    weights, bias = train(z, y)
+    return Model(kern, ground, weights, bias, *logistic(squashed(z @ weights + bias), y))
 
 
-def sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The bounded labelled sample: ids and sizes first, then only the texts that are taken."""
+def sampled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bounded labelled sample (key, doc_id, text, toxic, times): ids and sizes first, then only the texts that are taken."""
+    spark = documents.sparkSession
     lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     lab = lab.filter(crc_mod("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     key = F.crc32(F.concat(F.lit("fit "), F.col("doc_id").cast("string")).cast("binary"))
@@ -358,12 +411,32 @@ def sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarr
     sizes = docs.select("doc_id", "text_key", F.octet_length("text").alias("bytes")).filter(F.col("bytes") <= FIT_BYTES).join(F.broadcast(ids), "doc_id").withColumn("key", key)
     # all texts of some labelled ids are small in number unless rows repeat: as many as can be wanted
     kept = chosen([(r["doc_id"], r["text_key"], r["bytes"], r["toxic"] > 0) for t in (True, False) for r in sizes.filter("toxic > 0" if t else "toxic <= 0").orderBy("key", "doc_id", "text_key").limit(SPARE * (FIT_TOXIC if t else FIT_CLEAN)).collect()])
-    if not kept:
-        return [], np.zeros(0, dtype=np.int64)
-    wanted = documents.sparkSession.createDataFrame([(*k, n) for k, n in kept.items()], "doc_id bigint, text_key bigint, times int")
+    wanted = spark.createDataFrame([(*k, n) for k, n in kept.items()], "doc_id bigint, text_key bigint, times int")
     got = docs.join(F.broadcast(wanted), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).join(F.broadcast(ids), "doc_id").withColumn("key", key)
-    rows = got.select("key", "doc_id", "text", "toxic", "times").orderBy("key", "doc_id", "text").collect()
-    return [r["text"] for r in rows for _ in range(r["times"])], np.array([int(r["toxic"] > 0) for r in rows for _ in range(r["times"])], dtype=np.int64)
+    return got.select("key", "doc_id", "text", "toxic", "times")
+
+
+def _in_order(rows: list[tuple]) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of the sample's rows, as often as they were drawn."""
+    rows = [r for r in sorted(rows, key=lambda r: r[:3]) for _ in range(r[4])]
+    return [r[2] for r in rows], np.array([int(r[3] > 0) for r in rows], dtype=np.int64)
+
+
+def sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The sample's texts and labels."""
+    return _in_order([tuple(r) for r in sampled(documents, labels).collect()])
+
+
+def fitted(documents: DataFrame, labels: DataFrame) -> Model:
+    """The model, fitted in one task on the bounded sample; what comes to the driver are landmarks and weights."""
+    bound_batches(documents.sparkSession)
+
+    def run(batches):
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(*_in_order(rows)))], pa.binary())], names=["model"])
+
+    got = sampled(documents, labels).repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(got["model"]) if got else fit([], np.zeros(0))
 
 
 def chosen(rows: list[tuple[int, int, int, bool]]) -> Counter:
@@ -404,7 +477,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
 
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted."""
-    model = fit(*sample(documents, labels))
+    model = fitted(documents, labels)
     out = scored(documents, model)
     return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -413,7 +486,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = TH
     """The documents, all columns, whose score is below the threshold; texts are scored where they are read, so nothing is shuffled."""
     spark = documents.sparkSession
     bound_batches(spark)
-    shared = spark.sparkContext.broadcast(fit(*sample(documents, labels)))
+    shared = spark.sparkContext.broadcast(fitted(documents, labels))
     at = documents.columns.index("text")
 
     def run(batches):
