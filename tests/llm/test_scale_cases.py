@@ -4,13 +4,14 @@ import math
 import os
 import random
 import time
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm import additive, jaccard, sp_bpe, superkmer, toxicity
+from threadloom.llm import additive, jaccard, langid, sp_bpe, superkmer, toxicity
 from threadloom.llm.queries import tokenizer_file
 
 from . import brute
@@ -201,3 +202,50 @@ def test_a_group_of_one_passage_is_no_landmark():
     toxic = [["w%d%s" % (k, c) for c in "abcdef"] + passage + [f"a{k}", "wretch", f"b{k}"] for k in range(40)]
     got = toxicity.landmarks([set(t) for t in toxic], [{"clean"}] * 300, contexts=toxicity.contexts_of(toxic))
     assert got and all(m in "wretch" for m in got)
+
+
+def plain_bayes(rows):
+    """rows: (doc_id, text, lang) -> {doc_id: (lang, score)} by the definition, text by text."""
+    counts = defaultdict(lambda: np.zeros(langid.DIMS))
+    for i, t, lang in rows:
+        if lang is not None and t and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang] += langid.profile(t, langid.DIMS)
+    langs = sorted(counts)
+    logp = [np.log(counts[x] + langid.ALPHA) - np.log(counts[x].sum() + langid.ALPHA * langid.DIMS) for x in langs]
+    out = {}
+    for i, t, _ in rows:
+        if not langs or t is None or not any(c.isalpha() for c in t):
+            out[i] = ("und", 0.0)
+            continue
+        joint = np.array([langid.profile(t, langid.DIMS) @ p for p in logp])
+        out[i] = (langs[int(joint.argmax())], 1 / np.exp(joint - joint.max()).sum())
+    return out
+
+
+@pytest.mark.parametrize("cells", [1 << 21, 300])
+def test_language_against_plain_bayes(spark, cells, monkeypatch):
+    monkeypatch.setattr(langid, "CELLS", cells)  # 300: many blocks of languages, hence many passes
+    monkeypatch.setattr(langid, "SLICE", 500)
+    monkeypatch.setattr(langid, "HELD", 400)
+    monkeypatch.setattr(langid, "STRETCH", 300)
+    r = random.Random(6)
+    words = {lang: ["".join(r.choice(a) for _ in range(r.randint(2, 6))) for _ in range(40)] for lang, a in (("de", "abcdeß"), ("en", "cdefgh"), ("fr", "efghéè"), ("z\U0001f642", "хцчш"), ("same1", "xyz"))}
+    rows = [(k, " ".join(r.choice(words[lang]) for _ in range(r.randint(1, 120))) + r.choice(["", " 12!", "\n\n"]), lang) for k in range(150) for lang in [r.choice(list(words))]]
+    rows += [(200, None, "en"), (201, "", "fr"), (202, "12 34 !", "empty"), (203, "cde fgh", None), (204, "\U0001f642", None), (205, rows[0][1], rows[0][2])]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {x["doc_id"]: (x["lang_pred"], x["score"]) for x in langid.language_id(d).collect()}
+    want = plain_bayes(rows)
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert math.isclose(got[i][1], score, rel_tol=1e-6, abs_tol=1e-9) and (got[i][0] == lang or math.isclose(score, 0.5, rel_tol=1e-6)), i
+    assert (len(langid.fit(d.select("text", "lang"))) > 1) == (cells == 300)
+
+
+def test_batch_profiles_are_those_of_each_text(monkeypatch):
+    r = random.Random(9)
+    texts = ["".join(r.choice("abé ß1!\n🙂漢") for _ in range(r.randint(0, 60))) for _ in range(200)] + [None, "", " ", "  a", "a" * 2000]
+    monkeypatch.setattr(langid, "STRETCH", 500)
+    row, bucket, n = langid.profiles(texts)
+    for i, t in enumerate(texts):
+        want = langid.profile(t or "", langid.DIMS)
+        assert dict(zip(bucket[row == i].tolist(), n[row == i].tolist(), strict=True)) == {k: want[k] for k in np.flatnonzero(want).tolist()}, repr(t)
