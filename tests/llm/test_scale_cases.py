@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm import additive, jaccard, langid, sp_bpe, superkmer, toxicity
+from threadloom.llm import additive, cube, jaccard, langid, sp_bpe, superkmer, toxicity
 from threadloom.llm.queries import tokenizer_file
 
 from . import brute
@@ -249,3 +249,20 @@ def test_batch_profiles_are_those_of_each_text(monkeypatch):
     for i, t in enumerate(texts):
         want = langid.profile(t or "", langid.DIMS)
         assert dict(zip(bucket[row == i].tolist(), n[row == i].tolist(), strict=True)) == {k: want[k] for k in np.flatnonzero(want).tolist()}, repr(t)
+
+
+def test_landing_with_one_large_document():
+    r = random.Random(1)
+    size = [float(r.randint(1, 400)) for _ in range(500)] + [20020.0]
+    pi = [float(r.random() < 0.9) for _ in range(500)] + [0.4]
+    wanted = (0.9 * sum(size[:500]) + 0.4 * 20020, 450.4)
+    got = cube.landing(pi, size, wanted)
+    assert set(got) <= {0.0, 1.0} and abs(sum(p * x for p, x in zip(got, size, strict=True)) - wanted[0]) <= 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata"), reason="no test tables")
+def test_sources_come_near_their_targets(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = cube.mix(d).groupBy("source").agg({"taken": "sum", "target": "max", "doc_id": "count"}).collect()
+    far = {x["source"]: abs(x["sum(taken)"] / x["max(target)"] - 1) for x in got if x["count(doc_id)"] >= 100 and x["max(target)"]}
+    assert far and max(far.values()) < 0.01, far

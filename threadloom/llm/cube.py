@@ -5,9 +5,12 @@ document has inclusion probability r - floor(r). The sample is balanced: the fli
 null space of the constraints (documents and words taken) until all but a few are 0 or 1. It runs in blocks of a source's
 documents; what is still fractional goes on to the next level's blocks, until one block per source is left, whose last few
 documents, with REOPENED decided ones that may change sides, make the landing problem: of all outcomes the nearest to the totals.
+Where one large document leaves the words far off, more decided ones change sides.
 
 Cases: a null or empty text has size 0 (its document may be taken, with 0 words); a null source is a source of its own, last;
-a repeated row is a document of its own; rows with a null doc_id are left out; with no words at all every target is 0.
+a repeated row is a document of its own; rows with a null doc_id are left out; with no words at all every target is 0; ties in size
+go by place; a very long text counts by its words like any other and no text travels; other columns, whatever their names, are not
+looked at; an empty table gives an empty result.
 Draws come from hashes of the block's documents, so reruns agree.
 """
 
@@ -27,7 +30,7 @@ WEIGHTS = (1, 2, 3)
 CAP = 3
 #: Documents of a block; sources whose table is broadcast at most (each below BROADCAST_BYTES of names in all).
 BLOCK = 2048
-#: Decided documents that the landing may change.
+#: Decided documents that the landing tries both ways at a time.
 REOPENED = 12
 BROADCAST_SOURCES = 100_000
 BROADCAST_BYTES = 16 << 20
@@ -67,22 +70,41 @@ def flight(pi: list[float], size: list[float], draw: random.Random) -> list[floa
     return pi
 
 
-def landing(pi: list[float], size: list[float], wanted: tuple[float, float]) -> list[float]:
-    """The last fractional documents, decided all at once together with a few decided ones, evenly spread over the sizes, that
-    may change sides: of all outcomes the one nearest to the wanted words, then to the wanted number, then with fewest changes."""
-    pi = list(pi)
-    open_ = [i for i, p in enumerate(pi) if 0 < p < 1]
-    settled = sorted((i for i, p in enumerate(pi) if p in (0.0, 1.0)), key=lambda i: (size[i], i))
-    if open_:
-        n = min(REOPENED, len(settled))
-        open_ += [settled[(2 * k + 1) * len(settled) // (2 * n)] for k in range(n)]
+def _nearest(pi: list[float], size: list[float], open_: list[int], wanted: tuple[float, float]) -> None:
+    """Decide the open documents all at once: of all outcomes the one nearest to the wanted words, then to the wanted number, then with fewest changes."""
+    if not open_:
+        return
     outcome = np.arange(1 << len(open_))[:, None] >> np.arange(len(open_)) & 1
     sizes, old = np.array([size[i] for i in open_]), np.array([pi[i] for i in open_])
     rest = [sum(w * (1.0 if by is None else by[i]) for i, w in enumerate(pi) if i not in set(open_)) for by in (size, None)]
     words, count = np.abs(outcome @ sizes + rest[0] - wanted[0]), np.abs(outcome.sum(1) + rest[1] - wanted[1])
-    best = outcome[np.lexsort((np.abs(outcome - old).sum(1), count, np.round(words, 6)))[0]] if open_ else []
+    best = outcome[np.lexsort((np.abs(outcome - old).sum(1), count, np.round(words, 6)))[0]]
     for i, bit in zip(open_, best, strict=True):
         pi[i] = float(bit)
+
+
+def landing(pi: list[float], size: list[float], wanted: tuple[float, float]) -> list[float]:
+    """The last fractional documents, decided all at once together with a few decided ones, evenly spread over the sizes, that
+    may change sides. If the words are still off by more than a middling document, decided ones of the wrong side change it,
+    the largest that fit first, and the last difference is settled like the first."""
+    pi = list(pi)
+    fractional = [i for i, p in enumerate(pi) if 0 < p < 1]
+    settled = sorted((i for i, p in enumerate(pi) if p in (0.0, 1.0) and size[i] > 0), key=lambda i: (size[i], i))
+
+    def spread() -> list[int]:
+        n = min(REOPENED, len(settled))
+        return [settled[(2 * k + 1) * len(settled) // (2 * n)] for k in range(n)]
+
+    if not fractional:
+        return pi
+    _nearest(pi, size, fractional + spread(), wanted)
+    short = wanted[0] - sum(p * x for p, x in zip(pi, size, strict=True))
+    if settled and abs(short) > size[settled[len(settled) // 2]]:
+        for i in reversed(settled):
+            if size[i] <= abs(short) and pi[i] == (0.0 if short > 0 else 1.0):
+                short += -size[i] if short > 0 else size[i]
+                pi[i] = 1 - pi[i]
+        _nearest(pi, size, spread(), wanted)
     return pi
 
 
