@@ -252,20 +252,10 @@ def test_partial_matching_by_definition():
         assert math.isclose((10 ** model.cost((key >> 9 << 9) + np.arange(257))).sum(), 1.0, rel_tol=1e-9)
 
 
-def test_pruned_trie_is_a_distribution(spark, tmp_path):
-    r, v = random.Random(2), vocabulary(2, 60)
-    train = spark.createDataFrame([(" ".join(r.choice(v) for _ in range(80)),) for _ in range(40)], "text string")
-    levels = ppm.trie(train, str(tmp_path), nodes=300)
-    assert sum(len(k) for k, _ in levels[2:]) <= 300 and len(levels[1][0]) > 20
-    model = ppm.Model(levels)
-    for key in ppm.gram_keys(pa.array([v[0] + " " + v[1] + " ~"], pa.string()))[0].tolist():
-        assert math.isclose((10 ** model.cost((key >> 9 << 9) + np.arange(257))).sum(), 1.0, rel_tol=1e-9)
-
-
 @pytest.mark.parametrize("room", [0, 300, 1 << 20])
-def test_scores_are_those_of_the_whole_trie(spark, rows, docs, room, monkeypatch):
-    """However few costs are broadcast, and however small the bounded trie's room: no context is dropped."""
-    monkeypatch.setattr(ppm, "NODES", 300)
+def test_scores_are_those_of_the_whole_trie(rows, docs, room, monkeypatch):
+    """However few costs are broadcast, and however many buckets there are: no context is dropped."""
+    monkeypatch.setattr(ppm, "BUCKET_BYTES", 2000)
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
     model = ppm.Model(levels_of([t for i, t, *_ in rows if not held(i) and t is not None], ppm.ORDER))
     want = {i: model.cost(ppm.gram_keys(pa.array([t], pa.string()))[0]).sum() for i, t, *_ in rows}

@@ -15,7 +15,9 @@ The base line needs each word's count in the training texts. Slices send each bu
 who has them, and the bucket sends partial sums on to blocks of documents, so no vocabulary is gathered anywhere.
 
 Cases: a null or empty text is its end mark alone; no training text: counts are 0 and every symbol equally likely; repeated rows
-are counted and scored each (rows of one doc_id and one text share their sums evenly); rows with a null doc_id are left out.
+are counted and scored each (rows of one doc_id and one text share their sums evenly); no ties arise, sums don't depend on order; a
+very long text is a slice of its own, its sums meet in its block; other columns, whatever their names, are not looked at; rows with
+a null doc_id are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U64, bound_batches, byte_view, crc_mod, docs_of, dropped, lean, mix, pack, partitions, ragged, shared_dir, slices, unpack, word_hashes, word_spans, written
+from .common import (
+    LOWER, U64, bound_batches, byte_view, crc_mod, docs_of, groups, lean, mix, pack, partitions, ragged, shared_dir, slices,
+    text_bytes, unpack, word_hashes, word_spans, written,
+)
 
 ORDER = 5
-#: Entries of the bounded trie of trie(), which the scores don't use.
-NODES = 1 << 20
+#: Text bytes for each bucket of grams or words, slot of costs and block of documents.
+BUCKET_BYTES = 8 << 20
 #: Costs that are broadcast; the others are looked up in their slots.
 CACHED = 1 << 20
 #: Symbols: bytes, the end mark, the start mark (context only); bits of a symbol in a key.
@@ -69,11 +74,11 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return k[heads], np.add.reduceat(c, heads) if len(k) else c
 
 
-def gram_blobs(texts: DataFrame) -> DataFrame:
+def gram_blobs(texts: DataFrame, size: int) -> DataFrame:
     """texts(learn, text) -> bucket, blob: distinct grams, each shifted by one bit that says whether the texts teach, and their counts."""
     spark = texts.sparkSession
     bound_batches(spark)
-    buckets = 2 * partitions(spark)
+    buckets = groups(size, BUCKET_BYTES, 2 * partitions(spark))
 
     def send(keys, counts):
         k, c = _merged(keys, counts)
@@ -116,25 +121,6 @@ def _met(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return k[heads] >> 1, np.add.reduceat(c * (k & 1), heads), np.add.reduceat(c, heads)
 
 
-def gram_counts(train: DataFrame) -> DataFrame:
-    """level, key, n, total for the contexts of order 2 and more: key holds the context and the symbol, total is the context's count."""
-
-    def meet(key, t):
-        lean()
-        k, c, _ = _met(t)
-        out = []
-        for level in range(ORDER, 1, -1):
-            if level < ORDER:
-                k, c = _merged([k & _mask(level + 1)], [c])
-            context = k >> BITS
-            heads = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-            total = np.repeat(np.add.reduceat(c, heads), np.diff(np.r_[heads, len(k)]))
-            out.append(pa.table({"level": pa.array(np.full(len(k), level, dtype=np.int32)), "key": k, "n": c, "total": total}))
-        return pa.concat_tables(out)
-
-    return gram_blobs(train.select(F.lit(True).alias("learn"), "text")).groupBy("bucket").applyInArrow(meet, "level int, key bigint, n bigint, total bigint")
-
-
 def pair_counts(train: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     """Keys and counts of orders 0 and 1; their number is bounded by the symbols'."""
     bound_batches(train.sparkSession)
@@ -153,7 +139,7 @@ def pair_counts(train: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     return [_merged([k & _mask(1)], [c]), (k, c)]
 
 
-def gram_costs(docs: DataFrame) -> DataFrame:
+def gram_costs(docs: DataFrame, size: int) -> DataFrame:
     """docs(held_out, text) -> key, uses, cost: every distinct gram of all texts, how often it occurs, and its log10 probability under the trie of all training texts."""
     low = pair_counts(docs.filter("NOT held_out AND text IS NOT NULL"))
     handle = docs.sparkSession.sparkContext.broadcast(low)
@@ -170,7 +156,7 @@ def gram_costs(docs: DataFrame) -> DataFrame:
         cost = np.concatenate([model.cost(keys[i : i + GRAM_SLICE]) for i in range(0, len(keys), GRAM_SLICE)])
         return pa.table({"key": keys, "uses": uses, "cost": cost})
 
-    return gram_blobs(docs.select((~F.col("held_out") & F.col("text").isNotNull()).alias("learn"), "text")).groupBy("bucket").applyInArrow(meet, "key bigint, uses bigint, cost double")
+    return gram_blobs(docs.select((~F.col("held_out") & F.col("text").isNotNull()).alias("learn"), "text"), size).groupBy("bucket").applyInArrow(meet, "key bigint, uses bigint, cost double")
 
 
 def most(table: DataFrame, column: str, room: int) -> tuple:
@@ -184,25 +170,6 @@ def most(table: DataFrame, column: str, room: int) -> tuple:
     return step, least
 
 
-def trie(train: DataFrame, folder: str, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order from 0 the keys, ascending, and their counts; at most `nodes` entries of order 2 and more. A bounded model; gram_costs() has the whole one."""
-    counts = written(gram_counts(train), folder, "grams")
-    # how many entries lie in contexts of at least so many occurrences
-    step, least = most(counts, "total", nodes)
-    kept = counts.filter(step >= least).select("level", "key", "n").toArrow() if least is not None else None
-    ones = counts.filter("level = 2").groupBy((F.col("key").bitwiseAND(_mask(2))).alias("key")).agg(F.sum("n").alias("n")).toArrow()
-    k, c = _merged([ones.column("key").to_numpy()], [ones.column("n").to_numpy()])
-    out = [_merged([k & _mask(1)], [c]), (k, c)]
-    for level in range(2, ORDER + 1):
-        if kept is None:
-            out.append((np.zeros(0, dtype=np.int64),) * 2)
-            continue
-        mine = kept.filter(pa.compute.equal(kept.column("level"), level))
-        out.append(_merged([mine.column("key").to_numpy()], [mine.column("n").to_numpy()]))
-    dropped(train.sparkSession, f"{folder}/grams")
-    return out
-
-
 class Lookup:
     """Open addressing over 64-bit keys, filled and asked many keys at a time; a quarter full."""
 
@@ -335,12 +302,12 @@ def _by_block(blocks: int, doc: np.ndarray, *columns: np.ndarray) -> tuple[list,
     return [int(block[p[0]]) for p in parts], [pack(doc[p], *(c[p] for c in columns)) for p in parts]
 
 
-def scores(docs: DataFrame, folder: str, room: int = CACHED) -> DataFrame:
+def scores(docs: DataFrame, folder: str, size: int, room: int = CACHED) -> DataFrame:
     """docs(doc_id, tag, held_out, text) -> doc_id, tag, n_words, score; rows of one doc_id and tag share their sums evenly."""
     spark = docs.sparkSession
     bound_batches(spark)
-    slots = blocks = partitions(spark)
-    costs = written(gram_costs(docs), folder, "costs")
+    slots = blocks = groups(size, BUCKET_BYTES, partitions(spark))
+    costs = written(gram_costs(docs, size), folder, "costs")
     step, least = most(costs, "uses", room)
     hot = costs.filter(step >= least).select("key", "cost").toArrow() if least is not None else None
     handle = spark.sparkContext.broadcast((hot.column("key").to_numpy(), hot.column("cost").to_numpy()) if hot is not None else (np.zeros(0, dtype=np.int64), np.zeros(0)))
@@ -437,11 +404,11 @@ def scores(docs: DataFrame, folder: str, room: int = CACHED) -> DataFrame:
     return found.select("doc_id", "tag", "n_words", "score", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("col")
 
 
-def word_sums(docs: DataFrame) -> DataFrame:
+def word_sums(docs: DataFrame, size: int) -> DataFrame:
     """docs(doc_id, tag, held_out, text) -> doc_id, tag, logs (sum of log10(count + 0.5)), known, n; the row without a doc_id has the distinct words in known and the training words in n."""
     spark = docs.sparkSession
     bound_batches(spark)
-    buckets = blocks = partitions(spark)
+    buckets = blocks = groups(size, BUCKET_BYTES, partitions(spark))
 
     def cut(batches):
         lean()
@@ -533,12 +500,13 @@ def lm_scores(documents: DataFrame, room: int = CACHED) -> DataFrame:
     folder = shared_dir(documents.sparkSession)
     docs = docs_of(documents).withColumn("tag", (F.xxhash64("text") % (1 << 31)).cast("int")).withColumn("held_out", crc_mod("doc_id", 5) == 1)
     train = docs.filter("NOT held_out")
-    sums = written(word_sums(docs), folder, "words")
+    size = text_bytes(docs)
+    sums = written(word_sums(docs, size), folder, "words")
     ends = train.count()
     row = sums.filter("doc_id IS NULL").first()
     distinct, total = (row["known"], row["n"]) if row else (0, 0)
     distinct, total = distinct + (ends > 0), total + ends
-    scored = scores(docs, folder, room).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
+    scored = scores(docs, folder, size, room).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
     share = F.coalesce(F.col("n_words") / F.nullif("n", F.lit(0)), F.lit(0.0))  # repeated rows
     logs = F.coalesce(F.col("logs") * share, F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
     per = float(np.log10(total + 0.5 * (distinct + 1)))

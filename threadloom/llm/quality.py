@@ -6,7 +6,8 @@ lose more than MAX_LOST percent of their words is depleted, hence rejected. Repe
 n_dup_lines and n_repeat_words, not here.
 
 Cases: a null or empty text has no words, so base_failed is true; repeated rows give repeated result rows, and count once as a
-document; rows with a null doc_id are left out; other columns are ignored; an empty table gives an empty result.
+document; no ties arise, limits are compared with counts; a very long text is one row, its lines are rows of their own; rows with a
+null doc_id are left out; other columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -265,7 +265,7 @@ def agenda(model_file: str) -> Agenda:
 
 def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
     """docs(doc_id, text) -> doc_id, ids (with the end id), decoded text, and whether the library's ids are the same."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, 16)
 
     def run(batches):
         coder = agenda(model_file)
@@ -284,7 +284,7 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
 
 def digest(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, agrees: the digests of round_trip, made where the ids are."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, 16)
 
     def run(batches):
         coder = agenda(model_file)

@@ -6,8 +6,9 @@ the file alone a reader gets the token at a place, the count of a token before a
 documents. Files are rows of a Parquet table with a binary column: Spark's committer writes them, so a lost task leaves no half
 file, and any store that Spark reads will do.
 
-Cases: a null or empty text is the end id alone; repeated doc_ids lie side by side, in an order fixed by their text; rows with a
-null doc_id are left out; an empty table gives no file and an empty result.
+Cases: a null or empty text is the end id alone; repeated doc_ids lie side by side, in an order fixed by their text (ties in doc_id);
+a very long text is encoded in pieces cut where no token can span, and may fill a shard of its own; other columns, whatever their
+names, are not looked at; rows with a null doc_id are left out; an empty table gives no file and an empty result.
 """
 
 from __future__ import annotations
@@ -276,7 +277,7 @@ def encoder(path: str) -> Encoder:
 def write_shards(documents: DataFrame, tokenizer_file: str, path: str, shard_ids: int = SHARD_IDS) -> None:
     """Encode and write shard files; rows part, shard, base (ids before it in its part), docs, ids, file. Parts are ranges of doc_id, shards follow each other in a part."""
     spark = documents.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, 16)
     docs = docs_of(documents)
 
     def build(batches):
