@@ -11,8 +11,8 @@ hold all longer contexts that escape into each other; only orders 0 and 1 (65536
 out the cost of every distinct gram of the corpus. The CACHED most used costs are broadcast, which only saves traffic: all others
 meet the documents that ask for them in slots by hash, whose sums go on to blocks of documents.
 
-The base line needs each word's count in the training texts. Slices send each bucket of the word space their distinct words and
-who has them, and the bucket sends partial sums on to blocks of documents, so no vocabulary is gathered anywhere.
+The base line needs each word's count in the training texts. Slices send each bucket of the word space their distinct words, once
+however many documents have them, and the bucket's counts meet the slice's documents in its block, so no vocabulary is gathered.
 
 Cases: a null or empty text is its end mark alone; no training text: counts are 0 and every symbol equally likely; repeated rows
 are counted and scored each (rows of one doc_id and one text share their sums evenly); no ties arise, sums don't depend on order; a
@@ -22,6 +22,7 @@ a null doc_id are left out; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -286,8 +287,16 @@ def _cached(handle) -> tuple[Lookup, np.ndarray]:
     return Lookup(keys), np.r_[costs, 0.0]
 
 
+def _slot_of(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return ((hashes >> U64(32)) * U64(slots) >> U64(32)).astype(np.int64)
+
+
 def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
-    return ((mix(keys.astype(U64)) >> U64(32)) * U64(slots) >> U64(32)).astype(np.int64)
+    return _slot_of(mix(keys.astype(U64)), slots)
+
+
+def _block(name: bytes, blocks: int) -> int:
+    return int.from_bytes(name, "little") * blocks >> 64
 
 
 def _rows(names: list, blobs: list, columns: tuple) -> pa.RecordBatch:
@@ -405,7 +414,11 @@ def scores(docs: DataFrame, folder: str, size: int, room: int = CACHED) -> DataF
 
 
 def word_sums(docs: DataFrame, size: int) -> DataFrame:
-    """docs(doc_id, tag, held_out, text) -> doc_id, tag, logs (sum of log10(count + 0.5)), known, n; the row without a doc_id has the distinct words in known and the training words in n."""
+    """docs(doc_id, tag, held_out, text) -> doc_id, tag, logs (sum of log10(count + 0.5)), known, one row for each text; the row without a doc_id has the distinct words in known and the training words in logs.
+
+    A slice sends each bucket of the word space its distinct words there, and its block which document has which of them. The bucket
+    answers with the words' counts, in the order they came in, so what travels back follows the slice's words, not its documents.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     buckets = blocks = groups(size, BUCKET_BYTES, partitions(spark))
@@ -423,76 +436,61 @@ def word_sums(docs: DataFrame, size: int) -> DataFrame:
                 raw = data[ragged(starts, sizes)]
                 words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.r_[0, np.cumsum(sizes)].astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]).dictionary_encode()
                 which = words.indices.to_numpy().astype(np.int64)
-                kinds = words.dictionary
-                text, cuts = byte_view(kinds)
-                bucket = ((word_hashes(text, cuts[:-1], cuts[1:]) >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+                text, cuts = byte_view(words.dictionary)
+                bucket = _slot_of(word_hashes(text, cuts[:-1], cuts[1:]), buckets)
                 rank = np.argsort(bucket, kind="stable")  # distinct words, bucket by bucket
                 number = np.empty(len(rank), dtype=np.int64)
                 number[rank] = np.arange(len(rank))
                 owner = np.repeat(np.arange(b.num_rows), np.diff(first))
                 learn = ~np.asarray(b.column(2).to_pylist(), dtype=bool)
                 train = np.bincount(number[which], weights=learn[owner], minlength=len(rank)).astype(np.int64)
-                pairs, times = np.unique((bucket[which] * b.num_rows + owner) * len(rank) + number[which], return_counts=True)
-                word, group = pairs % len(rank), pairs // len(rank)
-                where, row = group // b.num_rows, group % b.num_rows
+                pairs, times = np.unique(owner * len(rank) + number[which], return_counts=True)
                 ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy()
-                bounds = np.searchsorted(where, np.arange(buckets + 1))
-                word_bounds = np.searchsorted(bucket[rank], np.arange(buckets + 1))
-                names, blobs = [], []
-                for k in range(buckets):
-                    a, z = bounds[k], bounds[k + 1]
-                    if a == z:
-                        continue
-                    lo, hi = word_bounds[k], word_bounds[k + 1]
-                    mine = rank[lo:hi]
-                    lengths = np.diff(cuts)[mine]
-                    docs_here, counts = np.unique(row[a:z], return_counts=True)
+                # a slice is known by its documents
+                name = hashlib.blake2b(np.stack([ids, tags.astype(np.int64)]).tobytes(), digest_size=8).digest()
+                bounds = np.searchsorted(bucket[rank], np.arange(buckets + 1))
+                lengths = np.diff(cuts)[rank]
+                names = [-1 - _block(name, blocks)]
+                blobs = [pack(name, np.diff(ids, prepend=0), tags, np.bincount(pairs // len(rank), minlength=b.num_rows).astype(np.uint32), np.diff(pairs % len(rank), prepend=0).astype(np.int32), times.astype(np.uint32), bounds)]
+                for k in np.flatnonzero(np.diff(bounds)).tolist():
+                    lo, hi = bounds[k], bounds[k + 1]
                     names.append(k)
-                    blobs.append(pack(text[ragged(cuts[:-1][mine], lengths)].tobytes(), lengths.astype(np.uint32), train[lo:hi].astype(np.uint32), np.diff(ids[docs_here], prepend=0), tags[docs_here], counts.astype(np.uint32), (word[a:z] - lo).astype(np.uint32 if hi - lo > 65535 else np.uint16), times[a:z].astype(np.uint32)))
+                    blobs.append(pack(name, text[ragged(cuts[:-1][rank[lo:hi]], lengths[lo:hi])].tobytes(), lengths[lo:hi].astype(np.uint32), train[lo:hi].astype(np.uint32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def meet(key, t):
         lean()
+        bucket = key[0].as_py()
+        if bucket < 0:
+            return pa.table({"block": pa.array([-1 - bucket] * t.num_rows, pa.int32()), "blob": t.column("blob")})
         parts = [unpack(x) for x in t.column("blob").to_pylist()]
-        raw = b"".join(p[0] for p in parts)
-        lengths = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        raw = b"".join(p[1] for p in parts)
+        lengths = np.concatenate([p[2] for p in parts]).astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(np.r_[0, np.cumsum(lengths)].astype(np.int64).tobytes()), pa.py_buffer(raw)]).dictionary_encode()
         number = words.indices.to_numpy().astype(np.int64)
-        count = np.bincount(number, weights=np.concatenate([p[2] for p in parts]), minlength=len(words.dictionary))
-        logs = np.log10(count + 0.5)
-        out, base = [], 0
-        for p in parts:
-            own = number[base : base + len(p[1])][p[6].astype(np.int64)]
-            base += len(p[1])
-            row = np.repeat(np.arange(len(p[5])), p[5].astype(np.int64))
-            times = p[7].astype(np.float64)
-            sums = [np.bincount(row, weights=w * times, minlength=len(p[5])) for w in (logs[own], count[own] > 0, np.ones(len(own)))]
-            out.append((np.cumsum(p[3]), p[4], *sums))
-        doc, tag, logs, known, n = (np.concatenate([x[i] for x in out]) for i in range(5))
-        block = ((mix(doc.astype(U64)) >> U64(32)) * U64(blocks) >> U64(32)).astype(np.int64)
-        order = np.argsort(block, kind="stable")
-        cuts = np.flatnonzero(np.diff(block[order])) + 1
-        names, packed = [-1], [pack(int((count > 0).sum()), int(count.sum()))]
-        for part in np.split(order, cuts):
-            names.append(int(block[part[0]]))
-            packed.append(pack(doc[part], tag[part], logs[part], known[part].astype(np.int64), n[part].astype(np.int64)))
-        return pa.table({"block": pa.array(names, pa.int32()), "sums": pa.array(packed, pa.binary())})
+        count = np.bincount(number, weights=np.concatenate([p[3] for p in parts]), minlength=len(words.dictionary)).astype(np.int64)
+        at = np.cumsum([0] + [len(p[2]) for p in parts])
+        out = [(-1, pack(int((count > 0).sum()), int(count.sum())))]
+        out += [(_block(p[0], blocks), pack(p[0], bucket, count[number[lo:hi]])) for p, lo, hi in zip(parts, at, at[1:], strict=False)]
+        return pa.table({"block": pa.array([x for x, _ in out], pa.int32()), "blob": pa.array([x for _, x in out], pa.binary())})
 
     def add(key, t):
         lean()
-        parts = [unpack(x) for x in t.column("sums").to_pylist()]
+        parts = [unpack(x) for x in t.column("blob").to_pylist()]
         if key[0].as_py() < 0:
-            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([0], pa.int32()), "logs": [0.0], "known": [sum(p[0] for p in parts)], "n": [sum(p[1] for p in parts)]})
-        doc, tag, logs, known, n = (np.concatenate([p[i] for p in parts]) for i in range(5))
-        order = np.lexsort((tag, doc))
-        doc, tag = doc[order], tag[order]
-        heads = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])
-        return pa.table({"doc_id": doc[heads], "tag": pa.array(tag[heads], pa.int32()), **{c: np.add.reduceat(x[order], heads) for c, x in (("logs", logs), ("known", known), ("n", n))}})
+            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([0], pa.int32()), "logs": [float(sum(p[1] for p in parts))], "known": [sum(p[0] for p in parts)]})
+        counts = {(p[0], p[1]): p[2] for p in parts if len(p) == 3}  # slices of the same documents get the same answer
+        rows = []
+        for name, ids, tags, n, word, times, bounds in (p for p in parts if len(p) > 3):
+            count = np.concatenate([counts[name, k] for k in np.flatnonzero(np.diff(bounds)).tolist()])[np.cumsum(word)]
+            row = np.repeat(np.arange(len(ids)), n.astype(np.int64))
+            rows.append((np.cumsum(ids), tags, *(np.bincount(row, weights=w * times, minlength=len(ids)) for w in (np.log10(count + 0.5), count > 0))))
+        doc, tag, logs, known = (np.concatenate([r[i] for r in rows]) for i in range(4))
+        return pa.table({"doc_id": doc, "tag": pa.array(tag, pa.int32()), "logs": logs, "known": known.astype(np.int64)})
 
     blobs = docs.select("doc_id", "tag", "held_out", "text").filter("text IS NOT NULL").mapInArrow(cut, "bucket int, blob binary")
-    # a bucket's sums travel in one piece for each block of documents, and are added up there
-    found = blobs.groupBy("bucket").applyInArrow(meet, "block int, sums binary")
-    return found.groupBy("block").applyInArrow(add, "doc_id bigint, tag int, logs double, known bigint, n bigint")
+    found = blobs.groupBy("bucket").applyInArrow(meet, "block int, blob binary").groupBy("block").applyInArrow(add, "doc_id bigint, tag int, logs double, known bigint")
+    return found.groupBy("doc_id", "tag").agg(F.max("logs").alias("logs"), F.max("known").alias("known"))
 
 
 def lm_scores(documents: DataFrame, room: int = CACHED) -> DataFrame:
@@ -504,18 +502,17 @@ def lm_scores(documents: DataFrame, room: int = CACHED) -> DataFrame:
     sums = written(word_sums(docs, size), folder, "words")
     ends = train.count()
     row = sums.filter("doc_id IS NULL").first()
-    distinct, total = (row["known"], row["n"]) if row else (0, 0)
+    distinct, total = (row["known"], int(row["logs"])) if row else (0, 0)
     distinct, total = distinct + (ends > 0), total + ends
     scored = scores(docs, folder, size, room).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
-    share = F.coalesce(F.col("n_words") / F.nullif("n", F.lit(0)), F.lit(0.0))  # repeated rows
-    logs = F.coalesce(F.col("logs") * share, F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
+    logs = F.coalesce("logs", F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
     per = float(np.log10(total + 0.5 * (distinct + 1)))
     tokens = F.col("n_words") + 1
     return scored.select(
         "doc_id",
         (crc_mod("doc_id", 5) == 1).alias("held_out"),
         tokens.cast("long").alias("n_tokens"),
-        (F.coalesce(F.round(F.col("known") * share), F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
+        (F.coalesce("known", F.lit(0)) + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (logs - tokens * F.lit(per)).alias("base_score"),
         "score",
