@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from threadloom.plans import catalog
+from threadloom.plans import catalog, catalog_io  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -161,7 +161,7 @@ def test_state(spark):
     assert sorted(map(tuple, new.collect())) == [("a", 1), ("b", 2), ("c", 3)]
     assert state.insert_new(new, delta, ["item_id"]).count() == 3
     assert state.parse_extend("2026-06=3, 2026-10:2") == {"2026-06": 3, "2026-10": 2}
-    for wrong in ("", "2026-13=1", "2026-06", "x=1"):
+    for wrong in ("", "2026-13=1", "2026-06", "x=1", "2026-06=0", "2026-06=1,2026-06=2"):
         with pytest.raises(ValueError):
             state.parse_extend(wrong)
 

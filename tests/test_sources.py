@@ -106,6 +106,15 @@ def test_endpoints(spark):
     assert not got[4]["ok"] and not got[6]["ok"] and 5 not in got and "secret" not in str(got)
 
 
+def test_endpoints_user_first_and_repeated(spark):
+    lines = ["me:secret:h.example.org:99", "h.example.org:99:me:secret", "socks5://u:p@x.io:1", "x.io:1", "http://x.io:1", "junk", "a:b:c"]
+    found = files.endpoints(spark.createDataFrame(list(enumerate(lines)), "line_no long, value string"))
+    got = {r["line_no"]: r for r in found.collect()}
+    assert (got[0]["user"], got[0]["host"], got[0]["port"], got[0]["repeated"]) == ("me", "h.example.org", 99, False)
+    assert got[1]["repeated"] and got[4]["repeated"] and not got[3]["repeated"]
+    assert files.endpoint_report(found).first().asDict() == {"kept": 3, "repeated": 2, "wrong_lines": [5, 6], "socks_with_user": 1}
+
+
 def test_archive_prunes_and_dedups(spark, tmp_path):
     rows = [("a", "s1", "2026-08-01", 1), ("a", "s1", "2026-08-01", 1), ("b", "s1", "2026-08-02", 2), ("c", "s2", "2026-08-01", 3), ("d", "s1", "2026-08-09", 4)]
     spark.createDataFrame(rows, "id string, subreddit string, day string, created_utc long").write.partitionBy("subreddit", "day").json(str(tmp_path / "ar"))

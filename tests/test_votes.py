@@ -141,9 +141,18 @@ def test_blind_gold_is_all_or_nothing(spark):
     assert got == {"a": (1, None), "b": (1, "english")}
 
 
-def test_allocation():
-    assert review.allocate({"x": 50, "y": 30, "z": 2}, {"x": 50, "y": 30, "z": 2}, 41) == {"x": 25, "y": 15, "z": 1}
-    assert review.allocate({"x": 100, "y": 1}, {"x": 3, "y": 10}, 8) == {"x": 3, "y": 5}
+def test_allocation(spark):
+    def quota(rows, total):
+        strata = spark.createDataFrame([(k, n, float(w), k) for k, n, w in rows], "stratum string, n long, weight double, tie string")
+        return {r["stratum"]: r["quota"] for r in review.quotas(strata, total).collect()}
+
+    assert quota([("x", 50, 50), ("y", 30, 30), ("z", 2, 2)], 41) == {"x": 25, "y": 15, "z": 1}
+    assert quota([("x", 3, 100), ("y", 10, 1)], 8) == {"x": 3, "y": 5}
+    assert quota([("b", 5, 1), ("a", 5, 1), ("c", 5, 1)], 4) == {"a": 2, "b": 1, "c": 1}  # ties by name
+    assert quota([("a", 2, 1), ("b", 3, 0)], 99) == {"a": 2, "b": 3}
+    for total in range(0, 20):
+        got = quota([("p", 4, 9), ("q", 9, 2.5), ("r", 1, 30)], total)
+        assert sum(got.values()) == min(total, 14) and got["p"] <= 4 and got["r"] <= 1
 
 
 def test_gold_sample(spark):

@@ -9,6 +9,7 @@ import argparse
 import json
 import os
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,9 +210,12 @@ def runs(w: Workspace, a: argparse.Namespace) -> DataFrame:
 def export_dataset(w: Workspace, a: argparse.Namespace) -> DataFrame:
     c, r, h = w.table("corpus"), w.table("ratings"), w.table("reviews", LIKE["reviews"])
     per = votes.per_label_resolution(r, h, _lineup(a), a.version, a.rule, a.tie_break)
-    rows = w.save("dataset", export.rows(export.gate(w.table("aggregates"), w.table("candidates"), a.include_unresolved), c, r, per, w.table("lid", LIKE["lid"]), h, w.table("candidates"), a.version, a.dataset_version, _lineup(a)))
-    export.write_bundle(rows, f"{a.to}/{a.dataset_version}")
+    rows = w.save("dataset", export.rows(export.gate(w.table("aggregates"), w.table("candidates"), a.include_unresolved), c, r, per, w.table("lid", LIKE["lid"]), h, w.table("candidates"), a.version, a.dataset_version, _lineup(a), snapshots=w.table("contexts") if w.has("contexts") and "parent_chain" in w.table("contexts").columns else None))
+    folder = f"{a.to}/{a.dataset_version}"
+    export.write_bundle(rows, folder)
+    export.write_card(w.spark, folder, export.card(rows, c, r, w.table("candidates"), a.dataset_version, a.version, datetime.now(UTC).isoformat()))
     export.corpus_dump(c, rows.select("item_id"), a.scope).write.mode("overwrite").json(f"{a.to}/{a.dataset_version}/corpus_json")
+    export.bundle(w.spark, folder, a.to, a.dataset_version)
     return export.readiness(rows)
 
 

@@ -48,3 +48,28 @@ def window_label(hours: Column) -> Column:
     whole = (hours >= 24) & (hours % 24 == 0) & (hours != 48)
     number = lambda x: F.regexp_replace(x.cast("string"), r"\.0$", "")
     return F.when(hours.isNull(), "unbounded").when(whole, F.concat(number(hours / 24), F.lit("d"))).otherwise(F.concat(number(hours), F.lit("h")))
+
+
+def local_to_unix(x: Column) -> Column:
+    """`2026-08-15 14:30 Asia/Manila` -> Unix seconds; NULL for anything else or an unknown zone. A time that a zone's clock skips counts as the hour before the change."""
+    shape = r"^\s*(\d{4}-\d{2}-\d{2} \d{1,2}:\d{2})\s+(\S+)\s*$"
+    local = F.try_to_timestamp(F.nullif(F.regexp_extract(x, shape, 1), F.lit("")), F.lit("yyyy-MM-dd H:mm"))
+    zone = F.regexp_extract(x, shape, 2)
+    known = zone.rlike(r"^(?:[A-Z][A-Za-z]+(?:/[A-Za-z_+\-0-9]+)+|UTC|GMT)$")
+    return F.when(known & local.isNotNull(), F.unix_seconds(F.to_utc_timestamp(local, F.when(known, zone).otherwise("UTC"))))
+
+
+def month_key(created_utc: Column) -> Column:
+    """X15."""
+    return F.substring(created_utc, 1, 7)
+
+
+def retry_after(header: Column, default: float, most: float) -> Column:
+    """Seconds of a Retry-After header, a default if it holds no number, bounded."""
+    return F.least(F.greatest(F.coalesce(F.regexp_extract(F.coalesce(header, F.lit("")), r"^\s*(\d+(?:\.\d+)?)\s*$", 1).try_cast("double"), F.lit(default)), F.lit(0.0)), F.lit(most))
+
+
+def log_line(level: Column, at: Column, event: Column, fields: Column) -> Column:
+    """`LEVEL time event k=v k=v`, keys in order; `fields` is a map of strings."""
+    pairs = F.transform(F.array_sort(F.map_entries(fields)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return F.concat_ws(" ", F.rpad(level, 7, " "), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), event, F.nullif(F.array_join(pairs, " "), F.lit("")))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import io
+import json
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CUES, LABELS
+from .candidates import outcome_counts
+from .corpus import counts as corpus_counts
 from .corpus import is_text_only
 from .votes import majority_share
 
@@ -35,25 +41,54 @@ def gate(aggregates: DataFrame, candidates: DataFrame, include_unresolved: bool
     return rows.join(candidates.filter("eligible").select("item_id"), "item_id", "left_semi")
 
 
-def rows(aggregates: DataFrame, corpus: DataFrame, ratings: DataFrame, resolution: DataFrame, lid: DataFrame, reviews: DataFrame, candidates: DataFrame, version: str, dataset_version: str, lineup: list[str]) -> DataFrame:
-    """The nested dataset rows. Each side is one row an item before it is joined; only named columns leave."""
+def _or_null(df: DataFrame, *names: str, kind: str = "string") -> list[Column]:
+    return [F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c in names]
+
+
+def human_view(reviews: DataFrame) -> DataFrame:
+    """item_id, human_gold: a gold item's labels, notes, blind first pass, and what was on screen."""
+    labels = lambda get: [get("sarcastic").cast("int").cast("boolean").alias("sarcastic"), *(get(c).alias(c) for c in LABELS[1:]), F.struct(*(F.coalesce(get(c).cast("int").cast("boolean"), F.lit(False)).alias(SHORT[c]) for c in CUES)).alias("cues")]
+    first = F.from_json("first_pass_json", "sarcastic int, language string, literal_sentiment string, intended_sentiment string, " + ", ".join(f"{c} int" for c in CUES))
+    full = reviews.select(*(c for c in reviews.columns if c not in ("notes", "first_pass_json")), *_or_null(reviews, "notes", "first_pass_json"))
+    full = full.withColumn("_first", first)
+    seen = lambda c: F.coalesce(F.col(c) != 0, F.lit(False)) if c in reviews.columns else F.lit(False)
+    gold = F.struct(*labels(F.col), "notes", F.when(F.col("_first").isNotNull(), F.struct(*labels(lambda c: F.col(f"_first.{c}")))).alias("first_pass"), seen("assist_seen").alias("assist_seen"), seen("votes_seen").alias("votes_seen"))
+    return full.filter("is_gold <> 0").select("item_id", gold.alias("human_gold"))
+
+
+_NO_CONTEXT = "struct<source: string, submission: struct<item_id: string, author_hash: string, title: string, selftext: string>, parent_chain: array<struct<item_id: string, author_hash: string, is_submitter: int, depth: int, text: string>>, replies: array<struct<created_s: bigint, item_id: string, author_hash: string, is_submitter: int, depth: int, text: string>>>"
+
+
+def rows(aggregates: DataFrame, corpus: DataFrame, ratings: DataFrame, resolution: DataFrame, lid: DataFrame, reviews: DataFrame, candidates: DataFrame, version: str, dataset_version: str, lineup: list[str], sentiment: DataFrame | None = None, snapshots: DataFrame | None = None) -> DataFrame:
+    """The nested dataset rows. Each side is one row an item before it is joined; only named columns leave. `snapshots`
+    (item_id, submission, parent_chain, replies) are the contexts that the votes were given on, never built anew here."""
     votes = vote_views(ratings, "annotator", version, lineup)
     adj = vote_views(ratings, "adjudicator", version).select("item_id", F.col("votes")[0].alias("adjudicator"))
     shipped = _bool("sarcastic_final")
     majority, share = majority_share(F.coalesce("yes", F.lit(0)), F.coalesce("n", F.lit(0)), shipped)
-    human = reviews.filter("is_gold <> 0").select("item_id", F.struct(_bool("sarcastic").alias("sarcastic"), *LABELS[1:], cues().alias("cues")).alias("human_gold"))
-    lids = lid.select("item_id", F.struct(F.col("language"), "en_ratio", "tl_ratio", "other_ratio").alias("lid"))
+    lids = lid.select("item_id", F.struct(F.col("language").alias("auto_label"), "language", "en_ratio", "tl_ratio", "other_ratio", *_or_null(lid, "confidence", kind="double")).alias("lid"))
     per = resolution.select("item_id", F.struct(*LABELS).alias("per_label"))
-    out = corpus.join(aggregates.withColumnRenamed("prompt_version", "_pv"), "item_id")
-    for side in (votes, adj, human, lids, per, candidates.select("item_id", "phatic")):
+    sides = [votes, adj, human_view(reviews), lids, per, candidates.select("item_id", "phatic")]
+    if sentiment is not None:
+        sides.append(sentiment.select("item_id", F.struct("label", "p_pos", "p_neu", "p_neg", *_or_null(sentiment, "model")).alias("tx_sentiment")))
+    if snapshots is not None:
+        sides.append(snapshots.select("item_id", F.struct(F.lit("annotator_snapshot").alias("source"), "submission", "parent_chain", "replies").alias("context")))
+    names = ("permalink", "created_utc", "matched_query_or_keyword")
+    whole = corpus.select("*", *(c for n, c in zip(names, _or_null(corpus, *names), strict=True) if n not in corpus.columns), *(c for n, c in zip(("score", "is_submitter"), _or_null(corpus, "score", "is_submitter", kind="long"), strict=True) if n not in corpus.columns))
+    out = whole.join(aggregates.withColumnRenamed("prompt_version", "_pv"), "item_id")
+    for side in sides:
         out = out.join(side, "item_id", "left")
+    none = F.from_json(F.lit('{"source": "missing", "parent_chain": [], "replies": []}'), _NO_CONTEXT)
+    context = F.coalesce(F.col("context"), none.cast(out.schema["context"].dataType)) if snapshots is not None else none
+    sentiment_ = F.col("tx_sentiment") if sentiment is not None else F.lit(None).cast("struct<label: string, p_pos: double, p_neu: double, p_neg: double, model: string>")
     return out.select(
-        "item_id", "record_type", "subreddit", "created_s", "submission_item", "parent_item", "depth", "author_hash", "sampling_strategy",
+        "item_id", "record_type", "subreddit", "permalink", "created_utc", "created_s", "submission_item", "parent_item", "depth", "author_hash", "is_submitter", "score", "sampling_strategy", "matched_query_or_keyword",
         is_text_only(F.col("record_type"), F.col("is_self"), F.col("selftext")).alias("is_text_only"), "title", "selftext", "text",
         F.struct(shipped.alias("sarcastic"), majority.alias("sarcastic_majority"), share.alias("sarcasm_vote_share"), F.col("language_final").alias("language"), F.col("literal_final").alias("literal_sentiment"), F.col("intended_final").alias("intended_sentiment"), cues("_final").alias("cues")).alias("labels"),
         F.struct("resolved_by", "per_label", "sarcasm_votes", "n_annotators", "mean_confidence", _bool("needs_human").alias("needs_human"), F.col("votes").alias("annotators"), "adjudicator").alias("reliability"),
         "human_gold",
-        F.struct("lid").alias("aux"),
+        F.struct(sentiment_.alias("tx_sentiment"), "lid").alias("aux"),
+        context.alias("context"),
         F.struct(F.coalesce("phatic", F.lit(False)).alias("phatic")).alias("flags"),
         F.struct(F.col("_pv").alias("prompt_version"), F.lit(dataset_version).alias("dataset_version")).alias("provenance"),
     )
@@ -117,14 +152,84 @@ def collection_window(corpus: DataFrame, exported: DataFrame, created: str = "cr
 def provenance(ratings: DataFrame) -> DataFrame:
     """A10: counts by model, role, version, endpoint and digest."""
     keys = ["model_key", "role", "prompt_version", "endpoint", "model_digest"]
-    return ratings.groupBy(*keys).agg(F.count("*").alias("n"))
+    return ratings.select(*_or_null(ratings, *keys)).groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def checksums(spark, path: str) -> DataFrame:
+def checksums(spark: SparkSession, path: str) -> DataFrame:
     """Name and SHA-256 of each file of a folder; read whole, so for artifacts, not for data."""
     return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
 
 
+def card(exported: DataFrame, corpus: DataFrame, ratings: DataFrame, candidates: DataFrame, dataset_version: str, version: str, created_at: str, more: dict | None = None) -> dict:
+    """The card's numbers in one document. Every part is a few rows, whatever the data; `more` adds parts that other operators
+    compute (agreement, coverage, what was skipped, how votes are combined)."""
+    one = lambda df: df.first().asDict(recursive=True)
+    spread: dict[str, dict] = {}
+    for r in distributions(exported).collect():  # values of a few closed lists, and subreddits
+        spread.setdefault(r["dim"], {})[r["value"]] = r["n"]
+    created = "created_utc" if "created_utc" in corpus.columns else None
+    counts = {
+        "corpus": one(corpus_counts(corpus)),
+        "candidates": {r["reason"]: r["n"] for r in outcome_counts(candidates).collect()} if "exclusion_reason" in candidates.columns else {"eligible": candidates.filter("eligible").count()},
+        "exported_rows": exported.count(),
+        "phatic_flagged_rows": exported.filter("flags.phatic").count(),
+    }
+    out = {
+        "dataset_version": dataset_version, "prompt_version": version, "created_at": created_at, "counts": counts, "label_sets": one(label_sets(exported)), "label_distributions": spread, "readiness": one(readiness(exported)),
+        "collection_window": one(collection_window(corpus, exported)) if created else None, "annotator_provenance": [r.asDict() for r in provenance(ratings.filter(F.col("prompt_version") == version)).orderBy("model_key", "role").collect()],
+    }
+    return out | (more or {})
+
+
+def _files(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def put(spark: SparkSession, folder: str, name: str, content: bytes) -> None:
+    """One file of a folder, replaced at once: written beside it, then renamed."""
+    jvm = spark.sparkContext._jvm
+    fs, top = _files(spark, folder)
+    fs.mkdirs(top)
+    new, old = jvm.org.apache.hadoop.fs.Path(top, f".{name}.new"), jvm.org.apache.hadoop.fs.Path(top, name)
+    out = fs.create(new, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    fs.delete(old, False)
+    fs.rename(new, old)
+
+
+def write_card(spark: SparkSession, folder: str, document: dict) -> None:
+    """The latest card under its fixed name, and each version's beside it."""
+    text = json.dumps(document, indent=2, ensure_ascii=False, default=str).encode()
+    for name in ("dataset_card.json", f"dataset_card-{document['dataset_version']}.json"):
+        put(spark, folder, name, text)
+
+
+def bundle(spark: SparkSession, folder: str, to: str, dataset_version: str) -> str:
+    """All files below a folder in one zip with SHA256SUMS.txt; one file at a time comes to the driver. The unit of a hand-over, not of processing."""
+    sums, held = [], io.BytesIO()
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content", F.sha2("content", 256).alias("sha256")).orderBy("path")
+    base = folder.rstrip("/").rsplit("/", 1)[-1] + "/"
+    with zipfile.ZipFile(held, "w", compression=zipfile.ZIP_DEFLATED) as z:
+        for r in found.toLocalIterator():
+            name = r["path"].split("/" + base, 1)[-1]
+            z.writestr(name, bytes(r["content"]))
+            sums.append(f"{r['sha256']}  {name}\n")
+        z.writestr("SHA256SUMS.txt", "".join(sums))
+    put(spark, to, f"dataset-{dataset_version}.zip", held.getvalue())
+    return f"{to.rstrip('/')}/dataset-{dataset_version}.zip"
+
+
+def newest_bundle(spark: SparkSession, folder: str) -> str | None:
+    """The bundle written last, if there is any."""
+    fs, top = _files(spark, folder)
+    found = [x for x in fs.listStatus(top) if x.getPath().getName().startswith("dataset-") and x.getPath().getName().endswith(".zip")] if fs.exists(top) else []
+    return max(found, key=lambda x: (x.getModificationTime(), x.getPath().getName())).getPath().toString() if found else None
+
+
 def write_bundle(exported: DataFrame, path: str) -> None:
     """JSON lines, Parquet and the card's numbers, side by side under one folder; Spark's committer makes each whole or absent."""
     exported.write.mode("overwrite").json(f"{path}/dataset_json")

@@ -67,15 +67,36 @@ def fork(ratings: DataFrame, aggregates: DataFrame, queue: DataFrame, extension:
     return {"ratings": kept, "aggregates": aggregates.limit(0), "queue": queue.filter("reason = 'gold'"), "target_priority": base.unionByName(more)}
 
 
+def shortfall(drawn: DataFrame, quotas: dict[str, int]) -> DataFrame:
+    """Month, wanted, found, short for every month asked for."""
+    wanted = F.create_map(*(F.lit(x) for kv in sorted(quotas.items()) for x in kv))
+    months = drawn.sparkSession.range(1).select(F.explode(wanted).alias("month", "wanted"))  # as many rows as months asked for
+    found = drawn.groupBy("month").agg(F.count("*").alias("found"))
+    return F.broadcast(months).join(found, "month", "left").select("month", "wanted", F.coalesce("found", F.lit(0)).alias("found"), (F.col("wanted") - F.coalesce("found", F.lit(0))).alias("short"))
+
+
 def parse_extend(text: str) -> dict[str, int]:
-    """`2026-06=3,2026-10=2` -> quotas; anything else raises."""
+    """`2026-06=3,2026-10=2` -> quotas; a number that is not above 0, a month given twice or anything else raises."""
     import re
 
-    out = {}
+    out: dict[str, int] = {}
     for part in filter(None, (p.strip() for p in text.split(","))):
-        if not (m := re.fullmatch(r"(\d{4}-(?:0[1-9]|1[0-2]))[=:](\d+)", part)):
-            raise ValueError(f"not a month and a number: {part!r}")
+        m = re.fullmatch(r"(\d{4}-(?:0[1-9]|1[0-2]))[=:](\d+)", part)
+        if not m or not int(m[2]):
+            raise ValueError(f"not a month and a number above 0: {part!r}")
+        if m[1] in out:
+            raise ValueError(f"{m[1]} is given twice")
         out[m[1]] = int(m[2])
     if not out:
         raise ValueError("no month given")
     return out
+
+
+def run_counters(before: DataFrame, offered: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that a run saw, by kind: stored, duplicates within the run, and those that were there already."""
+    known = before.select(*keys).distinct().withColumn("_known", F.lit(True))
+    rows = offered.join(known, keys, "left").groupBy(*keys, "record_type").agg(F.count("*").alias("_n"), F.max("_known").alias("_known"))
+    there = F.coalesce("_known", F.lit(False))
+    return rows.groupBy("record_type").agg(
+        F.sum("_n").alias("seen"), F.count_if(~there).alias("stored"), F.sum(F.when(there, 0).otherwise(F.col("_n") - 1)).alias("repeated"), F.sum(F.when(there, F.col("_n")).otherwise(0)).alias("known")
+    )

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rstrip, truncate, truncate_middle
+from ..scratch import base
 
 NEAR, FAR, REPLY = 500, 300, 200
 #: The reference's reach for ancestors and depths.
@@ -20,14 +19,14 @@ def _held(df: DataFrame) -> DataFrame:
     """The rows, computed, in the checkpoint folder: the plan so far ends here."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.gettempdir() + "/threadloom")
+        context.setCheckpointDir(base(df.sparkSession))
     return df.checkpoint()
 
 
-def ancestors(corpus: DataFrame, levels: int = 6) -> DataFrame:
+def ancestors(corpus: DataFrame, levels: int = 6, of: DataFrame | None = None) -> DataFrame:
     """G01, the last `levels` ancestors: item_id, chain (root side first) as structs; one join a level, until no row climbs further. The submission is no ancestor, an uncollected parent ends the chain."""
     parents = corpus.filter("record_type = 'comment'").select(F.col("item_id").alias("p_id"), F.col("parent_item").alias("p_up"), F.struct("item_id", "author_hash", "is_submitter", "depth", F.coalesce("text", F.lit("")).alias("text")).alias("p_row"))
-    now = corpus.select("item_id", F.col("parent_item").alias("up"), F.array().cast(f"array<{parents.schema['p_row'].dataType.simpleString()}>").alias("chain"))
+    now = (corpus if of is None else of).select("item_id", F.col("parent_item").alias("up"), F.array().cast(f"array<{parents.schema['p_row'].dataType.simpleString()}>").alias("chain"))
     for level in range(levels):
         if level and level % STRETCH == 0:
             now = _held(now)
@@ -64,11 +63,12 @@ def _mark(is_submitter: Column) -> Column:
     return F.when(F.coalesce(is_submitter != 0, F.lit(False)), F.lit(" (OP)")).otherwise(F.lit(""))
 
 
-def contexts(corpus: DataFrame, max_parents: int = 6, max_replies: int = 3, max_chars: int = 6000) -> DataFrame:
-    """item_id, context_text and the structs it was made of."""
+def contexts(corpus: DataFrame, max_parents: int = 6, max_replies: int = 3, max_chars: int = 6000, wanted: DataFrame | None = None) -> DataFrame:
+    """item_id, context_text and the structs it was made of, for the wanted items alone if such are given."""
     posts = corpus.filter("record_type = 'submission'").select(F.col("item_id").alias("s_id"), F.col("title").alias("s_title"), truncate_middle(F.coalesce("selftext", F.lit(""))).alias("s_text"), F.col("author_hash").alias("s_author"))
-    base = corpus.select("item_id", "record_type", "subreddit", "submission_item")
-    rows = base.join(ancestors(corpus, max_parents), "item_id").join(posts, (base["submission_item"] == posts["s_id"]) & (base["record_type"] == "comment"), "left").join(children(corpus, max_replies), F.col("item_id") == F.col("parent_item"), "left")
+    mine = corpus if wanted is None else corpus.join(wanted.select("item_id"), "item_id", "left_semi")
+    base = mine.select("item_id", "record_type", "subreddit", "submission_item")
+    rows = base.join(ancestors(corpus, max_parents, mine), "item_id").join(posts, (base["submission_item"] == posts["s_id"]) & (base["record_type"] == "comment"), "left").join(children(corpus if wanted is None else corpus.join(mine.select(F.col("item_id").alias("parent_item")), "parent_item", "left_semi"), max_replies), F.col("item_id") == F.col("parent_item"), "left")
     chain = F.transform("chain", lambda p, i: p.withField("text", F.when(i >= F.size("chain") - 2, truncate(p["text"], NEAR)).otherwise(truncate(p["text"], FAR))))
     replies = F.transform(F.coalesce("replies", F.filter(F.array(F.col("replies")[0]), lambda x: F.lit(False))), lambda r: r.withField("text", truncate(r["text"], REPLY)))
     rows = rows.withColumn("parent_chain", F.when(F.col("record_type") == "comment", chain).otherwise(F.slice(chain, 1, 0))).withColumn("replies", replies)
@@ -86,12 +86,12 @@ def reuse(snapshots: DataFrame, corpus: DataFrame, wanted: DataFrame, version: s
     """Stored snapshots of this version as they are; only the rest is built."""
     kept = snapshots.filter(F.col("prompt_version") == version).join(wanted, "item_id", "left_semi").select("item_id", "context_text")
     todo = wanted.join(kept.select("item_id"), "item_id", "left_anti")
-    return kept.unionByName(contexts(corpus).join(todo, "item_id", "left_semi").select("item_id", "context_text"))
+    return kept.unionByName(contexts(corpus, wanted=todo).select("item_id", "context_text"))
 
 
 def pre_order(corpus: DataFrame) -> DataFrame:
-    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by time then id. However deep; replies in a circle are followed once round."""
-    key = F.concat(F.lpad(F.col("created_s").cast("string"), 12, "0"), F.lit("|"), F.col("item_id"))
+    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by depth, time, then id. However deep; replies in a circle are followed once round. `top` is where the path starts."""
+    key = F.concat(F.lpad(F.coalesce("depth", F.lit(0)).cast("string"), 6, "0"), F.lit("|"), F.lpad(F.col("created_s").cast("string"), 12, "0"), F.lit("|"), F.col("item_id"))
     rows = corpus.select("item_id", "submission_item", F.col("parent_item").alias("up"), F.array(key).alias("path"), F.array("item_id").alias("seen"))
     up = rows.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("path")[0].alias("_key"))
     climbs = F.col("_id").isNotNull() & ~F.array_contains("seen", F.col("_id"))
@@ -101,4 +101,22 @@ def pre_order(corpus: DataFrame) -> DataFrame:
         rows = _held(rows)
         if rows.join(up, rows["up"] == up["_id"], "inner").filter(climbs).isEmpty():
             break
-    return rows.select("item_id", "submission_item", F.array_join("path", "/").alias("path"), (F.size("path") - 1).alias("indent"))
+    return rows.select("item_id", "submission_item", F.array_join("path", "/").alias("path"), (F.size("path") - 1).alias("indent"), F.col("seen")[0].alias("top"))
+
+
+def rendered(corpus: DataFrame) -> DataFrame:
+    """Thread, path, item_id, line: the threads as indented text when ordered by thread and path. A post that was not collected
+    still heads its replies; replies whose parent comment is missing are not shown."""
+    order = pre_order(corpus).select("item_id", "path", "indent", "top")
+    start = corpus.select(F.col("item_id").alias("top"), F.when(F.col("record_type") == "submission", F.col("item_id")).when(F.col("parent_item").startswith("t3_"), F.col("parent_item")).alias("thread"), (F.col("record_type") == "submission").alias("_there"))
+    rows = corpus.select("item_id", "record_type", "title", "body", "author_hash", "author_status", "permalink").join(order, "item_id").join(start, "top").filter("thread IS NOT NULL")
+    short = lambda c: F.substring(c, 4, 1 << 30)
+    body = F.replace(F.coalesce("body", F.lit("")), F.lit("\n"), F.lit(" "))
+    body = F.when(F.length(body) > 90, F.concat(F.substring(body, 1, 90), F.lit("…"))).otherwise(body)
+    author = F.substring(F.coalesce("author_hash", "author_status", F.lit("?")), 1, 10)
+    indent = F.col("indent") + F.when(F.col("_there"), 0).otherwise(1)
+    reply = F.concat(F.repeat(F.lit("  "), indent), F.lit("└ [comment "), short(F.col("item_id")), F.lit("] u/"), author, F.lit("  "), body)
+    post = F.concat(F.lit("POST ["), short(F.col("item_id")), F.lit("] "), F.coalesce("title", F.lit("")))
+    lines = rows.select("thread", "path", "item_id", F.when(F.col("record_type") == "submission", post).otherwise(reply).alias("line"))
+    gone = rows.filter("NOT _there").select("thread").distinct().select("thread", F.lit("").alias("path"), F.col("thread").alias("item_id"), F.concat(F.lit("POST ["), short(F.col("thread")), F.lit("]")).alias("line"))
+    return lines.unionByName(gone)

@@ -447,14 +447,6 @@ def w13_split_votes(s: SparkSession, d: str) -> DataFrame:
     return _aggregates(s, d).select("item_id", review.is_split_vote(F.col("sarcasm_votes")).alias("split"))
 
 
-@query()
-def w11_gold_sample(s: SparkSession, d: str) -> DataFrame:
-    """Quotas, membership and repeatability are tested; a seeded draw has no SQL."""
-    c = view(s, d, "candidates")
-    population = review.gold_population(_aggregates(s, d), c.select("item_id", "text"), c, view(s, d, "queue"))
-    return review.gold_sample(population, 40).select("item_id", "stratum.*")
-
-
 def _exported(s: SparkSession, d: str) -> DataFrame:
     c, r, h = view(s, d, "candidates"), view(s, d, "ratings"), view(s, d, "reviews")
     docs = c.select("item_id", F.lit("comment").alias("record_type"), F.col("source").alias("subreddit"), F.lit(0).alias("created_s"), F.lit(None).cast("string").alias("submission_item"), F.lit(None).cast("string").alias("parent_item"), F.lit(0).alias("depth"), F.col("source").alias("author_hash"), F.lit("natural").alias("sampling_strategy"), F.lit(None).cast("int").alias("is_self"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("selftext"), "text")
@@ -606,13 +598,6 @@ def x10_timestamps(s: SparkSession, d: str) -> DataFrame:
     return c.select("item_id", F.unix_micros(timeutil.parse_timestamp(raw)).alias("us"))
 
 
-@query()
-def s20_endpoints(s: SparkSession, d: str) -> DataFrame:
-    """S20, X28, A31 over the page addresses' hosts; goldens in the tests."""
-    lines = s.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").alias("line_no"), F.concat(F.lit("http://u:p@"), F.parse_url("url", F.lit("HOST")), F.lit(":8080")).alias("value"))
-    return files.endpoints(lines)
-
-
 _ISO = "strftime(to_timestamp(created_s) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')"
 
 

@@ -17,9 +17,12 @@ def _identity() -> Column:
 
 def jsonl(spark: SparkSession, path: str, unique: bool = True) -> DataFrame:
     """Records of all JSON-lines files below a folder, with `bad` lines marked (not JSON, no object, no identity). With `unique` the first good row of each identity stays, by file path and place in the file."""
-    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("lineSep", "\n").text(path)
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").option("lineSep", "\n").text(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line")).filter(strip(F.col("value")) != "")
     rows = lines.select("_file", "_block", "_line", F.from_json("value", RECORD).alias("r")).select("_file", "_block", "_line", "r.*").withColumn("item_id", _identity()).withColumn("bad", F.col("item_id").isNull())
+    # write_records leaves the subreddit to the folder's name
+    folder = F.nullif(F.url_decode(F.regexp_extract("_file", "/subreddit=([^/]+)/", 1)), F.lit(""))
+    rows = rows.withColumn("subreddit", F.coalesce("subreddit", F.when(~F.col("bad"), folder)))
     if not unique:
         return rows.drop("_block", "_line")
     good = first_seen(rows.filter("NOT bad"), ["item_id"], [F.col("_file"), F.col("_block"), F.col("_line")])
@@ -69,7 +72,7 @@ def archive(spark: SparkSession, path: str, subreddits: list[str], start: str, e
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
     """Ids of a text file, comments and blanks out, first mention kept."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(strip(F.element_at(F.split("value", "#"), 1)).alias("item_id"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(strip(F.element_at(F.split("value", "#"), 1)).alias("item_id"), F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("line"))
     return first_seen(lines.filter("item_id <> ''"), ["item_id"], [F.col("line")])
 
 
@@ -80,28 +83,59 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def newest_tail(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The last n lines of the file written last."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("line"))
     newest = lines.agg(F.max(F.struct("at", "file")).alias("m")).select("m.file")
     return lines.join(F.broadcast(newest), "file").orderBy(F.desc("line")).limit(n)  # one row is broadcast
 
 
 def endpoints(lines: DataFrame) -> DataFrame:
-    """S20/X28/A31's rows: line_no, scheme, host, port, user, provider, masked, ok from lines of `scheme://user:pass@host:port`, `host:port`, `host:port:user:pass` or `user:pass@host:port`."""
+    """S20/X28/A31's rows: line_no, scheme, host, port, user, provider, masked, ok, repeated, from lines of `scheme://[user:pass@]host:port`, `user:pass@host:port`, `host:port:user:pass`, `user:pass:host:port` or `host:port`; the first of equal ones counts."""
     v = strip(F.regexp_replace("value", "#.*$", ""))
     rows = lines.withColumn("v", v).filter("v <> ''")
-    url = r"^(?:(\w+)://)?(?:([^:@\s]+):([^@\s]+)@)?([^:@\s/]+):(\d+)$"
-    four = r"^([^:@\s/]+):(\d+):([^:\s]+):(\S+)$"
-    a, b = F.col("v").rlike(url), F.col("v").rlike(four)
-    x = lambda p, i: F.nullif(F.regexp_extract("v", p, i), F.lit(""))
-    host = F.when(a, x(url, 4)).when(b, x(four, 1))
-    port = F.when(a, x(url, 5)).when(b, x(four, 2)).try_cast("int")
-    user = F.when(a, x(url, 2)).when(b, x(four, 3))
-    scheme = F.coalesce(F.when(a, x(url, 1)), F.lit("http"))
-    raw_ip = host.rlike(r"^\d+(\.\d+){3}$")
-    provider = F.when(raw_ip, "raw IP").otherwise(F.regexp_extract(host, r"([^.]+\.[^.]+|[^.]+)$", 1))
-    ok = F.coalesce((a | b) & port.between(1, 65535), F.lit(False))
-    masked = F.concat(scheme, F.lit("://"), F.when(user.isNotNull(), F.lit("***:***@")).otherwise(F.lit("")), host, F.lit(":"), port.cast("string"))
-    return rows.select("line_no", *(F.when(ok, c).alias(n) for n, c in (("scheme", scheme), ("host", host), ("port", port), ("user", user), ("provider", provider), ("masked", masked))), ok.alias("ok"))
+    # pattern, and which group is scheme, user, pass, host, port; the first that fits
+    shapes = [
+        (r"^(?:(\w+)://)?(?:([^:@\s]+):([^@\s]+)@)?([^:@\s/]+):(\d+)$", (1, 2, 3, 4, 5)),
+        (r"^([^:@\s/]+):(\d+):([^:\s]+):(\S+)$", (0, 3, 4, 1, 2)),
+        (r"^([^:@\s/]+):([^:\s]+):([^:@\s/]+):(\d+)$", (0, 1, 2, 3, 4)),
+    ]
+
+    def part(i: int) -> Column:
+        return F.coalesce(*(F.when(F.col("v").rlike(p), F.nullif(F.regexp_extract("v", p, at[i]), F.lit("")) if at[i] else F.lit(None)) for p, at in shapes))
+
+    port = part(4).try_cast("int")
+    ok = F.coalesce(port.between(1, 65535), F.lit(False))
+    got = rows.select("line_no", F.coalesce(part(0), F.lit("http")).alias("scheme"), part(1).alias("user"), part(2).alias("_pass"), part(3).alias("host"), port.alias("port"), ok.alias("ok"))
+    same = Window.partitionBy("scheme", "user", "_pass", "host", "port", "ok").orderBy("line_no")
+    host = F.col("host")
+    provider = F.when(host.rlike(r"^\d+(\.\d+){3}$"), "raw IP").otherwise(F.lower(F.regexp_extract(host, r"([^.]+\.[^.]+|[^.]+)$", 1)))
+    masked = F.concat("scheme", F.lit("://"), F.when(F.col("user").isNotNull(), F.lit("***:***@")).otherwise(F.lit("")), host, F.lit(":"), F.col("port").cast("string"))
+    out = got.withColumn("repeated", F.col("ok") & (F.row_number().over(same) > 1))
+    return out.select("line_no", *(F.when(F.col("ok"), c).alias(n) for n, c in (("scheme", F.col("scheme")), ("host", host), ("port", F.col("port")), ("user", F.col("user")), ("provider", provider), ("masked", masked))), "ok", "repeated")
+
+
+def endpoint_report(found: DataFrame) -> DataFrame:
+    """Kept, repeated and wrong lines, the wrong ones' numbers, and endpoints of a scheme that takes no user in a browser."""
+    kept = F.col("ok") & ~F.col("repeated")
+    return found.agg(F.count_if(kept).alias("kept"), F.count_if("repeated").alias("repeated"), F.array_sort(F.collect_list(F.when(~F.col("ok"), F.col("line_no")))).alias("wrong_lines"), F.count_if(kept & F.lower("scheme").startswith("socks") & F.col("user").isNotNull()).alias("socks_with_user"))
+
+
+def run_totals(rows: DataFrame, kind: str, since: str = "") -> DataFrame:
+    """Of manifests of one source from a day on: runs, and what they stored."""
+    mine = rows.filter((F.col("source") == kind) & (F.coalesce("started_at_utc", F.lit("")) >= since))
+    return mine.agg(F.count("*").alias("runs"), F.coalesce(F.sum("submissions_stored"), F.lit(0)).alias("posts"), F.coalesce(F.sum("comments_stored"), F.lit(0)).alias("comments"))
+
+
+def signature(spark: SparkSession, path: str, glob: str = "*.{json,jsonl}") -> DataFrame:
+    """File, changed, size of the files below a folder: the same rows mean that nothing has changed. No content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return found.select(F.col("path").alias("file"), F.col("modificationTime").alias("changed"), F.col("length").alias("size"))
+
+
+def changed_files(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Files that are new, gone or different: what a cache built on `before` must not be used for."""
+    a, b = before.select("file", F.struct("changed", "size").alias("_a")), now.select("file", F.struct("changed", "size").alias("_b"))
+    state = F.when(F.col("_a").isNull(), "new").when(F.col("_b").isNull(), "gone").when(F.col("_a") != F.col("_b"), "changed")
+    return a.join(b, "file", "full").select("file", state.alias("state")).filter("state IS NOT NULL")
 
 
 def cards(snapshots: DataFrame, cap: int | None = None) -> DataFrame:

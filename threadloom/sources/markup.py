@@ -183,3 +183,19 @@ def with_archive_defaults(raw: DataFrame) -> DataFrame:
     fixed = {"score": F.coalesce("score", F.lit(0)), "selftext": F.coalesce("selftext", F.lit("")), "upvote_ratio": F.coalesce("upvote_ratio", F.lit(1.0)), "permalink": F.coalesce(F.nullif("permalink", F.lit("")), link)}
     out = raw.withColumns({k: v for k, v in fixed.items() if k in raw.columns})
     return out.withColumn("url", F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit(SITE), F.col("permalink")))) if "url" in raw.columns else out
+
+
+def listing_url(subreddit: Column, kind: Column, query: Column, sort: Column, span: Column, suffix: str = "/") -> Column:
+    """The address of a listing: search (with a query), top of a span, or new, hot, rising; an unknown kind is new."""
+    sub = without_prefix(F.regexp_replace(F.trim(subreddit), "^/+", ""), "r/")
+    base = F.concat(F.lit(SITE + "/r/"), sub, F.lit("/"))
+    span = F.coalesce(F.nullif(span, F.lit("")), F.lit("all"))
+    search = F.concat(F.lit(f"search{suffix}?q="), F.url_encode(query), F.lit("&restrict_sr=1&sort="), F.coalesce(F.nullif(sort, F.lit("")), F.lit("relevance")), F.lit("&t="), span)
+    plain = F.when(kind.isin("new", "hot", "rising"), kind).otherwise("new")
+    return F.concat(base, F.when((kind == "search") & (F.coalesce(query, F.lit("")) != ""), search).when(kind == "top", F.concat(F.lit(f"top{suffix}?t="), span)).otherwise(F.concat(plain, F.lit(suffix))))
+
+
+def comments_url(permalink: Column, sort: str = "confidence") -> Column:
+    """X18."""
+    url = F.when(permalink.rlike("^https?://"), permalink).otherwise(F.concat(F.lit(SITE), F.when(permalink.startswith("/"), F.lit("")).otherwise(F.lit("/")), permalink))
+    return F.concat(url, F.when(F.contains(url, F.lit("?")), F.lit("&")).otherwise(F.lit("?")), F.lit(f"sort={sort}"))

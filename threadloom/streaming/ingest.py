@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,17 +11,21 @@ from ..schemas import RECORD
 
 def records(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """New JSON-lines files as they come."""
-    return spark.readStream.schema(RECORD).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("maxFilesPerTrigger", files_per_trigger).json(path)
+    return spark.readStream.schema(RECORD).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
 def merge_new(stream: DataFrame, table: str, keys: list[str], checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Rows whose key the stored table lacks are appended, batch by batch. The stored table is the memory, so no stream state grows without bound, and a repeated batch appends nothing."""
+    """Rows whose key the stored table lacks are appended, batch by batch. The stored table is the memory, so no stream state grows without bound, and a repeated batch appends nothing. A key that comes several times in a batch is stored once, its least row. Partition columns must follow from the key."""
 
     def put(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
+        once = Window.partitionBy(*keys).orderBy(*(F.col(c) for c in batch.columns if c not in keys))
+        fresh = batch.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n")
         try:
-            stored = spark.read.parquet(table).select(*keys)
+            stored = spark.read.parquet(table)
+            if partition_by and all(p in batch.columns for p in partition_by):  # only the folders that this batch has rows for
+                stored = stored.join(F.broadcast(batch.select(*partition_by).distinct()), partition_by, "left_semi")
+            stored = stored.select(*keys)
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" not in str(e):
                 raise
