@@ -474,9 +474,26 @@ def a21_readiness(s: SparkSession, d: str) -> DataFrame:
     return export.readiness(_exported(s, d))
 
 
-@query(_with(f", {_EXP}, cell AS (SELECT unnest(['sarcastic', 'language', 'literal_sentiment', 'intended_sentiment', 'resolved_by', 'subreddit', 'sarcastic_by_language']) AS dim, unnest([CASE sarcastic_final WHEN 1 THEN 'true' WHEN 0 THEN 'false' END, language_final, literal_final, intended_final, resolved_by, source, coalesce(language_final, 'None') || '|sarcastic=' || coalesce(CASE sarcastic_final WHEN 1 THEN 'true' WHEN 0 THEN 'false' END, 'None')]) AS value FROM exported) SELECT dim, coalesce(value, 'None') AS value, count(*) AS n FROM cell GROUP BY 1, 2", _AGG, "candidates"))
+_WORD = "CASE sarcastic_final WHEN 1 THEN 'true' WHEN 0 THEN 'false' END"
+_DIMS = {
+    "sarcastic": _WORD, "language": "language_final", "literal_sentiment": "literal_final", "intended_sentiment": "intended_final", "resolved_by": "resolved_by", "subreddit": "source", "record_type": "'comment'", "sampling_strategy": "'natural'", "is_text_only": "'true'",
+    "sarcastic_by_language": f"coalesce(language_final, 'None') || '|sarcastic=' || coalesce({_WORD}, 'None')", "sarcastic_per_label_resolution": "per",
+}
+_PER_SARCASTIC = (
+    "per AS (SELECT b.item_id, CASE WHEN h.item_id IS NOT NULL THEN 'human' WHEN a.item_id IS NOT NULL THEN 'adjudicator' WHEN b.s IS NULL THEN 'unresolved' WHEN b.yes = 0 OR b.yes = b.n THEN 'unanimous' ELSE 'majority' END AS per FROM b "
+    "LEFT JOIN (SELECT DISTINCT item_id FROM ratings WHERE role = 'adjudicator') a ON a.item_id = b.item_id LEFT JOIN (SELECT item_id FROM reviews WHERE is_gold = 0) h ON h.item_id = b.item_id)"
+)
+
+
+@query(
+    _with(
+        f", {_EXP}, {_PER_SARCASTIC}, cell AS (SELECT unnest({_LIST(_DIMS)}) AS dim, unnest([{', '.join(_DIMS.values())}]) AS value FROM exported e LEFT JOIN per p ON p.item_id = e.item_id) SELECT dim, coalesce(value, 'None') AS value, count(*) AS n FROM cell GROUP BY 1, 2",
+        _AGG,
+        "candidates",
+    )
+)
 def a19_distributions(s: SparkSession, d: str) -> DataFrame:
-    return export.distributions(_exported(s, d)).filter(F.col("dim").isin("sarcastic", "language", "literal_sentiment", "intended_sentiment", "resolved_by", "subreddit", "sarcastic_by_language"))
+    return export.distributions(_exported(s, d))
 
 
 @query("SELECT DISTINCT c.item_id FROM corpus c WHERE c.item_id IN (SELECT item_id FROM corpus WHERE score > 90) OR c.author_hash IN (SELECT author_hash FROM corpus WHERE score > 90 AND author_hash IS NOT NULL)", "corpus")
