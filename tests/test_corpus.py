@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,14 @@ def test_browser_and_page(rows):
     second = [r["item_id"] for r in views.page(rows, views.browsing_order(), 2, 4).collect()]
     assert len(first) == 4 and not set(first) & set(second)
     assert views.masks(rows, needle="A FINE").count() == 6  # c1 to c5 and the bot
+
+
+@pytest.mark.parametrize("span", [1, 3 * history.HOUR, history.SPAN])
+def test_history_by_spans(spark, span):
+    r = random.Random(4)
+    rows = [(k, r.choice(["hot"] * 5 + ["a", "b", None]), r.choice([None] + [r.randrange(0, 90 * 24) * history.HOUR // 2 for _ in range(9)])) for k in range(300)]
+    d = spark.createDataFrame(rows, "item_id long, author string, us long").repartition(3)
+    got = {x["item_id"]: (x["n_48"], x["n_168"], x["n_720"], x["n_all"]) for x in history.history_counts(d, span=span).collect()}
+    for i, a, t in rows:
+        mine = [u for _, b, u in rows if a is not None and b == a and t is not None and u is not None and u < t]
+        assert got[i] == tuple(min(5, sum(h is None or u >= t - h * history.HOUR for u in mine)) for h in history.WINDOWS)

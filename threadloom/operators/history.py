@@ -8,20 +8,33 @@ from pyspark.sql import functions as F
 WINDOWS = (48, 7 * 24, 30 * 24, None)
 CAP = 5
 HOUR = 3_600_000_000
+#: An author's rows of thirty days are counted in one task.
+SPAN = 30 * 24 * HOUR
 
 
-def _before(hours: int | None, author: str, micros: str):
+def _before(hours: int | None, by: list[str], micros: str):
     lower = Window.unboundedPreceding if hours is None else -hours * HOUR
-    return Window.partitionBy(author).orderBy(micros).rangeBetween(lower, -1)
+    return Window.partitionBy(*by).orderBy(micros).rangeBetween(lower, -1)
 
 
-def history_counts(events: DataFrame, author: str = "author", micros: str = "us", windows: tuple = WINDOWS, cap: int = CAP) -> DataFrame:
-    """For each row and window the same author's rows strictly before it (equal times excluded), capped. One sort serves all windows. Rows without author or time have 0."""
+def history_counts(events: DataFrame, author: str = "author", micros: str = "us", windows: tuple = WINDOWS, cap: int = CAP, span: int = SPAN) -> DataFrame:
+    """For each row and window the same author's rows strictly before it (equal times excluded), capped. One sort serves all windows. Rows without author or time have 0.
+
+    An author's rows are counted span by span, so a prolific author is many tasks: as counts stop at the cap, all that a span needs of
+    the time before it are the author's last `cap` rows, which come from as many earlier spans that have rows at most.
+    """
     known = F.col(author).isNotNull() & F.col(micros).isNotNull()
     # rows without an author get one each, else they would all meet in one task
     own = F.when(known, F.col(author).cast("string")).otherwise(F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string")))
-    df = events.withColumn("_a", own)
-    return df.withColumns({f"n_{'all' if h is None else h}": F.when(known, F.least(F.lit(cap), F.count(F.lit(1)).over(_before(h, "_a", micros)))).otherwise(0).cast("int") for h in windows}).drop("_a")
+    df = events.withColumn("_a", own).withColumn("_s", F.floor(F.col(micros) / span)).withColumn("_own", F.lit(True))
+    spans = first_k(events.filter(known).select(F.col(author).cast("string").alias("_a"), F.floor(F.col(micros) / span).alias("_s"), micros), ["_a", "_s"], [F.desc(micros)], cap).groupBy("_a", "_s").agg(F.collect_list(micros).alias("_last"))
+    back = Window.partitionBy("_a").orderBy("_s").rowsBetween(-cap, -1)  # of an author's spans, not rows
+    late = F.slice(F.sort_array(F.flatten(F.collect_list("_last").over(back)), asc=False), 1, cap)
+    carried = spans.select("_a", "_s", late.alias("_t")).select("_a", "_s", F.explode("_t").alias(micros), F.lit(False).alias("_own"))
+    both = df.unionByName(carried, allowMissingColumns=True)
+    is_known = ~F.col("_a").startswith("\0")
+    counted = both.withColumns({f"n_{'all' if h is None else h}": F.when(is_known, F.least(F.lit(cap), F.count(F.lit(1)).over(_before(h, ["_a", "_s"], micros)))).otherwise(0).cast("int") for h in windows})
+    return counted.filter("_own").drop("_a", "_s", "_own")
 
 
 def coverage(counted: DataFrame, windows: tuple = WINDOWS, cap: int = CAP) -> DataFrame:

@@ -28,12 +28,22 @@ def identify(text: Column, threshold: float = 0.9, message_label: Column | None
     """struct(language, en_ratio, tl_ratio, other_ratio). `word_label` gives en, tl or other for words outside the lists (a model's column; other without one); `message_label` counts only for texts without any word."""
     words = F.transform(tokens(F.coalesce(text, F.lit(""))), F.lower)
     other = word_label or (lambda w: F.lit("other"))
-    kinds = F.transform(words, lambda w: F.when(w.isin(*TAGALOG), "tl").when(w.isin(*ENGLISH), "en").otherwise(other(w)))
-    n = F.greatest(F.size(words), F.lit(1))
-    ratio = lambda k: F.size(F.filter(kinds, lambda x: x == k)) / n
     empty = F.when(message_label == "en", "english").when(message_label == "tl", "tagalog").otherwise("taglish") if message_label is not None else F.lit("taglish")
-    language = F.when(F.size(words) == 0, empty).when(ratio("en") >= threshold, "english").when(ratio("tl") >= threshold, "tagalog").otherwise("taglish")
-    return F.struct(language.alias("language"), *(F.round(ratio(k), 4).alias(f"{k}_ratio") for k in ("en", "tl", "other")))
+
+    # one walk over the words counts all kinds; what is made of the counts is made where the walk ends
+    def count(acc: Column, w: Column) -> Column:
+        kind = F.when(w.isin(*TAGALOG), 1).when(w.isin(*ENGLISH), 2)
+        kind = F.coalesce(kind, F.when(other(w) == "tl", 1).when(other(w) == "en", 2).otherwise(3)) if word_label else F.coalesce(kind, F.lit(3))
+        return F.struct(*((acc[name] + (kind == i + 1).cast("int")).alias(name) for i, name in enumerate(("tl", "en", "other"))))
+
+    def finish(acc: Column) -> Column:
+        tl, en, rest = (acc[name] for name in ("tl", "en", "other"))
+        n = tl + en + rest
+        share = lambda k: k / F.greatest(F.lit(1), n)
+        language = F.when(n == 0, empty).when(share(en) >= threshold, "english").when(share(tl) >= threshold, "tagalog").otherwise("taglish")
+        return F.struct(language.alias("language"), *(F.round(share(k), 4).alias(f"{name}_ratio") for k, name in ((en, "en"), (tl, "tl"), (rest, "other"))))
+
+    return F.aggregate(words, F.struct(*(F.lit(0).alias(name) for name in ("tl", "en", "other"))), count, finish)
 
 
 def run(corpus: DataFrame, candidates: DataFrame, results: DataFrame | None = None) -> DataFrame:
