@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm import additive, cube, jaccard, langid, sp_bpe, superkmer, toxicity
+from threadloom.llm import additive, cube, jaccard, langid, sp_bpe, superkmer, toxicity, wavelet
 from threadloom.llm.queries import tokenizer_file
 
 from . import brute
@@ -266,3 +266,20 @@ def test_sources_come_near_their_targets(spark):
     got = cube.mix(d).groupBy("source").agg({"taken": "sum", "target": "max", "doc_id": "count"}).collect()
     far = {x["source"]: abs(x["sum(taken)"] / x["max(target)"] - 1) for x in got if x["count(doc_id)"] >= 100 and x["max(target)"]}
     assert far and max(far.values()) < 0.01, far
+
+
+def test_planes_are_compressed_and_open_block_by_block():
+    r = np.random.default_rng(3)
+    ids = np.minimum(r.zipf(1.3, 400_000), 50_000).astype(np.int64)
+    raw = wavelet.WaveletMatrix.build(ids, 16).dump()
+    assert len(raw) < 1.6 * len(ids)  # plain 16-bit ids take 2 bytes each
+    m = wavelet.WaveletMatrix.load(b"head" + raw, 4)
+    for i in (0, 1, 131_071, 131_072, 262_143, 399_999):
+        assert m.access(i) == ids[i]
+    for t in (1, 2, 77, 50_000):
+        assert m.count(t) == (ids == t).sum() and m.count(t, 200_001) == (ids[:200_001] == t).sum()
+        if (ids == t).any():
+            assert m.locate(t, 0) == np.flatnonzero(ids == t)[0] and m.locate(t, int((ids == t).sum()) - 1) == np.flatnonzero(ids == t)[-1]
+    assert (m.decode() == ids).all()
+    one = wavelet.Plane(wavelet.BLOCK + 5, *(lambda e, b: (e, memoryview(b)))(*wavelet.Plane.packed(r.integers(0, 256, wavelet.BLOCK + 5).astype(np.uint8))))
+    assert len(one.whole()) == wavelet.BLOCK + 5  # bytes that gain nothing stay as they are

@@ -1,7 +1,8 @@
 """Operator 7: token ids in wavelet-matrix files, one per shard.
 
 A file holds, for a run of documents in ascending doc_id order, their token ids as a wavelet matrix: one bit-plane for each bit
-of an id, highest first, the ids being stably parted by that bit from plane to plane, with a rank directory over each plane. From
+of an id, highest first, the ids being stably parted by that bit from plane to plane, with a rank directory over each plane. The
+planes lie in blocks that are compressed each for itself, so a look at a place opens one block of each plane it passes. From
 the file alone a reader gets the token at a place, the count of a token before a place, the place of its k-th occurrence, and whole
 documents. Files are rows of a Parquet table with a binary column: Spark's committer writes them, so a lost task leaves no half
 file, and any store that Spark reads will do.
@@ -19,16 +20,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, byte_view, docs_of, input_bytes, partitions, ragged, shared_dir, slices
 
 END = 2
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 #: Bits between two entries of the rank directory; ids of a shard from which it is closed.
 STEP = 512
 SHARD_IDS = 1 << 20
+#: Bytes of a plane that are compressed together, and how hard.
+BLOCK, LEVEL = 1 << 14, 1
 #: Bytes of text encoded together; bytes of chunks in one call's text.
 SLICE, PIECE = 8 << 20, 1 << 17
 #: Distinct chunks that a worker remembers the ids of.
@@ -36,6 +40,39 @@ REMEMBERED = 1_000_000
 FILE_ROWS = "part int, shard int, base bigint, docs bigint, ids bigint, file binary"
 
 
+class Plane:
+    """The bytes of a bit-plane, from the compressed blocks of a file: a look at some of them opens no block but theirs."""
+
+    def __init__(self, wide: int, ends: np.ndarray, raw: memoryview):
+        self.wide, self.ends, self.raw = wide, ends, raw
+        self.held: tuple[int, np.ndarray] = (-1, np.zeros(0, dtype=np.uint8))
+
+    @staticmethod
+    def packed(plane: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """Where each block ends among the compressed ones, and these. A block that gains nothing stays as it is, which its length shows."""
+        press = zstandard.ZstdCompressor(level=LEVEL)
+        blocks = [plane[i : i + BLOCK].tobytes() for i in range(0, len(plane), BLOCK)]
+        small = [x if len(x) < len(b) else b for b, x in zip(blocks, map(press.compress, blocks), strict=True)]
+        return np.cumsum([len(x) for x in small]).astype("<u4"), b"".join(small)
+
+    def block(self, k: int) -> np.ndarray:
+        if self.held[0] != k:
+            part = self.raw[int(self.ends[k - 1]) if k else 0 : int(self.ends[k])]
+            size = min(BLOCK, self.wide - k * BLOCK)
+            plain = part if len(part) == size else zstandard.ZstdDecompressor().decompress(part, max_output_size=size)
+            self.held = (k, np.frombuffer(plain, dtype=np.uint8))
+        return self.held[1]
+
+    def whole(self) -> np.ndarray:
+        return np.concatenate([self.block(k) for k in range(len(self.ends))]) if len(self.ends) else np.zeros(0, dtype=np.uint8)
+
+    def __getitem__(self, at):
+        if not isinstance(at, slice):
+            return self.block(at // BLOCK)[at % BLOCK]
+        a, z = at.start or 0, min(self.wide, at.stop)  # STEP divides BLOCK: a directory entry's bytes lie in one block
+        return self.block(a // BLOCK)[a % BLOCK : z - a // BLOCK * BLOCK] if a < z else np.zeros(0, dtype=np.uint8)
+
+
 class WaveletMatrix:
     """Bit-planes with rank and select over a sequence of ids below 2**bits."""
 
@@ -118,7 +155,7 @@ class WaveletMatrix:
         """All ids at once: the planes from the lowest up, each parting undone."""
         seq = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for b, (packed, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
-            one = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
+            one = np.unpackbits(packed.whole() if isinstance(packed, Plane) else packed, count=self.n, bitorder="little").view(bool)
             back = np.empty_like(seq)
             back[~one] = seq[:zeros]
             back[one] = seq[zeros:] | seq.dtype.type(1 << b)
@@ -127,7 +164,7 @@ class WaveletMatrix:
 
     def dump(self) -> bytes:
         head = struct.pack("<QI", self.n, len(self.planes)) + np.array(self.zeros, dtype="<u8").tobytes()
-        return head + b"".join(p.tobytes() + r.astype("<u4").tobytes() for p, r in zip(self.planes, self.ranks, strict=True))
+        return head + b"".join(r.astype("<u4").tobytes() + ends.tobytes() + raw for r, (ends, raw) in zip(self.ranks, map(Plane.packed, self.planes), strict=True))
 
     @classmethod
     def load(cls, raw: bytes, at: int = 0) -> WaveletMatrix:
@@ -135,12 +172,16 @@ class WaveletMatrix:
         at += 12
         zeros = np.frombuffer(raw, "<u8", bits, at).astype(int).tolist()
         at += 8 * bits
-        wide, entries = -(-n // 8), -(-(-(-n // 8)) // (STEP // 8)) + 1
+        wide = -(-n // 8)
+        entries, blocks = -(-wide // (STEP // 8)) + 1, -(-wide // BLOCK)
         planes, ranks = [], []
         for _ in range(bits):
-            planes.append(np.frombuffer(raw, np.uint8, wide, at))
-            ranks.append(np.frombuffer(raw, "<u4", entries, at + wide))
-            at += wide + 4 * entries
+            ranks.append(np.frombuffer(raw, "<u4", entries, at))
+            ends = np.frombuffer(raw, "<u4", blocks, at + 4 * entries)
+            at += 4 * (entries + blocks)
+            size = int(ends[-1]) if blocks else 0
+            planes.append(Plane(wide, ends, memoryview(raw)[at : at + size]))
+            at += size
         return cls(n, planes, zeros, ranks)
 
 
