@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm import additive, cube, jaccard, langid, sp_bpe, superkmer, toxicity, wavelet
+from threadloom.llm import additive, cube, jaccard, langid, ppm, quality, sp_bpe, superkmer, toxicity, wavelet
 from threadloom.llm.queries import tokenizer_file
 
 from . import brute
@@ -283,3 +283,104 @@ def test_planes_are_compressed_and_open_block_by_block():
     assert (m.decode() == ids).all()
     one = wavelet.Plane(wavelet.BLOCK + 5, *(lambda e, b: (e, memoryview(b)))(*wavelet.Plane.packed(r.integers(0, 256, wavelet.BLOCK + 5).astype(np.uint8))))
     assert len(one.whole()) == wavelet.BLOCK + 5  # bytes that gain nothing stay as they are
+
+
+def test_texts_without_frequent_lines(spark):
+    rows = [(k, f"own {k}\nFrom the desk of {k % 10}\n\nlast", "h") for k in range(12)] + [(50, "From the desk of 7", "h"), (51, "From the desk of 7", "other"), (52, None, "h"), (0, "own 0\nFrom the desk of 0\n\nlast", "h")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["text"], r["n_lines_removed"]) for r in quality.without_frequent_lines(d).collect()}
+    assert got[0] == ("own 0\n", 2) and got[50] == ("", 1) and got[51] == ("From the desk of 7", 0) and got[52] == ("", 0)
+    assert len(got) == 15 and all(got[k][0].startswith(f"own {k}") for k in range(12))
+    kept = {r["doc_id"]: r["text"] for r in quality.without_frequent_lines(d, max_docs=99).collect()}
+    assert all(kept[i] == (t or "") for i, t, _ in rows)
+
+
+@pytest.fixture(scope="module")
+def long_rows():
+    """One text beyond every slice, stretch and Arrow batch, one word beyond a heap's bound, and short ones."""
+    r, v = random.Random(21), [w for w in vocabulary(21, 3000) if len(w) > 1]
+    long = "\n".join(say(r, v, 12) for _ in range(150_000))
+    assert len(long) > 9 << 20
+    return [(1, long), (2, "x" * 300_000), (3, long[:4000]), (4, "a few words here"), (5, None), (6, "")]
+
+
+@pytest.mark.parametrize("op", ["op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9"])
+def test_texts_beyond_slices_and_batches(spark, long_rows, op):
+    d = spark.createDataFrame([(i, t, "en", "s", 0, "t") for i, t in long_rows], "doc_id long, text string, lang string, source string, n_chars long, tag string").repartition(2)
+    words = {i: len(brute.words(t)) for i, t in long_rows}
+    labels = spark.createDataFrame([(i, int(i == 4)) for i, _ in long_rows], "doc_id long, toxic int")
+    run = {
+        "op1": lambda: {r["doc_id"]: r["lang_pred"] for r in langid.language_id(d).collect()},
+        "op2": lambda: {r["doc_id"]: r["n_words"] for r in superkmer.substring_dedup(d).collect()},
+        "op3": lambda: {r["doc_id"]: r["n_tokens"] - 1 for r in ppm.lm_scores(d).collect()},
+        "op4": lambda: {r["doc_id"]: r["size"] for r in cube.mixed_sizes(d).collect()},
+        "op5": lambda: {r["doc_id"]: r["n_words"] for r in quality.quality_rules(d).collect()},
+        "op6": lambda: {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(d, labels).collect()},
+        "op7": lambda: {r["doc_id"]: r["ids_crc32"] for r in wavelet.token_files(d, tokenizer_file("byte_bpe_50k.json")).collect()},
+        "op8": lambda: {r["doc_id"]: r["n_shingles"] for r in jaccard.jaccard_join(d).collect()},
+        "op9": lambda: {r["doc_id"]: (r["n_tokens"], r["agrees"]) for r in sp_bpe.sentencepiece_digest(d, tokenizer_file("piece_bpe_32k.model")).collect()},
+    }
+    got = run[op]()
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+    if op in ("op2", "op3", "op4", "op5"):
+        assert got == words
+    elif op == "op1":
+        assert got[1] == "en" and got[5] == got[6] == "und"
+    elif op == "op7":
+        from tokenizers import Tokenizer
+
+        t = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+        for i, text in long_rows:
+            ids = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+            assert got[i] == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    elif op == "op8":
+        assert got == {i: len(brute.shingles(t)) for i, t in long_rows}
+    elif op == "op9":
+        lib = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model")).library
+        assert got == {i: (len(lib.encode(t or "", add_eos=True)), True) for i, t in long_rows}
+
+
+DIRTY = "doc_id long, text string, lang string, source string, n_chars long, tag string, _copies int, node long"
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """A folder of tables for the pipeline: dirty documents with columns whose names the stages use, and labels."""
+
+    def make(rows, labels):
+        spark.createDataFrame([(*r, "t", 3, 9) for r in rows], DIRTY).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+        spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+        return str(tmp_path)
+
+    return make
+
+
+def test_pipeline_of_dirty_documents(spark, tables):
+    import corpus_pipeline as p
+
+    r, v = random.Random(31), vocabulary(31, 300)
+    base = [r.choice(v) for _ in range(80)]
+    rows = [(k, say(r, v, r.randint(1, 60)), r.choice(["en", None]), r.choice(["a", "b", None]), r.choice([1, None])) for k in range(60)]
+    rows += [(100, " ".join(base), "en", "a", 1), (101, " ".join(base), "en", "b", 1), (102, " ".join([*base[:-1], "other"]), None, None, None), (103, None, None, None, None), (104, "", "en", "a", 0), (105, " \n ", "fr", "b", 3), (None, "no id", "en", "a", 1)]
+    rows += [rows[0], rows[60], (7, "a second text of one id " + say(r, v, 20), "en", "a", 5), (200, say(r, v, 5000), "en", "c", 9)]
+    sf = tables(rows, [(k, 0, 1) for k in range(20)] + [(None, 1, 1), (3, None, 1)])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    outs = []
+    for k, (_, stage) in enumerate(p.STAGES):
+        docs = stage(spark, docs, sf)
+        outs.append([x.asDict() for x in docs.collect()])
+        if k < 4:
+            assert docs.columns == list(p.COLUMNS)
+            docs = spark.createDataFrame([tuple(x[c] for c in p.COLUMNS) for x in outs[-1]], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(x["doc_id"] for x in outs[0]) == sorted(x[0] for x in rows if x[0] is not None)  # nothing is toxic without toxic labels
+    kept = [(x["doc_id"], x["text"]) for x in outs[1]]
+    assert (100, " ".join(base)) in kept and not {101, 102} & {i for i, _ in kept} and {103, 104, 105} <= {i for i, _ in kept}
+    assert len([1 for i, _ in kept if i == 7]) == 2 and len([1 for i, _ in kept if i == 0]) == 1
+    assert {x["doc_id"] for x in outs[2]} >= {103, 104, 105, 100}
+    assert all(x["agrees"] for x in outs[4]) and len(outs[4]) == len(outs[3])
+
+
+def test_pipeline_of_nothing(spark, tables):
+    import corpus_pipeline as p
+
+    assert p.run(spark, tables([], [])).count() == 0

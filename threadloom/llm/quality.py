@@ -94,6 +94,22 @@ def quality_rules(documents: DataFrame, max_docs: int = MAX_DOCS, max_lost: int
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & F.col("depleted").isNull()).alias("kept"))
 
 
+def without_frequent_lines(documents: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """doc_id, source, text, n_lines_removed: the texts that the verdicts of quality_rules are about, frequent lines taken out, the
+    others as they were and in their order; repeated rows once, texts of which nothing is left as empty ones."""
+    docs = docs_of(documents, "source").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_key", F.xxhash64("text", "source"))
+    frequent = written(frequent_lines(host_lines(docs), max_docs), shared_dir(documents.sparkSession), "frequent_lines")
+    host = F.coalesce(F.concat(F.lit("h"), F.col("source")), F.lit(""))
+    lines = docs.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", "source", host.alias("host"), F.posexplode(F.split("text", "\n")).alias("at", "raw"))
+    out = frequent.select("line", F.lit(True).alias("out"))
+    if frequent.count() <= BROADCAST_LINES:
+        out = F.broadcast(out)
+    marked = lines.withColumn("line", F.xxhash64("host", normal_line(F.col("raw")))).join(out, "line", "left")
+    gone = F.coalesce("out", F.lit(False))
+    kept = marked.groupBy("doc_id", "text_key").agg(F.first("source").alias("source"), F.array_sort(F.collect_list(F.when(~gone, F.struct("at", "raw")))).alias("kept"), F.count_if(gone).alias("n_lines_removed"))
+    return kept.select("doc_id", "source", F.array_join(F.transform("kept", lambda x: x["raw"]), "\n").alias("text"), "n_lines_removed")
+
+
 #: For DuckDB; hash collisions aside, the same rows.
 SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents WHERE doc_id IS NOT NULL),
