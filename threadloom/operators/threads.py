@@ -90,16 +90,21 @@ def reuse(snapshots: DataFrame, corpus: DataFrame, wanted: DataFrame, version: s
 
 
 def pre_order(corpus: DataFrame) -> DataFrame:
-    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by depth, time, then id. However deep; replies in a circle are followed once round. `top` is where the path starts."""
+    """item_id, path: sort keys from the post down; ordering by (submission_item, path) renders each thread, siblings by depth, time, then id. However deep: ways double until none climbs further, so rounds grow with the logarithm of the depth; replies in a circle are followed once round. `top` is where the path starts."""
     key = F.concat(F.lpad(F.coalesce("depth", F.lit(0)).cast("string"), 6, "0"), F.lit("|"), F.lpad(F.col("created_s").cast("string"), 12, "0"), F.lit("|"), F.col("item_id"))
     rows = corpus.select("item_id", "submission_item", F.col("parent_item").alias("up"), F.array(key).alias("path"), F.array("item_id").alias("seen"))
-    up = rows.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("path")[0].alias("_key"))
-    climbs = F.col("_id").isNotNull() & ~F.array_contains("seen", F.col("_id"))
     while True:
-        for _ in range(STRETCH):
-            rows = rows.join(up, rows["up"] == up["_id"], "left").select("item_id", "submission_item", F.when(climbs, F.col("_up")).alias("up"), *(F.when(climbs, F.concat(F.array(new), old)).otherwise(F.col(old)).alias(old) for new, old in (("_key", "path"), ("_id", "seen"))))
+        for _ in range(STRETCH // 2):
+            above = rows.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("path").alias("_path"), F.col("seen").alias("_seen"))
+            there = F.col("_id").isNotNull()
+            # in a circle only what is above the last item that is on the path already is new, and the way ends there
+            circle = there & F.arrays_overlap("seen", "_seen")
+            skip = F.when(circle, F.array_max(F.transform("_seen", lambda x, i: F.when(F.array_contains("seen", x), i + 1).otherwise(0)))).otherwise(0)
+            joined = rows.join(above, rows["up"] == above["_id"], "left").withColumn("_skip", skip)
+            longer = lambda old, new: F.when(there, F.concat(F.slice(new, F.col("_skip") + 1, F.size(new)), old)).otherwise(F.col(old)).alias(old)
+            rows = joined.select("item_id", "submission_item", F.when(there & ~circle, F.col("_up")).alias("up"), longer("path", "_path"), longer("seen", "_seen"))
         rows = _held(rows)
-        if rows.join(up, rows["up"] == up["_id"], "inner").filter(climbs).isEmpty():
+        if rows.filter("up IS NOT NULL").isEmpty():
             break
     return rows.select("item_id", "submission_item", F.array_join("path", "/").alias("path"), (F.size("path") - 1).alias("indent"), F.col("seen")[0].alias("top"))
 
