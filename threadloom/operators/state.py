@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,6 +25,11 @@ def completed(queue: DataFrame, reviews: DataFrame) -> DataFrame:
     return queue.join(done, "item_id", "left").withColumn("completed", F.greatest("completed", F.coalesce("_d", F.lit(0)))).select(*queue.columns)
 
 
+def migrated(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of an older shape in the schema's columns and kinds; what they lack is null, what the schema lacks goes."""
+    return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def failure(rows: DataFrame, error: str = "error") -> DataFrame:
     """M07."""
     return rows.withColumn(error, F.left(F.col(error), F.lit(2000)))

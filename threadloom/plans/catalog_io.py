@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, text, timeutil
-from ..operators import corpus, export, language, review, state, threads, views
+from ..operators import agreement, corpus, export, language, review, state, threads, views
+from ..schemas import RATING
 from ..scratch import folder
-from ..sources import files, markup
+from ..sources import files, markup, plugin
 from ..streaming import ingest
 from .adapters import view
 from .catalog import _AGG, _EXP, _LIST, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
@@ -260,7 +261,7 @@ def _manifests(s: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("run-"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("collection_run_id"), F.when(F.col("doc_id") % 40 == 0, "archive").otherwise("live").alias("source"),
         F.concat(F.lit("2026-11-"), F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")).alias("started_at_utc"), F.col("n_chars").cast("long").alias("submissions_stored"), (F.col("doc_id") % 100).alias("comments_stored"),
     )
-    rows.repartition(4).write.json(f"{at}/manifests")  # several runs a file: each line is one
+    files.write_manifest(rows, f"{at}/manifests")  # a run is a line
     s.createDataFrame([("{ not json",)], "value string").write.mode("append").text(f"{at}/manifests")
     return s.read.schema(files.MANIFEST).json(f"{at}/manifests").filter("collection_run_id IS NOT NULL")
 
@@ -709,6 +710,57 @@ def f13_feed(s: SparkSession, d: str) -> DataFrame:
     return views.page(view(s, d, "corpus").filter("subreddit = 'sub1'"), [F.desc("created_s"), F.col("item_id")], 1, 40).select("item_id")
 
 
+@query("SELECT model_key AS source, count(*)::VARCHAR AS n FROM (SELECT e.model_key FROM evaluations e JOIN reviews r ON r.item_id = e.item_id WHERE r.sarcastic IS NOT NULL AND e.sarcastic IS NOT NULL AND r.is_gold <> 0) x GROUP BY 1", "evaluations", "reviews")
+def k09_report(s: SparkSession, d: str) -> DataFrame:
+    """The report's text, its table read back line by line."""
+    gold = view(s, d, "reviews").filter("is_gold <> 0").select("item_id", "sarcastic")
+    judged = view(s, d, "evaluations").select("item_id", F.col("model_key").alias("source"), F.col("sarcastic").alias("predicted"))
+    kinds = judged.select("source", F.lit("evaluator").alias("kind")).distinct()
+    rows = [r.asDict() for r in agreement.evaluation_report(gold, judged, kinds).collect()]  # a row a rater
+    lines = agreement.report_markdown(rows, VERSION, 0, 0).splitlines()[6:]
+    return s.createDataFrame([tuple(x.strip() for x in line.split("|")[1:4:2]) for line in lines], "source string, n string")
+
+
+@query("SELECT p, sha256(p || chr(10) || 'schema') AS digest, p <> 'old' AS fits FROM (VALUES ('old'), ('new')) v(p)")
+def x23_prompt_versions(s: SparkSession, d: str) -> DataFrame:
+    """A registered version whose content has changed is refused."""
+    rows = []
+    for p in ("old", "new"):
+        stored = s.createDataFrame([(p, language.content_hash("new", "schema"))], "prompt_version string, content_hash string")
+        try:
+            language.check_version(stored, p, language.content_hash(p, "schema"))
+            rows.append((p, language.content_hash(p, "schema"), True))
+        except RuntimeError:
+            rows.append((p, language.content_hash(p, "schema"), False))
+    return s.createDataFrame(rows, "p string, digest string, fits boolean")
+
+
+class _Hours:
+    """A feed with a row for each hour of a day."""
+
+    schema = "day date, hour int"
+
+    def rows(self, day, options):
+        for hour in range(24):
+            yield day, hour
+
+
+@query("SELECT (DATE '2026-06-28' + (i // 24)::INT)::DATE AS day, (i % 24)::INT AS hour FROM range(120) t(i)")
+def u09_feed(s: SparkSession, d: str) -> DataFrame:
+    """A plugged-in source, a partition a day."""
+    s.dataSource.register(plugin.source_of("hours", _Hours()))
+    return s.read.format("hours").option("start", "2026-07-02").option("end", "2026-06-28").load()
+
+
+@query("SELECT doc_id::VARCHAR AS item_id, NULL::VARCHAR AS model_key, lang AS language, NULL::INT AS sarcastic, CASE WHEN doc_id % 2 = 0 THEN (doc_id % 10)::DOUBLE END AS confidence FROM documents")
+def m09_migrated(s: SparkSession, d: str) -> DataFrame:
+    """Rows of two older shapes brought to one schema: columns that they lack are null, kinds are the schema's."""
+    docs = s.read.parquet(f"{d}/documents.parquet")
+    one = docs.filter("doc_id % 2 = 1").select(F.col("doc_id").alias("item_id"), F.col("lang").alias("language"))
+    two = docs.filter("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("item_id"), F.col("lang").alias("language"), (F.col("doc_id") % 10).cast("int").alias("confidence"), F.lit(1).alias("left_over"))
+    return state.migrated(one, RATING).unionByName(state.migrated(two, RATING)).select("item_id", "model_key", "language", "sarcastic", "confidence")
+
+
 # --- streams -----------------------------------------------------------------------------------------------------------------
 
 
