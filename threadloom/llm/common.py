@@ -79,6 +79,16 @@ def lean() -> None:
         ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, else it grows with what is freed
 
 
+def give_back() -> None:
+    """In a Python worker, at a task's end: what is free goes back to the system, as the worker may idle beside the next stage's."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, slices, word_spans
+from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, give_back, lean, slices, word_spans
 
 ORDER = 4
 DECAY = 0.8
@@ -432,8 +432,12 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Model:
     bound_batches(documents.sparkSession)
 
     def run(batches):
+        lean()
         rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(*_in_order(rows)))], pa.binary())], names=["model"])
+        model = pickle.dumps(fit(*_in_order(rows)))
+        rows.clear()
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     got = sampled(documents, labels).repartition(1).mapInArrow(run, "model binary").first()
     return pickle.loads(got["model"]) if got else fit([], np.zeros(0))
@@ -466,10 +470,12 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)  # LANDMARKS words and weights
 
     def run(batches):
+        lean()
         m = shared.value
         for whole in batches:
             for b in slices(whole, most=8 << 20):
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(m.score(text_features(b.column(2), m.kernel)), pa.float64())], names=["doc_id", "text_key", "score"])
+        give_back()
 
     docs = docs_of(documents).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     return docs.mapInArrow(run, "doc_id bigint, text_key bigint, score double")
@@ -490,9 +496,11 @@ def without_toxic(documents: DataFrame, labels: DataFrame, threshold: float = TH
     at = documents.columns.index("text")
 
     def run(batches):
+        lean()
         m = shared.value
         for whole in batches:
             for b in slices(whole, most=8 << 20):
                 yield b.filter(pa.array(m.score(text_features(b.column(at).cast(pa.string()), m.kernel)) < threshold))
+        give_back()
 
     return documents.mapInArrow(run, documents.schema)
