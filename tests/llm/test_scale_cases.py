@@ -384,3 +384,14 @@ def test_pipeline_of_nothing(spark, tables):
     import corpus_pipeline as p
 
     assert p.run(spark, tables([], [])).count() == 0
+
+
+def test_remembered_words(monkeypatch):
+    monkeypatch.setattr(sp_bpe, "REMEMBERED", 7)
+    coder, r = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model")), random.Random(2)
+    v = vocabulary(2, 30) + ["y" * 300, "🙂"]
+    for _ in range(5):
+        texts = [say(r, v, r.randint(0, 40)) for _ in range(9)]
+        ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+        assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
+    assert len(coder.known) == 7

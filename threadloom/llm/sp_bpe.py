@@ -21,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import bound_batches, byte_view, docs_of, ragged, slices
+from .common import bound_batches, byte_view, docs_of, give_back, ragged, slices
 
 #: What the library puts for a space.
 BLANK = "▁"
 #: Bytes of text whose distinct words are worked off together.
 SLICE = 6 << 20
+#: Words that a worker remembers the ids of.
+REMEMBERED = 150_000
+#: Bytes of text whose ids are held as lists at a time.
+PART = 1 << 20
 #: Letters from which a word has an agenda of its own.
 LONG = 128
 #: Letters of the strings of words that the library is asked for.
@@ -57,6 +61,9 @@ class Agenda:
                 if piece[:k] in ids and piece[k:] in ids:
                     pairs[ids[piece[:k]] * n + ids[piece[k:]]] = i
         self.pairs = pairs
+        # words met before: their numbers, and by number where their ids begin and how many these are
+        self.known: dict[str, int] = {}
+        self.known_ids, self.known_at, self.known_n = (np.zeros(0, dtype=np.int64) for _ in range(3))
         self._hash_pairs(pairs)
         # the agenda's order: scores, best first, as whole numbers
         scores = np.array([lib.get_score(i) for i in range(n)])
@@ -147,6 +154,27 @@ class Agenda:
             out[at[i] : at[i] + len(ids)] = ids
         return out, lengths
 
+    def encode_distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As encode_words, for different words: those of earlier slices are looked up, the first REMEMBERED ones of a worker."""
+        place = np.fromiter((self.known.get(w, -1) for w in words), dtype=np.int64, count=len(words))
+        old = place >= 0
+        fresh = [words[i] for i in np.flatnonzero(~old).tolist()]
+        ids, some = self.encode_words(fresh)
+        lengths = np.empty(len(words), dtype=np.int64)
+        lengths[~old], lengths[old] = some, self.known_n[place[old]]
+        at = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), dtype=np.int64)
+        out[ragged(at[~old], some)] = ids
+        out[ragged(at[old], lengths[old])] = self.known_ids[ragged(self.known_at[place[old]], lengths[old])]
+        keep = np.array([i for i, w in enumerate(fresh[: max(0, REMEMBERED - len(self.known))]) if len(w) <= LONG], dtype=np.int64)
+        if len(keep):
+            self.known.update((fresh[i], len(self.known_n) + k) for k, i in enumerate(keep.tolist()))
+            first = np.cumsum(some) - some
+            self.known_at = np.r_[self.known_at, len(self.known_ids) + np.cumsum(some[keep]) - some[keep]]
+            self.known_n = np.r_[self.known_n, some[keep]]
+            self.known_ids = np.r_[self.known_ids, ids[ragged(first[keep], some[keep])]]
+        return out, lengths
+
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words end to end, and the number of ids of each: every word's agenda goes one merge on in each round."""
         text = "".join(words)
@@ -246,7 +274,7 @@ class Agenda:
         words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.r_[starts, n].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
         which = words.indices.to_numpy()
         names = words.dictionary.to_pylist()
-        ids, lengths = self.encode_words(names)
+        ids, lengths = self.encode_distinct(names)
         doubtful = self.doubtful(names, ids, lengths) if doubts else np.zeros(len(names), dtype=bool)
         at = np.cumsum(lengths) - lengths
         sizes = lengths[which] if len(which) else np.zeros(0, dtype=np.int64)
@@ -263,21 +291,30 @@ def agenda(model_file: str) -> Agenda:
     return Agenda(model_file)
 
 
+def _encoded(batches, coder: Agenda):
+    """Parts of the batches with the lists of ids of their texts and whether the library has the same. Agendas are worked off for
+    SLICE bytes together; lists of numbers are made of PART bytes at a time, as they are large."""
+    for whole in batches:
+        for b in slices(whole, most=SLICE):
+            ids, at, _ = coder.encode(b.column(1), doubts=False)
+            row = 0
+            for part in slices(b, most=PART):
+                cuts = at[row : row + part.num_rows + 1]
+                row += part.num_rows
+                lists = [x.tolist() for x in np.split(ids[cuts[0] : cuts[-1]], cuts[1:-1] - cuts[0])]
+                yield part, *coder.checked([x or "" for x in part.column(1).to_pylist()], lists)
+
+
 def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
     """docs(doc_id, text) -> doc_id, ids (with the end id), decoded text, and whether the library's ids are the same."""
     bound_batches(docs.sparkSession, 16)
 
     def run(batches):
         coder = agenda(model_file)
-        lib = coder.library
-        for whole in batches:
-            for b in slices(whole, most=SLICE):
-                ids, at, _ = coder.encode(b.column(1), doubts=False)
-                lists = [x.tolist() for x in np.split(ids, at[1:-1])]
-                texts = [x or "" for x in b.column(1).to_pylist()]
-                lists, same = coder.checked(texts, lists)
-                decoded = lib.decode(lists, num_threads=1)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
+        for b, lists, same in _encoded(batches, coder):
+            decoded = coder.library.decode(lists, num_threads=1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "decoded", "agrees"])
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>, decoded string, agrees boolean")
 
@@ -288,19 +325,14 @@ def digest(docs: DataFrame, model_file: str) -> DataFrame:
 
     def run(batches):
         coder = agenda(model_file)
-        lib = coder.library
         sha = lambda x: hashlib.sha256(x).hexdigest()
-        for whole in batches:
-            for b in slices(whole, most=SLICE):
-                ids, at, _ = coder.encode(b.column(1), doubts=False)
-                lists = [x.tolist() for x in np.split(ids, at[1:-1])]
-                texts = [x or "" for x in b.column(1).to_pylist()]
-                lists, same = coder.checked(texts, lists)
-                decoded = lib.decode(lists, num_threads=1)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists]), pa.array([sha(x.encode()) for x in decoded]), pa.array(same)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"],
-                )
+        for b, lists, same in _encoded(batches, coder):
+            decoded = coder.library.decode(lists, num_threads=1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([sha(str(x)[1:-1].replace(",", "").encode()) for x in lists], pa.string()), pa.array([sha(x.encode()) for x in decoded], pa.string()), pa.array(same, pa.bool_())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "agrees"],
+            )
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, agrees boolean")
 
