@@ -75,12 +75,32 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import run_digest
+
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_language_id, op2_substring_dedup, op3_lm_scores, op4_mixing, op5_quality_rules, op6_toxicity, op7_wavelet_files, op8_jaccard_join, op9_sentencepiece, op10_nearest)
+    found += (op11_periodic_runs, op12_source_divergence, op13_url_filters)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import jaccard, quality, superkmer
+    from . import divergence, jaccard, quality, superkmer, urlfilter
 
-    return {"op2_substring_dedup": superkmer.SQL, "op5_quality_rules": quality.SQL, "op8_jaccard_join": jaccard.SQL}
+    found = {"op2_substring_dedup": superkmer.SQL, "op5_quality_rules": quality.SQL, "op8_jaccard_join": jaccard.SQL}
+    return found | {"op12_source_divergence": divergence.SQL, "op13_url_filters": urlfilter.SQL}
