@@ -44,11 +44,30 @@ def coverage(counted: DataFrame, windows: tuple = WINDOWS, cap: int = CAP) -> Da
     return stacked.groupBy("window").agg(F.count("*").alias("n_rows"), share(1).alias("at_least_1"), share(3).alias("at_least_3"), share(cap).alias("full"), F.round(F.avg("c"), 3).alias("mean_available"))
 
 
-def last_posts(events: DataFrame, hours: int = 48, k: int = CAP, author: str = "author", micros: str = "us", item: str = "item_id") -> DataFrame:
-    """Each row's last k items of its author within the window before it, oldest first. Only k rows back are kept, however many the window holds."""
-    back = Window.partitionBy(author).orderBy(micros, item).rowsBetween(-k, -1)
-    near = F.filter(F.collect_list(F.struct(F.col(micros).alias("us"), F.col(item).alias("item"))).over(back), lambda x: (x["us"] < F.col(micros)) & (x["us"] >= F.col(micros) - hours * HOUR))
-    return events.withColumn("history", F.transform(near, lambda x: x["item"]))
+def last_posts(events: DataFrame, hours: int = 48, k: int = CAP, author: str = "author", micros: str = "us", item: str = "item_id", span: int = SPAN) -> DataFrame:
+    """Each row with `history`, the last k items of its author strictly before it within the window, oldest first; of equal times the
+    larger ids are the later ones. Rows of the row's own time are no history and take no place of it. Rows without author or time have none.
+
+    What a row sees is the same for all rows of one author and time, so times are ranked, not rows: each distinct time carries its last k
+    items, and k times back hold whatever can be among the last k. As in history_counts, an author's times are worked through span by
+    span, each with the last k items of earlier spans, so a prolific author is many tasks.
+    """
+    known = F.col(author).isNotNull() & F.col(micros).isNotNull()
+    spot = F.struct(F.col(micros).alias("us"), F.col(item).alias("item"))
+    rows = events.filter(known).select(F.col(author).alias("_a"), F.floor(F.col(micros) / span).alias("_s"), F.col(micros).alias("_u"), spot.alias("_x"))
+    last = lambda by: first_k(rows, by, [F.desc("_x")], k).groupBy(*by)
+    times = last(["_a", "_s", "_u"]).agg(F.collect_list("_x").alias("_here"))
+    spans = last(["_a", "_s"]).agg(F.collect_list("_x").alias("_last"))
+    newest = lambda xs: F.slice(F.sort_array(xs, asc=False), 1, k)
+    earlier = newest(F.flatten(F.collect_list("_last").over(Window.partitionBy("_a").orderBy("_s").rowsBetween(-k, -1))))
+    carried = spans.select("_a", "_s", earlier.alias("_before"))
+    back = F.flatten(F.collect_list("_here").over(Window.partitionBy("_a", "_s").orderBy("_u").rowsBetween(-k, -1)))
+    seen = times.select("_a", "_s", "_u", back.alias("_back")).join(carried, ["_a", "_s"])
+    near = F.filter(newest(F.concat("_back", "_before")), lambda x: x["us"] >= F.col("_u") - hours * HOUR)
+    found = seen.select("_a", "_u", F.transform(F.sort_array(near), lambda x: x["item"]).alias("history"))
+    mine = events.filter(known).join(found, (F.col(author) == F.col("_a")) & (F.col(micros) == F.col("_u"))).drop("_a", "_u")
+    alone = events.filter(~known).withColumn("history", F.array().cast(mine.schema["history"].dataType))
+    return mine.unionByName(alone)
 
 
 def first_k(rows: DataFrame, by: list[str], order: list[Column | str], k: int) -> DataFrame:

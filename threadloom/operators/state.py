@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..scratch import held
+from .review import lowest, seeded
+
 
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the delta replace those with their keys."""
@@ -59,10 +62,13 @@ def rewrite_lines(lines: DataFrame, changed: DataFrame, key: str = "line_id") ->
 
 def extension_sample(candidates: DataFrame, taken: DataFrame, quotas: dict[str, int], seed: int = 13) -> DataFrame:
     """For each month so many new items by the hash of seed and id. `candidates` has item_id and month."""
-    quota = F.coalesce(*(F.when(F.col("month") == m, F.lit(q)) for m, q in quotas.items()), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("month").orderBy(F.sha2(F.concat(F.lit(f"{seed}|"), F.col("item_id").cast("string")), 256), "item_id"))
-    fresh = candidates.filter(F.col("month").isin(*quotas)).join(taken.select("item_id"), "item_id", "left_anti")
-    return fresh.withColumn("_r", rank).filter(F.col("_r") <= quota).drop("_r")
+    fresh = held(candidates.filter(F.col("month").isin(*quotas)).join(taken.select("item_id"), "item_id", "left_anti"))
+    table = fresh.groupBy(F.col("month").alias("of")).agg(F.count("*").alias("n")).withColumn("quota", quota_of(quotas))
+    return lowest(fresh, "month", seeded(seed), "item_id", held(table))
+
+
+def quota_of(quotas: dict[str, int]) -> Column:
+    return F.coalesce(*(F.when(F.col("of") == m, F.lit(q).cast("long")) for m, q in quotas.items()), F.lit(0).cast("long"))
 
 
 def fork(ratings: DataFrame, aggregates: DataFrame, queue: DataFrame, extension: DataFrame, lineup: list[str], version: str) -> dict[str, DataFrame]:

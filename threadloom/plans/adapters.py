@@ -20,7 +20,7 @@ FROM (SELECT CASE WHEN turn = 0 THEN 't3_' ELSE 't1_' END || {_S("conv_id")} ||
   CAST(CASE WHEN turn = 0 THEN CASE WHEN conv_id % 4 <> 0 THEN 1 ELSE 0 END END AS INT) AS is_self, (conv_id * 13 + turn * 5) % 97 AS score,
   CASE WHEN turn = 0 THEN CASE WHEN conv_id % 3 = 0 THEN 'keyword_oversampled' ELSE 'natural' END WHEN conv_id % 5 <> 0 THEN 'natural' END AS sampling_strategy,
   CASE WHEN turn = 0 AND conv_id % 3 = 0 THEN CASE WHEN conv_id % 2 = 0 THEN '2026-06-01' ELSE 'edi wow' END END AS matched_query_or_keyword,
-  CASE WHEN turn = 0 THEN substring(text, 1, 40) END AS title, CASE WHEN turn = 0 THEN CASE WHEN conv_id % 4 = 0 THEN '' ELSE substring(text, 41, 1000000) END END AS selftext,
+  CASE WHEN turn = 0 THEN substring(text, 1, 40) END AS title, CASE WHEN turn = 0 THEN CASE WHEN conv_id % 4 = 0 THEN '' ELSE substring(text, 41) END END AS selftext,
   CASE WHEN turn > 0 THEN CASE WHEN turn = 3 AND conv_id % 9 = 1 THEN 'Happy   birthdayyyy po, hahaha!' WHEN turn = 4 AND conv_id % 7 = 2 THEN 'ok' WHEN turn = 5 AND conv_id % 5 = 3 THEN '[deleted]'
     WHEN turn = 2 AND conv_id % 11 = 4 THEN 'see https://example.org/x **now** [this](http://a.b/c)' WHEN turn = 1 AND conv_id % 10 = 6 THEN 'Thank you but edi wow talaga' ELSE text END END AS body,
   '/r/sub' || {_S("conv_id % 3")} || '/comments/' || {_S("conv_id")} || '/' AS permalink
@@ -57,7 +57,10 @@ PRIORITY = f"SELECT 'd' || {_S('doc_id')} AS item_id, CAST(1 + doc_id % 2 AS INT
 QUEUE = f"SELECT 'd' || {_S('doc_id')} AS item_id, CASE WHEN doc_id % 2 = 0 THEN 'gold' ELSE 'low_confidence' END AS reason, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS INT) AS completed FROM {{documents}} WHERE doc_id % 14 = 0 OR doc_id % 21 = 1"
 EVENTS = "SELECT event_id AS item_id, user_id AS author, event_type, {us} AS us, CAST(ts AS DATE) AS day, value FROM {events}"
 
-VIEWS = {"corpus": CORPUS, "ratings": RATINGS, "evaluations": EVALUATIONS, "failures": FAILURES, "reviews": REVIEWS, "candidates": CANDIDATES, "priority": PRIORITY, "queue": QUEUE, "history": EVENTS}
+#: Events by the hour, so that an author has many at one time, some without an author, some without a time.
+TIED = "SELECT event_id AS item_id, CASE WHEN user_id % 20 <> 7 THEN user_id % 40 END AS author, CASE WHEN event_id % 90 <> 11 THEN {us} - {us} % 3600000000 END AS us FROM {events}"
+
+VIEWS = {"tied": TIED, "corpus": CORPUS, "ratings": RATINGS, "evaluations": EVALUATIONS, "failures": FAILURES, "reviews": REVIEWS, "candidates": CANDIDATES, "priority": PRIORITY, "queue": QUEUE, "history": EVENTS}
 TABLES = ("documents", "labels", "conversations", "events")
 
 

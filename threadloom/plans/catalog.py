@@ -371,9 +371,16 @@ def a23_coverage(s: SparkSession, d: str) -> DataFrame:
     return history.coverage(history.history_counts(view(s, d, "history")))
 
 
-@query("SELECT item_id, array_to_string(list_transform(list_filter(l, lambda x: x.us < q.us AND x.us >= q.us - 172800000000), lambda x: x.item_id::STRING), ',') AS ids FROM (SELECT item_id, us, list({'us': us, 'item_id': item_id}) OVER (PARTITION BY author ORDER BY us, item_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS l FROM history) q WHERE l IS NOT NULL AND len(list_filter(l, lambda x: x.us < q.us AND x.us >= q.us - 172800000000)) > 0", "history")
+@query(
+    """SELECT item_id, string_agg(before::VARCHAR, ',' ORDER BY us, before) AS ids FROM (
+      SELECT q.item_id, h.item_id AS before, h.us, row_number() OVER (PARTITION BY q.item_id ORDER BY h.us DESC, h.item_id DESC) AS r
+      FROM tied q JOIN tied h ON h.author = q.author AND h.us < q.us AND h.us >= q.us - 172800000000) x WHERE r <= 5 GROUP BY item_id
+    UNION ALL SELECT item_id, '' FROM tied q WHERE NOT EXISTS (SELECT 1 FROM tied h WHERE h.author = q.author AND h.us < q.us AND h.us >= q.us - 172800000000)""",
+    "tied",
+)
 def w10_last_posts(s: SparkSession, d: str) -> DataFrame:
-    return history.last_posts(view(s, d, "history")).filter(F.size("history") > 0).select("item_id", F.array_join(F.transform("history", lambda x: x.cast("string")), ",").alias("ids"))
+    """W10, with many rows of an author at one time and rows without author or time."""
+    return history.last_posts(view(s, d, "tied")).select("item_id", F.array_join(F.transform("history", lambda x: x.cast("string")), ",").alias("ids"))
 
 
 @query("SELECT item_id, event_type, day FROM (SELECT *, row_number() OVER (PARTITION BY event_type, day ORDER BY sha256(item_id::STRING), item_id) AS r FROM history) x WHERE r <= 5", "history")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def base(spark: SparkSession) -> str:
@@ -21,3 +21,10 @@ def base(spark: SparkSession) -> str:
 def folder(spark: SparkSession) -> str:
     """A new one of one's own; whoever owns the run deletes it afterwards."""
     return f"{base(spark)}/{uuid.uuid4().hex}"
+
+
+def held(df: DataFrame) -> DataFrame:
+    """The rows as a table there: computed once, however often they are read."""
+    at = folder(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
