@@ -113,6 +113,15 @@ def content_hash(*parts: str) -> str:
     return hashlib.sha256("\n".join(parts).encode()).hexdigest()
 
 
+def version_states(registered: DataFrame, prompts: DataFrame) -> DataFrame:
+    """prompts(prompt_version, prompt, schema) against registered(prompt_version, content_hash): `new`, `known`, or `changed` under
+    a name that is taken. Only new ones may be added, and nothing may run under a changed one."""
+    now = prompts.select("prompt_version", F.sha2(F.concat_ws("\n", "prompt", "schema"), 256).alias("content_hash"))
+    old = registered.select(F.col("prompt_version").alias("_v"), F.col("content_hash").alias("_h"))
+    state = F.when(F.col("_v").isNull(), "new").when(F.col("_h") == F.col("content_hash"), "known").otherwise("changed")
+    return now.join(old, now["prompt_version"] == old["_v"], "left").select("prompt_version", "content_hash", state.alias("state"))
+
+
 def check_version(stored: DataFrame, version: str, digest: str) -> None:
     """Raises when a registered version's content has changed."""
     row = stored.filter(F.col("prompt_version") == version).select("content_hash").first()

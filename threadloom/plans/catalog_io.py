@@ -7,13 +7,14 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import identity, text, timeutil
 from ..operators import agreement, corpus, export, language, review, state, threads, views
 from ..schemas import RATING
-from ..scratch import folder
-from ..sources import files, markup, plugin
-from ..streaming import ingest
+from ..scratch import folder, held
+from ..sources import files, markup, paged
+from ..streaming import awaiting, ingest
 from .adapters import view
 from .catalog import _AGG, _EXP, _LIST, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
 
@@ -721,35 +722,56 @@ def k09_report(s: SparkSession, d: str) -> DataFrame:
     return s.createDataFrame([tuple(x.strip() for x in line.split("|")[1:4:2]) for line in lines], "source string, n string")
 
 
-@query("SELECT p, sha256(p || chr(10) || 'schema') AS digest, p <> 'old' AS fits FROM (VALUES ('old'), ('new')) v(p)")
+_REGISTERED = "SELECT 'd' || doc_id AS prompt_version, sha256(CASE WHEN quality = 1 THEN 'q' ELSE 'other' END || doc_id || chr(10) || 'schema') AS content_hash FROM labels WHERE doc_id % 3 <> 0"
+
+
+@query(
+    "SELECT 'd' || l.doc_id AS prompt_version, sha256('q' || l.doc_id || chr(10) || 'schema') AS content_hash, CASE WHEN r.prompt_version IS NULL THEN 'new' WHEN r.content_hash = sha256('q' || l.doc_id || chr(10) || 'schema') THEN 'known' ELSE 'changed' END AS state FROM labels l LEFT JOIN r ON r.prompt_version = 'd' || l.doc_id",
+    r=_REGISTERED,
+)
 def x23_prompt_versions(s: SparkSession, d: str) -> DataFrame:
-    """A registered version whose content has changed is refused."""
-    rows = []
-    for p in ("old", "new"):
-        stored = s.createDataFrame([(p, language.content_hash("new", "schema"))], "prompt_version string, content_hash string")
-        try:
-            language.check_version(stored, p, language.content_hash(p, "schema"))
-            rows.append((p, language.content_hash(p, "schema"), True))
-        except RuntimeError:
-            rows.append((p, language.content_hash(p, "schema"), False))
-    return s.createDataFrame(rows, "p string, digest string, fits boolean")
+    """Prompt versions against those registered: new, known, or changed under an old name."""
+    lab = s.read.parquet(f"{d}/labels.parquet")
+    name, text_ = F.concat(F.lit("d"), F.col("doc_id").cast("string")), lambda x: F.concat(x, F.col("doc_id").cast("string"))
+    digest = lambda x: F.sha2(F.concat(x, F.lit("\nschema")), 256)
+    old = lab.filter("doc_id % 3 <> 0").select(name.alias("prompt_version"), digest(text_(F.when(F.col("quality") == 1, "q").otherwise("other"))).alias("content_hash"))
+    now = lab.select(name.alias("prompt_version"), text_(F.lit("q")).alias("prompt"), F.lit("schema").alias("schema"))
+    return language.version_states(old, now)
 
 
-class _Hours:
-    """A feed with a row for each hour of a day."""
+def _archive(s: SparkSession, d: str, at: str, when: str = "true") -> paged.TableArchive:
+    """Events as a stored archive, by day."""
+    e = s.read.parquet(f"{d}/events.parquet").filter(when)
+    rows = e.select(F.col("event_id").alias("id"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_utc"), F.col("event_type").alias("kind"), F.to_date("ts").cast("string").alias("day"))
+    rows.repartition("day").write.mode("append").partitionBy("day").parquet(at)
+    return paged.TableArchive(at, "id long, created_utc long, kind string, day date")
 
-    schema = "day date, hour int"
 
-    def rows(self, day, options):
-        for hour in range(24):
-            yield day, hour
+_BOUNDS = "SELECT min(CAST(ts AS DATE)) + 2 AS a, min(CAST(ts AS DATE)) + 9 AS z FROM events"
 
 
-@query("SELECT (DATE '2026-06-28' + (i // 24)::INT)::DATE AS day, (i % 24)::INT AS hour FROM range(120) t(i)")
+@query("SELECT event_id AS id, floor(epoch(ts))::BIGINT AS created_utc, event_type AS kind, CAST(ts AS DATE) AS day FROM events, b WHERE CAST(ts AS DATE) BETWEEN a AND z", b=_BOUNDS)
 def u09_feed(s: SparkSession, d: str) -> DataFrame:
-    """A plugged-in source, a partition a day."""
-    s.dataSource.register(plugin.source_of("hours", _Hours()))
-    return s.read.format("hours").option("start", "2026-07-02").option("end", "2026-06-28").load()
+    """A plugged-in archive read page by page; the filter on the day chooses the partitions."""
+    archive = _archive(s, d, f"{folder(s)}/archive")
+    s.dataSource.register(paged.paged_source("archive", archive))
+    a, z = s.read.parquet(f"{d}/events.parquet").agg(F.min(F.to_date("ts")).alias("m")).select(F.date_add("m", 2).cast("string"), F.date_add("m", 9).cast("string")).first()
+    with paged.filters_pushed(s):
+        days = F.col("day").between(F.lit(a).cast("date"), F.lit(z).cast("date"))
+        return held(s.read.format("archive").option("start", "2020-01-01").option("page", "40").load().filter(days))
+
+
+@query("SELECT event_id AS id, floor(epoch(ts))::BIGINT AS created_utc, event_type AS kind, CAST(ts AS DATE) AS day FROM events")
+def s06_paged_stream(s: SparkSession, d: str) -> DataFrame:
+    """The archive as a stream, in two runs on one checkpoint while it grows: nothing is missed, nothing comes twice."""
+    at = folder(s)
+    start, cut = s.read.parquet(f"{d}/events.parquet").agg(F.min(F.to_date("ts")).alias("a"), F.date_add(F.min(F.to_date("ts")), 12).alias("z")).select(F.col("a").cast("string"), F.col("z").cast("string")).first()
+    for when in (f"ts < '{cut}'", f"ts >= '{cut}'"):
+        archive = _archive(s, d, f"{at}/archive", when)
+        s.dataSource.register(paged.paged_source("archive", archive))
+        stream = s.readStream.format("archive").option("start", start).option("page", "60").load()
+        _run(stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/ckpt").trigger(availableNow=True).start())
+    return s.read.schema(stream.schema).parquet(f"{at}/out")
 
 
 @query("SELECT doc_id::VARCHAR AS item_id, NULL::VARCHAR AS model_key, lang AS language, NULL::INT AS sarcastic, CASE WHEN doc_id % 2 = 0 THEN (doc_id % 10)::DOUBLE END AS confidence FROM documents")
@@ -764,13 +786,16 @@ def m09_migrated(s: SparkSession, d: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------------------------------------------------------
 
 
-def _drained(stream: DataFrame, s: SparkSession, mode: str = "append") -> DataFrame:
-    """What a stream gives for all that is there now."""
-    at = folder(s)
-    q = stream.writeStream.format("parquet").outputMode(mode).option("path", f"{at}/out").option("checkpointLocation", f"{at}/ckpt").trigger(availableNow=True).start()
+def _run(q: StreamingQuery) -> None:
     ingest.run_for(q, 600)
     if q.exception():
         raise RuntimeError(str(q.exception()))
+
+
+def _drained(stream: DataFrame, s: SparkSession) -> DataFrame:
+    """What a stream gives for all that is there now."""
+    at = folder(s)
+    _run(awaiting.start(stream, f"{at}/out", f"{at}/ckpt"))
     return s.read.schema(stream.schema).parquet(f"{at}/out")
 
 
@@ -780,10 +805,7 @@ def z01_incremental(s: SparkSession, d: str) -> DataFrame:
     at, r = folder(s), _records(s, d).drop("subreddit")
     for part in ("score % 2 = 0", "score % 3 = 0 OR score % 2 = 1"):
         r.filter(part).write.mode("append").json(f"{at}/in")
-        q = ingest.merge_new(ingest.records(s, f"{at}/in", 50), f"{at}/table", ["reddit_fullname"], f"{at}/ckpt")
-        ingest.run_for(q, 600)
-        if q.exception():
-            raise RuntimeError(str(q.exception()))
+        _run(ingest.merge_new(ingest.records(s, f"{at}/in", 50), f"{at}/table", ["reddit_fullname"], f"{at}/ckpt"))
     return s.read.parquet(f"{at}/table").select(F.col("reddit_fullname").alias("item_id"), "record_type")
 
 
@@ -809,3 +831,36 @@ def z04_joined_streams(s: SparkSession, d: str) -> DataFrame:
         c.filter(F.col("record_type") == name).repartition(1).write.parquet(f"{at}/{name}")
     posts, comments = (s.readStream.schema(kind).parquet(f"{at}/{name}") for name in ("submission", "comment"))
     return _drained(ingest.comments_of_posts(posts, comments, "3 minutes").select("item_id", "submission_item"), s)
+
+
+#: Conversations as a stream in which a reply comes hours after its post, some days behind; the horizon is half a day.
+_SLOW = "SELECT item_id, record_type, submission_item, created_s + CASE WHEN record_type = 'comment' THEN (score % 23) * 7200 ELSE 0 END AS s FROM corpus WHERE record_type = 'comment' OR score % 10 <> 0"
+_CLOSED = "SELECT *, (s // 86400 + 1) * 86400 AS day_end, (SELECT max(s) FROM slow) - 43200 AS passed FROM slow"
+
+
+@query(
+    """SELECT p.item_id AS post, 'released' AS kind, p.s * 1000 AS ms, count(c.item_id) AS n, coalesce(string_agg(c.item_id, ',' ORDER BY c.s, c.item_id), '') AS items
+    FROM closed p LEFT JOIN closed c ON c.record_type = 'comment' AND c.submission_item = p.item_id AND c.s < p.day_end + 43200
+    WHERE p.record_type = 'submission' AND p.day_end <= p.passed GROUP BY p.item_id, p.s
+    UNION ALL SELECT c.submission_item, 'late', c.s * 1000, 1, c.item_id FROM closed c LEFT JOIN closed p ON p.record_type = 'submission' AND p.item_id = c.submission_item
+    WHERE c.record_type = 'comment' AND c.day_end <= c.passed AND (p.item_id IS NULL OR c.s >= p.day_end + 43200)""",
+    "corpus",
+    slow=_SLOW,
+    closed=_CLOSED,
+)
+def z02_released_posts(s: SparkSession, d: str) -> DataFrame:
+    """Posts go out once with their comments when the stream has passed their day and the horizon; later replies, and
+    those to posts that were never collected, go out by themselves."""
+    at, c = folder(s), view(s, d, "corpus").filter("record_type = 'comment' OR score % 10 <> 0")
+    delay = F.when(F.col("record_type") == "comment", F.col("score") % 23 * 7200).otherwise(0)
+    rows = c.select("item_id", "record_type", "submission_item", F.timestamp_seconds(F.col("created_s") + delay).alias("ts"))
+    rows.repartitionByRange(4, "ts").write.parquet(f"{at}/in")
+    got = _drained(awaiting.released_posts(s.readStream.schema(rows.schema).parquet(f"{at}/in"), "12 hours"), s)
+    return got.select("post", "kind", "ms", "n", F.array_join("items", ",").alias("items"))
+
+
+@query("SELECT event_type AS key, CAST(ts AS DATE) AS day, event_id AS id, epoch_us(ts) AS us FROM (SELECT *, row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id) AS r FROM events) x WHERE r <= 7 AND CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events)")
+def z06_day_caps(s: SparkSession, d: str) -> DataFrame:
+    """A kind's newest seven events of each day, given out when the day is over."""
+    stream = s.readStream.schema("event_id long, event_type string, ts timestamp").parquet(_event_files(s, d))
+    return _drained(awaiting.day_caps(stream, "event_type", 7), s).select("key", F.date_from_unix_date("day").alias("day"), "id", "us")

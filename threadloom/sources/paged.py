@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import UTC, date, datetime
 from typing import Any, Protocol
 
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
@@ -70,6 +72,7 @@ class TableArchive:
 
     def __init__(self, folder: str, schema: str):
         self.folder, self.schema = folder.rstrip("/"), schema
+        self.columns = [part.split()[0] for part in schema.split(",") if part.split()[0] != "day"]
         self._day: tuple[str, list] | None = None
 
     def __getstate__(self) -> dict:
@@ -98,8 +101,7 @@ class TableArchive:
         if self._day is None or self._day[0] != day:
             system, top = self._at()
             files = [f.path for f in system.get_file_info(fs.FileSelector(f"{top}/day={day}", allow_not_found=True)) if f.path.endswith(".parquet")]
-            names = StructType.fromDDL(self.schema).fieldNames()
-            rows = [r for f in sorted(files) for r in pq.read_table(f, filesystem=system, columns=[n for n in names if n != "day"], partitioning=None).to_pylist()]
+            rows = [r for f in sorted(files) for r in pq.read_table(f, filesystem=system, columns=self.columns, partitioning=None).to_pylist()]
             self._day = (day, sorted(rows, key=lambda r: (r["created_utc"], str(r["id"]))))
         return self._day[1]
 
@@ -258,3 +260,17 @@ def paged_source(label: str, archive: Archive) -> type[DataSource]:
     return PagedSource
 
 
+
+
+PUSHED = "spark.sql.python.filterPushdown.enabled"
+
+
+@contextmanager
+def filters_pushed(spark: SparkSession) -> Iterator[None]:
+    """Frames that are planned within hand their filters to the source; the caller's setting comes back afterwards."""
+    before = spark.conf.get(PUSHED, None)
+    spark.conf.set(PUSHED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(PUSHED) if before is None else spark.conf.set(PUSHED, before)
