@@ -548,23 +548,14 @@ def test_one_of_each(docs, rows):
 # --- 9 ----------------------------------------------------------------------------------------------------------------
 
 
-def test_a_difference_to_the_library_shows():
-    coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
-    coder.order = coder.order[::-1].copy()  # an agenda worked off the wrong way round
-    texts = ["xx", "internationalization of things", "zz"]
-    ids, at, doubt = coder.encode(pa.array(texts))
-    lists = [x.tolist() for x in np.split(ids, at[1:-1])]
-    assert doubt[1] and coder.agreement(texts, lists, doubt) == [x == coder.library.encode(t, add_eos=True) for t, x in zip(texts, lists, strict=True)]
-
-
 def test_every_text_is_compared_whole():
     coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
     texts = ["one of two", "two of three", "of"]
-    ids, at, doubt = coder.encode(pa.array(texts))
+    ids, at = coder.encode(pa.array(texts))
     lists = [x.tolist() for x in np.split(ids, at[1:-1])]
-    assert not doubt.any() and coder.agreement(texts, lists, doubt) == [True] * 3
-    lists[1] = lists[1][::-1]  # no word is in doubt, and it isn't the first text
-    assert coder.agreement(texts, lists, doubt) == [True, False, True]
+    assert coder.checked(texts, lists)[1] == [True] * 3
+    lists[1] = lists[1][::-1]  # not the first text
+    assert coder.checked(texts, lists)[1] == [True, False, True]
 
 
 def test_agenda_equals_the_library(docs, rows, nothing):
@@ -573,8 +564,7 @@ def test_agenda_equals_the_library(docs, rows, nothing):
     lib = coder.library
     bits = ["the", " ", "   ", "\n", "▁", "ñ", "漢字", "🙂", " ", "\x00", "a", "b", "ing", "<s>", "</s>", "<0x41>", "1234", "ﬁ", "é", "WORLD", "internationalization"]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(800)] + [" ", "x" * 3000, None]
-    ids, at, doubt = coder.encode(pa.array(texts, pa.string()))
-    assert not doubt.any()
+    ids, at = coder.encode(pa.array(texts, pa.string()))
     for text, a, z in zip(texts, at, at[1:], strict=False):
         assert ids[a:z].tolist() == lib.encode(text or "", add_eos=True), repr(text)
     got = sp_bpe.sentencepiece_digest(docs, path).collect()

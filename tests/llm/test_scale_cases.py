@@ -6,6 +6,7 @@ import random
 import time
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,43 @@ def test_recall_among_close_neighbours(spark):
     assert plain_recall(rows, got) >= 0.9
 
 
+@pytest.mark.parametrize("where", ["query", "candidates", "sample"])
+@pytest.mark.parametrize("size", [1e-320, 1e-200, 1e200, 1.7e308])
+def test_numbers_of_any_size(spark, size, where):
+    r = np.random.default_rng(4)
+    x = r.integers(-1000, 1001, size=(300, 8)) / 1000.0
+    x[np.abs(x).max(1) == 0] = 1.0
+    with np.errstate(under="ignore"):
+        grow = np.ones(len(x))
+        grow[{"query": [0, 50], "candidates": slice(1, None, 7), "sample": [13]}[where]] = size
+        big = x * grow[:, None]
+    big[np.abs(big).max(1) == 0] = 5e-324
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(big)]
+    got = defaultdict(list)
+    for q in additive.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), shard=64).collect():
+        got[q["query_id"]].append((q["rank"], q["vec_id"], q["score"]))
+    exact = [[Fraction(v) for v in row] for _, row in rows]  # no over- or underflow here
+    for q in range(0, 300, 50):
+        top = max(map(abs, exact[q]))
+        mine = np.array([float(v / top) for v in exact[q]])
+        cosine = []
+        for i, row in enumerate(exact):
+            him = np.array([float(v / max(map(abs, row))) for v in row])
+            cosine.append(-9.0 if i == q else float(mine @ him / np.sqrt((mine @ mine) * (him @ him))))
+        want = sorted(range(300), key=lambda i: (-round(cosine[i], 9), i))[:5]
+        found = sorted(got[q])
+        assert len(found) == 5 and np.allclose([s for *_, s in found], [cosine[i] for i in want], atol=1e-9)
+
+
+def test_long_vectors_many_shards_in_a_batch(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(r.normal(size=(220, 3000)))]
+    got = defaultdict(list)
+    for q in additive.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), shard=16).collect():
+        got[q["query_id"]].append(q["score"])
+    assert plain_recall(rows, got) >= 0.9
+
+
 def test_a_repeated_id_counts_once(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 0.2]), (2, [0.5, 0.1]), (2, [0.5, 0.1])]
     want = [(0, 1, 1), (0, 2, 2)]  # least vectors: 0 has (0, 1), 1 has (1, 0.2)
@@ -139,7 +177,7 @@ def test_long_words_have_a_heap():
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     texts = ["".join(r.choice(letters) for _ in range(300_000)), "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "กขคงจฉช" * 3000, "ab " * 500 + "internationalization" * 200 + " x" * 400, "🙂é" * 700]
     began = time.time()
-    ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+    ids, at = coder.encode(pa.array(texts))
     assert time.time() - began < 20
     for text, part in zip(texts, np.split(ids, at[1:-1]), strict=True):
         assert part.tolist() == coder.library.encode(text, add_eos=True)
@@ -151,12 +189,47 @@ def test_a_vocabulary_that_spans_words_and_the_librarys_ids():
     coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
     texts = ["one text as a whole", "", "a  b " * 90]
     coder.inner = True
-    ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+    ids, at = coder.encode(pa.array(texts))
     assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
     wrong = [[1, 2], [coder.end], [3]]
     assert coder.checked(texts, wrong) == ([coder.library.encode(t, add_eos=True) for t in texts], [False, True, False])
 
 
+def test_the_agenda_gives_the_ids():
+    """A broken agenda shows in its ids and in `agrees`; the library's stand in for its lists only."""
+    coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
+    r = random.Random(1)
+    texts = ["".join(r.choice("etaoinshrdlu") for _ in range(20)) for _ in range(30)] + ["of"]
+    right = [coder.library.encode(t, add_eos=True) for t in texts]
+    coder.order = coder.order.max() - coder.order  # worst merges first
+    ids, at = coder.encode(pa.array(texts))
+    lists = [x.tolist() for x in np.split(ids, at[1:-1])]
+    assert sum(a != b for a, b in zip(lists, right, strict=True)) > 20
+    got, same = coder.checked(texts, lists)
+    assert got == right and same == [a == b for a, b in zip(lists, right, strict=True)]
+    kept, same = coder.checked(texts, right)
+    assert all(same) and all(a is b for a, b in zip(kept, right, strict=True))
+
+
+def test_long_words_score_as_their_middle():
+    r = random.Random(9)
+    kern = toxicity.Kernel(["worthless", "idiot", "scum"])
+    spaced = "wxoxrxtxhxlxexsxs"
+    assert kern.values([spaced])[0, 0] > 0.3
+    for before in (0, 3, 10, 40, 130, 180, 190, 200, 1000):
+        word = "".join(r.choice("abcdfg") for _ in range(before)) + spaced + "".join(r.choice("abcdfg") for _ in range(r.choice([0, 7, 300])))
+        assert math.isclose(kern.values([word])[0, 0], kern.values([spaced])[0, 0], rel_tol=1e-5), before
+    words = ["".join(r.choice("worthlesidcumx") for _ in range(r.choice([5, 30, 150, 193, 260, 700]))) for _ in range(40)]
+    got = kern.values(words)
+    for w, row in zip(words, got, strict=True):  # the recurrence over the whole word
+        codes, n = toxicity.coded([w])
+        for j, mark in enumerate(kern.codes):
+            whole = float(toxicity.kernel(codes, n, mark, *kern.parts[j])[0] / kern.own[j])
+            assert math.isclose(row[j], whole if whole >= toxicity.FLOOR else 0, rel_tol=1e-4, abs_tol=1e-5)
+    began = time.time()
+    assert kern.values(["ab" * 100_000 + "idxiot" + "ab" * 50_000])[0, 1] > 0.3 and time.time() - began < 20
+
+
 def test_kernel_values_equal_brute_force():
     r = random.Random(11)
     marks = ["idiot", "scum", "stupid", "banana", "abcdefgh", "ééàé"]
@@ -392,6 +465,6 @@ def test_remembered_words(monkeypatch):
     v = vocabulary(2, 30) + ["y" * 300, "🙂"]
     for _ in range(5):
         texts = [say(r, v, r.randint(0, 40)) for _ in range(9)]
-        ids, at, _ = coder.encode(pa.array(texts), doubts=False)
+        ids, at = coder.encode(pa.array(texts))
         assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
     assert len(coder.known) == 7

@@ -11,27 +11,32 @@ The search is the stated query set against all rows, in blocks: its work is the
 Cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of another dimension
 than the most frequent one (ties: the smaller); ids that are null take no part; a repeated id counts once, with the least of its
 vectors (as arrays compare); ties go to the smaller vec_id; with fewer candidates than asked for, all are returned; other columns,
-whatever their names, are not looked at; an empty table gives an empty result.
+whatever their names, are not looked at; an empty table gives an empty result. Vectors are scaled by a power of two before their
+squares are taken, so numbers of any size that a double holds, the smallest and the largest too, take part like others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, shared_dir, written
+from .common import bound_batches, partitions, shared_dir, shared_file, shared_files, written
 
 #: Codebooks, words of each, beam width; rows the codebooks are fitted on at most; rounds of k-means.
 BOOKS, WORDS, BEAM = 16, 256, 4
 FIT_ROWS = 8192
 FIT_ROUNDS = 8
-#: Vectors of a shard at most, queries of a block, candidates of a shard that are ranked exactly, bytes of the queries of a pass.
+#: Vectors of a shard at most, queries of a block, candidates of a shard that are ranked exactly.
 SHARD = 4096
 BLOCK = 512
 SHORTLIST = 128
-GROUP_BYTES = 16 << 20
+#: Bytes of the queries of a pass over the index (a task holds k results for each), and of a file of them.
+GROUP_BYTES, QUERY_FILE = 256 << 20, 16 << 20
 #: Stands where there is no id.
 NONE = np.iinfo(np.int64).max
 
@@ -112,7 +117,13 @@ def distinct_vectors(v: DataFrame, ids: int) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) + 0.0
+    return scaled(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) + 0.0)
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row times the power of two that brings its largest component between 1/2 and 1. Cosines stay what they are, to the last bit, and
+    no square over- or underflows, however large or small the numbers are."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0, keepdims=True))[1])
 
 
 def indexed(vectors: DataFrame, handle, ids: int, shard: int) -> DataFrame:
@@ -151,11 +162,21 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return np.take_along_axis(ids, order, 1), np.take_along_axis(score, order, 1)
 
 
+def _asked(files: list[str], dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The queries of some files of the shared folder, a block at a time."""
+    for f in files:
+        with shared_file(f) as at:
+            for b in pq.ParquetFile(at).iter_batches(batch_size=BLOCK, columns=["vec_id", "v"]):
+                if b.num_rows:
+                    yield b.column(0).to_numpy(), _matrix(b.column(1)).reshape(-1, dims)
+
+
 def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, shortlist: int = SHORTLIST, shard: int = SHARD, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose id is divisible by `every`.
 
-    The queries go in groups of about `group_bytes`, one broadcast and one pass over the index each; a task keeps the best k of all
-    shards that it reads, so what is shuffled are k rows a query and task, and no vector travels for a comparison.
+    The queries are files in the shared folder, groups of about `group_bytes`; for each group there is one pass over the index. Its
+    tasks read the group's files block by block beside their shards, so queries neither go through the driver nor lie in memory as a
+    whole; a task keeps the best k of all shards that it reads. What is shuffled are k rows a query and task, and no vector travels for a comparison.
     """
     spark = embeddings.sparkSession
     bound_batches(spark)
@@ -171,32 +192,39 @@ def nearest(embeddings: DataFrame, k: int = 5, every: int = 50, shortlist: int =
     books = spark.sparkContext.broadcast(fit(x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32))  # BOOKS * WORDS * dims numbers
     coded = written(indexed(index.select("v", "ids"), books, k + 1, shard), folder, "index")
     asked = vectors.filter(F.col("vec_id") % every == 0)
-    turns = max(1, -(-asked.count() * dims * 8 // group_bytes))
+    n_asked = asked.count()
+    turns = max(1, -(-n_asked * dims * 8 // group_bytes))
+    at_once = max(1, min(partitions(spark), -(-n_asked * dims * 8 // QUERY_FILE)))
+    dealt = asked.withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(turns)))
+    written(dealt.repartition(at_once, "vec_id"), folder, "queries", "turn")
     found = []
-    for turn in range(turns):
-        mine = asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(turns)) == turn).toArrow()  # about group_bytes
-        if not mine.num_rows:
+    for turn in range(turns if n_asked else 0):
+        files = shared_files(spark, f"{folder}/queries/turn={turn}")
+        if not files:
             continue
-        handle = spark.sparkContext.broadcast((mine.column("vec_id").to_numpy(), _matrix(mine.column("v").combine_chunks())))
 
-        def search(batches, handle=handle):
-            qids, q = handle.value
-            ids, score = np.full((len(q), k), NONE), np.full((len(q), k), -np.inf)
+        def search(batches, files=files):
+            best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for b in batches:
+                shards = []
                 for i in range(b.num_rows):
                     codes, norms, raw, names = (np.frombuffer(b.column(j)[i].as_py(), dtype=t) for j, t in enumerate((np.uint8, np.float64, np.float64, np.int64)))
                     raw = raw.reshape(-1, dims)
-                    for lo in range(0, len(q), BLOCK):
-                        some = slice(lo, lo + BLOCK)
-                        got = search_shard(q[some], qids[some], raw, names.reshape(len(raw), -1), codes.reshape(len(raw), -1), norms, books.value, k, shortlist)
-                        ids[some], score[some] = _best(np.concatenate([ids[some], got[0]], axis=1), np.concatenate([score[some], got[1]], axis=1), k)
-            ok = ids != NONE
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, k)[ok.ravel()]), pa.array(ids[ok]), pa.array(score[ok])], names=["query_id", "vec_id", "score"])
+                    shards.append((raw, names.reshape(len(raw), -1), codes.reshape(len(raw), -1), norms))
+                for n, (qids, q) in enumerate(_asked(files, dims)):
+                    if n == len(best):
+                        best.append((qids, np.full((len(q), k), NONE), np.full((len(q), k), -np.inf)))
+                    _, ids, score = best[n]
+                    for part in shards:
+                        got = search_shard(q, qids, *part, books.value, k, shortlist)
+                        ids[:], score[:] = _best(np.concatenate([ids, got[0]], axis=1), np.concatenate([score, got[1]], axis=1), k)
+            for qids, ids, score in best:
+                ok = ids != NONE
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, k)[ok.ravel()]), pa.array(ids[ok]), pa.array(score[ok])], names=["query_id", "vec_id", "score"])
 
         top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         ranked = coded.mapInArrow(search, kind).withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= k)
         found.append(written(ranked.select("query_id", "rank", "vec_id", "score"), folder, f"found{turn}"))
-        handle.unpersist()
     if not found:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     out = found[0]

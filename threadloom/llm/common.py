@@ -55,10 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+def written(df: DataFrame, folder: str, name: str, *by: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: its lineage ends here, and a lost executor costs a reread."""
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,6 +69,27 @@ def dropped(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def shared_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a folder in the shared one, by name."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().toString() for f in fs.listStatus(p) if f.getPath().getName().endswith(".parquet")) if fs.exists(p) else []
+
+
+@contextlib.contextmanager
+def shared_file(uri: str):
+    """In a Python worker: a file of the shared folder, open for reading. `s3a` is Hadoop's name for what Arrow calls `s3`."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file" or not rest:
+        at, path = fs.LocalFileSystem(), "/" + (rest or uri).lstrip("/")
+    else:
+        at, path = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+    with at.open_input_file(path) as f:
+        yield f
+
+
 @lru_cache(1)
 def lean() -> None:
     """In a Python worker: what arrays free goes back to the system, so idle workers stay small beside the busy ones."""

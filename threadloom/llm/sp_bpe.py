@@ -33,8 +33,6 @@ REMEMBERED = 150_000
 PART = 1 << 20
 #: Letters from which a word has an agenda of its own.
 LONG = 128
-#: Letters of the strings of words that the library is asked for.
-STRING = 1 << 15
 
 
 class Agenda:
@@ -229,31 +227,14 @@ class Agenda:
             symbols = wide
         return symbols, np.bincount(owner, minlength=len(words))
 
-    def doubtful(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Which of the words the library may encode otherwise: they are strung together, as in a text, and a string whose ids differ casts doubt on all its words."""
-        out = np.zeros(len(words), dtype=bool)
-        ends = np.cumsum(lengths)
-        size = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
-        # blanks at a word's end would join those of the next
-        apart = np.fromiter((w.endswith(BLANK) for w in words[:-1]), dtype=bool, count=max(0, len(words) - 1))
-        cuts = [0, *(np.flatnonzero((np.diff(size // STRING) > 0) | apart) + 1).tolist(), len(words)]
-        for a, z in zip(cuts, cuts[1:], strict=False):
-            text = "".join(words[a:z])
-            mine = ids[ends[a] - lengths[a] : ends[z - 1]].tolist() if z > a else []
-            out[a:z] = not text.startswith(BLANK) or self.library.encode(text[1:].replace(BLANK, " ")) != mine
-        return out
-
-    def agreement(self, texts: list[str], lists: list[list[int]], doubt: np.ndarray | None = None) -> list[bool]:
-        """Whether the library's ids are the same: it is asked for every text, whole, in doubt or not."""
-        return self.checked(texts, lists)[1]
-
     def checked(self, texts: list[str], lists: list[list[int]]) -> tuple[list[list[int]], list[bool]]:
-        """The ids, the library's own where it has others for a text, and whether it has the same."""
+        """The lists, held against the library's, which is asked for every text, whole: its ids stand in where a text's differ."""
         theirs = self.library.encode(texts, add_eos=True, num_threads=1)
-        return theirs, [a == b for a, b in zip(lists, theirs, strict=True)]
+        same = [a == b for a, b in zip(lists, theirs, strict=True)]
+        return [a if ok else b for a, b, ok in zip(lists, theirs, same, strict=True)], same
 
-    def encode(self, texts: pa.Array, doubts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a doubtful word (none without `doubts`).
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (each with the end id), and where each text's begin.
 
         Words start where a run of blanks starts; equal words of the batch are worked off once.
         """
@@ -275,15 +256,13 @@ class Agenda:
         which = words.indices.to_numpy()
         names = words.dictionary.to_pylist()
         ids, lengths = self.encode_distinct(names)
-        doubtful = self.doubtful(names, ids, lengths) if doubts else np.zeros(len(names), dtype=bool)
         at = np.cumsum(lengths) - lengths
         sizes = lengths[which] if len(which) else np.zeros(0, dtype=np.int64)
         flat = ids[ragged(at[which], sizes)] if len(which) else np.zeros(0, dtype=np.int64)
         first = np.searchsorted(starts, offsets)
         ends = np.r_[0, np.cumsum(sizes)][first]
         out = np.insert(flat, ends[1:], self.end)
-        doubt = np.diff(np.r_[0, np.cumsum(doubtful[which])][first]) > 0
-        return out, ends + np.arange(len(ends)), doubt
+        return out, ends + np.arange(len(ends))
 
 
 @lru_cache(2)
@@ -296,7 +275,7 @@ def _encoded(batches, coder: Agenda):
     SLICE bytes together; lists of numbers are made of PART bytes at a time, as they are large."""
     for whole in batches:
         for b in slices(whole, most=SLICE):
-            ids, at, _ = coder.encode(b.column(1), doubts=False)
+            ids, at = coder.encode(b.column(1))
             row = 0
             for part in slices(b, most=PART):
                 cuts = at[row : row + part.num_rows + 1]

@@ -14,7 +14,9 @@ documented sample; texts that don't fit any more are passed over, each class wit
 
 Cases: a null or empty text has no word and gets the machine's value at zero; without labels of both kinds every score is the
 share of toxic labels learned from (0 without any); null labels are not learned from; a doc_id labelled twice is toxic if one
-label says so; repeated rows are scored each; a very long text is read in whole, words beyond WIDE letters in overlapping stretches;
+label says so; repeated rows are scored each; a very long text is read in whole, and so is a very long word: it is worked through in
+stretches that overlap by SPAN letters, and of each subsequence the tightest occurrence in any of them counts; one wider than SPAN
+letters would add less than 10^-6 of itself;
 ties in the sample's order go by doc_id and text; other columns, whatever their names, don't matter; rows with a null doc_id are
 left out; an empty table gives an empty result.
 """
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, give_back, lean, slices, word_spans
+from .common import LOWER, bound_batches, byte_view, crc_mod, docs_of, give_back, lean, ragged, slices, word_spans
 
 ORDER = 4
 DECAY = 0.8
@@ -48,8 +50,10 @@ FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 1000, 2000, 10 << 20
 SPARE = 4
 #: Texts of the sample whose features are made at a time (of sentences fifty times as many).
 FIT_STEP = 300
-#: Letters of a word taken at a time; longer words are read in stretches that overlap by half.
-WIDE = 24
+#: Letters of a long word in one stretch, and letters that stretches have in common: occurrences that are wider weigh DECAY**SPAN < 10^-6.
+WIDE, SPAN = 192, 64
+#: Words up to so many letters are worked on apart from longer ones, so these don't pad them.
+SHORT = 24
 THRESHOLD = 0.3
 SENTENCE = re.compile(r"[.!?\n]+")
 #: Kernel value from which a sentence of a toxic text is taken as toxic itself; value above the background from which a landmark with letters put in is.
@@ -64,7 +68,7 @@ def letters_of(word: str) -> str:
 
 
 def pieces_of(words: list[str]) -> list[str]:
-    """Letters of each word; a run of single letters is one word more; long words in stretches."""
+    """Letters of each word; a run of single letters is one word more."""
     out, run = [], []
     for w in [*words, ""]:
         x = letters_of(w)
@@ -77,7 +81,7 @@ def pieces_of(words: list[str]) -> list[str]:
             run = []
         if x:
             out.append(x)
-    return [p[i : i + WIDE] for p in out for i in range(0, max(1, len(p) - WIDE // 2), WIDE // 2)]
+    return out
 
 
 def subsequences(mark: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -91,10 +95,9 @@ def subsequences(mark: str, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]
     return places, places[:, -1] - places[:, 0] + 1
 
 
-def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, places: np.ndarray, spans: np.ndarray, decay: float = DECAY) -> np.ndarray:
-    """Gap-weighted subsequence kernel of padded words (rows, WIDE) of letter codes with one landmark: the sum over its subsequences
-    of decay**span in the word times decay**span in the landmark. A subsequence counts by its tightest occurrence, so a word that
-    repeats some letters does not add up to one that holds them all.
+def tightest(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """(words, subsequences): the span of the tightest occurrence of each of a landmark's subsequences in padded words of letter codes,
+    1000 where there is none.
 
     start[i] is, for every word and subsequence, where the latest occurrence of its first i + 1 letters begins.
     """
@@ -108,22 +111,42 @@ def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, places: np.
         for i in range(places.shape[1] - 2, 0, -1):
             np.copyto(start[i], start[i - 1], where=same[:, places[:, i]])
         np.copyto(start[0], np.int16(s), where=same[:, places[:, 0]])
+    return best
+
+
+def weighed(best: np.ndarray, spans: np.ndarray, decay: float = DECAY) -> np.ndarray:
     return decay ** best.astype(np.float32) @ (decay ** spans.astype(np.float32))
 
 
+def kernel(words: np.ndarray, lengths: np.ndarray, mark: np.ndarray, places: np.ndarray, spans: np.ndarray, decay: float = DECAY) -> np.ndarray:
+    """Gap-weighted subsequence kernel of padded words of letter codes with one landmark: the sum over its subsequences of decay**span in
+    the word times decay**span in the landmark. A subsequence counts by its tightest occurrence, not by the sum over all of them as in
+    the textbook's kernel, so a word that repeats some letters does not add up to one that holds them all."""
+    return weighed(tightest(words, lengths, mark, places), spans, decay)
+
+
 def coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Letter codes of words, padded with 0, and their lengths (WIDE letters at most)."""
-    out = np.zeros((len(words), WIDE), dtype=np.uint16)
-    lengths = np.fromiter((min(len(w), WIDE) for w in words), dtype=np.int64, count=len(words))
-    flat = np.frombuffer("".join(w[:WIDE] for w in words).encode("utf-16-le", "surrogatepass"), dtype=np.uint16)
+    """Letter codes of words, padded with 0 to the longest, and their lengths."""
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    wide = int(lengths.max(initial=0))
+    out = np.zeros((len(words), wide), dtype=np.uint16)
+    flat = np.frombuffer("".join(words).encode("utf-16-le", "surrogatepass"), dtype=np.uint16)
     if len(flat) == lengths.sum():
-        out[np.arange(WIDE)[None, :] < lengths[:, None]] = flat
+        out[np.arange(wide)[None, :] < lengths[:, None]] = flat
     else:  # letters beyond the first plane
         for i, w in enumerate(words):
-            out[i, : lengths[i]] = [min(ord(c), 65535) for c in w[:WIDE]]
+            out[i, : lengths[i]] = [min(ord(c), 65535) for c in w]
     return out, lengths
 
 
+def stretches(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words, long ones in stretches of WIDE letters that have SPAN in common with the next, and where each word's begin."""
+    if all(len(w) <= WIDE for w in words):
+        return words, np.arange(len(words) + 1)
+    cut = [[w[i : i + WIDE] for i in range(0, max(1, len(w) - SPAN), WIDE - SPAN)] for w in words]
+    return [x for c in cut for x in c], np.r_[0, np.cumsum([len(c) for c in cut])]
+
+
 class Kernel:
     """How much of each landmark's kernel with itself words hold: 1 for a word that holds it whole, less for each letter between."""
 
@@ -154,12 +177,21 @@ class Kernel:
     def values(self, words: list[str]) -> np.ndarray:
         """(words, landmarks); words that cannot reach FLOOR, by the letters they hold, have 0 there, and nothing counts below it."""
         out = np.zeros((len(words), len(self.marks)), dtype=np.float32)
-        if not words or not self.marks:
-            return out
-        codes, lengths = coded(words)
-        order = np.argsort(lengths, kind="stable")  # words of about one length together: less padding
-        codes, lengths = codes[order], lengths[order]
-        counts = {c: np.count_nonzero(codes == c, axis=1).astype(np.int8) for c in set(np.concatenate(self.codes).tolist())}
+        if words and self.marks:
+            lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            for rows in (np.flatnonzero(lengths <= SHORT), np.flatnonzero(lengths > SHORT)):
+                rows = rows[np.argsort(lengths[rows], kind="stable")]  # words of about one length together: less padding
+                if len(rows):
+                    out[rows] = self._values([words[i] for i in rows.tolist()])
+        return out
+
+    def _values(self, words: list[str]) -> np.ndarray:
+        out = np.zeros((len(words), len(self.marks)), dtype=np.float32)
+        parts, first = stretches(words)
+        codes, lengths = coded(parts)
+        # of a long word letters that stretches share count twice: its bound is the looser
+        count = lambda c: np.minimum(np.add.reduceat(np.count_nonzero(codes == c, axis=1), first[:-1]), 127).astype(np.int8)
+        counts = {c: count(c) for c in set(np.concatenate(self.codes).tolist())}
         for j, mark in enumerate(self.codes):
             held = np.zeros(len(words), dtype=np.int16)
             seen: Counter[int] = Counter()
@@ -167,10 +199,17 @@ class Kernel:
                 held |= (counts[c] > seen[c]).astype(np.int16) << i
                 seen[c] += 1
             near = np.flatnonzero(self.bounds[j][held] >= FLOOR)
-            for lo in range(0, len(near), STEP):
-                rows = near[lo : lo + STEP]
-                got = kernel(codes[rows, : lengths[rows[-1]]], lengths[rows], mark, *self.parts[j]) / self.own[j]
-                out[order[rows], j] = np.where(got >= FLOOR, got, 0)
+            sizes = first[near + 1] - first[near]
+            cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - 1) // STEP)) + 1
+            for some, n in zip(np.split(near, cuts), np.split(sizes, cuts), strict=True):
+                if not len(some):
+                    continue
+                rows = ragged(first[some], n)
+                best = tightest(codes[rows, : lengths[rows].max()], lengths[rows], mark, self.parts[j][0])
+                if len(rows) > len(some):
+                    best = np.minimum.reduceat(best, np.cumsum(n) - n, axis=0)
+                got = weighed(best, self.parts[j][1]) / self.own[j]
+                out[some, j] = np.where(got >= FLOOR, got, 0)
         return out
 
 
@@ -322,14 +361,9 @@ def text_features(texts: pa.Array, kern: Kernel) -> np.ndarray:
             single[i] = True
         elif not x:
             blank[i] = True
-        elif len(x) <= WIDE:
-            if len(x) >= ORDER:
-                pieces.append(x)
-                of.append(i)
-        else:
-            cut = pieces_of([x])
-            pieces += cut
-            of += [i] * len(cut)
+        elif len(x) >= ORDER:
+            pieces.append(x)
+            of.append(i)
     best = np.zeros((len(names), len(kern.marks)), dtype=np.float32)
     if pieces:
         kinds = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
