@@ -1,6 +1,6 @@
 """Operator 12: source divergence audit by joint count histograms.
 
-Terms are counted once for each (language, source), with the number of rows they occur in. A language keeps the terms of enough rows
+Terms are counted once for each (language, source), with the number of rows they occur in, by numpy over slices of texts. A language keeps the terms of enough rows
 (MIN_DOCS). Two sources of a language are compared term by term, yet no term is looked at for a pair: terms with the same count in every
 source are one *profile* with a multiplicity, and profiles are tallied for each pair by the two counts, (c, d) -> how many terms. Cells
 with a zero come from each source's own histogram of counts, less what the joint cells took of it; the cell (0, 0) is what is left
@@ -13,34 +13,79 @@ Scale: one shuffle of the text's terms, summed before it; a hot source is many p
 profiles, not with terms. Pairs of sources of one language number as the result's rows do; nothing else is paired.
 
 Cases: null text, lang and source are read as ''; a text without terms still makes its group; each row is a document, so repeated rows
-and rows without a doc_id count; a very long text is one row, exploded into terms; ties in value are ordered by item in UTF-8; other
+and rows without a doc_id count; a very long text is a slice of its own, read whole; ties in value are ordered by item in UTF-8; other
 columns, whatever their names, are ignored; an empty table gives an empty result; a source alone in its language has no pair rows; a
 language without kept terms has value 0 for each pair and no term rows.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import LOWER, binary_rows, bound_batches, byte_view, give_back, lean, ragged, shared_dir, slices, written
 
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-#: Whatever is not a letter of ASCII and not beyond ASCII parts terms.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Texts of so many bytes are counted together, before anything is shuffled.
+SLICE_BYTES = 8 << 20
+#: Whatever is not a letter of ASCII and not beyond ASCII parts terms: bytes 0-40, 5B-60, 7B-7F in UTF-8, which no other letter holds.
+_IS_TERM = np.ones(256, dtype=np.int8)
+_IS_TERM[[*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0
+
+
+def term_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the terms of texts that lie end to end, and the text of each. Bytes above 127 are parts of letters."""
+    inside = np.zeros(len(data) + 1, dtype=np.int8)  # a byte that is in a term; texts' edges part terms too
+    inside[:-1] = _IS_TERM[data]
+    head = np.zeros(len(data) + 1, dtype=bool)
+    head[offsets] = True
+    starts = np.flatnonzero((inside == 1) & (head | (np.r_[np.int8(0), inside[:-1]] == 0)))
+    ends = np.flatnonzero((np.r_[np.int8(0), inside[:-1]] == 1) & (head | (inside == 0)))
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+
+
+def _slice_counts(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Of some texts: lang, source, term, n, docs of the terms in them."""
+    data, offsets = byte_view(part.column("text"))
+    data = LOWER[data]
+    starts, ends, row = term_spans(data, offsets)
+    sizes = ends - starts
+    terms = binary_rows(np.r_[0, np.cumsum(sizes)], data[ragged(starts, sizes)]).dictionary_encode()
+    known, code = terms.dictionary, terms.indices.to_numpy().astype(np.int64)
+    group = pa.array([f"{len(a)} {a}{b}" for a, b in zip(part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True)]).dictionary_encode().indices.to_numpy()
+    first = np.zeros(int(group.max(initial=-1)) + 1, dtype=np.int64)
+    first[group[::-1]] = np.arange(len(group))[::-1]
+    wide = max(1, len(known))
+    in_row, n = np.unique(row * wide + code, return_counts=True)  # each term once a text
+    key = group[in_row // wide] * wide + in_row % wide
+    order = np.argsort(key, kind="stable")
+    heads = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
+    at = key[order][heads]
+    who = pa.array(first[at // wide])
+    total = np.add.reduceat(n[order], heads) if len(heads) else np.zeros(0, dtype=np.int64)
+    docs = np.diff(np.r_[heads, len(key)])
+    term = known.take(pa.array(at % wide)).view(pa.string())
+    return pa.RecordBatch.from_arrays([part.column("lang").take(who), part.column("source").take(who), term, pa.array(total, pa.int64()), pa.array(docs, pa.int64())], names=["lang", "source", "term", "n", "docs"])
+
+
+def _count_terms(batches):
+    lean()
+    for batch in batches:
+        for part in slices(batch, most=SLICE_BYTES):
+            yield _slice_counts(part)
+    give_back()
 
 
 def term_counts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n, docs): occurrences and rows of each term in each group; and (lang, source) of all groups."""
+    bound_batches(documents.sparkSession)
     docs = documents.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    terms = F.sort_array(F.array_remove(F.split(F.translate("text", UPPER, LOWER), BETWEEN), ""))
-    # in the sorted terms of a row, the first of equal ones counts for the row
-    marked = F.transform("terms", lambda x, i: F.struct(x.alias("term"), (F.get("terms", i - 1).eqNullSafe(x)).alias("again")))
-    spread = docs.select("lang", "source", terms.alias("terms")).select("lang", "source", F.explode(marked).alias("t"))
-    counts = spread.groupBy("lang", "source", F.col("t.term").alias("term")).agg(F.count("*").alias("n"), F.count_if(~F.col("t.again")).alias("docs"))
+    parts = docs.mapInArrow(_count_terms, "lang string, source string, term string, n bigint, docs bigint")
+    counts = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return counts, docs.select("lang", "source").distinct()
 
 
