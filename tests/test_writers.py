@@ -29,12 +29,9 @@ def test_manifests_and_runs(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 1
 
 
-def test_csv_and_tail(spark, tmp_path):
+def test_csv(spark, tmp_path):
     files.write_csv(spark.createDataFrame([(1, "a,b")], "n int, t string"), str(tmp_path / "csv"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "csv")).first()["t"] == "a,b"
-    (tmp_path / "t").mkdir()
-    (tmp_path / "t/x.jsonl").write_text("\n".join(f"line {i}" for i in range(10)))
-    assert [r["value"] for r in files.newest_tail(spark, str(tmp_path / "t"), 3).collect()] == ["line 9", "line 8", "line 7"]
 
 
 def test_checksums(spark, tmp_path):
@@ -44,12 +41,6 @@ def test_checksums(spark, tmp_path):
     assert [tuple(r) for r in export.checksums(spark, str(tmp_path / "f.bin")).collect()] == [("f.bin", hashlib.sha256(b"abc").hexdigest())]
 
 
-def test_rewrite_keeps_other_lines(spark):
-    lines = spark.createDataFrame([(1, '{"a":  1}'), (2, "not json "), (3, '{"b": 2}')], "line_id long, value string")
-    changed = spark.createDataFrame([(3, '{"b": 3}')], "line_id long, value string")
-    assert {r["line_id"]: r["value"] for r in state.rewrite_lines(lines, changed).collect()} == {1: '{"a":  1}', 2: "not json ", 3: '{"b": 3}'}
-
-
 def test_failures_and_queue(spark):
     f = spark.createDataFrame([("a", "m", "v", "annotator", "e" * 3000), ("b", "m", "v", "annotator", "x")], "item_id string, model_key string, prompt_version string, role string, error string")
     assert max(len(r["error"]) for r in state.failure(f).collect()) == 2000

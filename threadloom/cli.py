@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .functions import identity
 from .operators import agreement, candidates, corpus, export, language, review, state, target, threads, views, votes
 from .schemas import CUES, RATING
-from .sources import files
+from .sources import files, lines
 from .workspace import Workspace
 
 _RATINGS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RATING)
@@ -86,6 +86,20 @@ def scrub_authors(w: Workspace, a: argparse.Namespace) -> DataFrame:
     return w.save("records", state.scrub(w.table("records"))).agg(F.count("*").alias("records"))
 
 
+@command
+def scrub_files(w: Workspace, a: argparse.Namespace) -> DataFrame:
+    """Names out of the JSON lines below a folder, in place; files without any are not touched."""
+    done = lines.rewrite(w.spark, a.input, lines.edited(lines.lines(w.spark, a.input), lines.without_author))
+    return w.spark.createDataFrame([(len(done),)], "files int")
+
+
+@command
+def retag_files(w: Workspace, a: argparse.Namespace) -> DataFrame:
+    """The calendar walk's tags in the JSON lines below a folder, in place."""
+    done = lines.rewrite(w.spark, a.input, lines.edited(lines.lines(w.spark, a.input), lines.retagged))
+    return w.spark.createDataFrame([(len(done),)], "files int")
+
+
 @command
 def select(w: Workspace, a: argparse.Namespace) -> DataFrame:
     return candidates.outcome_counts(w.save("candidates", candidates.select(w.table("corpus"), w.table("ratings", LIKE["ratings"]))))

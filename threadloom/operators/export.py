@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import io
 import json
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import CUES, LABELS
+from ..sources.archive import zipped
 from .candidates import outcome_counts
 from .corpus import counts as corpus_counts
 from .corpus import is_text_only
@@ -209,18 +208,8 @@ def write_card(spark: SparkSession, folder: str, document: dict) -> None:
 
 
 def bundle(spark: SparkSession, folder: str, to: str, dataset_version: str) -> str:
-    """All files below a folder in one zip with SHA256SUMS.txt; one file at a time comes to the driver. The unit of a hand-over, not of processing."""
-    sums, held = [], io.BytesIO()
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content", F.sha2("content", 256).alias("sha256")).orderBy("path")
-    base = folder.rstrip("/").rsplit("/", 1)[-1] + "/"
-    with zipfile.ZipFile(held, "w", compression=zipfile.ZIP_DEFLATED) as z:
-        for r in found.toLocalIterator():
-            name = r["path"].split("/" + base, 1)[-1]
-            z.writestr(name, bytes(r["content"]))
-            sums.append(f"{r['sha256']}  {name}\n")
-        z.writestr("SHA256SUMS.txt", "".join(sums))
-    put(spark, to, f"dataset-{dataset_version}.zip", held.getvalue())
-    return f"{to.rstrip('/')}/dataset-{dataset_version}.zip"
+    """All files below a folder in one zip with SHA256SUMS.txt."""
+    return zipped(spark, folder, f"{to.rstrip('/')}/dataset-{dataset_version}.zip")
 
 
 def newest_bundle(spark: SparkSession, folder: str) -> str | None:

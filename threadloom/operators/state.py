@@ -1,4 +1,4 @@
-"""State transitions on immutable tables."""
+"""State transitions on immutable tables."""
 
 from __future__ import annotations
 
@@ -54,12 +54,6 @@ def scrub(records: DataFrame) -> DataFrame:
     return records.drop("author")
 
 
-def rewrite_lines(lines: DataFrame, changed: DataFrame, key: str = "line_id") -> DataFrame:
-    """Stored text lines with some replaced, all others byte for byte."""
-    new = changed.select(key, F.col("value").alias("_new"))
-    return lines.join(new, key, "left").withColumn("value", F.coalesce("_new", "value")).drop("_new")
-
-
 def extension_sample(candidates: DataFrame, taken: DataFrame, quotas: dict[str, int], seed: int = 13) -> DataFrame:
     """For each month so many new items by the hash of seed and id. `candidates` has item_id and month."""
     fresh = held(candidates.filter(F.col("month").isin(*quotas)).join(taken.select("item_id"), "item_id", "left_anti"))

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity, text, timeutil
+from ..keyed import KeyedTable
 from ..operators import agreement, candidates, corpus, export, history, language, review, state, target, threads, views, votes
 from ..schemas import CUES
+from ..scratch import folder
 from ..sources import files, markup
 from .adapters import duck, view
 
@@ -605,14 +607,18 @@ def m04_completed_queue(s: SparkSession, d: str) -> DataFrame:
 @query("SELECT item_id, reason, completed FROM queue WHERE item_id NOT IN (SELECT item_id FROM more) UNION ALL SELECT * FROM more", "queue", more="SELECT 'd' || (doc_id * 7)::STRING AS item_id, 'gold' AS reason, 0::INT AS completed FROM documents WHERE doc_id % 5 = 0")
 def m01_upsert(s: SparkSession, d: str) -> DataFrame:
     more = s.read.parquet(f"{d}/documents.parquet").filter("doc_id % 5 = 0").select(F.concat(F.lit("d"), (F.col("doc_id") * 7).cast("string")).alias("item_id"), F.lit("gold").alias("reason"), F.lit(0).alias("completed"))
-    return state.upsert(view(s, d, "queue"), more, ["item_id"])
+    table = KeyedTable.create(view(s, d, "queue"), folder(s), ["item_id"])
+    table.upsert(more)
+    return table.read()
 
 
 @query("SELECT item_id, reason, completed FROM queue UNION ALL SELECT * FROM more WHERE item_id NOT IN (SELECT item_id FROM queue)", "queue", more="SELECT 'd' || (doc_id * 7)::STRING AS item_id, 'gold' AS reason, 0::INT AS completed FROM documents WHERE doc_id % 5 = 0")
 def m02_insert_new(s: SparkSession, d: str) -> DataFrame:
     """M02, M03, F12, Z07."""
     more = s.read.parquet(f"{d}/documents.parquet").filter("doc_id % 5 = 0").select(F.concat(F.lit("d"), (F.col("doc_id") * 7).cast("string")).alias("item_id"), F.lit("gold").alias("reason"), F.lit(0).alias("completed"))
-    return state.insert_new(view(s, d, "queue"), more, ["item_id"])
+    table = KeyedTable.create(view(s, d, "queue"), folder(s), ["item_id"])
+    table.insert_new(more)
+    return table.read()
 
 
 @query("SELECT item_id, month FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY sha256('13|' || item_id), item_id) AS r FROM (SELECT item_id, source AS month FROM candidates WHERE source IN ('src1', 'src2') AND item_id NOT IN (SELECT item_id FROM queue)) x) y WHERE r <= CASE month WHEN 'src1' THEN 3 ELSE 2 END", "candidates", "queue")

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import identity, text, timeutil
+from ..keyed import KeyedTable
 from ..operators import agreement, corpus, export, language, review, state, threads, views
 from ..schemas import RATING
-from ..scratch import folder, held
-from ..sources import files, markup, paged
+from ..scratch import folder, hadoop, held, listed
+from ..sources import files, lines, markup, paged
 from ..streaming import awaiting, ingest
 from .adapters import view
 from .catalog import _AGG, _EXP, _LIST, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
@@ -286,9 +287,9 @@ def a24_run_totals(s: SparkSession, d: str) -> DataFrame:
 def s19_newest_tail(s: SparkSession, d: str) -> DataFrame:
     """The tail's length is the operator's own limit."""
     at = folder(s)
-    s.range(5).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(f"{at}/lines/old")
+    s.read.parquet(f"{d}/labels.parquet").select(F.col("doc_id").cast("string").alias("value")).coalesce(1).write.text(f"{at}/lines/old")
     s.read.parquet(f"{d}/documents.parquet").select("doc_id").orderBy("doc_id").select(F.col("doc_id").cast("string").alias("value")).coalesce(1).write.text(f"{at}/lines/new")
-    return files.newest_tail(s, f"{at}/lines", 10).select(F.col("value").cast("long").alias("n"))
+    return lines.tail(s, f"{at}/lines", 10).select(F.col("value").cast("long").alias("n"))
 
 
 _EP = "SELECT page_id, page_id % 6 AS shape, split_part(split_part(url, '://', 2), '/', 1) AS host, 8000 + page_id % 50 AS port FROM pages"
@@ -379,21 +380,30 @@ def k07_bundle(s: SparkSession, d: str) -> DataFrame:
     return s.createDataFrame([(path.rsplit("/", 1)[-1], fine, lines)], "newest string, verified boolean, lines bigint")
 
 
-@query("SELECT event_id AS n, event_type AS t FROM events WHERE event_id % 50 = 0")
+@query("SELECT event_id AS n, event_type AS t FROM events")
 def k08_csv(s: SparkSession, d: str) -> DataFrame:
     """Written with a header, read back."""
-    at, e = folder(s), s.read.parquet(f"{d}/events.parquet").filter("event_id % 50 = 0").select(F.col("event_id").alias("n"), F.col("event_type").alias("t"))
+    at, e = folder(s), s.read.parquet(f"{d}/events.parquet").select(F.col("event_id").alias("n"), F.col("event_type").alias("t"))
     files.write_csv(e, f"{at}/csv")
     return s.read.option("header", "true").schema(e.schema).csv(f"{at}/csv")
 
 
-@query("SELECT doc_id AS line_id, CASE WHEN doc_id % 4 = 0 THEN '{\"n\": ' || doc_id || '}' ELSE '{\"n\":  ' || n_chars || '} ' END AS value FROM documents")
+@query(
+    "SELECT CASE WHEN tagged THEN '{\"doc_id\": ' || doc_id || ', \"sampling_strategy\": \"natural\", \"matched_query_or_keyword\": null}' ELSE line END || CASE WHEN doc_id % 2 = 0 THEN '\\r' ELSE '' END AS line "
+    "FROM (SELECT doc_id, doc_id % 4 = 0 AS tagged, '{\"doc_id\":  ' || doc_id || ', \"sampling_strategy\": \"' || CASE WHEN doc_id % 4 < 2 THEN 'keyword_oversampled' ELSE 'natural' END || '\", \"matched_query_or_keyword\":\"' || CASE WHEN doc_id % 4 = 0 THEN '2026-06-01' ELSE 'edi wow' END || '\"}' AS line FROM documents) x".replace("'\\r'", "chr(13)")
+)
 def k10_rewrite(s: SparkSession, d: str) -> DataFrame:
-    """Some lines replaced, the others byte for byte."""
-    docs = s.read.parquet(f"{d}/documents.parquet")
-    lines = docs.select(F.col("doc_id").alias("line_id"), F.concat(F.lit('{"n":  '), F.col("n_chars").cast("string"), F.lit("} ")).alias("value"))
-    new = docs.filter("doc_id % 4 = 0").select(F.col("doc_id").alias("line_id"), F.concat(F.lit('{"n": '), F.col("doc_id").cast("string"), F.lit("}")).alias("value"))
-    return state.rewrite_lines(lines, new)
+    """Files of JSON lines rewritten in place; what isn't changed stays byte for byte, odd blanks and line ends included."""
+    at, docs = folder(s), s.read.parquet(f"{d}/documents.parquet")
+    kind = F.when(F.col("doc_id") % 4 < 2, "keyword_oversampled").otherwise("natural")
+    word = F.when(F.col("doc_id") % 4 == 0, "2026-06-01").otherwise("edi wow")
+    line = F.format_string('{"doc_id":  %d, "sampling_strategy": "%s", "matched_query_or_keyword":"%s"}%s', "doc_id", kind, word, F.when(F.col("doc_id") % 2 == 0, "\r").otherwise(""))
+    docs.select(line.alias("value")).write.option("lineSep", "\n").text(f"{at}/raw")
+    for file, _, _ in listed(s, f"{at}/raw"):  # Spark names them .txt
+        fs, path = hadoop(s, file)
+        fs.rename(path, hadoop(s, file.removesuffix(".txt") + ".jsonl")[1])
+    lines.rewrite(s, f"{at}/raw", lines.edited(lines.lines(s, f"{at}/raw"), lines.retagged))
+    return s.read.option("lineSep", "\n").text(f"{at}/raw").select(F.col("value").alias("line"))
 
 
 # --- threads, review, states -----------------------------------------------------------------------------------------------
@@ -535,7 +545,11 @@ def a28_run_counters(s: SparkSession, d: str) -> DataFrame:
 def m05_updated(s: SparkSession, d: str) -> DataFrame:
     """Rows with new values replace those with their keys."""
     c = view(s, d, "corpus").select("item_id", F.col("score").cast("long").alias("score"))
-    return state.upsert(c, c.filter("score % 2 = 0").withColumn("score", F.col("score") + 1), ["item_id"])
+    table = KeyedTable.create(c, folder(s), ["item_id"])
+    table.upsert(c.filter("score % 4 = 0").withColumn("score", F.lit(-1).cast("long")))
+    table.compact()
+    table.upsert(c.filter("score % 2 = 0").withColumn("score", F.col("score") + 1))
+    return table.read()
 
 
 @query("SELECT item_id, role IS NULL AS without_role, model_key FROM (SELECT item_id, NULL AS role, model_key FROM evaluations) x", "evaluations")

@@ -28,3 +28,32 @@ def held(df: DataFrame) -> DataFrame:
     at = folder(df.sparkSession)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def filesystem(uri: str):
+    """In a Python task: Arrow's file system for one of Hadoop's addresses, and the path in it. `s3a` is Hadoop's name for what Arrow calls `s3`."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file" or not rest:
+        return fs.LocalFileSystem(), "/" + (rest or uri).lstrip("/")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+
+
+def hadoop(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path as its object."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def listed(spark: SparkSession, folder_: str) -> list[tuple[str, int, int]]:
+    """All files below a folder: address, length, time of the last change. Names and sizes only."""
+    fs, top = hadoop(spark, folder_)
+    if not fs.exists(top):
+        return []
+    found, it = [], fs.listFiles(top, True)
+    while it.hasNext():
+        s = it.next()
+        if not any(part[0] in "._" for part in s.getPath().toString().removeprefix(fs.makeQualified(top).toString()).split("/") if part):
+            found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(found)

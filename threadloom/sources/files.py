@@ -81,13 +81,6 @@ def manifests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", "true").schema(MANIFEST).json(path).filter("collection_run_id IS NOT NULL")
 
 
-def newest_tail(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The last n lines of the file written last."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("line"))
-    newest = lines.agg(F.max(F.struct("at", "file")).alias("m")).select("m.file")
-    return lines.join(F.broadcast(newest), "file").orderBy(F.desc("line")).limit(n)  # one row is broadcast
-
-
 def endpoints(lines: DataFrame) -> DataFrame:
     """S20/X28/A31's rows: line_no, scheme, host, port, user, provider, masked, ok, repeated, from lines of `scheme://[user:pass@]host:port`, `user:pass@host:port`, `host:port:user:pass`, `user:pass:host:port` or `host:port`; the first of equal ones counts."""
     v = strip(F.regexp_replace("value", "#.*$", ""))

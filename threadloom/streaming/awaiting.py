@@ -147,6 +147,38 @@ def day_caps(rows: DataFrame, key: str, n: int, lag: str = "0 seconds", ts: str
     return typed.groupBy("key", "day").transformWithStateInPandas(statefulProcessor=DayCaps(n), outputStructType=out, outputMode="Append", timeMode="EventTime")
 
 
+class FirstSeen(StatefulProcessor):
+    """A key's first row, once: all that is kept of a key is that it was seen."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "x int")
+
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        self.seen.update((1,))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            for _ in rows:
+                pass
+            return
+        self.seen.update((1,))
+        yield pd.DataFrame({"_row": [min(frame["_row"].min() for frame in rows)]})
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen(stream: DataFrame, keys: list[str], known: DataFrame | None = None) -> DataFrame:
+    """Rows whose key neither the stream had before nor `known` holds; of a key's rows in a batch the least as JSON. Keys are
+    looked up one by one in RocksDB, so a batch reads what its own keys need, however long the history is."""
+    times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    row = F.to_json(F.struct(*stream.columns), {"ignoreNullFields": "false"} | times)
+    packed = stream.select(*keys, row.alias("_row")).dropna(subset=keys).groupBy(*keys)
+    begin = None if known is None else known.select(*keys).dropna().distinct().groupBy(*keys)
+    out = packed.transformWithStateInPandas(statefulProcessor=FirstSeen(), outputStructType="_row string", outputMode="Append", timeMode="None", initialState=begin)
+    return out.select(F.from_json("_row", stream.schema, times).alias("r")).select("r.*")
+
+
 def seconds(interval: str) -> float:
     """Seconds of `3 days`, `90 minutes` and the like."""
     number, unit = interval.split()
@@ -164,7 +196,7 @@ def rocks(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
-def start(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
     """Run a stream with keyed state over all that is there now, into Parquet files."""
     with rocks(stream.sparkSession):
-        return stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*(partition_by or [])).trigger(availableNow=True).start()

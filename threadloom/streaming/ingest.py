@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import RECORD
+from ..scratch import listed
+from . import awaiting
 
 
 def records(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -14,28 +16,19 @@ def records(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> Da
     return spark.readStream.schema(RECORD).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").option("maxFilesPerTrigger", files_per_trigger).json(path)
 
 
-def merge_new(stream: DataFrame, table: str, keys: list[str], checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
-    """Rows whose key the stored table lacks are appended, batch by batch. The stored table is the memory, so no stream state grows without bound, and a repeated batch appends nothing. A key that comes several times in a batch is stored once, its least row. Partition columns must follow from the key."""
-
-    def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        once = Window.partitionBy(*keys).orderBy(*(F.col(c) for c in batch.columns if c not in keys))
-        fresh = batch.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n")
-        try:
-            stored = spark.read.parquet(table)
-            if partition_by and all(p in batch.columns for p in partition_by):  # only the folders that this batch has rows for
-                stored = stored.join(F.broadcast(batch.select(*partition_by).distinct()), partition_by, "left_semi")
-            stored = stored.select(*keys)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            stored = None
-        if stored is not None:
-            fresh = fresh.join(stored, keys, "left_anti")
-        writer = fresh.write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(table)
-
-    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def merge_new(stream: DataFrame, table: str, keys: list[str], checkpoint: str, partition_by: list[str] | None = None, known: DataFrame | None = None) -> StreamingQuery:
+    """Rows whose key the table lacks are appended, batch by batch. The stream's state is the memory of the table's keys
+    (RocksDB, in the checkpoint), so no batch reads the table; the sink's log makes a repeated batch append nothing. A key that comes several times in a batch is stored
+    once. `known` holds keys that count as stored when the checkpoint is new: those of a table that was filled otherwise. A table that
+    has rows without this checkpoint is refused: it would get them twice.
+    """
+    spark = stream.sparkSession
+    if not listed(spark, f"{checkpoint}/offsets"):
+        if listed(spark, table):
+            raise ValueError(f"{table} was filled with another checkpoint; give its keys as `known` and write beside it")
+    else:
+        known = None if known is None else known.limit(0)  # the state has them
+    return awaiting.start(awaiting.first_seen(stream, keys, known), table, checkpoint, partition_by)
 
 
 def day_counts(stream: DataFrame, ts: str = "ts", key: str = "event_type", horizon: str = "3 days") -> DataFrame:
