@@ -59,10 +59,10 @@ def slow_records(spark):
     """Posts of three days, replies up to two days behind, a stray reply, and a last row that closes all."""
     rows = []
     for p in range(12):
-        at = p * 6 * 3600
+        at = 10 * 86400 + p * 6 * 3600
         rows.append((f"p{p}", "submission", f"p{p}", at))
         rows += [(f"c{p}_{k}", "comment", f"p{p}", at + k * 7 * 3600 + 1) for k in range(8)]
-    rows += [("stray", "comment", "nowhere", 40 * 3600), ("p3", "submission", "p3", 18 * 3600), ("end", "submission", "end", 20 * 86400)]
+    rows += [("stray", "comment", "nowhere", 280 * 3600), ("p3", "submission", "p3", 258 * 3600), ("end", "submission", "end", 30 * 86400)]
     return sorted(rows, key=lambda x: x[3])
 
 
@@ -105,7 +105,7 @@ def test_posts_are_released_once_with_their_comments(spark, tmp_path, files):
 @pytest.mark.parametrize("files", [1, 5])
 def test_day_caps_do_not_depend_on_batches(spark, tmp_path, files):
     r = random.Random(3)
-    rows = [(i, r.choice("ab"), r.randrange(5 * 24) * 3600) for i in range(600)] + [(10_000, "a", 30 * 86400)]
+    rows = [(i, r.choice("ab"), 86400 + r.randrange(5 * 24) * 3600) for i in range(600)] + [(10_000, "a", 40 * 86400)]
     rows = sorted(rows, key=lambda x: x[2] // 86400) + rows[:5]  # by day, any order within it; some rows twice
     rows = sorted(rows, key=lambda x: x[2] // 86400)
     (tmp_path / "in").mkdir()
@@ -118,7 +118,7 @@ def test_day_caps_do_not_depend_on_batches(spark, tmp_path, files):
     assert q.awaitTermination(300) and not q.exception()
     want = set()
     for key in "ab":
-        for day in range(5):
+        for day in range(1, 6):
             mine = sorted({(-s, i) for i, k, s in rows if k == key and s // 86400 == day})[:4]
             want |= {(key, day, i) for _, i in mine}
     got = [(x["key"], x["day"], x["id"]) for x in spark.read.parquet(f"{tmp_path}/out").collect()]

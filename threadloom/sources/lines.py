@@ -247,6 +247,9 @@ def recover(spark: SparkSession, path: str, only_first: bool = False) -> list[st
     for file, staged in pairs:
         old, new = hadoop(spark, file)[1], hadoop(spark, staged)[1]
         if fs.exists(new):  # else it is in its place already
+            sums = jvm.Path(old.getParent(), f".{old.getName()}.crc")  # a local file system keeps sums of the old bytes beside them
+            if fs.exists(sums):
+                fs.delete(sums, False)
             place.rename(fs.makeQualified(new), fs.makeQualified(old), over)
         if only_first:
             return []

@@ -123,7 +123,7 @@ class DayCaps(StatefulProcessor):
         if not held:
             self.handle.registerTimer((int(key[-1]) + 1) * DAY_MS)
         for frame in rows:
-            top = frame.sort_values(["us", "id"], ascending=[False, True]).head(self.n)
+            top = frame.drop_duplicates(["us", "id"]).sort_values(["us", "id"], ascending=[False, True]).head(self.n)
             held += top[["us", "id"]].itertuples(index=False, name=None)
         once = sorted({(int(us), int(i)) for us, i in held}, key=lambda x: (-x[0], x[1]))[: self.n]
         self.best.put(once)
@@ -162,7 +162,7 @@ class FirstSeen(StatefulProcessor):
                 pass
             return
         self.seen.update((1,))
-        yield pd.DataFrame({"_row": [min(frame["_row"].min() for frame in rows)]})
+        yield pd.DataFrame({"packed": [min(frame["packed"].min() for frame in rows)]})
 
     def close(self) -> None:
         pass
@@ -173,10 +173,10 @@ def first_seen(stream: DataFrame, keys: list[str], known: DataFrame | None = Non
     looked up one by one in RocksDB, so a batch reads what its own keys need, however long the history is."""
     times = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
     row = F.to_json(F.struct(*stream.columns), {"ignoreNullFields": "false"} | times)
-    packed = stream.select(*keys, row.alias("_row")).dropna(subset=keys).groupBy(*keys)
+    packed = stream.select(*keys, row.alias("packed")).dropna(subset=keys).groupBy(*keys)
     begin = None if known is None else known.select(*keys).dropna().distinct().groupBy(*keys)
-    out = packed.transformWithStateInPandas(statefulProcessor=FirstSeen(), outputStructType="_row string", outputMode="Append", timeMode="None", initialState=begin)
-    return out.select(F.from_json("_row", stream.schema, times).alias("r")).select("r.*")
+    out = packed.transformWithStateInPandas(statefulProcessor=FirstSeen(), outputStructType="packed string", outputMode="Append", timeMode="None", initialState=begin)
+    return out.select(F.from_json("packed", stream.schema, times).alias("r")).select("r.*")
 
 
 def seconds(interval: str) -> float:
