@@ -548,14 +548,15 @@ def test_one_of_each(docs, rows):
 # --- 9 ----------------------------------------------------------------------------------------------------------------
 
 
-def test_every_text_is_compared_whole():
+def test_a_difference_to_the_library_shows():
     coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
     texts = ["one of two", "two of three", "of"]
-    ids, at = coder.encode(pa.array(texts))
+    ids, at, doubt = coder.encode(pa.array(texts))
     lists = [x.tolist() for x in np.split(ids, at[1:-1])]
-    assert coder.checked(texts, lists)[1] == [True] * 3
-    lists[1] = lists[1][::-1]  # not the first text
-    assert coder.checked(texts, lists)[1] == [True, False, True]
+    assert not doubt.any() and coder.checked(texts, lists, [True] * 3) == (lists, [True] * 3)
+    wrong = [lists[0], lists[1][::-1], lists[2]]
+    assert coder.checked(texts, wrong, [True] * 3) == (lists, [True, False, True])
+    assert coder.checked(texts, wrong, [True, False, True]) == (wrong, [True] * 3) and coder.checked([], [], []) == ([], [])
 
 
 def test_agenda_equals_the_library(docs, rows, nothing):
@@ -564,7 +565,8 @@ def test_agenda_equals_the_library(docs, rows, nothing):
     lib = coder.library
     bits = ["the", " ", "   ", "\n", "▁", "ñ", "漢字", "🙂", " ", "\x00", "a", "b", "ing", "<s>", "</s>", "<0x41>", "1234", "ﬁ", "é", "WORLD", "internationalization"]
     texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 25))) for _ in range(800)] + [" ", "x" * 3000, None]
-    ids, at = coder.encode(pa.array(texts, pa.string()))
+    ids, at, doubt = coder.encode(pa.array(texts, pa.string()))
+    assert not doubt.any()
     for text, a, z in zip(texts, at, at[1:], strict=False):
         assert ids[a:z].tolist() == lib.encode(text or "", add_eos=True), repr(text)
     got = sp_bpe.sentencepiece_digest(docs, path).collect()

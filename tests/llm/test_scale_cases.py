@@ -177,7 +177,7 @@ def test_long_words_have_a_heap():
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     texts = ["".join(r.choice(letters) for _ in range(300_000)), "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "กขคงจฉช" * 3000, "ab " * 500 + "internationalization" * 200 + " x" * 400, "🙂é" * 700]
     began = time.time()
-    ids, at = coder.encode(pa.array(texts))
+    ids, at, _ = coder.encode(pa.array(texts))
     assert time.time() - began < 20
     for text, part in zip(texts, np.split(ids, at[1:-1]), strict=True):
         assert part.tolist() == coder.library.encode(text, add_eos=True)
@@ -189,10 +189,10 @@ def test_a_vocabulary_that_spans_words_and_the_librarys_ids():
     coder = sp_bpe.Agenda(tokenizer_file("piece_bpe_32k.model"))
     texts = ["one text as a whole", "", "a  b " * 90]
     coder.inner = True
-    ids, at = coder.encode(pa.array(texts))
+    ids, at, _ = coder.encode(pa.array(texts))
     assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
     wrong = [[1, 2], [coder.end], [3]]
-    assert coder.checked(texts, wrong) == ([coder.library.encode(t, add_eos=True) for t in texts], [False, True, False])
+    assert coder.checked(texts, wrong, [True] * 3) == ([coder.library.encode(t, add_eos=True) for t in texts], [False, True, False])
 
 
 def test_the_agenda_gives_the_ids():
@@ -202,12 +202,13 @@ def test_the_agenda_gives_the_ids():
     texts = ["".join(r.choice("etaoinshrdlu") for _ in range(20)) for _ in range(30)] + ["of"]
     right = [coder.library.encode(t, add_eos=True) for t in texts]
     coder.order = coder.order.max() - coder.order  # worst merges first
-    ids, at = coder.encode(pa.array(texts))
+    ids, at, doubt = coder.encode(pa.array(texts))
     lists = [x.tolist() for x in np.split(ids, at[1:-1])]
     assert sum(a != b for a, b in zip(lists, right, strict=True)) > 20
-    got, same = coder.checked(texts, lists)
+    assert all(d for a, b, d in zip(lists, right, doubt, strict=True) if a != b) and not coder.known  # no word in doubt is remembered
+    got, same = coder.checked(texts, lists, doubt.tolist())
     assert got == right and same == [a == b for a, b in zip(lists, right, strict=True)]
-    kept, same = coder.checked(texts, right)
+    kept, same = coder.checked(texts, right, [True] * len(texts))
     assert all(same) and all(a is b for a, b in zip(kept, right, strict=True))
 
 
@@ -465,6 +466,6 @@ def test_remembered_words(monkeypatch):
     v = vocabulary(2, 30) + ["y" * 300, "🙂"]
     for _ in range(5):
         texts = [say(r, v, r.randint(0, 40)) for _ in range(9)]
-        ids, at = coder.encode(pa.array(texts))
+        ids, at, _ = coder.encode(pa.array(texts))
         assert [x.tolist() for x in np.split(ids, at[1:-1])] == [coder.library.encode(t, add_eos=True) for t in texts]
     assert len(coder.known) == 7

@@ -3,8 +3,12 @@
 A text is cut into words that no piece of the vocabulary spans (a text is one word if some piece does). All distinct words of an
 Arrow batch work off their agendas together: in each round every word merges its best adjacent pair (highest score, then leftmost),
 and only the pairs beside the merge are scored anew. Words of more than LONG letters (texts without blanks) have a heap over linked
-symbols each. Every text is then held, whole, against the sentencepiece library itself; where the library's ids are others, they
-are what is returned, and `agrees` is false.
+symbols each.
+
+The library checks the agenda: it normalises every whole text, and encodes every distinct word when the worker first meets it, many of
+them strung together. As no piece spans words, a text's ids are its words' ids. A string whose ids differ casts doubt on its words, and a
+text with a word in doubt is encoded whole by the library too, as is the first text of each slice in any case; where its ids are
+others, they are what is returned, and `agrees` is false. So `agrees` says that all words of the text agree, or the whole text.
 
 Cases: a null or empty text has the end id alone and decodes to the empty text; repeated rows are encoded each; pairs of one score
 merge from the left; a very long text is a slice of its own; rows with a null doc_id are left out; characters that are in no piece
@@ -33,6 +37,8 @@ REMEMBERED = 150_000
 PART = 1 << 20
 #: Letters from which a word has an agenda of its own.
 LONG = 128
+#: Letters of the strings of words that the library is asked for.
+STRING = 1 << 15
 
 
 class Agenda:
@@ -152,26 +158,29 @@ class Agenda:
             out[at[i] : at[i] + len(ids)] = ids
         return out, lengths
 
-    def encode_distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """As encode_words, for different words: those of earlier slices are looked up, the first REMEMBERED ones of a worker."""
+    def encode_distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As encode_words, for different words, and which of them are in doubt: those of earlier slices are looked up, the first REMEMBERED ones of a worker that were in none."""
         place = np.fromiter((self.known.get(w, -1) for w in words), dtype=np.int64, count=len(words))
         old = place >= 0
         fresh = [words[i] for i in np.flatnonzero(~old).tolist()]
         ids, some = self.encode_words(fresh)
+        odd = self.doubtful(fresh, ids, some)
+        doubt = np.zeros(len(words), dtype=bool)
+        doubt[~old] = odd
         lengths = np.empty(len(words), dtype=np.int64)
         lengths[~old], lengths[old] = some, self.known_n[place[old]]
         at = np.cumsum(lengths) - lengths
         out = np.empty(int(lengths.sum()), dtype=np.int64)
         out[ragged(at[~old], some)] = ids
         out[ragged(at[old], lengths[old])] = self.known_ids[ragged(self.known_at[place[old]], lengths[old])]
-        keep = np.array([i for i, w in enumerate(fresh[: max(0, REMEMBERED - len(self.known))]) if len(w) <= LONG], dtype=np.int64)
+        keep = np.array([i for i, w in enumerate(fresh[: max(0, REMEMBERED - len(self.known))]) if len(w) <= LONG and not odd[i]], dtype=np.int64)
         if len(keep):
             self.known.update((fresh[i], len(self.known_n) + k) for k, i in enumerate(keep.tolist()))
             first = np.cumsum(some) - some
             self.known_at = np.r_[self.known_at, len(self.known_ids) + np.cumsum(some[keep]) - some[keep]]
             self.known_n = np.r_[self.known_n, some[keep]]
             self.known_ids = np.r_[self.known_ids, ids[ragged(first[keep], some[keep])]]
-        return out, lengths
+        return out, lengths, doubt
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words end to end, and the number of ids of each: every word's agenda goes one merge on in each round."""
@@ -227,14 +236,32 @@ class Agenda:
             symbols = wide
         return symbols, np.bincount(owner, minlength=len(words))
 
-    def checked(self, texts: list[str], lists: list[list[int]]) -> tuple[list[list[int]], list[bool]]:
-        """The lists, held against the library's, which is asked for every text, whole: its ids stand in where a text's differ."""
-        theirs = self.library.encode(texts, add_eos=True, num_threads=1)
-        same = [a == b for a, b in zip(lists, theirs, strict=True)]
-        return [a if ok else b for a, b, ok in zip(lists, theirs, same, strict=True)], same
+    def doubtful(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Which of the words the library may encode otherwise: it is asked for all of them, strung together as in a text, and a string whose
+        ids differ casts doubt on all its words."""
+        out = np.zeros(len(words), dtype=bool)
+        ends = np.cumsum(lengths)
+        size = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        # blanks at a word's end would join those of the next
+        apart = np.fromiter((w.endswith(BLANK) for w in words[:-1]), dtype=bool, count=max(0, len(words) - 1))
+        cuts = [0, *(np.flatnonzero((np.diff(size // STRING) > 0) | apart) + 1).tolist(), len(words)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            text = "".join(words[a:z])
+            mine = ids[ends[a] - lengths[a] : ends[z - 1]].tolist() if z > a else []
+            out[a:z] = not text.startswith(BLANK) or self.library.encode(text[1:].replace(BLANK, " ")) != mine
+        return out
+
+    def checked(self, texts: list[str], lists: list[list[int]], ask: list[bool]) -> tuple[list[list[int]], list[bool]]:
+        """The lists, and whether the library agrees. It is asked for the whole texts that `ask` marks, and its ids stand in where a list differs."""
+        at = [i for i, x in enumerate(ask) if x]
+        lists, same = list(lists), [True] * len(lists)
+        for i, theirs in zip(at, self.library.encode([texts[i] for i in at], add_eos=True, num_threads=1) if at else (), strict=True):
+            same[i] = lists[i] == theirs
+            lists[i] = lists[i] if same[i] else theirs
+        return lists, same
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end (each with the end id), and where each text's begin.
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts end to end (each with the end id), where each text's begin, and which texts hold a word in doubt.
 
         Words start where a run of blanks starts; equal words of the batch are worked off once.
         """
@@ -255,14 +282,15 @@ class Agenda:
         words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.r_[starts, n].astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).dictionary_encode()
         which = words.indices.to_numpy()
         names = words.dictionary.to_pylist()
-        ids, lengths = self.encode_distinct(names)
+        ids, lengths, doubtful = self.encode_distinct(names)
         at = np.cumsum(lengths) - lengths
         sizes = lengths[which] if len(which) else np.zeros(0, dtype=np.int64)
         flat = ids[ragged(at[which], sizes)] if len(which) else np.zeros(0, dtype=np.int64)
         first = np.searchsorted(starts, offsets)
         ends = np.r_[0, np.cumsum(sizes)][first]
         out = np.insert(flat, ends[1:], self.end)
-        return out, ends + np.arange(len(ends))
+        doubt = np.diff(np.r_[0, np.cumsum(doubtful[which])][first]) > 0
+        return out, ends + np.arange(len(ends)), doubt
 
 
 @lru_cache(2)
@@ -271,17 +299,19 @@ def agenda(model_file: str) -> Agenda:
 
 
 def _encoded(batches, coder: Agenda):
-    """Parts of the batches with the lists of ids of their texts and whether the library has the same. Agendas are worked off for
+    """Parts of the batches with the lists of ids of their texts and whether the library agrees. Agendas are worked off for
     SLICE bytes together; lists of numbers are made of PART bytes at a time, as they are large."""
     for whole in batches:
         for b in slices(whole, most=SLICE):
-            ids, at = coder.encode(b.column(1))
+            ids, at, doubt = coder.encode(b.column(1))
+            doubt[:1] = True  # a slice's first text is always compared
             row = 0
             for part in slices(b, most=PART):
-                cuts = at[row : row + part.num_rows + 1]
+                cuts, ask = at[row : row + part.num_rows + 1], doubt[row : row + part.num_rows].tolist()
                 row += part.num_rows
                 lists = [x.tolist() for x in np.split(ids[cuts[0] : cuts[-1]], cuts[1:-1] - cuts[0])]
-                yield part, *coder.checked([x or "" for x in part.column(1).to_pylist()], lists)
+                texts = part.column(1)
+                yield part, *coder.checked([(texts[i].as_py() or "") if x else "" for i, x in enumerate(ask)], lists, ask)
 
 
 def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
