@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rstrip, truncate, truncate_middle
-from ..scratch import base
+from ..scratch import held
 
 NEAR, FAR, REPLY = 500, 300, 200
 #: The reference's reach for ancestors and depths.
@@ -15,25 +15,35 @@ ANCESTORS, HOPS = 50, 500
 STRETCH = 6
 
 
-def _held(df: DataFrame) -> DataFrame:
-    """The rows, computed, in the checkpoint folder: the plan so far ends here."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(base(df.sparkSession))
-    return df.checkpoint()
-
-
-def ancestors(corpus: DataFrame, levels: int = 6, of: DataFrame | None = None) -> DataFrame:
-    """G01, the last `levels` ancestors: item_id, chain (root side first) as structs; one join a level, until no row climbs further. The submission is no ancestor, an uncollected parent ends the chain."""
-    parents = corpus.filter("record_type = 'comment'").select(F.col("item_id").alias("p_id"), F.col("parent_item").alias("p_up"), F.struct("item_id", "author_hash", "is_submitter", "depth", F.coalesce("text", F.lit("")).alias("text")).alias("p_row"))
-    now = (corpus if of is None else of).select("item_id", F.col("parent_item").alias("up"), F.array().cast(f"array<{parents.schema['p_row'].dataType.simpleString()}>").alias("chain"))
+def _climbed(corpus: DataFrame, levels: int, of: DataFrame) -> DataFrame:
+    """item_id, ids: the last `levels` ancestors' ids, root side first. Ids alone climb, one join a level, until no row goes further."""
+    links = corpus.filter("record_type = 'comment'").select(F.col("item_id").alias("p_id"), F.col("parent_item").alias("p_up"))
+    now = of.select("item_id", F.col("parent_item").alias("up"), F.array().cast("array<string>").alias("ids"))
     for level in range(levels):
         if level and level % STRETCH == 0:
-            now = _held(now)
-            if now.join(parents.select("p_id"), now["up"] == F.col("p_id"), "left_semi").isEmpty():
+            now = held(now)
+            if now.join(links.select("p_id"), now["up"] == F.col("p_id"), "left_semi").isEmpty():
                 break
-        now = now.join(parents, now["up"] == parents["p_id"], "left").select("item_id", F.col("p_up").alias("up"), F.when(F.col("p_id").isNotNull(), F.concat(F.array("p_row"), "chain")).otherwise(F.col("chain")).alias("chain"))
-    return now.select("item_id", "chain")
+        longer = F.when(F.col("p_id").isNotNull(), F.concat(F.array("p_id"), "ids")).otherwise(F.col("ids"))
+        now = now.join(links, now["up"] == links["p_id"], "left").select("item_id", F.col("p_up").alias("up"), longer.alias("ids"))
+    return now.select("item_id", "ids")
+
+
+def ancestors(corpus: DataFrame, levels: int = 6, of: DataFrame | None = None, near: int | None = None, far: int | None = None) -> DataFrame:
+    """G01, the last `levels` ancestors: item_id, chain (root side first) as structs. The submission is no ancestor, an uncollected parent
+    ends the chain. Texts join the finished chains of ids, each once; with `near` and `far` they are cut before that, the two nearest
+    ancestors' to `near` characters, the others' to `far`."""
+    climbed = held(_climbed(corpus, levels, corpus if of is None else of))
+    text = F.coalesce("text", F.lit(""))
+    cut = lambda n: truncate(text, n) if n else text
+    rows = corpus.filter("record_type = 'comment'").select(F.col("item_id").alias("p_id"), "author_hash", "is_submitter", "depth", cut(near).alias("_near"), cut(far).alias("_far"))
+    spots = climbed.select("item_id", F.size("ids").alias("_n"), F.posexplode("ids").alias("_at", "p_id"))
+    shown = F.when(F.col("_at") >= F.col("_n") - 2, F.col("_near")).otherwise(F.col("_far"))
+    one = F.struct(F.col("p_id").alias("item_id"), "author_hash", "is_submitter", "depth", shown.alias("text"))
+    found = spots.join(rows, "p_id").groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("_at", one.alias("row")))).alias("rows"))
+    chains = found.select("item_id", F.transform("rows", lambda x: x["row"]).alias("chain"))
+    none = climbed.filter(F.size("ids") == 0).select("item_id", F.array().cast(chains.schema["chain"].dataType).alias("chain"))
+    return chains.unionByName(none)
 
 
 def depths(corpus: DataFrame, hops: int = HOPS) -> DataFrame:
@@ -43,7 +53,7 @@ def depths(corpus: DataFrame, hops: int = HOPS) -> DataFrame:
     now = comments.join(known, comments["up"] == known["_id"], "left").select("item_id", F.when(F.col("_id").isNotNull(), F.col("up")).alias("up"), F.when(F.col("_id").isNull() & F.col("up").startswith("t3_"), 0).otherwise(1).alias("d"))
     for level in range(max(1, (hops - 1).bit_length())):
         if level and level % (STRETCH // 2) == 0:
-            now = _held(now)
+            now = held(now)
             if now.filter("up IS NOT NULL").isEmpty():
                 break
         above = now.select(F.col("item_id").alias("_id"), F.col("up").alias("_up"), F.col("d").alias("_d"))
@@ -68,8 +78,8 @@ def contexts(corpus: DataFrame, max_parents: int = 6, max_replies: int = 3, max_
     posts = corpus.filter("record_type = 'submission'").select(F.col("item_id").alias("s_id"), F.col("title").alias("s_title"), truncate_middle(F.coalesce("selftext", F.lit(""))).alias("s_text"), F.col("author_hash").alias("s_author"))
     mine = corpus if wanted is None else corpus.join(wanted.select("item_id"), "item_id", "left_semi")
     base = mine.select("item_id", "record_type", "subreddit", "submission_item")
-    rows = base.join(ancestors(corpus, max_parents, mine), "item_id").join(posts, (base["submission_item"] == posts["s_id"]) & (base["record_type"] == "comment"), "left").join(children(corpus if wanted is None else corpus.join(mine.select(F.col("item_id").alias("parent_item")), "parent_item", "left_semi"), max_replies), F.col("item_id") == F.col("parent_item"), "left")
-    chain = F.transform("chain", lambda p, i: p.withField("text", F.when(i >= F.size("chain") - 2, truncate(p["text"], NEAR)).otherwise(truncate(p["text"], FAR))))
+    rows = base.join(ancestors(corpus, max_parents, mine, NEAR, FAR), "item_id").join(posts, (base["submission_item"] == posts["s_id"]) & (base["record_type"] == "comment"), "left").join(children(corpus if wanted is None else corpus.join(mine.select(F.col("item_id").alias("parent_item")), "parent_item", "left_semi"), max_replies), F.col("item_id") == F.col("parent_item"), "left")
+    chain = F.col("chain")
     replies = F.transform(F.coalesce("replies", F.filter(F.array(F.col("replies")[0]), lambda x: F.lit(False))), lambda r: r.withField("text", truncate(r["text"], REPLY)))
     rows = rows.withColumn("parent_chain", F.when(F.col("record_type") == "comment", chain).otherwise(F.slice(chain, 1, 0))).withColumn("replies", replies)
     head = F.concat(F.lit("[SUBMISSION r/"), F.col("subreddit"), F.lit("] "))
@@ -103,7 +113,7 @@ def pre_order(corpus: DataFrame) -> DataFrame:
             joined = rows.join(above, rows["up"] == above["_id"], "left").withColumn("_skip", skip)
             longer = lambda old, new: F.when(there, F.concat(F.slice(new, F.col("_skip") + 1, F.size(new)), old)).otherwise(F.col(old)).alias(old)
             rows = joined.select("item_id", "submission_item", F.when(there & ~circle, F.col("_up")).alias("up"), longer("path", "_path"), longer("seen", "_seen"))
-        rows = _held(rows)
+        rows = held(rows)
         if rows.filter("up IS NOT NULL").isEmpty():
             break
     return rows.select("item_id", "submission_item", F.array_join("path", "/").alias("path"), (F.size("path") - 1).alias("indent"), F.col("seen")[0].alias("top"))

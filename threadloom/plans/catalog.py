@@ -452,7 +452,10 @@ _CONTEXT_SQL = (
 _LONG_BODY = f"CASE WHEN length({_STRIP('selftext')}) <= 1500 THEN {_STRIP('selftext')} ELSE " + _RSTRIP("left(" + _STRIP("selftext") + ", 1200)") + r" || chr(10) || '[…]' || chr(10) || regexp_replace(right(" + _STRIP("selftext") + r", 300), '^\s+', '') END"
 
 
-@query(_CONTEXT_SQL.replace("{middle}", _LONG_BODY).replace("{cut}", _RSTRIP("left(t, 6000)")))
+G04 = _CONTEXT_SQL.replace("{middle}", _LONG_BODY).replace("{cut}", _RSTRIP("left(t, 6000)"))
+
+
+@query(G04)
 def g04_contexts(s: SparkSession, d: str) -> DataFrame:
     """G04, X08."""
     return threads.contexts(view(s, d, "corpus")).select("item_id", "context_text")
@@ -688,7 +691,7 @@ def j19_comments_of_self_posts(s: SparkSession, d: str) -> DataFrame:
     return c.filter("record_type = 'comment'").join(posts, "submission_item", "left_semi").select("item_id")
 
 
-@query("SELECT item_id, list_transform(l, lambda x: x) IS NOT NULL AS ok, len(l)::INT AS n_tokens FROM (SELECT item_id, regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÖØ-öø-ÿ''ñÑ]+') AS l FROM corpus) x", "corpus")
+@query(f"SELECT item_id, {_TOK.format("coalesce(text, '')")} AS tokens FROM corpus", "corpus")
 def x02_token_counts(s: SparkSession, d: str) -> DataFrame:
     """X02."""
-    return view(s, d, "corpus").select("item_id", F.lit(True).alias("ok"), F.size(text.tokens(F.coalesce("text", F.lit("")))).alias("n_tokens"))
+    return view(s, d, "corpus").select("item_id", text.tokens(F.coalesce("text", F.lit(""))).alias("tokens"))

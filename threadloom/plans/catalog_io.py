@@ -17,7 +17,7 @@ from ..scratch import folder, hadoop, held, listed
 from ..sources import files, lines, markup, paged
 from ..streaming import awaiting, ingest
 from .adapters import view
-from .catalog import _AGG, _EXP, _LIST, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
+from .catalog import _AGG, _EXP, _LIST, G04, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
 
 # --- JSON lines ----------------------------------------------------------------------------------------------------------
 
@@ -230,20 +230,32 @@ def s22_topped_up(s: SparkSession, d: str) -> DataFrame:
 
 
 def _suggestions(s: SparkSession, d: str) -> DataFrame:
-    docs = s.read.parquet(f"{d}/documents.parquet").filter("text IS NOT NULL")
-    return docs.select("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("item_id"), ((F.col("doc_id") % 23) / F.lit(20.0)).alias("confidence"), F.when(F.col("doc_id") % 3 == 0, F.lit("~~ no such words ~~")).otherwise(F.substring("text", 1, 3)).alias("sarcastic_span"), "text")
+    """A suggestion for each document, its span the second half of the text, or no part of it."""
+    docs = s.read.parquet(f"{d}/documents.parquet")
+    half = F.substring("text", F.floor(F.length("text") / 2).cast("int") + 1, F.length("text"))
+    span = F.when(F.col("doc_id") % 3 == 0, F.lit("~~ no such words ~~")).when(F.col("doc_id") % 3 == 1, half)
+    name, sure = F.concat(F.lit("d"), F.col("doc_id").cast("string")), (F.col("doc_id") % 23) / F.lit(20.0)
+    return docs.select("doc_id", name.alias("item_id"), sure.alias("confidence"), span.alias("sarcastic_span"), "text")
+
+
+_ERRORS = """SELECT 'd' || doc_id AS item_id, list_filter([CASE WHEN gone THEN 'not in the corpus' END, CASE WHEN doc_id % 23 > 20 THEN 'confidence outside 0 to 1' END,
+  CASE WHEN doc_id % 3 = 0 OR doc_id % 3 = 1 AND gone AND len(text) > 0 THEN 'span is no part of the text' END], lambda x: x IS NOT NULL) AS errors FROM (SELECT *, doc_id % 31 = 0 OR text IS NULL AS gone FROM documents) x"""
 
 
-@query("SELECT 'd' || doc_id AS item_id, list_filter([CASE WHEN doc_id % 31 = 0 THEN 'not in the corpus' END, CASE WHEN doc_id % 23 > 20 THEN 'confidence outside 0 to 1' END, CASE WHEN doc_id % 31 = 0 OR doc_id % 3 = 0 THEN 'span is no part of the text' END], lambda x: x IS NOT NULL) AS errors FROM documents WHERE length(text) >= 3")
+@query(_ERRORS)
 def s16_assist_errors(s: SparkSession, d: str) -> DataFrame:
-    rows = _suggestions(s, d).filter("length(text) >= 3")
+    """S16, over whole texts."""
+    rows = _suggestions(s, d)
     return review.assist_errors(rows.drop("text", "doc_id"), rows.filter("doc_id % 31 <> 0").select("item_id", "text")).select("item_id", "errors")
 
 
-@query("SELECT count(*) AS lines, sum((NOT bad)::INT)::BIGINT AS fine, sum(bad::INT)::BIGINT AS wrong, (CASE WHEN sum(bad::INT) = 0 THEN count(*) ELSE 0 END)::BIGINT AS stored FROM (SELECT doc_id % 31 = 0 OR doc_id % 23 > 20 OR doc_id % 3 = 0 AS bad FROM documents WHERE length(text) >= 3) x")
+@query(
+    "SELECT count(*) AS lines, count(*) FILTER (WHERE len(errors) = 0) AS fine, count(*) FILTER (WHERE len(errors) > 0) AS wrong, CASE WHEN count(*) FILTER (WHERE len(errors) > 0) = 0 THEN count(*) ELSE 0 END AS stored FROM e",
+    e=_ERRORS,
+)
 def a29_assist_counts(s: SparkSession, d: str) -> DataFrame:
     """Nothing is stored if anything is wrong."""
-    rows = _suggestions(s, d).filter("length(text) >= 3")
+    rows = _suggestions(s, d)
     return review.assist_counts(review.assist_errors(rows.drop("text", "doc_id"), rows.filter("doc_id % 31 <> 0").select("item_id", "text")))
 
 
@@ -258,9 +270,9 @@ def s17_id_list(s: SparkSession, d: str) -> DataFrame:
 
 
 def _manifests(s: SparkSession, d: str) -> DataFrame:
-    at, docs = folder(s), s.read.parquet(f"{d}/documents.parquet").filter("doc_id % 20 = 0")
+    at, docs = folder(s), s.read.parquet(f"{d}/documents.parquet")
     rows = docs.select(
-        F.concat(F.lit("run-"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("collection_run_id"), F.when(F.col("doc_id") % 40 == 0, "archive").otherwise("live").alias("source"),
+        F.concat(F.lit("run-"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("collection_run_id"), F.when(F.col("doc_id") % 2 == 0, "archive").otherwise("live").alias("source"),
         F.concat(F.lit("2026-11-"), F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")).alias("started_at_utc"), F.col("n_chars").cast("long").alias("submissions_stored"), (F.col("doc_id") % 100).alias("comments_stored"),
     )
     files.write_manifest(rows, f"{at}/manifests")  # a run is a line
@@ -268,7 +280,7 @@ def _manifests(s: SparkSession, d: str) -> DataFrame:
     return s.read.schema(files.MANIFEST).json(f"{at}/manifests").filter("collection_run_id IS NOT NULL")
 
 
-_RUNS = "SELECT 'run-' || lpad(doc_id::VARCHAR, 9, '0') AS id, CASE WHEN doc_id % 40 = 0 THEN 'archive' ELSE 'live' END AS source, '2026-11-' || lpad((1 + doc_id % 28)::VARCHAR, 2, '0') AS started, n_chars, doc_id % 100 AS comments FROM documents WHERE doc_id % 20 = 0"
+_RUNS = "SELECT 'run-' || lpad(doc_id::VARCHAR, 9, '0') AS id, CASE WHEN doc_id % 2 = 0 THEN 'archive' ELSE 'live' END AS source, '2026-11-' || lpad((1 + doc_id % 28)::VARCHAR, 2, '0') AS started, n_chars, doc_id % 100 AS comments FROM documents"
 
 
 @query("SELECT substring(id, 1, 8) || '…' AS run, source, started AS started_at_utc FROM r", r=_RUNS)
@@ -408,50 +420,67 @@ def k10_rewrite(s: SparkSession, d: str) -> DataFrame:
 
 # --- threads, review, states -----------------------------------------------------------------------------------------------
 
+#: Chains made of the events in their order: every fourth 620 of them are one chain, the others chains of 31. Of the short ones every
+#: fifth lacks its post, every other fifth its first comment.
 _DEEP = """
-SELECT CASE WHEN i = 0 THEN 't3_deep' ELSE 't1_deep' || i END AS item_id, CASE WHEN i = 0 THEN 'submission' ELSE 'comment' END AS record_type, 's' AS subreddit, 't3_deep' AS submission_item, CASE WHEN i = 1 THEN 't3_deep' WHEN i > 1 THEN 't1_deep' || (i - 1) END AS parent_item,
-  CAST(CASE WHEN i > 0 THEN i - 1 END AS INT) AS depth, 1000 + i AS created_s, 'h' || i AS author_hash, 'pseudonymized' AS author_status, CAST(i % 2 AS INT) AS is_submitter, CASE WHEN i = 0 THEN 'deep post' END AS title, CAST(NULL AS STRING) AS selftext, 'body ' || i AS body, 'body ' || i AS text, '/p' AS permalink
-FROM (SELECT CAST(id AS BIGINT) AS i FROM {ids}) a
-UNION ALL SELECT 't1_orphan' || i, 'comment', 's', 't3_gone' || (i % 3), CASE WHEN i < 9 THEN 't3_gone' || (i % 3) ELSE 't1_nowhere' END, CAST(0 AS INT), 5000 + i, CAST(NULL AS STRING), 'deleted', CAST(0 AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING), 'lost ' || i, 'lost ' || i, '/q' FROM (SELECT CAST(id AS BIGINT) AS i FROM {ids} WHERE id < 12) b
+SELECT CASE WHEN i = 0 THEN 't3_' || c ELSE 't1_' || c || '_' || CAST(i AS STRING) END AS item_id, CASE WHEN i = 0 THEN 'submission' ELSE 'comment' END AS record_type, 's' AS subreddit,
+  't3_' || c AS submission_item, CASE WHEN i = 1 THEN 't3_' || c WHEN i > 1 THEN 't1_' || c || '_' || CAST(i - 1 AS STRING) END AS parent_item,
+  CAST(CASE WHEN i > 0 THEN i - 1 END AS INT) AS depth, 1000 + i AS created_s, CAST(event_id AS STRING) AS author_hash, 'pseudonymized' AS author_status, CAST(i % 2 AS INT) AS is_submitter,
+  CASE WHEN i = 0 THEN event_type || ' post' END AS title, CAST(NULL AS STRING) AS selftext, event_type || CAST(event_id AS STRING) AS body, event_type || CAST(event_id AS STRING) AS text, '/p' AS permalink
+FROM (SELECT event_id, event_type, CASE WHEN b % 4 = 0 THEN 'd' || CAST(b AS STRING) ELSE 's' || CAST(k AS STRING) END AS c,
+    CASE WHEN b % 4 = 0 THEN event_id % 620 ELSE event_id % 31 END AS i, CASE WHEN b % 4 = 0 THEN 0 ELSE k % 5 END AS kind
+  FROM (SELECT event_id, event_type, CAST(floor(event_id / 620) AS BIGINT) AS b, CAST(floor(event_id / 31) AS BIGINT) AS k FROM {events}) x) y
+WHERE NOT (kind = 3 AND i = 0) AND NOT (kind = 4 AND i = 1)
 """
-_N = 620
-_DEEP_SQL = _DEEP.replace("{ids}", f"(SELECT range AS id FROM range({_N}))")
+_DEEP_SQL = _DEEP.replace("{events}", "events")
+#: Comments that are missing their chain's first one.
+_CUT = "(record_type = 'comment' AND submission_item LIKE 't3_s%' AND substring(submission_item, 5)::BIGINT % 5 = 4)"
 
 
-def _deep(s: SparkSession) -> DataFrame:
-    """A chain of 619 replies, replies to posts that were not collected, and replies to nothing."""
-    return s.sql(_DEEP, ids=s.range(_N))
+def _deep(s: SparkSession, d: str) -> DataFrame:
+    return s.sql(_DEEP, events=s.read.parquet(f"{d}/events.parquet"))
 
 
-@query("SELECT item_id, CASE WHEN item_id LIKE 't1_deep%' THEN least(created_s - 1001, 500) WHEN parent_item LIKE 't3_%' THEN 0 ELSE 1 END::INT AS depth_found FROM deep WHERE record_type = 'comment'", deep=_DEEP_SQL)
+@query("SELECT item_id, least(CASE WHEN x THEN depth ELSE depth END, 500)::INT AS depth_found FROM (SELECT *, true AS x FROM deep) y WHERE record_type = 'comment'", deep=_DEEP_SQL)
 def g02_deep(s: SparkSession, d: str) -> DataFrame:
     """G02 to its 500 hops."""
-    return threads.depths(_deep(s)).select("item_id", F.col("depth_found").cast("int").alias("depth_found"))
+    return threads.depths(_deep(s, d)).select("item_id", F.col("depth_found").cast("int").alias("depth_found"))
 
 
-@query("SELECT item_id, CASE WHEN item_id LIKE 't1_deep%' THEN least(greatest(created_s - 1001, 0), 50) ELSE 0 END::INT AS n, CASE WHEN item_id LIKE 't1_deep%' AND created_s > 1001 THEN 't1_deep' || greatest(created_s - 1050, 1) END AS first_one FROM deep", deep=_DEEP_SQL)
+@query(
+    "SELECT item_id, n::INT AS n, CASE WHEN n > 0 THEN 't1_' || substring(submission_item, 4) || '_' || (depth + 1 - n) END AS first_one, CASE WHEN n > 0 THEN parent_text END AS last_text "
+    f"FROM (SELECT q.*, p.text AS parent_text, CASE WHEN q.record_type = 'submission' THEN 0 WHEN {_CUT.replace('record_type', 'q.record_type').replace('submission_item', 'q.submission_item')} THEN least(q.depth - 1, 50) ELSE least(q.depth, 50) END AS n "
+    "FROM deep q LEFT JOIN deep p ON p.item_id = q.parent_item) z",
+    deep=_DEEP_SQL,
+)
 def g01_deep(s: SparkSession, d: str) -> DataFrame:
     """G01, G06, J16 to 50 ancestors, the root side first."""
-    a = threads.ancestors(_deep(s), threads.ANCESTORS)
-    return a.select("item_id", F.size("chain").alias("n"), F.try_element_at("chain", F.lit(1))["item_id"].alias("first_one"))
+    a = threads.ancestors(_deep(s, d), threads.ANCESTORS)
+    first, last = F.try_element_at("chain", F.lit(1)), F.try_element_at("chain", F.lit(-1))
+    return a.select("item_id", F.size("chain").alias("n"), first["item_id"].alias("first_one"), last["text"].alias("last_text"))
 
 
 @query(
-    "SELECT 't3_deep' AS thread, item_id, CASE WHEN record_type = 'submission' THEN 'POST [deep] deep post' ELSE repeat('  ', (created_s - 1000)::INT) || '└ [comment ' || substring(item_id, 4) || '] u/' || author_hash || '  ' || body END AS line FROM deep WHERE submission_item = 't3_deep' "
-    "UNION ALL SELECT parent_item, item_id, '  └ [comment ' || substring(item_id, 4) || '] u/deleted  ' || body FROM deep WHERE parent_item LIKE 't3_gone%' UNION ALL SELECT DISTINCT parent_item, parent_item, 'POST [' || substring(parent_item, 4) || ']' FROM deep WHERE parent_item LIKE 't3_gone%'",
+    "SELECT submission_item AS thread, item_id, CASE WHEN record_type = 'submission' THEN 'POST [' || substring(item_id, 4) || '] ' || title "
+    "ELSE repeat('  ', (created_s - 1000)::INT) || '└ [comment ' || substring(item_id, 4) || '] u/' || author_hash || '  ' || body END AS line "
+    f"FROM deep WHERE NOT {_CUT} UNION ALL SELECT DISTINCT submission_item, submission_item, 'POST [' || substring(submission_item, 4) || ']' FROM deep WHERE submission_item LIKE 't3_s%' AND substring(submission_item, 5)::BIGINT % 5 = 3",
     deep=_DEEP_SQL,
 )
 def g03_rendered(s: SparkSession, d: str) -> DataFrame:
     """Threads as text, however deep; posts that were not collected head their replies."""
-    return threads.rendered(_deep(s)).select("thread", "item_id", "line")
+    return threads.rendered(_deep(s, d)).select("thread", "item_id", "line")
 
 
-@query("SELECT item_id FROM corpus WHERE score % 4 = 0", "corpus")
+@query("SELECT g.item_id, CASE WHEN c.score % 8 = 0 THEN 'stored for ' || g.item_id ELSE g.context_text END AS context_text FROM g JOIN corpus c ON c.item_id = g.item_id WHERE c.score % 4 = 0", "corpus", g=G04)
 def g05_reused(s: SparkSession, d: str) -> DataFrame:
-    """Stored blocks of this version as they are, the rest built."""
+    """Stored blocks of this version as they are, the rest built; blocks of another version don't count."""
     c = view(s, d, "corpus")
-    old = c.filter("score % 8 = 0").select("item_id", F.lit("v1").alias("prompt_version"), F.lit("stored").alias("context_text"))
-    return threads.reuse(old, c, c.filter("score % 4 = 0").select("item_id"), "v1").filter("(context_text = 'stored') = (CAST(hash(item_id) AS BIGINT) IS NULL) OR context_text IS NOT NULL").select("item_id")
+
+    def stored(version: str, which: str) -> DataFrame:
+        return c.filter(which).select("item_id", F.lit(version).alias("prompt_version"), F.concat(F.lit("stored for "), F.col("item_id")).alias("context_text"))
+
+    old = stored("v1", "score % 8 = 0").unionByName(stored("v0", "score % 8 = 4"))
+    return threads.reuse(old, c, c.filter("score % 4 = 0").select("item_id"), "v1").select("item_id", "context_text")
 
 
 @query("SELECT item_id, reason, completed FROM queue WHERE NOT (reason = 'gold' AND completed = 0)", "queue")
@@ -568,19 +597,26 @@ def o03_by_label(s: SparkSession, d: str) -> DataFrame:
 # --- expressions -----------------------------------------------------------------------------------------------------------
 
 
-@query(r"SELECT item_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(body, '([.!?])[ ]+', '\1' || chr(10), 'g'), '\n'), lambda x: trim(x)), lambda x: x <> '') AS sentences FROM corpus WHERE record_type = 'comment' AND regexp_full_match(body, '[A-Za-z0-9 ,.!?\n-]*')", "corpus")
+_SENTENCES = r"""list_filter(list_transform(regexp_split_to_array(regexp_replace(body, '([.!?…][)\]\x22\x27’”]?)\s+', '\1' || chr(10), 'g'), '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e]'),
+  lambda x: trim(x, ' ' || chr(9) || chr(160))), lambda x: x <> '')"""
+
+
+@query(f"SELECT item_id, {_SENTENCES} AS sentences FROM corpus WHERE record_type = 'comment'", "corpus")
 def x06_sentences(s: SparkSession, d: str) -> DataFrame:
-    """X06 for bodies of plain letters and marks; closing quotes and rare white space have goldens in the tests."""
-    c = view(s, d, "corpus").filter("record_type = 'comment'").filter(F.col("body").rlike(r"\A[A-Za-z0-9 ,.!?\n-]*\z"))
-    return c.select("item_id", text.split_sentences(F.col("body")).alias("sentences"))
+    """X06, all bodies; rare white space has goldens in the tests."""
+    return view(s, d, "corpus").filter("record_type = 'comment'").select("item_id", text.split_sentences(F.col("body")).alias("sentences"))
 
 
-@query("SELECT item_id, CASE WHEN score % 2 = 0 AND score % 3 = 0 THEN 'a' || chr(10) || 'c' WHEN score % 2 = 0 THEN 'b' END AS span FROM corpus", "corpus")
+@query(
+    "SELECT item_id, CASE WHEN score % 2 = 0 AND len(list_filter(l, lambda x, i: i % 3 <> 1)) > 0 THEN array_to_string(list_filter(l, lambda x, i: i % 3 <> 1), chr(10)) END AS span "
+    f"FROM (SELECT item_id, score, {_SENTENCES} AS l FROM corpus WHERE record_type = 'comment') x",
+    "corpus",
+)
 def x07_joined_spans(s: SparkSession, d: str) -> DataFrame:
-    """The ticked sentences of a sarcastic item."""
-    three = F.array(F.lit("a"), F.lit("b"), F.lit("c"))
-    ticked = F.array(F.col("score") % 3 == 0, F.col("score") % 3 != 0, F.col("score") % 3 == 0)
-    return view(s, d, "corpus").select("item_id", text.join_ticked(F.col("score") % 2 == 0, three, ticked).alias("span"))
+    """The ticked sentences of a sarcastic item's text."""
+    c = view(s, d, "corpus").filter("record_type = 'comment'").withColumn("l", text.split_sentences(F.col("body")))
+    ticked = F.transform("l", lambda x, i: i % 3 != 0)
+    return c.select("item_id", text.join_ticked(F.col("score") % 2 == 0, F.col("l"), ticked).alias("span"))
 
 
 @query("SELECT item_id, CASE WHEN length(t) <= 40 THEN t ELSE rtrim(substring(t, 1, 39)) || '…' END AS short, CASE WHEN length(t) <= 80 THEN t ELSE rtrim(substring(t, 1, 50)) || chr(10) || '[…]' || chr(10) || ltrim(right(t, 30)) END AS middle FROM (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM corpus) x", "corpus")
@@ -589,12 +625,21 @@ def x08_truncated(s: SparkSession, d: str) -> DataFrame:
     return view(s, d, "corpus").select("item_id", text.truncate(t, 40).alias("short"), text.truncate_middle(t, 50, 30).alias("middle"))
 
 
-@query("SELECT item_id, CASE WHEN score % 2 = 1 THEN '&lt;b&gt; <mark>w' || score || '</mark> w' || score || ' &amp;' ELSE '&lt;b&gt; w' || score || ' w' || score || ' &amp;' END AS html, (1 - score % 2)::INT AS missing FROM corpus", "corpus")
+_ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(34), '&quot;'), chr(39), '&#x27;')".format
+
+
+@query(
+    f"SELECT item_id, replace(CASE WHEN pos > 0 AND trim(word) <> '' THEN {_ESC('substring(body, 1, pos - 1)')} || '<mark>' || {_ESC('word')} || '</mark>' || {_ESC('substring(body, pos + length(word))')} ELSE {_ESC('body')} END, chr(10), '<br>') AS html, "
+    "(word <> '' AND pos = 0)::INT AS missing FROM (SELECT item_id, body, word, strpos(body, word) AS pos FROM (SELECT item_id, body, CASE WHEN score % 5 = 0 THEN 'no such words' ELSE split_part(replace(body, chr(10), ' '), ' ', 2) END AS word "
+    "FROM corpus WHERE record_type = 'comment') x) y",
+    "corpus",
+)
 def x09_highlighted(s: SparkSession, d: str) -> DataFrame:
-    """The first place of each line of the span is marked, lines that the text lacks are named."""
-    w = F.concat(F.lit("w"), F.col("score").cast("string"))
-    html, missing = text.highlight(F.concat(F.lit("<b> "), w, F.lit(" "), w, F.lit(" &")), F.when(F.col("score") % 2 == 1, w).otherwise("nowhere"))
-    return view(s, d, "corpus").select("item_id", html.alias("html"), F.size(missing).alias("missing"))
+    """In each text the first place of its second word is marked; words that the text lacks are named."""
+    second = F.split_part(F.replace("body", F.lit("\n"), F.lit(" ")), F.lit(" "), F.lit(2))
+    c = view(s, d, "corpus").filter("record_type = 'comment'")
+    html, missing = text.highlight(F.col("body"), F.when(F.col("score") % 5 == 0, "no such words").otherwise(second))
+    return c.select("item_id", html.alias("html"), F.size(missing).alias("missing"))
 
 
 @query("SELECT event_id, least(4000, greatest(300, (event_id % 90) * 80))::INT AS cap FROM events")
