@@ -135,16 +135,40 @@ def test_plugged_models(spark):
     got = {r["item_id"]: r["label"] for r in language.sentiment(rows, lambda ts: [(0.9, 0.05, 0.05) if t else (0.1, 0.8, 0.1) for t in ts]).collect()}
     assert got == {"a": "positive", "b": "neutral"}
 
+    fine = {"language": "english", "literal_sentiment": "neutral", "intended_sentiment": "negative", "sarcastic": True, "confidence": 1, "cues": {c.removeprefix("cue_"): False for c in language.CUES}}
+
     def client():
-        def ask(p):
-            if p == "bad":
+        calls = []
+
+        def ask(p, *, schema, temperature):
+            calls.append(p)
+            assert list(schema["properties"])[:4] == ["language", "literal_sentiment", "cues", "sarcastic"] and len(schema["required"]) == 7
+            if p == "down" or p == "once" and calls.count("once") < 2:
                 raise RuntimeError("no answer")
-            return p.upper()
+            if p == "warm" and temperature == 0:
+                return json.dumps(fine | {"confidence": 7})
+            if p == "bad":
+                return "I cannot say"
+            return "<think>{ hm }</think>" + json.dumps(fine)
 
         return ask
 
-    asked = language.annotate(spark.createDataFrame([("a", "hi"), ("b", "bad")], "item_id string, prompt string"), client)
-    assert {r["item_id"]: (r["answer"], r["call_error"]) for r in asked.collect()} == {"a": ("HI", None), "b": (None, "no answer")}
+    prompts = spark.createDataFrame([(x, x) for x in ("good", "down", "once", "warm", "bad")], "item_id string, prompt string").coalesce(1)
+    asked = language.annotate(prompts, client, pause=lambda n: 0.0).cache()
+    got = {r["item_id"]: (r["attempts"], r["call_error"], r["answer"] is not None) for r in asked.collect()}
+    assert got == {"good": (1, None, True), "down": (3, "failed after 3 attempts: no answer", False), "once": (2, None, True), "warm": (3, None, True), "bad": (3, "failed after 3 attempts: no JSON object", False)}
+    votes, failures = language.votes_and_failures(asked, "m", "v1", "adjudicator")
+    assert {(r["item_id"], r["sarcastic"], r["role"]) for r in votes.collect()} == {(x, 1, "adjudicator") for x in ("good", "once", "warm")}
+    assert {(r["item_id"], r["model_key"]) for r in failures.collect()} == {("down", "m"), ("bad", "m")}
+    with pytest.raises(ValueError):
+        language.annotate(prompts, client, attempts=0)
+
+
+@pytest.mark.parametrize(("change", "why"), [({}, None), ({"language": "latin"}, "language is latin"), ({"sarcastic": 1}, "sarcastic is no boolean"), ({"confidence": True}, "confidence is no number"), ({"confidence": -0.1}, "confidence is -0.1"), ({"cues": {}}, "cues lacks polarity_inversion"), ({"literal_sentiment": None}, "missing literal_sentiment"), ({"rationale": "x" * 999}, None)])
+def test_faults_of_answers(change, why):
+    fine = {"language": "english", "literal_sentiment": "neutral", "intended_sentiment": "negative", "sarcastic": True, "confidence": 1, "cues": {c.removeprefix("cue_"): False for c in language.CUES}}
+    assert language.fault_of("so: " + json.dumps(fine | change) + " there") == why
+    assert language.fault_of("{ not json }").startswith("no JSON") and language.fault_of("") == "no JSON object" == language.fault_of(None)
 
 
 def test_prompt_guard(spark):

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+import time
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -82,23 +86,102 @@ def parse_answers(raw: DataFrame, answer: str = "answer") -> DataFrame:
     )
 
 
-def annotate(prompts: DataFrame, client: Callable[[], Callable[[str], str]]) -> DataFrame:
-    """Answers of an injected client, made once a task; an exception becomes an error row, never a lost task."""
+def answer_schema() -> dict:
+    """What a client has to hold an answer to, as JSON schema: the properties in the order in which they are to be thought of, cues before the verdict."""
+    one_of = lambda k: {"type": "string", "enum": list(DOMAINS[k])}
+    names = [c.removeprefix("cue_") for c in CUES]
+    cues = {"type": "object", "properties": {n: {"type": "boolean"} for n in names}, "required": names}
+    properties = {
+        "language": one_of("language"), "literal_sentiment": one_of("literal_sentiment"), "cues": cues, "sarcastic": {"type": "boolean"}, "intended_sentiment": one_of("intended_sentiment"),
+        "confidence": {"type": "number", "minimum": 0, "maximum": 1}, "rationale": {"type": "string", "maxLength": 300},
+    }
+    return {"type": "object", "properties": properties, "required": list(properties)}
+
+
+def fault_of(answer: str, schema: dict | None = None) -> str | None:
+    """Why an answer's outermost object doesn't fit the schema (its flat kinds, enums and bounds); None if it does."""
+    schema = schema or answer_schema()
+    found = re.search(r"\{.*\}", re.sub(r"<think>.*?</think>", "", answer or "", flags=re.S), re.S)
+    try:
+        got = json.loads(found[0]) if found else None
+    except ValueError as e:
+        return f"no JSON: {e}"
+    if not isinstance(got, dict):
+        return "no JSON object"
+    kinds = {"string": str, "boolean": bool, "number": (int, float), "object": dict}
+    for name, rule in schema["properties"].items():
+        x = got.get(name)
+        if x is None:
+            if name in schema["required"] and name != "rationale":
+                return f"missing {name}"
+        elif not isinstance(x, kinds[rule["type"]]) or rule["type"] == "number" and isinstance(x, bool):
+            return f"{name} is no {rule['type']}"
+        elif "enum" in rule and x not in rule["enum"] or "minimum" in rule and not rule["minimum"] <= x <= rule["maximum"]:
+            return f"{name} is {x}"
+        elif rule["type"] == "object" and not all(isinstance(x.get(k), bool) for k in rule["required"]):
+            return f"{name} lacks {next(k for k in rule['required'] if not isinstance(x.get(k), bool))}"
+    return None
+
+
+class Ask(Protocol):
+    """A client's call: the schema constrains what is decoded, where the model server can do that."""
+
+    def __call__(self, prompt: str, *, schema: dict, temperature: float) -> str: ...
+
+
+def annotate(prompts: DataFrame, client: Callable[[], Ask], attempts: int = 3, warm: float = 0.2, pause: Callable[[int], float] = lambda n: min(30.0, 2.0**n)) -> DataFrame:
+    """item_id, answer, attempts, duration_ms, call_error, from an injected client that is made once a task.
+
+    A call that raises is tried again after a pause, an answer that doesn't fit the schema at once; the last attempt is a little warmer, as
+    the same answer would come back otherwise. What fails to the end becomes an error row, never a lost task.
+    """
+    if attempts < 1:
+        raise ValueError("at least one attempt")
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask = client()
-        for b in batches:
-            answers, errors = [], []
-            for p in b["prompt"]:
+        ask, schema = client(), answer_schema()
+
+        def tried(p: str) -> tuple[str | None, int, int, str | None]:
+            began, last = time.monotonic(), None
+            spent = lambda: int((time.monotonic() - began) * 1000)
+            for n in range(1, attempts + 1):
                 try:
-                    answers.append(ask(p))
-                    errors.append(None)
+                    got = ask(p, schema=schema, temperature=warm if n == attempts > 1 else 0.0)
                 except Exception as e:  # noqa: BLE001
-                    answers.append(None)
-                    errors.append(str(e)[:2000])
-            yield pd.DataFrame({"item_id": b["item_id"], "answer": answers, "call_error": errors})
+                    last = str(e)
+                    if n < attempts:
+                        time.sleep(pause(n))
+                    continue
+                last = fault_of(got, schema)
+                if last is None:
+                    return got, n, spent(), None
+            return None, attempts, spent(), f"failed after {attempts} attempts: {last}"[:2000]
 
-    return prompts.select("item_id", "prompt").mapInPandas(call, "item_id string, answer string, call_error string")
+        for b in batches:
+            rows = [tried(p) for p in b["prompt"]]
+            out = pd.DataFrame(rows, columns=["answer", "attempts", "duration_ms", "call_error"])
+            yield out.assign(item_id=b["item_id"].to_numpy())[["item_id", "answer", "attempts", "duration_ms", "call_error"]]
+
+    return prompts.select("item_id", "prompt").mapInPandas(call, "item_id string, answer string, attempts int, duration_ms long, call_error string")
+
+
+def votes_and_failures(asked: DataFrame, model: str, version: str, role: str) -> tuple[DataFrame, DataFrame]:
+    """Of annotate() the rows to store: votes of one rater in one role, and failures with the reason."""
+    got = parse_answers(asked.filter("answer IS NOT NULL").drop("attempts", "call_error"))
+    who = {"model_key": F.lit(model), "prompt_version": F.lit(version), "role": F.lit(role)}
+    bad = got.filter("error IS NOT NULL").select("item_id", "error").unionByName(asked.filter("answer IS NULL").select("item_id", F.col("call_error").alias("error")))
+    return got.filter("error IS NULL").drop("error").withColumns(who), bad.withColumns(who)
+
+
+def adjudicator_prompts(prompts: DataFrame, ratings: DataFrame, lineup: list[str], version: str) -> DataFrame:
+    """The prompts of items that go to the adjudicator, with the raters' votes in the lineup's order below them."""
+    at = F.array_position(F.array(*(F.lit(m) for m in lineup)), F.col("model_key"))
+    verdict = F.when(F.col("sarcastic") == 1, "sarcastic").when(F.col("sarcastic") == 0, "not sarcastic").otherwise("no verdict")
+    line = F.concat(F.lit("- "), "model_key", F.lit(": "), verdict, F.lit(", "), F.concat_ws(", ", "language", "literal_sentiment", "intended_sentiment"), F.coalesce(F.concat(F.lit(" ("), "rationale", F.lit(")")), F.lit("")))
+    mine = ratings.filter((F.col("role") == "annotator") & (F.col("prompt_version") == version) & F.col("model_key").isin(*lineup))
+    said = mine.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct(at.alias("at"), line.alias("line")))).alias("votes"))  # a vote a rater
+    block = F.concat(F.lit("\n\n=== VOTES ===\n"), F.array_join(F.transform("votes", lambda x: x["line"]), "\n"))
+    return prompts.join(said, "item_id", "left").select("item_id", F.concat("prompt", F.coalesce(block, F.lit(""))).alias("prompt"))
 
 
 def prompt(context: Column, record_type: Column, text: Column) -> Column:

@@ -706,20 +706,47 @@ def x27_prompts(s: SparkSession, d: str) -> DataFrame:
 
 
 def _client():
-    def ask(prompt: str) -> str:
-        if "7" in prompt:
-            raise ValueError(f"no answer for {prompt}")
-        return json.dumps({"language": "english", "literal_sentiment": "neutral", "intended_sentiment": "neutral", "sarcastic": len(prompt) % 2 == 0, "confidence": 0.25, "rationale": prompt})
+    """Answers that depend on the prompt: some only fit when asked warmly, some calls always fail, some answers never fit."""
+
+    def ask(prompt: str, *, schema: dict, temperature: float) -> str:
+        n = len(prompt)
+        if n % 7 == 0:
+            raise ValueError(f"no answer to {n}")
+        said = {"language": "english", "literal_sentiment": "neutral", "intended_sentiment": "neutral", "sarcastic": n % 2 == 0, "confidence": 0.25, "rationale": prompt[-20:]}
+        said["cues"] = {k: n % 3 == 0 for k in schema["properties"]["cues"]["required"]}
+        if n % 7 == 1 or n % 7 == 2 and temperature == 0:
+            said["language"] = "latin"
+        return "<think>{}</think> " + json.dumps(said)
 
     return ask
 
 
-@query("SELECT item_id, CASE WHEN NOT contains(item_id, '7') THEN 'english' END AS language, CASE WHEN NOT contains(item_id, '7') THEN (length(item_id) % 2 = 0)::INT END AS sarcastic, CASE WHEN contains(item_id, '7') THEN 'no answer for ' || item_id END AS call_error FROM candidates WHERE eligible", "candidates")
+_ASKED = """SELECT item_id, n, n % 7 = 0 AS fails, n % 7 = 1 AS never FROM (SELECT item_id, length(coalesce(text, '')) AS n FROM candidates WHERE eligible) x"""
+
+
+@query(
+    "SELECT item_id, CASE WHEN NOT fails AND NOT never THEN 'english' END AS language, CASE WHEN NOT fails AND NOT never THEN (n % 2 = 0)::INT END AS sarcastic, CASE WHEN NOT fails AND NOT never THEN (n % 3 = 0)::INT END AS cue_hyperbole, "
+    "CASE WHEN fails OR never OR n % 7 = 2 THEN 3 ELSE 1 END::INT AS attempts, CASE WHEN fails THEN 'failed after 3 attempts: no answer to ' || n WHEN never THEN 'failed after 3 attempts: language is latin' END AS call_error FROM asked",
+    "candidates",
+    asked=_ASKED,
+)
 def u05_annotator_pass(s: SparkSession, d: str) -> DataFrame:
-    """Pending items through an injected client; an exception is a failure row, not a lost task."""
-    todo = view(s, d, "candidates").filter("eligible").select("item_id", F.col("item_id").alias("prompt"))
-    got = language.parse_answers(language.annotate(todo, lambda: _client()).withColumn("answer", F.coalesce("answer", F.lit(""))))
-    return got.select("item_id", "language", "sarcastic", "call_error")
+    """Pending items' whole texts through an injected client, with retries and the answers' schema."""
+    todo = view(s, d, "candidates").filter("eligible").select("item_id", F.coalesce("text", F.lit("")).alias("prompt"))
+    asked = held(language.annotate(todo, _client, pause=lambda n: 0.0))
+    votes, _ = language.votes_and_failures(asked, "a9", VERSION, "annotator")
+    return asked.join(votes.select("item_id", "language", "sarcastic", "cue_hyperbole"), "item_id", "left").select("item_id", "language", "sarcastic", "cue_hyperbole", "attempts", "call_error")
+
+
+@query(
+    _with("""SELECT c.item_id, 'about ' || c.item_id || coalesce(chr(10) || chr(10) || '=== VOTES ===' || chr(10) || v.block, '') AS prompt FROM candidates c LEFT JOIN
+      (SELECT item_id, string_agg('- ' || model_key || ': ' || CASE sarcastic WHEN 1 THEN 'sarcastic' WHEN 0 THEN 'not sarcastic' ELSE 'no verdict' END || ', ' || concat_ws(', ', language, literal_sentiment, intended_sentiment) || coalesce(' (' || rationale || ')', ''), chr(10) ORDER BY model_key) AS block
+       FROM ratings WHERE role = 'annotator' AND prompt_version = 'v3' AND model_key IN ('a1', 'a2', 'a3') GROUP BY item_id) v ON v.item_id = c.item_id""", _AGG, "candidates")
+)
+def u06_adjudicator_prompts(s: SparkSession, d: str) -> DataFrame:
+    """What an adjudicator is asked: the prompt and the raters' votes."""
+    prompts = view(s, d, "candidates").select("item_id", F.concat(F.lit("about "), F.col("item_id")).alias("prompt"))
+    return language.adjudicator_prompts(prompts, view(s, d, "ratings"), LINEUP, VERSION)
 
 
 @query("SELECT item_id, CASE WHEN n % 3 = 0 THEN 'positive' WHEN n % 3 = 1 THEN 'neutral' ELSE 'negative' END AS label, CASE WHEN n % 3 = 0 THEN 0.6667 ELSE 0.1667 END::DOUBLE AS p_pos FROM (SELECT item_id, length(coalesce(text, '')) AS n FROM candidates) x", "candidates")
