@@ -114,9 +114,9 @@ class KeyedTable:
         rows.select(*cols, F.lit(gone).alias(GONE)).withColumn(BUCKET, self._bucket(m["keys"], m["buckets"])).write.parquet(at)
         found = self.spark.read.parquet(at)
         null = F.greatest(*(F.col(k).isNull().cast("int") for k in m["keys"]), F.lit(0))
-        n, nulls, buckets = found.agg(F.count("*"), F.sum(null), F.collect_set(BUCKET)).first()
-        twice = found.groupBy(*m["keys"]).count().filter("count > 1").limit(1).count()
-        if nulls or twice or not n:
+        by_key = found.groupBy(*m["keys"]).agg(F.count("*").alias("n"), F.max(null).alias("null"), F.first(BUCKET).alias("b"))
+        n, nulls, most, buckets = by_key.agg(F.sum("n"), F.max("null"), F.max("n"), F.collect_set("b")).first()
+        if nulls or not n or most > 1:
             self._fs.delete(self._path(at), True)
             if n:
                 raise ValueError("a key is null" if nulls else "a key is given twice")

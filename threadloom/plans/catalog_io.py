@@ -14,7 +14,7 @@ from ..keyed import KeyedTable
 from ..operators import agreement, corpus, export, language, review, state, threads, views
 from ..schemas import RATING
 from ..scratch import folder, hadoop, held, listed
-from ..sources import files, lines, markup, paged
+from ..sources import files, indexed, lines, markup, paged
 from ..streaming import awaiting, ingest
 from .adapters import view
 from .catalog import _AGG, _EXP, _LIST, G04, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
@@ -321,15 +321,27 @@ def s20_endpoints(s: SparkSession, d: str) -> DataFrame:
     return files.endpoints(p.select(F.col("page_id").alias("line_no"), value.alias("value"))).select("line_no", "ok", "host", "port", "scheme", "user", "repeated")
 
 
-@query("SELECT v.name, v.state FROM (VALUES ('a', 'gone'), ('b', 'changed'), ('c', 'new')) v(name, state) WHERE (SELECT count(*) FROM documents) >= 0")
+@query(
+    """WITH f AS (SELECT *, score % 5 AS file FROM corpus), now AS (SELECT * FROM f WHERE file <> 1 AND NOT (file = 2 AND record_type = 'submission') UNION ALL SELECT *, 9 FROM corpus WHERE score % 10 = 1)
+    SELECT subreddit, count(*) FILTER (WHERE record_type = 'submission') AS submissions, count(*) FILTER (WHERE record_type = 'comment') AS comments, max(created_s)::BIGINT AS last_seen, 3 AS files_read
+    FROM (SELECT DISTINCT item_id, subreddit, record_type, created_s FROM now) x GROUP BY subreddit""".replace("WITH f AS", "SELECT * FROM (WITH f AS")
+    + ") y",
+    "corpus",
+)
 def z09_changed_files(s: SparkSession, d: str) -> DataFrame:
-    """Which files of a folder differ between two looks at it."""
-    at, docs = folder(s), s.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").cast("string").alias("value"))
-    look = lambda n: files.signature(s, f"{at}/{n}").select(F.element_at(F.split("file", "/"), -2).alias("file"), F.lit(0).alias("changed"), "size").groupBy("file").agg(F.max("changed").alias("changed"), F.sum("size").alias("size"))
-    for when, names in (("one", ("a", "b", "same")), ("two", ("b", "c", "same"))):
-        for n in names:
-            (docs.unionByName(docs) if (when, n) == ("two", "b") else docs).coalesce(1).write.json(f"{at}/{when}/{n}")
-    return files.changed_files(look("one"), look("two")).select(F.col("file").alias("name"), "state")
+    """Counts after files came, went and changed, of which only these were read: one is gone, one has lost its posts, one is new, the others stay."""
+    at, r = folder(s), _records(s, d)
+    put = lambda n, rows: rows.coalesce(1).write.mode("overwrite").json(f"{at}/raw/{n}")
+    for n in range(5):
+        put(n, r.filter(f"score % 5 = {n}"))
+    index = indexed.FileIndex(s, f"{at}/raw", f"{at}/index")
+    index.refresh()
+    fs, gone = hadoop(s, f"{at}/raw/1")
+    fs.delete(gone, True)
+    put(2, r.filter("score % 5 = 2 AND record_type = 'comment'"))
+    put(9, r.filter("score % 10 = 1"))
+    done = index.refresh()
+    return corpus.subreddit_stats(index.items()).withColumn("files_read", F.lit(len(done["read"]) + len({f.split("/")[-2] for f in done["gone"]} - {"2"})))
 
 
 # --- sinks ---------------------------------------------------------------------------------------------------------------

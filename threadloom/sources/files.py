@@ -15,7 +15,7 @@ def _identity() -> Column:
     return record_identity(F.col("reddit_fullname"), F.col("record_type"), F.col("reddit_id"), F.col("id"))
 
 
-def jsonl(spark: SparkSession, path: str, unique: bool = True) -> DataFrame:
+def jsonl(spark: SparkSession, path: str | list[str], unique: bool = True) -> DataFrame:
     """Records of all JSON-lines files below a folder, with `bad` lines marked (not JSON, no object, no identity). With `unique` the first good row of each identity stays, by file path and place in the file."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{json,jsonl}").option("lineSep", "\n").text(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line")).filter(strip(F.col("value")) != "")
@@ -118,19 +118,6 @@ def run_totals(rows: DataFrame, kind: str, since: str = "") -> DataFrame:
     return mine.agg(F.count("*").alias("runs"), F.coalesce(F.sum("submissions_stored"), F.lit(0)).alias("posts"), F.coalesce(F.sum("comments_stored"), F.lit(0)).alias("comments"))
 
 
-def signature(spark: SparkSession, path: str, glob: str = "*.{json,jsonl}") -> DataFrame:
-    """File, changed, size of the files below a folder: the same rows mean that nothing has changed. No content is read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    return found.select(F.col("path").alias("file"), F.col("modificationTime").alias("changed"), F.col("length").alias("size"))
-
-
-def changed_files(before: DataFrame, now: DataFrame) -> DataFrame:
-    """Files that are new, gone or different: what a cache built on `before` must not be used for."""
-    a, b = before.select("file", F.struct("changed", "size").alias("_a")), now.select("file", F.struct("changed", "size").alias("_b"))
-    state = F.when(F.col("_a").isNull(), "new").when(F.col("_b").isNull(), "gone").when(F.col("_a") != F.col("_b"), "changed")
-    return a.join(b, "file", "full").select("file", state.alias("state")).filter("state IS NOT NULL")
-
-
 def cards(snapshots: DataFrame, cap: int | None = None) -> DataFrame:
     """Listing cards of page snapshots: promoted ones and those without id or permalink out, the first sight of each stays, in arrival order."""
     good = snapshots.filter(~F.coalesce("promoted", F.lit(False)) & F.col("id").startswith("t3_") & (F.coalesce("permalink", F.lit("")) != ""))
