@@ -114,8 +114,8 @@ class KeyedTable:
         rows.select(*cols, F.lit(gone).alias(GONE)).withColumn(BUCKET, self._bucket(m["keys"], m["buckets"])).write.parquet(at)
         found = self.spark.read.parquet(at)
         null = F.greatest(*(F.col(k).isNull().cast("int") for k in m["keys"]), F.lit(0))
-        by_key = found.groupBy(*m["keys"]).agg(F.count("*").alias("n"), F.max(null).alias("null"), F.first(BUCKET).alias("b"))
-        n, nulls, most, buckets = by_key.agg(F.sum("n"), F.max("null"), F.max("n"), F.collect_set("b")).first()
+        by_key = found.groupBy(*m["keys"]).agg(F.count("*").alias("_times"), F.max(null).alias("_null"), F.first(BUCKET).alias("_in"))
+        n, nulls, most, buckets = by_key.agg(F.sum("_times"), F.max("_null"), F.max("_times"), F.collect_set("_in")).first()
         if nulls or not n or most > 1:
             self._fs.delete(self._path(at), True)
             if n:
