@@ -413,8 +413,12 @@ def scores(docs: DataFrame, folder: str, size: int, room: int = CACHED) -> DataF
     return found.select("doc_id", "tag", "n_words", "score", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("col")
 
 
+#: Groups that the buckets' own sums are added up in, before they meet.
+FAN = 1024
+
+
 def word_sums(docs: DataFrame, size: int) -> DataFrame:
-    """docs(doc_id, tag, held_out, text) -> doc_id, tag, logs (sum of log10(count + 0.5)), known, one row for each text; the row without a doc_id has the distinct words in known and the training words in logs.
+    """docs(doc_id, tag, held_out, text) -> doc_id, tag, logs (sum of log10(count + 0.5)), known, one row for each text; rows without a doc_id have, in FAN parts, the distinct words in known and the training words in logs.
 
     A slice sends each bucket of the word space its distinct words there, and its block which document has which of them. The bucket
     answers with the words' counts, in the order they came in, so what travels back follows the slice's words, not its documents.
@@ -448,12 +452,11 @@ def word_sums(docs: DataFrame, size: int) -> DataFrame:
                 ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy()
                 # a slice is known by its documents
                 name = hashlib.blake2b(np.stack([ids, tags.astype(np.int64)]).tobytes(), digest_size=8).digest()
-                bounds = np.searchsorted(bucket[rank], np.arange(buckets + 1))
+                have, lows = np.unique(bucket[rank], return_index=True)  # only buckets that the slice has words for
                 lengths = np.diff(cuts)[rank]
                 names = [-1 - _block(name, blocks)]
-                blobs = [pack(name, np.diff(ids, prepend=0), tags, np.bincount(pairs // len(rank), minlength=b.num_rows).astype(np.uint32), np.diff(pairs % len(rank), prepend=0).astype(np.int32), times.astype(np.uint32), bounds)]
-                for k in np.flatnonzero(np.diff(bounds)).tolist():
-                    lo, hi = bounds[k], bounds[k + 1]
+                blobs = [pack(name, np.diff(ids, prepend=0), tags, np.bincount(pairs // len(rank), minlength=b.num_rows).astype(np.uint32), np.diff(pairs % len(rank), prepend=0).astype(np.int32), times.astype(np.uint32), have.astype(np.int32))]
+                for k, lo, hi in zip(have.tolist(), lows.tolist(), [*lows[1:].tolist(), len(rank)], strict=True):
                     names.append(k)
                     blobs.append(pack(name, text[ragged(cuts[:-1][rank[lo:hi]], lengths[lo:hi])].tobytes(), lengths[lo:hi].astype(np.uint32), train[lo:hi].astype(np.uint32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
@@ -470,7 +473,7 @@ def word_sums(docs: DataFrame, size: int) -> DataFrame:
         number = words.indices.to_numpy().astype(np.int64)
         count = np.bincount(number, weights=np.concatenate([p[3] for p in parts]), minlength=len(words.dictionary)).astype(np.int64)
         at = np.cumsum([0] + [len(p[2]) for p in parts])
-        out = [(-1, pack(int((count > 0).sum()), int(count.sum())))]
+        out = [(-1 - bucket % FAN, pack(int((count > 0).sum()), int(count.sum())))]
         out += [(_block(p[0], blocks), pack(p[0], bucket, count[number[lo:hi]])) for p, lo, hi in zip(parts, at, at[1:], strict=False)]
         return pa.table({"block": pa.array([x for x, _ in out], pa.int32()), "blob": pa.array([x for _, x in out], pa.binary())})
 
@@ -478,11 +481,11 @@ def word_sums(docs: DataFrame, size: int) -> DataFrame:
         lean()
         parts = [unpack(x) for x in t.column("blob").to_pylist()]
         if key[0].as_py() < 0:
-            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([0], pa.int32()), "logs": [float(sum(p[1] for p in parts))], "known": [sum(p[0] for p in parts)]})
+            return pa.table({"doc_id": pa.array([None], pa.int64()), "tag": pa.array([key[0].as_py()], pa.int32()), "logs": [float(sum(p[1] for p in parts))], "known": [sum(p[0] for p in parts)]})
         counts = {(p[0], p[1]): p[2] for p in parts if len(p) == 3}  # slices of the same documents get the same answer
         rows = []
-        for name, ids, tags, n, word, times, bounds in (p for p in parts if len(p) > 3):
-            count = np.concatenate([counts[name, k] for k in np.flatnonzero(np.diff(bounds)).tolist()])[np.cumsum(word)]
+        for name, ids, tags, n, word, times, have in (p for p in parts if len(p) > 3):
+            count = np.concatenate([counts[name, k] for k in have.tolist()])[np.cumsum(word)]
             row = np.repeat(np.arange(len(ids)), n.astype(np.int64))
             rows.append((np.cumsum(ids), tags, *(np.bincount(row, weights=w * times, minlength=len(ids)) for w in (np.log10(count + 0.5), count > 0))))
         doc, tag, logs, known = (np.concatenate([r[i] for r in rows]) for i in range(4))
@@ -501,8 +504,8 @@ def lm_scores(documents: DataFrame, room: int = CACHED) -> DataFrame:
     size = text_bytes(docs)
     sums = written(word_sums(docs, size), folder, "words")
     ends = train.count()
-    row = sums.filter("doc_id IS NULL").first()
-    distinct, total = (row["known"], int(row["logs"])) if row else (0, 0)
+    row = sums.filter("doc_id IS NULL").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs")).first()
+    distinct, total = row["known"] or 0, int(row["logs"] or 0)
     distinct, total = distinct + (ends > 0), total + ends
     scored = scores(docs, folder, size, room).join(sums.filter("doc_id IS NOT NULL"), ["doc_id", "tag"], "left")
     logs = F.coalesce("logs", F.lit(0.0)) + F.lit(float(np.log10(ends + 0.5)))
