@@ -856,7 +856,7 @@ def u09_feed(s: SparkSession, d: str) -> DataFrame:
     a, z = s.read.parquet(f"{d}/events.parquet").agg(F.min(F.to_date("ts")).alias("m")).select(F.date_add("m", 2).cast("string"), F.date_add("m", 9).cast("string")).first()
     with paged.filters_pushed(s):
         days = F.col("day").between(F.lit(a).cast("date"), F.lit(z).cast("date"))
-        return held(s.read.format("archive").option("start", "2020-01-01").option("page", "40").load().filter(days))
+        return held(s.read.format("archive").option("start", "2020-01-01").option("page", "40").option("prune", "true").load().filter(days))
 
 
 @query("SELECT event_id AS id, floor(epoch(ts))::BIGINT AS created_utc, event_type AS kind, CAST(ts AS DATE) AS day FROM events")

@@ -2,7 +2,7 @@
 
 An archive gives rows in time order, a page at a time, from a second on. The pager asks again from one second before a page's last
 row, so rows of one second that a page's end parts are not missed, and drops ids it has had; a page without anything new moves on. Days are
-partitions, so days are paged side by side and a lost task pages one day again. A filter on the day or the time leaves out days.
+partitions, so days are paged side by side and a lost task pages one day again. With `prune`, a filter on the day or the time leaves out days.
 
     spark.dataSource.register(paged_source("archive", TableArchive("/folder")))
     spark.readStream.format("archive").option("start", "2026-06-01").load()
@@ -57,12 +57,10 @@ def pages(archive: Archive, after: int, before: int, limit: int = PAGE, largest:
         last = int(page[-1]["created_utc"])
         if fresh:
             cursor, size = max(cursor, last - 1), limit
-        elif cursor < last:
-            cursor = last
         elif size * 2 <= largest:
-            size *= 2  # one second fills the page: nothing behind it can be seen otherwise
-        else:
-            cursor, size = last + 1, limit
+            size *= 2  # what was seen fills the page: nothing behind it can be reached otherwise
+        else:  # on, first to the page's last second, which a server may leave out or not, then past it
+            cursor, size = max(last, cursor + 1), limit
         seen = {i: t for i, t in seen.items() if t >= cursor}
 
 
@@ -150,6 +148,23 @@ class PagedReader(DataSourceReader):
         self.end = second_of(options["end"]) + DAY if "end" in options else None
         self.only: set[date] | None = None
 
+    def partitions(self) -> list[Stretch]:
+        end = self.end
+        if end is None:
+            newest = self.archive.newest()
+            end = self.start if newest is None else newest + 1
+        found = stretches(self.start, end)
+        if self.only is not None:
+            found = [p for p in found if datetime.fromtimestamp(p.value[0], UTC).date() in self.only]
+        return found or [Stretch(0, 0)]  # Spark wants one
+
+    def read(self, partition: Stretch) -> Iterator[tuple]:
+        yield from _tuples(self.archive, self.names, *partition.value, self.limit)
+
+
+class PrunedReader(PagedReader):
+    """As PagedReader, with filters that choose partitions (option `prune`). Spark has to have its pushdown to Python sources on: within filters_pushed()."""
+
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         """Filters on `day` and `created_utc` choose partitions. Spark applies those that don't hold by that alone."""
         for f in filters:
@@ -203,19 +218,6 @@ class PagedReader(DataSourceReader):
         if end is not None:
             self.end = end if self.end is None else min(self.end, end)
 
-    def partitions(self) -> list[Stretch]:
-        end = self.end
-        if end is None:
-            newest = self.archive.newest()
-            end = self.start if newest is None else newest + 1
-        found = stretches(self.start, end)
-        if self.only is not None:
-            found = [p for p in found if datetime.fromtimestamp(p.value[0], UTC).date() in self.only]
-        return found or [Stretch(0, 0)]  # Spark wants one
-
-    def read(self, partition: Stretch) -> Iterator[tuple]:
-        yield from _tuples(self.archive, self.names, *partition.value, self.limit)
-
 
 class PagedStream(DataSourceStreamReader):
     """A stream whose offset is a second: a batch covers [start, end) whole, so a restart repeats nothing. `lag` seconds before the
@@ -252,7 +254,8 @@ def paged_source(label: str, archive: Archive) -> type[DataSource]:
             return archive.schema
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return PagedReader(archive, schema.fieldNames(), dict(self.options))
+            kind = PrunedReader if str(self.options.get("prune", "")).lower() == "true" else PagedReader
+            return kind(archive, schema.fieldNames(), dict(self.options))
 
         def streamReader(self, schema: StructType) -> DataSourceStreamReader:
             return PagedStream(archive, schema.fieldNames(), dict(self.options))
