@@ -485,12 +485,6 @@ def _exported(s: SparkSession, d: str) -> DataFrame:
 _EXP = "exported AS (SELECT g.*, l.yes, l.n, CASE WHEN l.n > 0 AND 2 * l.yes <> l.n THEN 2 * l.yes > l.n ELSE g.sarcastic_final::BOOLEAN END AS majority, c.source FROM agg g JOIN candidates c ON c.item_id = g.item_id AND c.eligible JOIN (SELECT item_id, sum(sarcastic) AS yes, count(sarcastic) AS n FROM lineup GROUP BY item_id) l ON l.item_id = g.item_id WHERE g.resolved_by IS NOT NULL)"
 
 
-@query(_with(f", {_EXP} SELECT item_id, sarcastic_final::BOOLEAN AS sarcastic, majority AS sarcastic_majority, round(yes / n, 4) AS sarcasm_vote_share, language_final AS language, resolved_by, source AS subreddit FROM exported", _AGG, "candidates"))
-def p12_export_rows(s: SparkSession, d: str) -> DataFrame:
-    """P11, P12, A17, F14, J12."""
-    return _exported(s, d).select("item_id", "labels.sarcastic", "labels.sarcastic_majority", "labels.sarcasm_vote_share", "labels.language", "reliability.resolved_by", "subreddit")
-
-
 @query(_with(f", {_EXP} SELECT count(*) AS n, sum((sarcastic_final = 1)::INT)::BIGINT AS shipped_positives, sum(majority::INT)::BIGINT AS majority_positives, sum((sarcastic_final = 1 AND majority)::INT)::BIGINT AS both_positive, sum((sarcastic_final::BOOLEAN <> majority)::INT)::BIGINT AS rows_that_differ, round((avg((sarcastic_final::BOOLEAN = majority)::INT) - (avg(sarcastic_final) * avg(majority::INT) + (1 - avg(sarcastic_final)) * (1 - avg(majority::INT)))) / (1 - (avg(sarcastic_final) * avg(majority::INT) + (1 - avg(sarcastic_final)) * (1 - avg(majority::INT)))), 4) AS kappa FROM exported WHERE sarcastic_final IS NOT NULL AND majority IS NOT NULL", _AGG, "candidates"))
 def a20_label_sets(s: SparkSession, d: str) -> DataFrame:
     """A20, T02."""

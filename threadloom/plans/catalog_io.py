@@ -17,7 +17,7 @@ from ..scratch import folder, hadoop, held, listed
 from ..sources import files, indexed, lines, markup, paged
 from ..streaming import awaiting, ingest
 from .adapters import view
-from .catalog import _AGG, _EXP, _LIST, G04, KEY, LINEUP, VERSION, _aggregates, _exported, _hmac_sql, _with, query
+from .catalog import _AGG, _EXP, _LIST, G04, KEY, LINEUP, ORACLES, VERSION, _aggregates, _exported, _hmac_sql, _with, query
 
 # --- JSON lines ----------------------------------------------------------------------------------------------------------
 
@@ -344,6 +344,51 @@ def z09_changed_files(s: SparkSession, d: str) -> DataFrame:
     return corpus.subreddit_stats(index.items()).withColumn("files_read", F.lit(len(done["read"]) + len({f.split("/")[-2] for f in done["gone"]} - {"2"})))
 
 
+# --- whole export rows ---------------------------------------------------------------------------------------------------
+
+_FOUR = ("polarity_inversion", "rhetorical_intent", "contextual_incongruity", "hyperbole")
+_FLAG = "coalesce({}, 0)::INT".format
+_SAID = (
+    "concat_ws('|', {p}model_key, coalesce({p}sarcastic::VARCHAR, '-'), {p}language, {p}literal_sentiment, {p}intended_sentiment, "
+    + ", ".join("coalesce({p}cue_" + c + ", 0)" for c in _FOUR) + ", coalesce(round({p}confidence * 100)::INT::VARCHAR, '-'), {p}rationale)"
+)
+_CUES_SQL = ", ".join(_FLAG(f"cue_{c}_final") for c in _FOUR)
+_FIRST = "json_extract_string(first_pass_json, '$.{}')".format
+_P12_SQL = f""", {_EXP},
+lid AS ({ORACLES["u01_language"]}),
+per AS ({ORACLES["a16_per_label_resolution"]}),
+said AS (SELECT item_id, string_agg({_SAID.format(p="")}, ';' ORDER BY model_key) AS annotators FROM lineup GROUP BY item_id),
+adj AS (SELECT item_id, {_SAID.format(p="")} AS adjudicator FROM ratings WHERE role = 'adjudicator'),
+gold AS (SELECT item_id, concat_ws('|', sarcastic, language, literal_sentiment, intended_sentiment, {", ".join(_FLAG(f"cue_{c}") for c in _FOUR)},
+  CASE WHEN first_pass_json IS NULL THEN 'none' ELSE concat_ws('/', {_FIRST("sarcastic")}, {_FIRST("language")}, {_FIRST("literal_sentiment")}, {_FIRST("intended_sentiment")}, 0, 0, 0, 0) END, 'false', (votes_seen <> 0)::VARCHAR) AS gold
+  FROM reviews WHERE is_gold <> 0)
+SELECT x.item_id, 'comment' AS record_type, x.source AS subreddit, c.text, true AS is_text_only, sarcastic_final::BOOLEAN AS sarcastic, majority AS sarcastic_majority, round(yes / n, 4) AS sarcasm_vote_share, language_final AS language,
+  literal_final AS literal_sentiment, intended_final AS intended_sentiment, concat_ws('|', {_CUES_SQL}) AS cues, resolved_by, concat_ws('|', per.sarcastic, per.language, per.literal_sentiment, per.intended_sentiment) AS per_label,
+  sarcasm_votes, n_annotators::INT AS n_annotators, mean_confidence, needs_human <> 0 AS needs_human, said.annotators, adj.adjudicator, gold.gold,
+  concat_ws('|', lid.language, lid.language, lid.en_ratio, lid.tl_ratio, lid.other_ratio) AS lid, 'missing' AS context, c.phatic, 'v3|d1' AS provenance
+FROM exported x JOIN candidates c ON c.item_id = x.item_id LEFT JOIN lid ON 'd' || lid.doc_id = x.item_id LEFT JOIN per ON per.item_id = x.item_id LEFT JOIN said ON said.item_id = x.item_id
+LEFT JOIN adj ON adj.item_id = x.item_id LEFT JOIN gold ON gold.item_id = x.item_id"""
+
+
+@query(_with(_P12_SQL, _AGG, "candidates"))
+def p12_export_rows(s: SparkSession, d: str) -> DataFrame:
+    """The nested rows whole, their inner structs written out."""
+    e = _exported(s, d)
+    bit = lambda x: F.coalesce(x.cast("int"), F.lit(0)).cast("string")
+    named = lambda v: [v["language"], v["literal_sentiment"], v["intended_sentiment"], *(bit(v["cues"][c]) for c in _FOUR)]
+    said = lambda v: F.concat_ws("|", v["model_key"], F.coalesce(v["sarcastic"].cast("int").cast("string"), F.lit("-")), *named(v), F.coalesce(F.round(v["confidence"] * 100).cast("int").cast("string"), F.lit("-")), v["rationale"])
+    g, f, r, lid = F.col("human_gold"), F.col("human_gold.first_pass"), F.col("reliability"), F.col("aux.lid")
+    first = F.when(f.isNull(), F.lit("none")).otherwise(F.concat_ws("/", f["sarcastic"].cast("int").cast("string"), *named(f)))
+    gold = F.concat_ws("|", g["sarcastic"].cast("int").cast("string"), *named(g), first, g["assist_seen"].cast("string"), g["votes_seen"].cast("string"))
+    return e.select(
+        "item_id", "record_type", "subreddit", "text", "is_text_only", "labels.sarcastic", "labels.sarcastic_majority", "labels.sarcasm_vote_share", "labels.language", "labels.literal_sentiment", "labels.intended_sentiment",
+        F.concat_ws("|", *(bit(F.col(f"labels.cues.{c}")) for c in _FOUR)).alias("cues"), r["resolved_by"].alias("resolved_by"), F.concat_ws("|", *(r["per_label"][k] for k in ("sarcastic", "language", "literal_sentiment", "intended_sentiment"))).alias("per_label"),
+        r["sarcasm_votes"].alias("sarcasm_votes"), r["n_annotators"].cast("int").alias("n_annotators"), r["mean_confidence"].alias("mean_confidence"), r["needs_human"].alias("needs_human"),
+        F.array_join(F.transform(r["annotators"], said), ";").alias("annotators"), F.when(r["adjudicator"].isNotNull(), said(r["adjudicator"])).alias("adjudicator"), F.when(g.isNotNull(), gold).alias("gold"),
+        F.concat_ws("|", lid["auto_label"], lid["language"], *(lid[c].cast("string") for c in ("en_ratio", "tl_ratio", "other_ratio"))).alias("lid"), "context.source", "flags.phatic", F.concat_ws("|", "provenance.prompt_version", "provenance.dataset_version").alias("provenance"),
+    ).withColumnRenamed("source", "context")
+
+
 # --- sinks ---------------------------------------------------------------------------------------------------------------
 
 _OUT = "SELECT item_id, language_final AS language, resolved_by, source AS subreddit FROM exported"
