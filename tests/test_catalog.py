@@ -42,6 +42,19 @@ def test_query(spark, duck, name):
     assert sorted(tuple(plain(r[i]) for i in at) for r in got.fetchall()) == sorted(tuple(plain(r[c]) for c in columns) for r in rows)
 
 
+def test_small_ratios_have_no_exponent(spark, tmp_path):
+    """A few known words in long texts: shares below a thousandth."""
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i::BIGINT AS doc_id, repeat('zq ', 3400) || repeat('the ang ', (i % 5)::INT) AS text, 'en' AS lang, 's' AS source FROM range(1, 41) t(i)) TO '{tmp_path}/documents.parquet'")
+    con.execute(f"COPY (SELECT i::BIGINT AS doc_id, (i % 2)::INT AS quality FROM range(1, 41) t(i)) TO '{tmp_path}/labels.parquet'")
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    df = catalog.QUERIES["p12_export_rows"](spark, str(tmp_path))
+    want = con.execute(f"SELECT item_id, lid FROM ({catalog.ORACLES['p12_export_rows']}) x").fetchall()
+    got = [tuple(r) for r in df.select("item_id", "lid").collect()]
+    assert sorted(got) == sorted(want) and any("|0.0006|" in lid for _, lid in got)
+
+
 def explained(spark, name):
     return catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 

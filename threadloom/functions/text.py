@@ -47,6 +47,11 @@ def lstrip(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+", "")
 
 
+def ratio(x: Column, places: int = 4) -> Column:
+    """A share of that many places as text without an exponent: 0.0006, where a cast says 6.0E-4."""
+    return F.regexp_replace(x.cast(f"decimal({places + 6},{places})").cast("string"), f"0{{1,{places - 1}}}$", "")
+
+
 def normalize(x: Column) -> Column:
     """Link text kept, URLs and markup to blanks, blanks squeezed; in this order."""
     x = F.regexp_replace(F.coalesce(x, F.lit("")), MD_LINK, "$1")

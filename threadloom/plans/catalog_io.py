@@ -385,7 +385,7 @@ def p12_export_rows(s: SparkSession, d: str) -> DataFrame:
         F.concat_ws("|", *(bit(F.col(f"labels.cues.{c}")) for c in _FOUR)).alias("cues"), r["resolved_by"].alias("resolved_by"), F.concat_ws("|", *(r["per_label"][k] for k in ("sarcastic", "language", "literal_sentiment", "intended_sentiment"))).alias("per_label"),
         r["sarcasm_votes"].alias("sarcasm_votes"), r["n_annotators"].cast("int").alias("n_annotators"), r["mean_confidence"].alias("mean_confidence"), r["needs_human"].alias("needs_human"),
         F.array_join(F.transform(r["annotators"], said), ";").alias("annotators"), F.when(r["adjudicator"].isNotNull(), said(r["adjudicator"])).alias("adjudicator"), F.when(g.isNotNull(), gold).alias("gold"),
-        F.concat_ws("|", lid["auto_label"], lid["language"], *(lid[c].cast("string") for c in ("en_ratio", "tl_ratio", "other_ratio"))).alias("lid"), "context.source", "flags.phatic", F.concat_ws("|", "provenance.prompt_version", "provenance.dataset_version").alias("provenance"),
+        F.concat_ws("|", lid["auto_label"], lid["language"], *(text.ratio(lid[c]) for c in ("en_ratio", "tl_ratio", "other_ratio"))).alias("lid"), "context.source", "flags.phatic", F.concat_ws("|", "provenance.prompt_version", "provenance.dataset_version").alias("provenance"),
     ).withColumnRenamed("source", "context")
 
 
