@@ -106,3 +106,27 @@ def test_a_restart_repeats_nothing(spark, tmp_path):
     assert sorted(got) == [x["id"] for x in rows]
     assert paged.PagedStream(stored(spark, at, [], "append"), ["id"], {"start": "2024-10-04", "lag": "100"}).latestOffset() == {"at": rows[-1]["created_utc"] + 1 - 100}
     assert paged.PagedStream(paged.TableArchive(str(tmp_path / "none"), "id long"), ["id"], {"start": "2024-10-04"}).latestOffset() == {"at": 20_000 * DAY}
+
+
+def test_a_page_costs_its_own_rows(spark, tmp_path):
+    """A page of a long day is a slice of it, not a walk over the day."""
+    archive = stored(spark, str(tmp_path / "long"), rows_at(*(20_000 * DAY + s // 3 for s in range(30_000))))
+    assert archive.page(20_000 * DAY + 9_000, 20_001 * DAY, 4) == [{"id": i, "created_utc": 20_000 * DAY + i // 3} for i in (27_000, 27_001, 27_002, 27_003)]
+    touched, slices = [0], []
+    seconds, rows = archive._rows("2024-10-04")
+
+    class Counted:
+        def __len__(self):
+            return len(seconds)
+
+        def __getitem__(self, i):
+            touched[0] += 1
+            return seconds[i]
+
+    class Sliced:
+        def slice(self, first, n):
+            slices.append(n)
+            return rows.slice(first, n)
+
+    archive._day = ("2024-10-04", Counted(), Sliced())
+    assert len(archive.page(20_000 * DAY + 5_000, 20_001 * DAY, 40)) == 40 and slices == [40] and touched[0] < 50

@@ -11,6 +11,7 @@ partitions, so days are paged side by side and a lost task pages one day again.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, date, datetime
@@ -71,7 +72,7 @@ class TableArchive:
     def __init__(self, folder: str, schema: str):
         self.folder, self.schema = folder.rstrip("/"), schema
         self.columns = [part.split()[0] for part in schema.split(",") if part.split()[0] != "day"]
-        self._day: tuple[str, list] | None = None
+        self._day: tuple[str, Any, Any] | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_day": None}
@@ -91,30 +92,43 @@ class TableArchive:
         found = system.get_file_info(fs.FileSelector(top, allow_not_found=True))
         return sorted(f.base_name.removeprefix("day=") for f in found if f.base_name.startswith("day="))
 
-    def _rows(self, day: str) -> list[dict[str, Any]]:
-        """A day's rows by time: held until another day is asked for."""
+    def _rows(self, day: str) -> tuple[list[int], Any]:
+        """A day's rows by time, and their seconds, as columns: held until another day is asked for."""
+        import pyarrow as pa
+        from pyarrow import compute as pc
         from pyarrow import fs
         from pyarrow import parquet as pq
 
         if self._day is None or self._day[0] != day:
+            self._day = None
             system, top = self._at()
             files = [f.path for f in system.get_file_info(fs.FileSelector(f"{top}/day={day}", allow_not_found=True)) if f.path.endswith(".parquet")]
-            rows = [r for f in sorted(files) for r in pq.read_table(f, filesystem=system, columns=self.columns, partitioning=None).to_pylist()]
-            self._day = (day, sorted(rows, key=lambda r: (r["created_utc"], str(r["id"]))))
-        return self._day[1]
+            read = [pq.read_table(f, filesystem=system, columns=self.columns, partitioning=None) for f in sorted(files)]
+            if read:
+                rows = pa.concat_tables(read)
+                by_time = pa.table({"t": rows["created_utc"], "id": pc.cast(rows["id"], pa.string())})
+                rows = rows.take(pc.sort_indices(by_time, sort_keys=[("t", "ascending"), ("id", "ascending")])).combine_chunks()
+                self._day = (day, rows["created_utc"].to_numpy(), rows)
+            else:
+                self._day = (day, [], None)
+        return self._day[1:]
 
     def page(self, after: int, before: int, limit: int) -> list[dict[str, Any]]:
         out: list[dict[str, Any]] = []
         for day in range(after // DAY, (before - 1) // DAY + 1):
-            rows = self._rows(str(datetime.fromtimestamp(day * DAY, UTC).date()))
-            out += [r for r in rows if after <= r["created_utc"] < before][: limit - len(out)]
+            seconds, rows = self._rows(str(datetime.fromtimestamp(day * DAY, UTC).date()))
+            first = bisect_left(seconds, after)  # a page costs its own rows, however many its day has
+            n = min(limit - len(out), bisect_left(seconds, before) - first)
+            if n > 0:
+                out += rows.slice(first, n).to_pylist()
             if len(out) == limit:
                 break
         return out
 
     def newest(self) -> int | None:
         days = self._days()
-        return max((r["created_utc"] for r in self._rows(days[-1])), default=None) if days else None
+        seconds = self._rows(days[-1])[0] if days else ()
+        return int(seconds[-1]) if len(seconds) else None
 
 
 class Stretch(InputPartition):
