@@ -130,3 +130,10 @@ def test_a_page_costs_its_own_rows(spark, tmp_path):
 
     archive._day = ("2024-10-04", Counted(), Sliced())
     assert len(archive.page(20_000 * DAY + 5_000, 20_001 * DAY, 40)) == 40 and slices == [40] and touched[0] < 50
+
+
+def test_a_crowded_second_is_paged_once_it_has_outgrown_a_page():
+    archive = Listed(rows_at(*[10] * 2000, *[20] * 2000))
+    asked, page = [], archive.page
+    archive.page = lambda *a: asked.append(len(page(*a))) or page(*a)
+    assert sum(1 for _ in paged.pages(archive, 0, 100, 40)) == 4000 and sum(asked) < 3 * 4000 and len(asked) < 20

@@ -56,10 +56,10 @@ def pages(archive: Archive, after: int, before: int, limit: int = PAGE, largest:
         if len(page) < size:
             return
         last = int(page[-1]["created_utc"])
-        if fresh:
-            cursor, size = max(cursor, last - 1), limit
+        if fresh and last - 1 > cursor:
+            cursor, size = last - 1, limit
         elif size * 2 <= largest:
-            size *= 2  # what was seen fills the page: nothing behind it can be reached otherwise
+            size *= 2  # the same page would come back: what is behind it can only be reached by a larger one
         else:  # on, first to the page's last second, which a server may leave out or not, then past it
             cursor, size = max(last, cursor + 1), limit
         seen = {i: t for i, t in seen.items() if t >= cursor}
