@@ -100,3 +100,15 @@ def test_language(spark):
     assert lang("ang mga sa hindi naman") == "tagalog"
     assert lang("the ang xyz") == "taglish"
     assert one(spark, language.identify(F.col("t"), message_label=F.lit("en"))["language"], t="123") == "english"
+
+
+def test_a_word_is_labelled_once(spark):
+    """A model's rule is part of the plan once, and kinds are counted as they were."""
+    asked = []
+
+    def label(w):
+        asked.append(w)
+        return F.when(w.endswith("ng"), "tl").when(w.endswith("s"), "en")
+
+    r = one(spark, language.identify(F.col("t"), 0.5, None, label), t="ang THE the xs yng zz zz zz")
+    assert len(asked) == 1 and r.asDict() == {"language": "taglish", "en_ratio": 0.375, "tl_ratio": 0.25, "other_ratio": 0.375}

@@ -31,23 +31,24 @@ ENGLISH = (
 def identify(text: Column, threshold: float = 0.9, message_label: Column | None = None, word_label: Callable[[Column], Column] | None = None) -> Column:
     """struct(language, en_ratio, tl_ratio, other_ratio). `word_label` gives en, tl or other for words outside the lists (a model's column; other without one); `message_label` counts only for texts without any word."""
     words = F.transform(tokens(F.coalesce(text, F.lit(""))), F.lower)
-    other = word_label or (lambda w: F.lit("other"))
     empty = F.when(message_label == "en", "english").when(message_label == "tl", "tagalog").otherwise("taglish") if message_label is not None else F.lit("taglish")
 
-    # one walk over the words counts all kinds; what is made of the counts is made where the walk ends
+    # one walk over the words adds up both kinds in one number, so that a word is looked up once; the others are the rest
+    en_one = 1 << 32
+    one = lambda kind: F.when(kind == "tl", 1).when(kind == "en", en_one).otherwise(0).cast("long")
+
     def count(acc: Column, w: Column) -> Column:
-        kind = F.when(w.isin(*TAGALOG), 1).when(w.isin(*ENGLISH), 2)
-        kind = F.coalesce(kind, F.when(other(w) == "tl", 1).when(other(w) == "en", 2).otherwise(3)) if word_label else F.coalesce(kind, F.lit(3))
-        return F.struct(*((acc[name] + (kind == i + 1).cast("int")).alias(name) for i, name in enumerate(("tl", "en", "other"))))
+        return acc + F.when(w.isin(*TAGALOG), F.lit(1).cast("long")).when(w.isin(*ENGLISH), F.lit(en_one)).otherwise(one(word_label(w)) if word_label else F.lit(0).cast("long"))
+
+    counted = lambda words: F.struct(F.size(words).alias("n"), F.aggregate(words, F.lit(0).cast("long"), count).alias("c"))
 
-    def finish(acc: Column) -> Column:
-        tl, en, rest = (acc[name] for name in ("tl", "en", "other"))
-        n = tl + en + rest
+    def finish(x: Column) -> Column:
+        n, tl, en = x["n"], x["c"].bitwiseAND(F.lit(en_one - 1)), F.shiftright(x["c"], 32)
         share = lambda k: k / F.greatest(F.lit(1), n)
         language = F.when(n == 0, empty).when(share(en) >= threshold, "english").when(share(tl) >= threshold, "tagalog").otherwise("taglish")
-        return F.struct(language.alias("language"), *(F.round(share(k), 4).alias(f"{name}_ratio") for k, name in ((en, "en"), (tl, "tl"), (rest, "other"))))
+        return F.struct(language.alias("language"), *(F.round(share(k), 4).alias(f"{name}_ratio") for k, name in ((en, "en"), (tl, "tl"), (n - en - tl, "other"))))
 
-    return F.aggregate(words, F.struct(*(F.lit(0).alias(name) for name in ("tl", "en", "other"))), count, finish)
+    return F.transform(F.transform(F.array(words), counted), finish)[0]  # so the words are made once
 
 
 def run(corpus: DataFrame, candidates: DataFrame, results: DataFrame | None = None) -> DataFrame:
