@@ -200,3 +200,12 @@ def test_assist_lines(spark):
     lines = spark.createDataFrame([("a", 0.5, "text"), ("q", 0.5, None), ("a", 2.0, "nope")], "item_id string, confidence double, sarcastic_span string")
     bad = [tuple(r["errors"]) for r in review.assist_errors(lines, corpus).orderBy("confidence", "item_id").collect()]
     assert bad == [("given twice",), ("not in the corpus",), ("given twice", "confidence outside 0 to 1", "span is no part of the text")]
+
+
+def test_prompts_do_not_all_become_text_at_once(spark):
+    """A batch is asked out of its Arrow buffers, prompt by prompt, without a copy of it in pandas; more prompts than leave at once all come back."""
+    prompts = spark.range(450).select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("item_id"), F.lit("what?").alias("prompt")).coalesce(1)
+    asked = language.annotate(prompts, lambda: lambda p, *, schema, temperature: "no", attempts=1)
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
+    assert sorted(r["item_id"] for r in asked.collect()) == sorted(f"i{n}" for n in range(450))

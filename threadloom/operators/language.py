@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,6 +131,10 @@ class Ask(Protocol):
     def __call__(self, prompt: str, *, schema: dict, temperature: float) -> str: ...
 
 
+#: Answers that leave a task at once.
+ASKED = 200
+
+
 def annotate(prompts: DataFrame, client: Callable[[], Ask], attempts: int = 3, warm: float = 0.2, pause: Callable[[int], float] = lambda n: min(30.0, 2.0**n)) -> DataFrame:
     """item_id, answer, attempts, duration_ms, call_error, from an injected client that is made once a task.
 
@@ -139,7 +144,7 @@ def annotate(prompts: DataFrame, client: Callable[[], Ask], attempts: int = 3, w
     if attempts < 1:
         raise ValueError("at least one attempt")
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask, schema = client(), answer_schema()
 
         def tried(p: str) -> tuple[str | None, int, int, str | None]:
@@ -158,12 +163,14 @@ def annotate(prompts: DataFrame, client: Callable[[], Ask], attempts: int = 3, w
                     return got, n, spent(), None
             return None, attempts, spent(), f"failed after {attempts} attempts: {last}"[:2000]
 
+        # a prompt is text only while it is asked, answers leave a few at a time: what is held is the batch as it came
         for b in batches:
-            rows = [tried(p) for p in b["prompt"]]
-            out = pd.DataFrame(rows, columns=["answer", "attempts", "duration_ms", "call_error"])
-            yield out.assign(item_id=b["item_id"].to_numpy())[["item_id", "answer", "attempts", "duration_ms", "call_error"]]
+            for i in range(0, b.num_rows, ASKED):
+                part = b.slice(i, ASKED)
+                rows = [(item.as_py(), *tried(prompt.as_py())) for item, prompt in zip(part["item_id"], part["prompt"], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string()), strict=True)], ["item_id", "answer", "attempts", "duration_ms", "call_error"])
 
-    return prompts.select("item_id", "prompt").mapInPandas(call, "item_id string, answer string, attempts int, duration_ms long, call_error string")
+    return prompts.select(F.col("item_id").cast("string"), "prompt").mapInArrow(call, "item_id string, answer string, attempts int, duration_ms long, call_error string")
 
 
 def votes_and_failures(asked: DataFrame, model: str, version: str, role: str) -> tuple[DataFrame, DataFrame]:
