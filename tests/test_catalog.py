@@ -55,6 +55,19 @@ def test_small_ratios_have_no_exponent(spark, tmp_path):
     assert sorted(got) == sorted(want) and any("|0.0006|" in lid for _, lid in got)
 
 
+def test_ratios_round_as_the_sql_does(spark, tmp_path):
+    """Texts of 800 and 1,600 words, whose shares lie halfway between two of four places."""
+    con = duckdb.connect()
+    con.execute(f"""COPY (SELECT n * 10000 + k AS doc_id, repeat('the ', k::INT) || repeat('ang ', (k // 3)::INT) || repeat('zq ', (n - k - k // 3)::INT) AS text, 'en' AS lang, 's' AS source
+        FROM (VALUES (800::BIGINT), (1600)) a(n), range(1, 600, 2) b(k)) TO '{tmp_path}/documents.parquet'""")
+    con.execute(f"COPY (SELECT doc_id, (doc_id % 2)::INT AS quality FROM '{tmp_path}/documents.parquet') TO '{tmp_path}/labels.parquet'")
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    for name, columns in (("p12_export_rows", ["item_id", "lid"]), ("u01_language", ["doc_id", "language", "en_ratio", "tl_ratio", "other_ratio"]), ("u01_with_a_model", ["doc_id", "language", "tl_ratio"])):
+        want = con.execute(f"SELECT {', '.join(columns)} FROM ({catalog.ORACLES[name]}) x").fetchall()
+        assert sorted(map(tuple, catalog.QUERIES[name](spark, str(tmp_path)).select(*columns).collect())) == sorted(want), name
+
+
 def explained(spark, name):
     return catalog.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 

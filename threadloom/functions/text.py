@@ -52,6 +52,11 @@ def ratio(x: Column, places: int = 4) -> Column:
     return F.regexp_replace(x.cast(f"decimal({places + 6},{places})").cast("string"), f"0{{1,{places - 1}}}$", "")
 
 
+def rounded(x: Column, places: int = 4) -> Column:
+    """A share as SQL engines on doubles round it: scaled first, so 577/800 is 0.7212, where F.round goes by the digits of 0.72125."""
+    return F.round(x * 10.0**places) / 10.0**places
+
+
 def normalize(x: Column) -> Column:
     """Link text kept, URLs and markup to blanks, blanks squeezed; in this order."""
     x = F.regexp_replace(F.coalesce(x, F.lit("")), MD_LINK, "$1")

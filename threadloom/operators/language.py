@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import json_object, tokens
+from ..functions.text import json_object, rounded, tokens
 from ..schemas import CUES, DOMAINS
 
 # Function words of the two languages.
@@ -47,7 +47,7 @@ def identify(text: Column, threshold: float = 0.9, message_label: Column | None
         n, tl, en = x["n"], x["c"].bitwiseAND(F.lit(en_one - 1)), F.shiftright(x["c"], 32)
         share = lambda k: k / F.greatest(F.lit(1), n)
         language = F.when(n == 0, empty).when(share(en) >= threshold, "english").when(share(tl) >= threshold, "tagalog").otherwise("taglish")
-        return F.struct(language.alias("language"), *(F.round(share(k), 4).alias(f"{name}_ratio") for k, name in ((en, "en"), (tl, "tl"), (n - en - tl, "other"))))
+        return F.struct(language.alias("language"), *(rounded(share(k)).alias(f"{name}_ratio") for k, name in ((en, "en"), (tl, "tl"), (n - en - tl, "other"))))
 
     return F.transform(F.transform(F.array(words), counted), finish)[0]  # so the words are made once
 
