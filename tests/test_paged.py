@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from threadloom.plans import catalog, catalog_io
 from threadloom.sources import paged
 
 DAY = paged.DAY
@@ -137,3 +138,26 @@ def test_a_crowded_second_is_paged_once_it_has_outgrown_a_page():
     asked, page = [], archive.page
     archive.page = lambda *a: asked.append(len(page(*a))) or page(*a)
     assert sum(1 for _ in paged.pages(archive, 0, 100, 40)) == 4000 and sum(asked) < 3 * 4000 and len(asked) < 20
+
+
+def test_a_stream_is_waited_for_to_its_end(spark, tmp_path, monkeypatch):
+    """A wait that ends first must not stop the stream and leave a part of its rows as the result."""
+    wait = catalog_io.ingest.run_for
+    monkeypatch.setattr(catalog_io.ingest, "run_for", lambda q, _: wait(q, 0.01))
+    seconds = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 5000)
+    spark.range(500).select(F.col("id").alias("event_id"), seconds.alias("ts"), F.lit("view").alias("event_type")).write.parquet(str(tmp_path / "events.parquet"))
+    got = [r["id"] for r in catalog.QUERIES["s06_paged_stream"](spark, str(tmp_path)).select("id").collect()]
+    assert sorted(got) == list(range(500))
+
+
+def test_a_failed_stream_has_no_result(spark, tmp_path):
+    stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "5").load().select(F.raise_error(F.lit("broken page")).alias("x"))
+    q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="broken page"):
+        catalog_io._run(q)
+
+
+def test_a_second_larger_than_any_page_comes_whole(spark, tmp_path):
+    archive = stored(spark, str(tmp_path / "crowd"), rows_at(*[20_000 * DAY + 7] * 70_000, 20_000 * DAY + 9))
+    got = [i for (i,) in paged._tuples(archive, ["id"], 20_000 * DAY, 20_001 * DAY, 60)]
+    assert sorted(got) == list(range(70_001))

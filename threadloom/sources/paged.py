@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 DAY = 86_400
 PAGE = 100
-#: Pages grow up to this where more rows share a second than a page holds.
+#: Pages grow up to this where more rows share a second than a page holds; an archive's own `largest` comes before it.
 LARGEST_PAGE = 100_000
 
 # the source travels with its code: the process that plans a read knows no shipped packages
@@ -69,6 +69,8 @@ class TableArchive:
     """Pages out of Parquet files in folders `day=YYYY-MM-DD`, on any file system that Arrow reads: what a stored archive looks like, and
     the stand-in for one behind a network."""
 
+    largest = sys.maxsize  # no server limits its pages: a second's rows are all reached, however many they are
+
     def __init__(self, folder: str, schema: str):
         self.folder, self.schema = folder.rstrip("/"), schema
         self.columns = [part.split()[0] for part in schema.split(",") if part.split()[0] != "day"]
@@ -149,7 +151,7 @@ def second_of(day: str) -> int:
 
 
 def _tuples(archive: Archive, names: list[str], start: int, end: int, limit: int) -> Iterator[tuple]:
-    for r in pages(archive, start, end, limit):
+    for r in pages(archive, start, end, limit, getattr(archive, "largest", LARGEST_PAGE)):
         yield tuple(date.fromordinal(719_163 + int(r["created_utc"]) // DAY) if n == "day" else r.get(n) for n in names)
 
 
